@@ -14,6 +14,8 @@ without looks under ANY. The same device pairs stores and accounts of which at l
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,8 @@ SAME_CITY, NO_CITY_CONFLICT = 86, 80
 EXACT_ADDRESS, EXACT_NAME, FUZZY_ZIP = "exact_address", "exact_name", "fuzzy_name_zip"
 FUZZY_CITY, FUZZY_NAME, FUZZY_ADDRESS = "fuzzy_name_city", "fuzzy_name", "fuzzy_address"
 
+FUZZY_LAYERS = (FUZZY_ZIP, FUZZY_CITY, FUZZY_NAME, FUZZY_ADDRESS)
+
 ANY, NONE = "*", "-"
 HIT_COLUMNS = ("store_id", "distributor_name", "layer_rank", "match_layer", "match_confidence", "match_status",
                "rec_ord")
@@ -87,15 +91,17 @@ def _similar_cities(candidates: DataFrame, accounts: DataFrame) -> DataFrame:
             F.struct("area").alias("block"), F.col("norm_city").alias("text")).distinct()
 
     pairs = similar_texts(
-        cities(candidates.withColumn("area", F.explode(_areas()))),
+        cities(with_areas(candidates)),
         cities(accounts.withColumn("area", F.col("state_block"))), SAME_CITY)
     return pairs.select(
         F.col("block.area").alias("area"), F.col("left_text").alias("store_city"),
         F.col("right_text").alias("account_city"))
 
 
-def _areas() -> Column:
-    return F.array_distinct(F.array(F.col("state_block"), F.lit("")))
+def with_areas(candidates: DataFrame) -> DataFrame:
+    """A row per account state to look in: the store's own, and the blank one."""
+    return candidates.withColumn("area", F.explode(F.array_distinct(F.array("state_block", F.lit(""))))).withColumn(
+        "own_state", F.col("area") == F.col("state_block"))
 
 
 def _probes(candidates: DataFrame) -> DataFrame:
@@ -108,8 +114,7 @@ def _probes(candidates: DataFrame) -> DataFrame:
         F.explode(houses).alias("house"), F.col("key_words").alias("text"),
     ).select("store_id", "has_anchor", "own_state", _block(FUZZY_ZIP, F.col("zip_code"), F.lit(""), F.col("house")), "text")
 
-    in_state = base.filter(~F.col("is_cannabis")).withColumn("area", F.explode(_areas())).withColumn(
-        "own_state", F.col("area") == F.col("state_block"))
+    in_state = with_areas(base.filter(~F.col("is_cannabis")))
     in_city = in_state.filter(named & (F.col("norm_city") != "") & ~F.col("is_city_only_name")).select(
         "store_id", "has_anchor", "own_state", _block(FUZZY_CITY, F.col("area"), F.col("norm_city"), F.lit("")),
         F.col("key_words").alias("text"))
@@ -171,12 +176,13 @@ def _picks_per_text(pairs: DataFrame, entries: DataFrame) -> DataFrame:
     ).withColumnRenamed("left_text", "text")
 
 
-def match_fuzzy(candidates: DataFrame, accounts: DataFrame) -> DataFrame:
+def match_fuzzy(candidates: DataFrame, accounts: DataFrame, layers: Sequence[str] = FUZZY_LAYERS) -> DataFrame:
     """Zip layer before state layer. In the state layer the first confirmed account wins over better later ones;
     only where none is confirmed does the best flagged one count, and not for stores without city and zip."""
+    wanted = F.col("block.layer").isin(*layers)
     cities = _similar_cities(candidates, accounts)
-    probes = materialize(_probes(candidates), "probes")
-    entries = materialize(_entries(accounts, cities), "entries")
+    probes = materialize(_probes(candidates).filter(wanted), "probes")
+    entries = materialize(_entries(accounts, cities).filter(wanted), "entries")
     pairs = similar_texts(
         probes.select("block", "text").distinct(), entries.select("block", "text").distinct(), FLAGGED)
     found = probes.join(_picks_per_text(pairs, entries), ["block", "text"])
