@@ -214,12 +214,17 @@ CASCADE = [
 ]
 HIT = "store_id, distributor_name, match_layer, match_confidence, match_status, source_id as customer_id"
 
-TYPED = f"""typed as (select {store_id()} as store_id,
+
+def typed(source: str) -> str:
+    return f"""typed as (select {store_id()} as store_id,
  {", ".join(f"{parse_text(x)} as {x}" for x in (
      "brand", "store_name", "address", "phone", "email", "parsed_country", "parsed_city", "house_number", "road",
      "zip", "state"))},
  {parse_bool('is_chain')} as is_chain, {parse_text('chain_name')} as chain_name, {parse_float('rating')} as rating,
- {parse_int('review_count')} as review_count, seen_at as ingested_at, source_file from scrapes)"""
+ {parse_int('review_count')} as review_count, seen_at as ingested_at, source_file from {source})"""
+
+
+TYPED = typed("scrapes")
 _STORE_ORDER = ("brand, store_name, address, phone, email nulls first, parsed_country, parsed_city, house_number, road, "
                 "zip nulls first, state, is_chain nulls first, chain_name nulls first, rating nulls first, "
                 "review_count nulls first")
@@ -235,6 +240,11 @@ def latest(name: str, where: str, by: str) -> str:
 
 MERGE = ["scrapes", TYPED, latest("earlier", f"ingested_at < {SPLIT}", "ingested_at, source_file"),
          latest("later", f"ingested_at >= {SPLIT}", "ingested_at, source_file")]
+# One file row per store and arrival: that of the last scrape in it, the greatest text where two share a day.
+LANDED = f"""landed as (select * exclude (pos) from (select *, row_number() over (
+ partition by {store_id()}, seen_at >= {SPLIT} order by seen_at desc, source_file desc, brand desc, store_name desc,
+ address desc, phone desc, email desc, parsed_country desc, parsed_city desc, house_number desc, road desc, zip desc,
+ state desc, is_chain desc, chain_name desc, rating desc, review_count desc) as pos from scrapes) where pos = 1)"""
 UPSERTED = "select * from later union all select * from earlier where store_id not in (select store_id from later)"
 
 _OK = "json_extract_string(body, '$.status') = 'OK'"
@@ -428,9 +438,7 @@ ORACLES: dict[str, str] = {
     "backfill_counts": with_("stores", *UPDATES) + """select count(u.store_id) as matched, count(*) as total from stores s
  left join updates u on u.store_id = s.store_id where s.zip is null and s.address is not null""",
     "scrape_file_scan": with_("scrapes", TYPED) + f"select * exclude (source_file) replace ({NOW} as ingested_at) from typed",
-    "scrape_ingest_stream": with_("scrapes", TYPED, *[
-        latest(name, where, "ingested_at, source_file").replace(_STORE_ORDER, "") for name, where in (
-            ("earlier", f"ingested_at < {SPLIT}"), ("later", f"ingested_at >= {SPLIT}"))])
+    "scrape_ingest_stream": with_("scrapes", LANDED, typed("landed"), *MERGE[2:])
     + f"select * exclude (ingested_at, source_file) from ({UPSERTED})",
     "staged_snapshot": with_(*MERGE) + "select * from later",
     "last_success": with_("runs") + """select component, max(finished_at) as last_finished_at from runs
