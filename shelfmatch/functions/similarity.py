@@ -75,6 +75,10 @@ def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(indel_scores(a.tolist(), b.tolist()))
 
 
+# Otherwise a filter on a score is pushed below the column that holds it, and every pair is scored twice.
+_ratio = _ratio.asNondeterministic()
+
+
 def ratio(a: Column, b: Column) -> Column:
     """Both texts must be non-null."""
     return _ratio(a, b)

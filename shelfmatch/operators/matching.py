@@ -134,7 +134,7 @@ def _probes(candidates: DataFrame) -> DataFrame:
 
 
 def _entries(accounts: DataFrame, cities: DataFrame) -> DataFrame:
-    """First account per ``distributor_name, block, text``."""
+    """``block, text, firsts``: the first account of each distributor that has the text there."""
     houses = _listed_under(_tagged(F.col("house_num")))
     named = F.col("norm_name_key") != ""
     in_zip = accounts.filter(named & (F.col("zip_code") != "")).select(
@@ -161,19 +161,23 @@ def _entries(accounts: DataFrame, cities: DataFrame) -> DataFrame:
         .filter((F.col("layer") == FUZZY_ADDRESS) | named)
         .select("distributor_name", "rec_ord", F.struct("layer", "area", "place", "house").alias("block"), "text")
     )
-    return in_zip.unionByName(in_city).unionByName(loose).groupBy("distributor_name", "block", "text").agg(
+    first = in_zip.unionByName(in_city).unionByName(loose).groupBy("distributor_name", "block", "text").agg(
         F.min("rec_ord").alias("rec_ord"))
+    return first.groupBy("block", "text").agg(
+        F.collect_list(F.struct("distributor_name", "rec_ord")).alias("firsts"))
 
 
-def _picks_per_text(pairs: DataFrame, entries: DataFrame) -> DataFrame:
-    """For each probe text: the best account, and the first confirmed one."""
-    scored = pairs.alias("p").join(
-        entries.alias("e"), (F.col("p.block") == F.col("e.block")) & (F.col("p.right_text") == F.col("e.text")))
-    return scored.groupBy("p.block", "p.left_text", "e.distributor_name").agg(
+def _picks_per_text(probe_texts: DataFrame, entries: DataFrame) -> DataFrame:
+    """For each probe text and distributor: the best account, and the first confirmed one.
+
+    The pairs are aggregated in the tasks that score them; only the picks are shuffled.
+    """
+    pairs = similar_texts(probe_texts, entries, FLAGGED, carry=["firsts"])
+    scored = pairs.select("block", F.col("left_text").alias("text"), "score", F.inline("firsts"))
+    return scored.groupBy("block", "text", "distributor_name").agg(
         F.min(F.struct((-F.col("score")).alias("minus"), "rec_ord")).alias("best"),
         F.min(F.when(F.col("score") >= CONFIRMED, F.struct("rec_ord", (-F.col("score")).alias("minus"))))
-        .alias("sure"),
-    ).withColumnRenamed("left_text", "text")
+        .alias("sure"))
 
 
 def match_fuzzy(candidates: DataFrame, accounts: DataFrame, layers: Sequence[str] = FUZZY_LAYERS) -> DataFrame:
@@ -181,11 +185,10 @@ def match_fuzzy(candidates: DataFrame, accounts: DataFrame, layers: Sequence[str
     only where none is confirmed does the best flagged one count, and not for stores without city and zip."""
     wanted = F.col("block.layer").isin(*layers)
     cities = _similar_cities(candidates, accounts)
-    probes = materialize(_probes(candidates).filter(wanted), "probes")
+    probes = _probes(candidates).filter(wanted)
     entries = materialize(_entries(accounts, cities).filter(wanted), "entries")
-    pairs = similar_texts(
-        probes.select("block", "text").distinct(), entries.select("block", "text").distinct(), FLAGGED)
-    found = probes.join(_picks_per_text(pairs, entries), ["block", "text"])
+    texts = materialize(probes.select("block", "text").distinct(), "probe-texts")
+    found = probes.join(_picks_per_text(texts, entries), ["block", "text"])
 
     layer = F.col("block.layer")
     in_zip = layer == FUZZY_ZIP
@@ -231,7 +234,8 @@ def find_matches(stores: DataFrame, raw_accounts: DataFrame) -> DataFrame:
         match_exact_address(candidates, accounts).unionByName(match_exact_name(candidates, accounts))), "exact")
     distributors = accounts.select("distributor_name").distinct().count()
     settled = exact.groupBy("store_id").count().filter(F.col("count") == distributors)
-    fuzzy = match_fuzzy(candidates.join(settled, "store_id", "left_anti"), accounts)
+    rest = materialize(candidates.join(settled, "store_id", "left_anti"), "unsettled")
+    fuzzy = match_fuzzy(rest, accounts)
     return nest_matches(stores, first_layer(exact.unionByName(fuzzy)), accounts)
 
 

@@ -1,6 +1,8 @@
 """Exact similarity join of distinct texts inside equal blocks.
 
-Result: every pair of texts in one block whose indel similarity reaches the threshold, and no other pair.
+Result: every pair of texts in one block whose indel similarity reaches the threshold, and no other pair. Columns
+carried by the right side come along, so a caller can aggregate the pairs where they are made instead of shuffling
+them into another join.
 
 Two ways to find candidates, chosen per block from its size:
 
@@ -16,6 +18,8 @@ share at least 3 L - S + 3 grams, counting repeats.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,7 +63,7 @@ def _rare_prefix_size(length: Column, threshold: int) -> Column:
     return length + 2 - F.floor((length * rise + (run - 1)) / run).cast("int")
 
 
-def _signatures(texts: DataFrame, threshold: int) -> DataFrame:
+def _signatures(texts: DataFrame, threshold: int, carry: Sequence[str] = ()) -> DataFrame:
     rows = (
         texts.withColumn("grams", _grams(F.col("text")))
         .withColumn("grams", _numbered(F.col("grams")))
@@ -68,11 +72,16 @@ def _signatures(texts: DataFrame, threshold: int) -> DataFrame:
     pairs = F.flatten(F.transform("prefix", lambda g, i: F.transform(
         F.slice(F.col("prefix"), i + 2, F.size("prefix")),
         lambda h: F.struct(g.alias("first"), h.alias("second")))))
-    return rows.select("block", "text", "length", "grams", F.inline(pairs))
+    return rows.select("block", "text", "length", "grams", *carry, F.inline(pairs))
+
+
+def _pairs(a: DataFrame, b: DataFrame, on: list[Column], carry: Sequence[str]) -> DataFrame:
+    return a.alias("a").join(b.alias("b"), on).select(
+        "a.block", F.col("a.text").alias("left_text"), F.col("b.text").alias("right_text"),
+        *[f"b.{name}" for name in carry])
 
 
-def _shared_gram_candidates(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
-    a, b = _signatures(left, threshold).alias("a"), _signatures(right, threshold).alias("b")
+def _shared_gram_candidates(left: DataFrame, right: DataFrame, threshold: int, carry: Sequence[str]) -> DataFrame:
     # Of all the gram pairs two texts share, only their first one yields the candidate: no duplicates to remove.
     enough = F.exists(
         F.array(F.array_intersect("a.grams", "b.grams")),
@@ -80,21 +89,21 @@ def _shared_gram_candidates(left: DataFrame, right: DataFrame, threshold: int) -
         & (F.get(shared, F.lit(0)) == F.col("a.first")) & (F.get(shared, F.lit(1)) == F.col("a.second")))
     on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("block", "first", "second")]
     on += [fits_length(F.col("a.length"), F.col("b.length"), threshold), enough]
-    return a.join(b, on).select("a.block", F.col("a.text").alias("left_text"), F.col("b.text").alias("right_text"))
+    return _pairs(_signatures(left, threshold), _signatures(right, threshold, carry), on, carry)
 
 
-def _same_block_candidates(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
-    a, b = left.alias("a"), right.alias("b")
+def _same_block_candidates(left: DataFrame, right: DataFrame, threshold: int, carry: Sequence[str]) -> DataFrame:
     on = [F.col("a.block") == F.col("b.block"), fits_length(F.col("a.length"), F.col("b.length"), threshold)]
-    return a.join(b, on).select("a.block", F.col("a.text").alias("left_text"), F.col("b.text").alias("right_text"))
+    return _pairs(left, right, on, carry)
 
 
 def _sized(texts: DataFrame) -> DataFrame:
     return texts.groupBy("block").agg(F.count("*").alias("n"))
 
 
-def similar_texts(left: DataFrame, right: DataFrame, threshold: int, narrow: int = NARROW) -> DataFrame:
-    """``left`` and ``right``: distinct ``block, text``. Returns ``block, left_text, right_text, score``.
+def similar_texts(left: DataFrame, right: DataFrame, threshold: int, narrow: int = NARROW,
+                  carry: Sequence[str] = ()) -> DataFrame:
+    """``left`` and ``right``: distinct ``block, text``. Returns ``block, left_text, right_text, score`` and ``carry``.
 
     ``threshold`` is a percentage of 67 or more: below that the gram bound says nothing.
     """
@@ -107,7 +116,7 @@ def similar_texts(left: DataFrame, right: DataFrame, threshold: int, narrow: int
     left, right = (
         side.join(sizes, "block").withColumn("length", F.char_length("text")) for side in (left, right))
     small, large = F.col("is_narrow"), ~F.col("is_narrow")
-    candidates = _same_block_candidates(left.filter(small), right.filter(small), threshold).unionByName(
-        _shared_gram_candidates(left.filter(large), right.filter(large), threshold))
+    candidates = _same_block_candidates(left.filter(small), right.filter(small), threshold, carry).unionByName(
+        _shared_gram_candidates(left.filter(large), right.filter(large), threshold, carry))
     return candidates.withColumn("score", ratio(F.col("left_text"), F.col("right_text"))).filter(
         F.col("score") >= threshold)
