@@ -1 +1,8 @@
 """Business entity resolution on Spark: scraped store listings, account matching, geocode cache, run health."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel by value, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -328,7 +328,7 @@ ORACLES: dict[str, str] = {
  (select distinct {blank('state')} as state, {norm_city('parsed_city')} as store_city from stores) a join
  (select distinct {blank('state')} as state, {norm_city('city')} as account_city from accounts) b on a.state = b.state
  where store_city <> '' and account_city <> '') where score >= 86""",
-    "similar_names_by_shared_grams": with_("stores", "accounts") + f"""select * from (select a.state, store_text,
+    "similar_names_in_tiles": with_("stores", "accounts") + f"""select * from (select a.state, store_text,
  account_text, {ratio('store_text', 'account_text')} as score from
  (select distinct {blank('state')} as state, {norm_name('store_name')} as store_text from stores) a join
  (select distinct {blank('state')} as state, {norm_name('clean_name')} as account_text from accounts) b

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -11,6 +13,8 @@ from pyspark.sql import types as T
 _WORD = 64
 _GRID_WIDTH = 256  # longer partners leave the batch path, so one long text cannot widen a whole batch
 _ALL_ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
+_MOST = 2_000  # letters counted per text, so that sums over an alphabet of 32 still fit
+_CHUNK = 50_000  # pairs scored at a time
 _LEFT_PAD, _RIGHT_PAD = 0xFFFFFFFF, 0xFFFFFFFE  # no code point, and unequal, so padding never matches
 
 
@@ -70,6 +74,38 @@ def indel_scores(a: list[str], b: list[str]) -> np.ndarray:
     return np.where(total == 0, 100.0, scores)
 
 
+def _letter_counts(texts: list[str], letters: dict[str, int]) -> np.ndarray:
+    """One row per letter, one column per text; rows of ``uint16`` keep the comparison below cheap."""
+    counts = np.zeros((len(letters), len(texts)), dtype=np.uint16)
+    for column, text in enumerate(texts):
+        for letter, n in Counter(text).items():
+            if letter in letters:
+                counts[letters[letter], column] = min(n, _MOST)
+    return counts
+
+
+def similar_pairs(a: list[str], b: list[str], threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions in ``a`` and ``b`` of all pairs that reach the threshold, and their scores.
+
+    Letters two texts have in common, counted with repeats, are at least their LCS: most pairs fail on that alone.
+    """
+    letters = {letter: i for i, letter in enumerate(sorted(set("".join(a)) & set("".join(b))))}
+    common = np.zeros((len(a), len(b)), dtype=np.uint16)
+    for x, y in zip(_letter_counts(a, letters), _letter_counts(b, letters)):
+        common += np.minimum(x[:, None], y[None, :])
+    len_a, len_b = (np.fromiter(map(len, side), np.int64, len(side)) for side in (a, b))
+    enough = common * np.int64(200) >= threshold * (len_a[:, None] + len_b[None, :])
+    # Counts stop at _MOST, which says nothing about longer texts.
+    enough |= (len_a[:, None] > _MOST) & (len_b[None, :] > _MOST)
+    left, right = np.nonzero(enough)
+    scores = np.empty(len(left))
+    for start in range(0, len(left), _CHUNK):
+        i, j = left[start:start + _CHUNK], right[start:start + _CHUNK]
+        scores[start:start + _CHUNK] = indel_scores([a[x] for x in i], [b[x] for x in j])
+    kept = scores >= threshold
+    return left[kept], right[kept], scores[kept]
+
+
 @F.pandas_udf(T.DoubleType())
 def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(indel_scores(a.tolist(), b.tolist()))

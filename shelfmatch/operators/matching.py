@@ -16,6 +16,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -167,12 +171,29 @@ def _entries(accounts: DataFrame, cities: DataFrame) -> DataFrame:
         F.collect_list(F.struct("distributor_name", "rec_ord")).alias("firsts"))
 
 
+def contenders(pairs: pa.Table) -> pa.Table:
+    """Pairs ``left_text, firsts, score`` that are, for some distributor, their text's best or first confirmed one."""
+    firsts = pairs.column("firsts").combine_chunks()
+    entry = firsts.flatten()
+    order = pc.rank(entry.field("rec_ord"), tiebreaker="dense").to_numpy()
+    rows = pd.DataFrame({
+        "pair": pc.list_parent_indices(firsts).to_numpy(),
+        "distributor": pd.factorize(entry.field("distributor_name").to_numpy(zero_copy_only=False))[0],
+        "order": order})
+    rows["text"] = pd.factorize(pairs.column("left_text").to_numpy())[0][rows["pair"]]
+    rows["score"] = pairs.column("score").to_numpy()[rows["pair"]]
+    best = rows.sort_values(["score", "order"], ascending=[False, True])
+    sure = rows[rows["score"] >= CONFIRMED].sort_values("order")
+    kept = [df.drop_duplicates(["text", "distributor"])["pair"] for df in (best, sure)]
+    return pairs.take(pa.array(np.unique(np.concatenate(kept))))
+
+
 def _picks_per_text(probe_texts: DataFrame, entries: DataFrame) -> DataFrame:
     """For each probe text and distributor: the best account, and the first confirmed one.
 
-    The pairs are aggregated in the tasks that score them; only the picks are shuffled.
+    The pairs are thinned and aggregated in the tasks that score them; only the picks are shuffled.
     """
-    pairs = similar_texts(probe_texts, entries, FLAGGED, carry=["firsts"])
+    pairs = similar_texts(probe_texts, entries, FLAGGED, carry=["firsts"], thin=contenders)
     scored = pairs.select("block", F.col("left_text").alias("text"), "score", F.inline("firsts"))
     return scored.groupBy("block", "text", "distributor_name").agg(
         F.min(F.struct((-F.col("score")).alias("minus"), "rec_ord")).alias("best"),

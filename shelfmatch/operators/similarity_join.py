@@ -2,121 +2,93 @@
 
 Result: every pair of texts in one block whose indel similarity reaches the threshold, and no other pair. Columns
 carried by the right side come along, so a caller can aggregate the pairs where they are made instead of shuffling
-them into another join.
+them into another join. A caller that needs only some pairs of each text, such as the best, passes ``thin``, which
+drops the others inside each task: then a block of near copies yields rows in proportion to its texts, not its pairs.
 
-Two ways to find candidates, chosen per block from its size:
+Two ways, chosen per block from its size:
 
-* the smaller side holds at most ``NARROW`` texts: join on the block, linear in the larger side;
-* otherwise join on the block and two shared character pairs ("grams"). Texts that reach the threshold must share
-  many grams (bound below), so their rarest grams must overlap (prefix filter; Chaudhuri et al. 2006, and Wang et al.
-  2012 for more than one shared gram). Rows are keyed by block and gram pair, so a hot block spreads over the cluster.
+* the smaller side holds at most ``NARROW`` texts: an equi join on the block, linear in the larger side;
+* otherwise both sides are cut into tiles of about ``TILE`` texts by hash, and each pair of tiles is one small task
+  (fragment and replicate). Inside it whole arrays are compared and only similar pairs leave. A hot block is thus as
+  many equal tasks as its size asks for, and no group outgrows a tile.
 
-The bound. Let S be the two lengths' sum and L their LCS, so the score is 200 L / S. Pad each text with two marks at
-both ends. A character outside the LCS breaks at most two grams of its own text and one of the other, hence the texts
-share at least 3 L - S + 3 grams, counting repeats.
+Thresholds this low (three quarters) defeat sub-quadratic indexes: gram signatures that lose no pair are shared by most
+texts of a block, so index and verify cost more than the comparison itself, which first drops pairs on letter counts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shelfmatch.functions.similarity import fits_length, ratio
+from shelfmatch.functions.similarity import fits_length, ratio, similar_pairs
 
-NARROW = 32
-
-# Pad marks, then characters from common to rare, only used to put rare grams first.
-_OPEN, _CLOSE = "\x02", "\x03"
-_COMMON_FIRST = _OPEN + _CLOSE + " etaoinsrhldcumfpgwybvkxjqz"
-
-
-def _grams(text: Column) -> Column:
-    """Grams of the padded text as longs: commonness and the two code points, common ones greater."""
-    padded = F.concat(F.lit(_OPEN * 2), text, F.lit(_CLOSE * 2))
-    chars = F.transform(F.split(padded, ""), lambda c: F.struct(
-        F.ascii(c).cast("long").alias("code"),
-        F.when(F.lit(_COMMON_FIRST).contains(c), len(_COMMON_FIRST) + 1 - F.instr(F.lit(_COMMON_FIRST), c))
-        .otherwise(0).cast("long").alias("weight")))
-    size = F.char_length(text) + 3
-    return F.array_sort(F.zip_with(
-        F.slice(chars, 1, size), F.slice(chars, 2, size),
-        lambda a, b: F.shiftleft(a["weight"] + b["weight"], 57) + F.shiftleft(a["code"], 21) + b["code"]))
-
-
-def _numbered(grams: Column) -> Column:
-    """Repeats become distinct elements, so set intersection counts them."""
-    return F.array_sort(F.transform(
-        grams, lambda g, i: g + F.shiftleft((i + 1).cast("long") - F.array_position(grams, g), 42)))
+Thin = Callable[[pa.Table], pa.Table]
 
-
-def _least_shared(len_a: Column, len_b: Column, threshold: int) -> Column:
-    total = len_a + len_b
-    least_lcs = F.floor((total * threshold + 199) / 200)
-    return least_lcs * 3 - total + 3
+NARROW = 32
+TILE = 1024
 
 
-def _rare_prefix_size(length: Column, threshold: int) -> Column:
-    """Leading grams among which two shared ones must lie, whatever the partner's length."""
-    rise, run = 3 * threshold - 200, 200 - threshold
-    return length + 2 - F.floor((length * rise + (run - 1)) / run).cast("int")
+def _narrow_pairs(left: DataFrame, right: DataFrame, threshold: int, carry: Sequence[str]) -> DataFrame:
+    a = left.withColumn("length", F.char_length("text")).alias("a")
+    b = right.withColumn("length", F.char_length("text")).alias("b")
+    on = [F.col("a.block") == F.col("b.block"), fits_length(F.col("a.length"), F.col("b.length"), threshold)]
+    pairs = a.join(b, on).select(
+        "a.block", F.col("a.text").alias("left_text"), F.col("b.text").alias("right_text"),
+        *[f"b.{name}" for name in carry], ratio(F.col("a.text"), F.col("b.text")).alias("score"))
+    return pairs.filter(F.col("score") >= threshold)
 
 
-def _signatures(texts: DataFrame, threshold: int, carry: Sequence[str] = ()) -> DataFrame:
-    rows = (
-        texts.withColumn("grams", _grams(F.col("text")))
-        .withColumn("grams", _numbered(F.col("grams")))
-        .withColumn("prefix", F.slice("grams", F.lit(1), _rare_prefix_size(F.col("length"), threshold)))
-    )
-    pairs = F.flatten(F.transform("prefix", lambda g, i: F.transform(
-        F.slice(F.col("prefix"), i + 2, F.size("prefix")),
-        lambda h: F.struct(g.alias("first"), h.alias("second")))))
-    return rows.select("block", "text", "length", "grams", *carry, F.inline(pairs))
+def _tile(tiles: Column) -> Column:
+    return F.pmod(F.xxhash64("text"), tiles)
 
 
-def _pairs(a: DataFrame, b: DataFrame, on: list[Column], carry: Sequence[str]) -> DataFrame:
-    return a.alias("a").join(b.alias("b"), on).select(
-        "a.block", F.col("a.text").alias("left_text"), F.col("b.text").alias("right_text"),
-        *[f"b.{name}" for name in carry])
+def _every(tiles: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1))
 
 
-def _shared_gram_candidates(left: DataFrame, right: DataFrame, threshold: int, carry: Sequence[str]) -> DataFrame:
-    # Of all the gram pairs two texts share, only their first one yields the candidate: no duplicates to remove.
-    enough = F.exists(
-        F.array(F.array_intersect("a.grams", "b.grams")),
-        lambda shared: (F.size(shared) >= _least_shared(F.col("a.length"), F.col("b.length"), threshold))
-        & (F.get(shared, F.lit(0)) == F.col("a.first")) & (F.get(shared, F.lit(1)) == F.col("a.second")))
-    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("block", "first", "second")]
-    on += [fits_length(F.col("a.length"), F.col("b.length"), threshold), enough]
-    return _pairs(_signatures(left, threshold), _signatures(right, threshold, carry), on, carry)
+def _tiled_pairs(left: DataFrame, right: DataFrame, threshold: int, carry: Sequence[str], thin: Thin | None) -> DataFrame:
+    """Both sides have ``left_tiles`` and ``right_tiles``, the numbers of tiles their block is cut into."""
+    task = ["block", "left_tile", "right_tile"]
+    a = left.select("block", "text", _tile(F.col("left_tiles")).alias("left_tile"),
+                    _every(F.col("right_tiles")).alias("right_tile"))
+    b = right.select("block", "text", *carry, _every(F.col("left_tiles")).alias("left_tile"),
+                     _tile(F.col("right_tiles")).alias("right_tile"))
 
+    def compare(one: pa.Table, other: pa.Table) -> pa.Table:
+        texts, others = one.column("text"), other.column("text")
+        i, j, scores = similar_pairs(texts.to_pylist(), others.to_pylist(), threshold)
+        i, j = pa.array(i), pa.array(j)
+        columns = {"block": one.column("block").take(i), "left_text": texts.take(i), "right_text": others.take(j)}
+        columns |= {name: other.column(name).take(j) for name in carry}
+        pairs = pa.table(columns | {"score": pa.array(scores, pa.float64())})
+        return thin(pairs) if thin and len(pairs) else pairs
 
-def _same_block_candidates(left: DataFrame, right: DataFrame, threshold: int, carry: Sequence[str]) -> DataFrame:
-    on = [F.col("a.block") == F.col("b.block"), fits_length(F.col("a.length"), F.col("b.length"), threshold)]
-    return _pairs(left, right, on, carry)
+    schema = T.StructType([
+        left.schema["block"], T.StructField("left_text", T.StringType()), T.StructField("right_text", T.StringType()),
+        *[right.schema[name] for name in carry], T.StructField("score", T.DoubleType())])
+    return a.groupBy(*task).cogroup(b.groupBy(*task)).applyInArrow(compare, schema)
 
 
-def _sized(texts: DataFrame) -> DataFrame:
-    return texts.groupBy("block").agg(F.count("*").alias("n"))
+def _sized(texts: DataFrame, name: str) -> DataFrame:
+    return texts.groupBy("block").agg(F.count("*").alias(name))
 
 
-def similar_texts(left: DataFrame, right: DataFrame, threshold: int, narrow: int = NARROW,
-                  carry: Sequence[str] = ()) -> DataFrame:
-    """``left`` and ``right``: distinct ``block, text``. Returns ``block, left_text, right_text, score`` and ``carry``.
+def similar_texts(left: DataFrame, right: DataFrame, threshold: int, narrow: int = NARROW, tile: int = TILE,
+                  carry: Sequence[str] = (), thin: Thin | None = None) -> DataFrame:
+    """``left`` and ``right``: distinct ``block, text``. Returns ``block, left_text, right_text``, ``carry``, ``score``.
 
-    ``threshold`` is a percentage of 67 or more: below that the gram bound says nothing.
+    Blocks only one side has fall away before any text is compared. ``thin`` maps a table of pairs to a part of it; it
+    is called per task and must keep every pair that could still be picked from a larger table.
     """
-    if not 67 <= threshold <= 100:
-        raise ValueError(f"threshold {threshold} outside 67..100")
-    sizes = (
-        _sized(left).withColumnRenamed("n", "n_left").join(_sized(right).withColumnRenamed("n", "n_right"), "block")
-        .select("block", (F.least("n_left", "n_right") <= narrow).alias("is_narrow"))
-    )
-    left, right = (
-        side.join(sizes, "block").withColumn("length", F.char_length("text")) for side in (left, right))
+    sizes = _sized(left, "n_left").join(_sized(right, "n_right"), "block").select(
+        "block", (F.least("n_left", "n_right") <= narrow).alias("is_narrow"),
+        F.ceil(F.col("n_left") / tile).alias("left_tiles"), F.ceil(F.col("n_right") / tile).alias("right_tiles"))
+    a, b = left.join(sizes, "block"), right.join(sizes, "block")
     small, large = F.col("is_narrow"), ~F.col("is_narrow")
-    candidates = _same_block_candidates(left.filter(small), right.filter(small), threshold, carry).unionByName(
-        _shared_gram_candidates(left.filter(large), right.filter(large), threshold, carry))
-    return candidates.withColumn("score", ratio(F.col("left_text"), F.col("right_text"))).filter(
-        F.col("score") >= threshold)
+    return _narrow_pairs(a.filter(small), b.filter(small), threshold, carry).unionByName(
+        _tiled_pairs(a.filter(large), b.filter(large), threshold, carry, thin))

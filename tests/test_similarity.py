@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from shelfmatch.functions.similarity import indel_scores, lcs_lengths
+from shelfmatch.functions.similarity import indel_scores, lcs_lengths, similar_pairs
 from shelfmatch.operators.similarity_join import similar_texts
 
 
@@ -62,19 +62,39 @@ def near_copies(rng: random.Random, seeds: list[str], n: int, alphabet: str) ->
 
 
 @pytest.mark.parametrize("threshold", [75, 85, 86, 100])
-@pytest.mark.parametrize("narrow", [0, 32, 10_000])
-def test_join_equals_comparing_every_pair(spark, threshold, narrow):
+@pytest.mark.parametrize("narrow, tile", [(0, 8), (0, 1024), (32, 16), (10_000, 1)])
+def test_join_equals_comparing_every_pair(spark, threshold, narrow, tile):
     rng = random.Random(threshold)
     seeds = ["", "a", "ab", "aaaaaaaa", "blue anvil", "old red widget", "10 main street city 4 nj", "zq^$ 7é😀"]
     left, right = (sorted(near_copies(rng, seeds, 150, "ab e1é")) for _ in range(2))
     wanted = {(g, a, b) for g, a in left for h, b in right if g == h and score(a, b) >= threshold}
     frames = [spark.createDataFrame(rows, "block string, text string") for rows in (left, right)]
-    found = [tuple(r) for r in similar_texts(*frames, threshold, narrow).drop("score").collect()]
+    found = [tuple(r) for r in similar_texts(*frames, threshold, narrow, tile).drop("score").collect()]
     assert len(found) == len(set(found))
     assert set(found) == wanted and wanted
 
 
-def test_threshold_without_a_bound_is_refused(spark):
-    empty = spark.createDataFrame([], "block string, text string")
-    with pytest.raises(ValueError):
-        similar_texts(empty, empty, 60)
+@settings(max_examples=100, deadline=None)
+@given(st.lists(texts, max_size=8), st.lists(texts, max_size=8), st.integers(0, 100))
+def test_pairs_of_a_tile(a, b, threshold):
+    i, j, scores = similar_pairs(a, b, threshold)
+    wanted = {(x, y): score(s, t) for x, s in enumerate(a) for y, t in enumerate(b) if score(s, t) >= threshold}
+    assert dict(zip(zip(i.tolist(), j.tolist()), scores.tolist())) == wanted
+
+
+def test_pairs_of_very_long_texts():
+    long = ["ab" * 3000, "ab" * 2900 + "c" * 100, "c" * 6000, "a" * 2500]
+    i, j, _ = similar_pairs(long, long, 90)
+    assert set(zip(i.tolist(), j.tolist())) == {(x, x) for x in range(4)} | {(0, 1), (1, 0)}
+
+
+def test_carried_columns_stay_with_their_text(spark):
+    from pyspark.sql import functions as F
+
+    names = [f"golden cellar {i:03}" for i in range(80)]
+    left = spark.createDataFrame([("x", n) for n in names], "block string, text string")
+    right = spark.createDataFrame(left.collect(), left.schema).withColumn("firsts", F.array(F.struct(F.upper("text").alias("d"), F.length("text").alias("n"))))
+    for narrow in (0, 1000):
+        out = similar_texts(left, right, 100, narrow, 32, carry=["firsts"]).collect()
+        assert sorted((r["left_text"], r["firsts"][0]["d"], r["firsts"][0]["n"]) for r in out) == [
+            (n, n.upper(), 17) for n in names]
