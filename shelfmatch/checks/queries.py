@@ -206,7 +206,7 @@ def similar_names_in_tiles(t):
         return df.select(F.struct(tx.blank_if_null(c("state")).alias("state")).alias("block"),
                          tx.norm_name(c(name)).alias("text")).distinct()
 
-    pairs = similar_texts(names(t("stores"), "store_name"), names(t("accounts"), "clean_name"), ma.FLAGGED, narrow=0, tile=64)
+    pairs = similar_texts(names(t("stores"), "store_name"), names(t("accounts"), "clean_name"), ma.FLAGGED, small=0, tile=64)
     return pairs.select("block.state", c("left_text").alias("store_text"), c("right_text").alias("account_text"),
                         "score")
 

@@ -7,7 +7,7 @@ drops the others inside each task: then a block of near copies yields rows in pr
 
 Two ways, chosen per block from its size:
 
-* the smaller side holds at most ``NARROW`` texts: an equi join on the block, linear in the larger side;
+* at most ``SMALL`` pairs in it: an equi join on the block;
 * otherwise both sides are cut into tiles of about ``TILE`` texts by hash, and each pair of tiles is one small task
   (fragment and replicate). Inside it whole arrays are compared and only similar pairs leave. A hot block is thus as
   many equal tasks as its size asks for, and no group outgrows a tile.
@@ -29,11 +29,11 @@ from shelfmatch.functions.similarity import fits_length, ratio, similar_pairs
 
 Thin = Callable[[pa.Table], pa.Table]
 
-NARROW = 32
+SMALL = 16_384
 TILE = 1024
 
 
-def _narrow_pairs(left: DataFrame, right: DataFrame, threshold: int, carry: Sequence[str]) -> DataFrame:
+def _small_pairs(left: DataFrame, right: DataFrame, threshold: int, carry: Sequence[str]) -> DataFrame:
     a = left.withColumn("length", F.char_length("text")).alias("a")
     b = right.withColumn("length", F.char_length("text")).alias("b")
     on = [F.col("a.block") == F.col("b.block"), fits_length(F.col("a.length"), F.col("b.length"), threshold)]
@@ -78,7 +78,7 @@ def _sized(texts: DataFrame, name: str) -> DataFrame:
     return texts.groupBy("block").agg(F.count("*").alias(name))
 
 
-def similar_texts(left: DataFrame, right: DataFrame, threshold: int, narrow: int = NARROW, tile: int = TILE,
+def similar_texts(left: DataFrame, right: DataFrame, threshold: int, small: int = SMALL, tile: int = TILE,
                   carry: Sequence[str] = (), thin: Thin | None = None) -> DataFrame:
     """``left`` and ``right``: distinct ``block, text``. Returns ``block, left_text, right_text``, ``carry``, ``score``.
 
@@ -86,9 +86,9 @@ def similar_texts(left: DataFrame, right: DataFrame, threshold: int, narrow: int
     is called per task and must keep every pair that could still be picked from a larger table.
     """
     sizes = _sized(left, "n_left").join(_sized(right, "n_right"), "block").select(
-        "block", (F.least("n_left", "n_right") <= narrow).alias("is_narrow"),
+        "block", (F.col("n_left") * F.col("n_right") <= small).alias("is_small"),
         F.ceil(F.col("n_left") / tile).alias("left_tiles"), F.ceil(F.col("n_right") / tile).alias("right_tiles"))
     a, b = left.join(sizes, "block"), right.join(sizes, "block")
-    small, large = F.col("is_narrow"), ~F.col("is_narrow")
-    return _narrow_pairs(a.filter(small), b.filter(small), threshold, carry).unionByName(
-        _tiled_pairs(a.filter(large), b.filter(large), threshold, carry, thin))
+    one, many = F.col("is_small"), ~F.col("is_small")
+    return _small_pairs(a.filter(one), b.filter(one), threshold, carry).unionByName(
+        _tiled_pairs(a.filter(many), b.filter(many), threshold, carry, thin))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmatch.operators import geocoding as gc
-from shelfmatch.session import materialize
+from shelfmatch.session import materialize, scratch_released, tune
 from shelfmatch.sources.audit_log import AuditLog
 from shelfmatch.sources.tables import AppendTable, SnapshotTable
 
@@ -27,7 +27,8 @@ def run_geocoding(mart: DataFrame, table: AppendTable, resolve: Resolver, audit:
 
     A rerun asks only for stores without a stored reply, so an interrupted run goes on where it stopped.
     """
-    with audit.recording(COMPONENT):
+    tune(audit.spark)
+    with audit.recording(COMPONENT), scratch_released():
         cached = table.read()
         pending = materialize(gc.pending_geocodes(mart, cached), "pending")
         replies = materialize(resolve(gc.geocode_requests(mart, cached, limit)), "replies")
@@ -41,6 +42,7 @@ def run_geocoding(mart: DataFrame, table: AppendTable, resolve: Resolver, audit:
 def backfill_zips(table: SnapshotTable, resolve_batches: Resolver) -> None:
     """``resolve_batches`` turns batch request lines into reply rows, see ``sources.batch_geocoder``."""
     stores = table.read()
-    updates = materialize(gc.batch_updates(resolve_batches(gc.batch_requests(gc.missing_zips(stores)))), "updates")
-    if not updates.isEmpty():
-        table.replace(gc.apply_batch_updates(stores, updates))
+    with scratch_released():
+        updates = materialize(gc.batch_updates(resolve_batches(gc.batch_requests(gc.missing_zips(stores)))), "updates")
+        if not updates.isEmpty():
+            table.replace(gc.apply_batch_updates(stores, updates))

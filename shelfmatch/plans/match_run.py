@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfmatch.operators import health
 from shelfmatch.operators.matching import account_universe, find_matches
 from shelfmatch.operators.merge import full_sync, insert_new, not_in
-from shelfmatch.session import materialize
+from shelfmatch.session import materialize, scratch_released, tune
 from shelfmatch.sources.audit_log import AuditLog
 from shelfmatch.sources.tables import SnapshotTable
 
@@ -38,7 +38,8 @@ def run_matching(stores: DataFrame, accounts: DataFrame, table: SnapshotTable, a
     if mode not in MODES:
         raise ValueError(f"mode {mode!r} is not one of {MODES}")
     now = now or datetime.now(timezone.utc)
-    with audit.recording(COMPONENT, {"mode": mode}):
+    tune(audit.spark)
+    with audit.recording(COMPONENT, {"mode": mode}), scratch_released():
         result = _match(stores, accounts, table, audit, mode, now)
     audit.log_run(COMPONENT, mode=mode, rows=result.processed)
     return result

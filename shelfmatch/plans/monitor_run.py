@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfmatch.operators.health import MAX_AGE_HOURS, freshness_violations
 from shelfmatch.plans import geocode_run, match_run
-from shelfmatch.session import materialize
+from shelfmatch.session import materialize, scratch_released, tune
 from shelfmatch.sources.audit_log import AuditLog
 
 COMPONENT = "pipeline-monitor"
@@ -16,7 +16,8 @@ WATCHED = ((match_run.COMPONENT, MAX_AGE_HOURS), (geocode_run.COMPONENT, MAX_AGE
 
 def run_monitor(audit: AuditLog, now: Column | None = None, watched=WATCHED) -> int:
     """Number of problems logged. The monitor leaves a heartbeat of its own, so its own death shows."""
-    with audit.recording(COMPONENT):
+    tune(audit.spark)
+    with audit.recording(COMPONENT), scratch_released():
         checks = audit.spark.createDataFrame(list(watched), "component string, max_age_hours int")
         found = materialize(
             freshness_violations(checks, audit.runs.read(), F.current_timestamp() if now is None else now), "stale")
@@ -24,5 +25,6 @@ def run_monitor(audit: AuditLog, now: Column | None = None, watched=WATCHED) ->
             audit.log_violations(
                 found, test_type="infrastructure",
                 context=F.to_json(F.struct("component", "age_hours", "max_age_hours")))
+        problems = found.count()
     audit.log_run(COMPONENT)
-    return found.count()
+    return problems

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -15,6 +19,9 @@ SETTINGS = {
 }
 
 
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Set the options results depend on (UTC) and those adaptive execution needs; keep sizing to the cluster."""
     for key, value in SETTINGS.items():
@@ -46,4 +53,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    if (written := _written.get()) is not None:
+        written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_released() -> Iterator[None]:
+    """Intermediate tables written inside are deleted on leaving; nothing inside may be read later."""
+    token = _written.set([])
+    try:
+        yield
+    finally:
+        for path in _written.get():
+            files, local = fs.FileSystem.from_uri(path)
+            files.delete_dir(local)
+        _written.reset(token)

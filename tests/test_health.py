@@ -76,8 +76,15 @@ def universe(spark, tmp_path):
             AuditLog(spark, f"file://{tmp_path}"))
 
 
+def scratch_folders(spark):
+    from pathlib import Path
+
+    return set(Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://")).iterdir())
+
+
 def test_match_runs(spark, tmp_path):
     table, audit = universe(spark, tmp_path)
+    before = scratch_folders(spark)
     accounts = spark.createDataFrame([account("A", "1 A", "Dover")], ACCOUNT)
     stores = spark.createDataFrame([store("A", "1 A", "Dover", store_id="a"), store("B", "2 B", "Dover", store_id="b")],
                                    sc.MATCHER_INPUT)
@@ -98,6 +105,7 @@ def test_match_runs(spark, tmp_path):
     assert audit.runs.read().filter(F.col("component") == COMPONENT).count() == 5
     with pytest.raises(ValueError):
         run_matching(stores, accounts, table, audit, "partial")
+    assert scratch_folders(spark) == before
 
 
 def test_failed_match_run_is_recorded(spark, tmp_path):
