@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmatch.functions import geo
-from shelfmatch.functions.text import blank_if_null, strip
+from shelfmatch.functions.parsing import parse_float
+from shelfmatch.functions.text import blank_if_null, null_if_blank, strip
 from shelfmatch.operators.merge import batch_of, fill_missing, last_per_key, not_in
 from shelfmatch.schemas import STORE_GEOCODES, ZIP_LOOKUP, add_missing_columns, conform
 
@@ -18,10 +19,10 @@ BATCH_SIZE = 9_500  # fixed value: the batch geocoder takes 10,000 rows at most
 def parse_zip_rows(raw: DataFrame) -> DataFrame:
     """Rows without usable coordinates, or with unreadable density or population, are dropped."""
     typed = raw.select(
-        geo.zip_code(F.col("zip")).alias("zip"), geo.optional_text(F.col("city")).alias("city"),
-        F.upper(geo.optional_text(F.col("state_id"))).alias("state"),
-        geo.optional_text(F.col("county_name")).alias("county"),
-        geo.parse_float(F.col("lat")).alias("latitude"), geo.parse_float(F.col("lng")).alias("longitude"),
+        geo.zip_code(F.col("zip")).alias("zip"), null_if_blank(F.col("city")).alias("city"),
+        F.upper(null_if_blank(F.col("state_id"))).alias("state"),
+        null_if_blank(F.col("county_name")).alias("county"),
+        parse_float(F.col("lat")).alias("latitude"), parse_float(F.col("lng")).alias("longitude"),
         geo.number_or_zero(F.col("density")).alias("pop_density_sqmi"),
         geo.number_or_zero(F.col("population"), "int").alias("population"))
     kept = typed.dropna(subset=["latitude", "longitude", "pop_density_sqmi", "population"])

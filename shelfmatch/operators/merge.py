@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfmatch.session import materialize
+
 
 def not_in(df: DataFrame, known: DataFrame, key: str = "store_id") -> DataFrame:
     return df.join(known.select(key), key, "left_anti")
@@ -76,10 +78,6 @@ def batch_of(df: DataFrame, key: str, size: int) -> DataFrame:
     A global row number would sort all rows in one task. Here each range partition numbers its own rows, and only the
     partitions' counts, one row each, are added up.
     """
-    from pyspark.sql import Window
-
-    from shelfmatch.session import materialize
-
     ranged = materialize(
         df.repartitionByRange(F.col(key)).withColumn("_part", F.spark_partition_id())
         .sortWithinPartitions(key), "ranged")

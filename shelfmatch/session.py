@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -48,6 +49,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def open_filesystem(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path for small metadata work outside Spark's readers."""
+    return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", uri))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result once and read it back: short lineage that outlives lost executors."""
     spark = df.sparkSession
@@ -66,6 +72,6 @@ def scratch_released() -> Iterator[None]:
         yield
     finally:
         for path in _written.get():
-            files, local = fs.FileSystem.from_uri(path)
+            files, local = open_filesystem(path)
             files.delete_dir(local)
         _written.reset(token)

@@ -12,7 +12,6 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +19,7 @@ from pyspark.sql import types as T
 from shelfmatch.operators.listings import normalize_listings
 from shelfmatch.operators.merge import last_per_key
 from shelfmatch.schemas import SCRAPE_COLUMNS
+from shelfmatch.session import open_filesystem
 
 SAMPLE_CHARS = 4096  # fixed value: as much of a file as decides its delimiter
 LANDING = "normalized"  # fixed value: only files below this folder of a bucket are read
@@ -43,7 +43,7 @@ def _layouts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         found = []
         for path in batch["path"]:
-            files, local = fs.FileSystem.from_uri(path)
+            files, local = open_filesystem(path)
             with files.open_input_stream(local) as stream:
                 head = stream.read(4 * SAMPLE_CHARS)  # at most four bytes a character
             found.append((path, *sniff_layout(head.decode("utf-8", "ignore")[:SAMPLE_CHARS])))

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from shelfmatch.operators.merge import last_per_key, upsert
 from shelfmatch.schemas import conform
+from shelfmatch.session import open_filesystem
 
 _LOG = "version long, through_batch long"
 
@@ -48,7 +49,7 @@ class SnapshotTable:
 
     def drop_old_snapshots(self, keep: int = 2) -> None:
         """Remove snapshots no reader of the last ``keep`` versions can be using."""
-        files, base = fs.FileSystem.from_uri(f"{self.root}/snapshot")
+        files, base = open_filesystem(f"{self.root}/snapshot")
         for info in files.get_file_info(fs.FileSelector(base, allow_not_found=True)):
             if info.base_name.isdigit() and int(info.base_name) <= self._current()[0] - keep:
                 files.delete_dir(info.path)
