@@ -1,0 +1,64 @@
+import random
+
+from pyspark.sql import functions as F
+
+from shelfmatch.llm.queries import URL_RULES
+from shelfmatch.llm.url_filter import build_cascade, listed, url_verdicts
+
+
+def by_loop(url, rules):
+    host = path = ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        cut = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+        host, rest = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:cut]), rest[cut:]
+        path = rest[:min([rest.find(c) for c in "?#" if c in rest], default=len(rest))]
+    best = None
+    for verdict, rule in rules:
+        own, _, start = rule.partition("/")
+        start = "/" + start if "/" in rule else ""
+        if (host == own or host.endswith("." + own)) and path.startswith(start):
+            best = max(best or (-1,), (len(rule), len(own), rule, verdict == "block"))
+    return host, path, best and best[2], "block" if best and best[3] else "allow"
+
+
+URLS = [None, "", "no scheme", "http://", "http://net/", "http://net", "https://a.NET/x?y#z", "x://example.net/en/1", "x://EXAMPLE.net/enx",
+        "http://b.example.com/de/a/b?c", "http://bexample.com/de/", "http://c.org/fr/#f", "http://c.org?/fr/", "http://a..net/://b", "http://net./",
+        "http://.net/", "http://net:80/", "ftp://a.b.c.org/fr/" + "y" * 5000, "http://" + "a." * 4000 + "net/", "a\nb://net/\nc", "http://É.net/"]
+
+
+def pages(llm, urls):
+    rows = [(i, u, "x", "x", "x") for i, u in enumerate([*urls, *urls[:4]])]
+    return llm.createDataFrame(rows, "page_id long, url string, host string, key string, verdict string").repartition(3)
+
+
+def test_verdicts(llm):
+    for rules in (URL_RULES, [*URL_RULES, ("allow", "net/"), ("block", "a.net/x")], [], [("block", "org")]):
+        found = {r[0]: tuple(r)[1:] for r in url_verdicts(pages(llm, URLS), rules).collect()}
+        assert found == {i: by_loop(u, rules) for i, u in enumerate([*URLS, *URLS[:4]])}
+
+
+def test_join_when_lists_are_long(llm):
+    found = {r[0]: tuple(r)[1:] for r in url_verdicts(pages(llm, URLS), URL_RULES, most_bytes=1).collect()}
+    assert found == {i: by_loop(u, URL_RULES) for i, u in enumerate([*URLS, *URLS[:4]])}
+
+
+def test_empty_table(llm):
+    assert url_verdicts(pages(llm, []).limit(0), URL_RULES).collect() == []
+
+
+def test_cascade_is_exact(llm):
+    rng = random.Random(1)
+    keys = [f"k{rng.randrange(10 ** 9)}" for _ in range(6000)]
+    chosen = set(keys[:500])
+    universe = llm.createDataFrame([(k,) for k in keys], "key string")
+    cascade = build_cascade(universe, llm.createDataFrame([(k,) for k in chosen], "key string"))
+    assert len(cascade) >= 3 and sum(len(c.words) for c in cascade) < 500
+    found = {r["key"] for r in universe.filter(listed(F.col("key"), cascade)).collect()}
+    assert found == chosen
+
+
+def test_no_python_in_plan(llm, capsys):
+    url_verdicts(pages(llm, URLS), URL_RULES).explain()
+    shown = capsys.readouterr().out
+    assert "Python" not in shown and "Arrow" not in shown and "Join" not in shown
