@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmatch.llm import digest, language, license_scan, simhash, token_count, url_filter
+from shelfmatch.llm import digest, language, license_scan, simhash, suffix_dedup, token_count, url_filter
 from shelfmatch.llm.common import held_out, table
 
 #: Verdict and rule; the rule's host fits its subdomains too.
@@ -40,6 +40,13 @@ def op8_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), token_count.read_vocabulary(vocabulary_path()))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+    return spans.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -50,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_license_scan": op4_license_scan,
     "op7_digest": op7_digest,
     "op8_token_count": op8_token_count,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_simhash": op10_simhash,
 }
 
