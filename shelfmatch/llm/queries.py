@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmatch.llm import digest, language, license_scan, simhash, suffix_dedup, token_count, url_filter
+from shelfmatch.llm import decontaminate, digest, language, license_scan, simhash, suffix_dedup, token_count, url_filter
 from shelfmatch.llm.common import held_out, table
 
 #: Verdict and rule; the rule's host fits its subdomains too.
@@ -28,6 +28,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
 
@@ -54,6 +58,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_url_filter": op2_url_filter,
+    "op3_decontaminate": op3_decontaminate,
     "op4_license_scan": op4_license_scan,
     "op7_digest": op7_digest,
     "op8_token_count": op8_token_count,
