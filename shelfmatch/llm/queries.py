@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmatch.llm import decontaminate, digest, language, license_scan, simhash, suffix_dedup, token_count, url_filter
-from shelfmatch.llm.common import held_out, table
+from shelfmatch.llm import decontaminate, digest, language, license_scan, packing, simhash, suffix_dedup, token_count, toxicity, url_filter
+from shelfmatch.llm.common import table
 
 #: Verdict and rule; the rule's host fits its subdomains too.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -36,6 +36,15 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), packing.word_count(F.col("text")))
+
+
 def op7_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.compare_with_edits(table(spark, sf_dir, "documents"))
 
@@ -60,6 +69,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op3_decontaminate": op3_decontaminate,
     "op4_license_scan": op4_license_scan,
+    "op5_toxicity": op5_toxicity,
+    "op6_packing": op6_packing,
     "op7_digest": op7_digest,
     "op8_token_count": op8_token_count,
     "op9_suffix_dedup": op9_suffix_dedup,
