@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,7 +43,8 @@ def by_text(docs: DataFrame, reader: Callable[[], Callable[[list[str]], list[pa.
             keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Read whole texts in Arrow batches; ``keep`` and the arrays made of a batch (of schema ``columns``) come out.
 
-    ``reader`` is called once a task, so that models and tables are set up once and not sent with every batch.
+    A null text is read as an empty one. ``reader`` is called once a task, so that models and tables are set up once and
+    not sent with every batch. ``columns`` must not clash with ``keep``.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -56,8 +57,21 @@ def by_text(docs: DataFrame, reader: Callable[[], Callable[[list[str]], list[pa.
         for batch in batches:
             if not batch.num_rows:
                 continue
-            made = read(batch.column("text").to_pylist())
-            arrays = [batch.column(c) for c in keep] + list(made)
+            made = read(batch.column(len(keep)).to_pylist())
+            arrays = [batch.column(i) for i in range(len(keep))] + list(made)
             yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, shape, strict=True)], schema=shape)
 
-    return docs.select(*keep, "text").mapInArrow(run, out)
+    read_as = unused("text", keep)
+    return docs.select(*[F.col(quoted(c)) for c in keep], F.coalesce(F.col("text"), F.lit("")).alias(read_as)).mapInArrow(run, out)
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def unused(name: str, taken: Iterable[str]) -> str:
+    """A column name like ``name`` that none of ``taken`` is, whatever its case."""
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name += "_"
+    return name

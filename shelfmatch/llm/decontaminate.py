@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmatch.llm.common import by_text, doc_texts
+from shelfmatch.llm.common import by_text, doc_texts, unused
 
 #: Characters of a q-gram, and edits for each character of an item.
 GRAM, EDIT_RATE = 12, 0.05
@@ -254,3 +254,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, q: int = GRAM, rate: flo
     if out is None:
         out = texts.limit(0).select("doc_id", F.lit(None).cast("array<struct<item_id long, start long, stop long, edits long>>").alias("hits"))
     return out.select("doc_id", F.inline("hits"))
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, q: int = GRAM, rate: float = EDIT_RATE) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item, with all their columns. Nothing is shuffled."""
+    mark = unused("leaks", docs.columns)
+
+    def reader_of(items: list[tuple[int, str]]):
+        def reader():
+            index = Index(items, q, rate)
+            return lambda texts: [pa.array([bool(index.search(t)) for t in texts], pa.bool_())]
+
+        return reader
+
+    for items in item_blocks(benchmark):
+        docs = by_text(docs, reader_of(items), f"{mark} boolean", tuple(docs.columns)).filter(~F.col(mark)).drop(mark)
+    return docs

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmatch.llm.common import by_text, doc_texts, held_out
+from shelfmatch.llm.common import by_text, doc_texts, held_out, unused
 from shelfmatch.session import materialize
 
 ORDERS = 3
@@ -146,8 +146,9 @@ class Profiles:
         return self.names[i], 1.0 - float(apart[i]) / (self.size * len(mine))
 
 
-def identify(docs: DataFrame, profiles: dict[str, list[int]], size: int = 400, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep``, ``lang_pred`` and ``score`` (0 to 1) for every row, from its whole text.
+def identify(docs: DataFrame, profiles: dict[str, list[int]], size: int = 400, keep: tuple[str, ...] = ("doc_id",),
+             names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``keep``, predicted language and score (0 to 1, both called by ``names``) for every row, from its whole text.
 
     Null and empty texts, and texts without a letter, are ``und`` with score 0, as are all texts if there are no profiles.
     """
@@ -156,12 +157,12 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], size: int = 400, k
         model = Profiles(profiles, size)
 
         def read(texts: list[str]) -> list[pa.Array]:
-            names, scores = zip(*[model.best(t) for t in texts], strict=True)
-            return [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+            found, scores = zip(*[model.best(t) for t in texts], strict=True)
+            return [pa.array(found, pa.string()), pa.array(scores, pa.float64())]
 
         return read
 
-    return by_text(docs.select(*keep, F.coalesce("text", F.lit("")).alias("text")), reader, "lang_pred string, score double", keep)
+    return by_text(docs, reader, f"{names[0]} string, {names[1]} double", keep)
 
 
 def language_ids(docs: DataFrame, size: int = 400, rows_per_language: int = 1500) -> DataFrame:
@@ -172,3 +173,16 @@ def language_ids(docs: DataFrame, size: int = 400, rows_per_language: int = 1500
     """
     profiles = learn_profiles(docs.filter(~held_out(F.col("doc_id"))), size, rows_per_language)
     return identify(doc_texts(docs), profiles, size).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def known_language(docs: DataFrame, size: int = 400, rows_per_language: int = 1500) -> DataFrame:
+    """The rows of ``docs`` whose language is found, with all their columns.
+
+    Rejected are null and empty texts and those without a letter; if no row names a language, nothing else can be rejected.
+    """
+    profiles = learn_profiles(docs.filter(~held_out(F.col("doc_id"))), size, rows_per_language)
+    if not any(profiles.values()):
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    names = unused("lang_pred", docs.columns), unused("score", docs.columns)
+    found = identify(docs, profiles, size, tuple(docs.columns), names)
+    return found.filter(F.col(names[0]) != "und").drop(*names)

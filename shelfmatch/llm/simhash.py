@@ -14,10 +14,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmatch.llm.common import by_text, doc_texts
+from shelfmatch.llm.common import by_text, doc_texts, quoted, unused
 from shelfmatch.session import materialize
 
 SEED = 42
@@ -184,3 +184,35 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, blocks:
     owners = rooted.join(least, "root").select("fp", "component_id")
     return marked.join(owners, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each_group(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
+    """The rows of ``docs`` that stand for their group of near duplicates, with all their columns.
+
+    Of a group the document with the smallest id stays; of rows with one id the one with the smallest text. A row without an
+    id stays if no row with an id has a text that is near its own; of such rows with equal fingerprints one stays.
+    """
+    found = materialize(near_duplicates(docs, width, distance), "near-duplicates")
+    stay = found.filter("doc_id = component_id").select("doc_id")
+    often = materialize(found.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id"), "repeated-ids")
+    kept = docs.join(stay.distinct(), "doc_id", "left_semi").select(*[docs[quoted(c)] for c in docs.columns])
+    if not often.isEmpty():
+        place = unused("place", docs.columns)
+        ordered = Window.partitionBy("doc_id").orderBy("text", F.hash(*[quoted(c) for c in docs.columns]))
+        several = kept.join(often, "doc_id", "left_semi").withColumn(place, F.row_number().over(ordered)).filter(F.col(place) == 1).drop(place)
+        kept = kept.join(often, "doc_id", "left_anti").unionByName(several.select(*[quoted(c) for c in docs.columns]))
+        kept = kept.select(*[quoted(c) for c in docs.columns])
+    alone = found.filter("doc_id is null and component_id is null").select("fingerprint").distinct()
+    if not alone.isEmpty():
+        nameless = docs.filter("doc_id is null")
+        mark, place = unused("fingerprint", docs.columns), unused("place", docs.columns)
+
+        def read(texts: list[str]) -> list[pa.Array]:
+            return [pa.array([f"{fingerprint_of(shingle_hashes(t, width)):016x}" for t in texts])]
+
+        marked = by_text(nameless, lambda: read, f"{mark} string", tuple(docs.columns)).join(
+            alone.withColumnRenamed("fingerprint", mark), mark, "left_semi")
+        ordered = Window.partitionBy(mark).orderBy("text", F.hash(*[quoted(c) for c in docs.columns]))
+        kept = kept.unionByName(marked.withColumn(place, F.row_number().over(ordered)).filter(F.col(place) == 1).select(
+            *[quoted(c) for c in docs.columns]))
+    return kept

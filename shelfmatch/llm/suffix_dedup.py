@@ -27,8 +27,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from shelfmatch.llm.common import doc_texts
+from shelfmatch.llm.common import quoted, unused
 from shelfmatch.session import materialize, scratch_path
 
 #: Bytes of an anchor.
@@ -72,9 +73,8 @@ def unpack(data: bytes) -> list[np.ndarray]:
 
 
 def pack_texts(ids: list[int | None], texts: list[bytes]) -> bytes:
-    known = np.array([i is not None for i in ids], np.uint8)
     numbers = np.array([LAST if i is None else i for i in ids], np.int64)
-    return pack(numbers, known, np.array([len(t) for t in texts], np.int64), np.frombuffer(b"".join(texts), np.uint8))
+    return pack(numbers, np.array([len(t) for t in texts], np.int64), np.frombuffer(b"".join(texts), np.uint8))
 
 
 # Stretches
@@ -141,7 +141,7 @@ class Block:
     """One block's texts and its stretches, in an order that every reading of the block repeats."""
 
     def __init__(self, data: bytes, length: int):
-        self.ids, self.known, self.sizes, self.data = unpack(data)
+        self.ids, self.sizes, self.data = unpack(data)
         self.stops = np.cumsum(self.sizes)
         self.doc = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.sizes)
         anchor, stretch, start, count = stretches(self.data, self.doc, length)
@@ -372,29 +372,42 @@ def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
-def packed_blocks(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
-    """Blocks of whole documents as a bucketed table (``block, size, data``), and the buckets. Rows are not shuffled."""
+def packed_blocks(docs: DataFrame, keep: tuple[str, ...], block_bytes: int) -> tuple[DataFrame, int]:
+    """Blocks of whole documents as a bucketed table (``block, size, data, rest``), and its buckets.
+
+    ``rest`` holds the columns ``keep`` of the block's rows as an Arrow stream. Rows are not shuffled.
+    """
     spark = docs.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, texts, size = [], [], 0
+        ids, texts, rest, size = [], [], [], 0
 
         def out() -> pa.RecordBatch:
-            return _batch([(size, pack_texts(ids, texts))], ["size", "data"], [pa.int64(), pa.binary()])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rest[0].schema) as stream:
+                for part in rest:
+                    stream.write_batch(part)
+            return _batch([(size, pack_texts(ids, texts), sink.getvalue().to_pybytes())], ["size", "data", "rest"], [pa.int64(), pa.binary(), pa.binary()])
 
         for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+            first, others = 0, batch.select(list(range(2, batch.num_columns)))
+            for at, (i, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True)):
                 if ids and size + len(text) > block_bytes:
+                    rest.append(others.slice(first, at - first))
                     yield out()
-                    ids, texts, size = [], [], 0
+                    ids, texts, rest, size, first = [], [], [], 0, at
                 ids.append(i)
                 texts.append(text)
                 size += len(text)
+            if batch.num_rows:
+                rest.append(others.slice(first))
         if ids:
             yield out()
 
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = doc_texts(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "size long, data binary")
+    named = [F.col(quoted(c)).alias(f"c{k}") for k, c in enumerate(keep)]
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *named).mapInArrow(
+        run, "size long, data binary, rest binary")
     name = f"suffix_blocks_{uuid.uuid4().hex}"
     rows.withColumn("block", F.monotonically_increasing_id()).write.option("path", scratch_path(spark, "suffix-blocks")).bucketBy(
         buckets, "block").saveAsTable(name)
@@ -404,11 +417,12 @@ def packed_blocks(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
 
 
 def _with_answers(blocks: DataFrame, buckets: int, *answers: DataFrame) -> DataFrame:
-    """Each block with the answers to it, in one list a kind; only answers are shuffled."""
+    """Each block's columns and then the answers to it, in one list a kind; only answers are shuffled."""
+    own_columns = blocks.columns
     for k, found in enumerate(answers):
         own = found.repartition(buckets, "block").groupBy("block").agg(F.collect_list(F.struct("rng", "data")).alias(f"answers{k}"))
         blocks = blocks.join(own.hint("shuffle_hash"), "block", "left")
-    return blocks.select("block", "data", *[f"answers{k}" for k in range(len(answers))])
+    return blocks.select(*own_columns, *[f"answers{k}" for k in range(len(answers))])
 
 
 def splitters(blocks: DataFrame, count: int, ranges: int, per_block: int = 512, most_blocks: int = 64) -> list[int]:
@@ -417,7 +431,7 @@ def splitters(blocks: DataFrame, count: int, ranges: int, per_block: int = 512,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                text = unpack(data)[3]
+                text = unpack(data)[2]
                 if len(text) > 8:
                     at = np.random.Generator(np.random.PCG64(block)).integers(0, len(text) - 8, per_block)
                     yield _batch([(x,) for x in prefixes(text, at).view(np.int64).tolist()], ["prefix"], [pa.int64()])
@@ -428,31 +442,32 @@ def splitters(blocks: DataFrame, count: int, ranges: int, per_block: int = 512,
     return sorted({found[len(found) * i // ranges] for i in range(1, ranges)}) if found else []
 
 
-def repeated_spans(docs: DataFrame, length: int = 50, block_bytes: int = BLOCK, range_bytes: int = RANGE) -> DataFrame:
-    """For every row of ``docs``: ``doc_id``, ``n_bytes``, removed ``spans`` (start, stop in bytes), ``kept`` (binary).
+def repeated_spans(docs: DataFrame, length: int = 50, block_bytes: int = BLOCK, range_bytes: int = RANGE,
+                   keep: tuple[str, ...] = ("doc_id",), characters: bool = False) -> DataFrame:
+    """For every row of ``docs``: its columns ``keep``, ``n_bytes``, removed ``spans`` (start, stop in bytes), ``kept``.
 
     Null and empty texts, and those shorter than ``length`` bytes, keep all they have. Rows with the same id never remove
     from one another, so repeated rows stay as they are; a row without an id comes after all others and removes from none.
-    An empty table gives an empty result; other columns are not read. Equal stretches are told by 88 bits of hash, all
-    other windows by their bytes.
+    An empty table gives an empty result; other columns are not read. With ``characters`` a code point only part of which
+    should go stays whole, so that what is kept (binary) is UTF-8. Equal stretches are told by 88 bits of hash, all other
+    windows by their bytes.
     """
-    blocks, buckets = packed_blocks(docs, block_bytes)
+    blocks, buckets = packed_blocks(docs, keep, block_bytes)
     count, total = blocks.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     ranges = max(1, -(-total // range_bytes))
+    three = [pa.int32(), pa.int64(), pa.binary()]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows = [(r, block, d) for r, d in Block(data, length).sent(ranges)]
-                yield _batch(rows, ["rng", "block", "data"], [pa.int32(), pa.int64(), pa.binary()])
+                yield _batch([(r, block, d) for r, d in Block(data, length).sent(ranges)], ["rng", "block", "data"], three)
 
     entries = blocks.select("block", "data").mapInArrow(send, "rng int, block long, data binary")
     first = _by_range(entries, answered, "stretch-answers")
     cuts = np.array(splitters(blocks, count, ranges), np.uint64)
 
-    def read(batch: pa.RecordBatch, *columns: int) -> Iterator[tuple]:
-        for row in zip(*[batch.column(i).to_pylist() for i in range(batch.num_columns)], strict=True):
-            yield row[0], row[1], *[[(a["rng"], a["data"]) for a in row[i] or ()] for i in columns]
+    def told(answers: list[dict] | None) -> list[tuple[int, bytes]]:
+        return [(a["rng"], a["data"]) for a in answers or ()]
 
     def dealt(block: Block, open_: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """Windows of the stretches ``open_`` by range of their first bytes."""
@@ -465,41 +480,71 @@ def repeated_spans(docs: DataFrame, length: int = 50, block_bytes: int = BLOCK,
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, data, answers in read(batch, 2):
+            for number, data, answers in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
                 block = Block(data, length)
-                for r, at in dealt(block, block.told(answers, ranges)[1]):
+                for r, at in dealt(block, block.told(told(answers), ranges)[1]):
                     if len(at):
                         run = front_coded(block.data, at, block.ids[block.doc[at]], length)
-                        yield _batch([(r, number, run)], ["rng", "block", "data"], [pa.int32(), pa.int64(), pa.binary()])
+                        yield _batch([(r, number, run)], ["rng", "block", "data"], three)
 
-    runs = _with_answers(blocks, buckets, first).mapInArrow(suffixes, "rng int, block long, data binary")
+    runs = _with_answers(blocks.select("block", "data"), buckets, first).mapInArrow(suffixes, "rng int, block long, data binary")
     second = _by_range(runs, lambda entries: repeats(entries, length), "suffix-answers")
+
+    def removed(block: Block, answers: list[tuple[int, bytes]], hits: list[tuple[int, bytes]]) -> np.ndarray:
+        """Whether each byte of the block goes."""
+        held, open_ = block.told(answers, ranges)
+        starts, stops = [block.start[held]], [block.start[held] + block.count[held] + length - 1]
+        by_range = dict(dealt(block, open_)) if hits else {}
+        for r, numbers in hits:
+            found = by_range[r][unpack(numbers)[0]]
+            starts.append(found)
+            stops.append(found + length)
+        n = len(block.data)
+        change = np.bincount(np.concatenate(starts), minlength=n + 1) - np.bincount(np.concatenate(stops), minlength=n + 1)
+        gone = np.cumsum(change)[:n] > 0
+        if characters and n:
+            points = np.flatnonzero(block.data & 0xC0 != 0x80)  # where a code point begins
+            gone = np.repeat(np.logical_and.reduceat(gone, points), np.diff(np.append(points, n)))
+        return gone
+
     span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+    out = StructType([docs.schema[c] for c in keep] + StructType.fromDDL("n_bytes long, spans array<struct<start long, stop long>>, kept binary").fields)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, data, answers, hits in read(batch, 2, 3):
+            for data, rest, answers, hits in zip(*[batch.column(i).to_pylist() for i in range(1, 5)], strict=True):
                 block = Block(data, length)
-                held, open_ = block.told(answers, ranges)
-                starts, stops = [block.start[held]], [block.start[held] + block.count[held] + length - 1]
-                by_range = dict(dealt(block, open_)) if hits else {}
-                for r, numbers in hits:
-                    found = by_range[r][unpack(numbers)[0]]
-                    starts.append(found)
-                    stops.append(found + length)
-                n = len(block.data)
-                gone = np.cumsum(np.bincount(np.concatenate(starts), minlength=n + 1) - np.bincount(np.concatenate(stops), minlength=n + 1))[:n] > 0
+                gone = removed(block, told(answers), told(hits))
                 rows, a = [], 0
-                for i, known, b in zip(block.ids.tolist(), block.known.tolist(), block.stops.tolist(), strict=True):
+                for b in block.stops.tolist():
                     own = gone[a:b]
                     edges = np.flatnonzero(np.diff(np.concatenate(([False], own, [False])).astype(np.int8))).reshape(-1, 2)
                     kept = block.data[a:b] if not len(edges) else block.data[a:b][~own]
-                    rows.append((i if known else None, b - a, [{"start": x, "stop": y} for x, y in edges.tolist()], kept.tobytes()))
+                    rows.append((b - a, [{"start": x, "stop": y} for x, y in edges.tolist()], kept.tobytes()))
                     a = b
-                    if len(rows) == 500:
-                        yield _batch(rows, ["doc_id", "n_bytes", "spans", "kept"], [pa.int64(), pa.int64(), span, pa.binary()])
-                        rows = []
-                yield _batch(rows, ["doc_id", "n_bytes", "spans", "kept"], [pa.int64(), pa.int64(), span, pa.binary()])
+                made = _batch(rows, ["n_bytes", "spans", "kept"], [pa.int64(), span, pa.binary()])
+                at = 0
+                with pa.ipc.open_stream(rest) as stream:
+                    for part in stream:
+                        own = made.slice(at, part.num_rows)
+                        at += part.num_rows
+                        yield pa.RecordBatch.from_arrays([*part.columns, *own.columns], names=[*keep, "n_bytes", "spans", "kept"])
 
-    return _with_answers(blocks, buckets, first, second).mapInArrow(
-        settle, "doc_id long, n_bytes long, spans array<struct<start long, stop long>>, kept binary")
+    whole = blocks.select("block", "data", "rest")
+    return _with_answers(whole, buckets, first, second).mapInArrow(settle, out)
+
+
+def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
+    """``docs`` with repeated passages taken out of ``text`` and ``n_chars`` counted anew, all other columns as they were.
+
+    Rows of which nothing is left go. Null and empty texts stay as they are.
+    """
+    others = tuple(c for c in docs.columns if c not in ("text", "n_chars"))
+    blank = unused("blank", [*docs.columns, "n_bytes", "spans", "kept"])
+    names = {c: f"c{k}" for k, c in enumerate(others)}
+    marked = docs.select("doc_id", "text", *[F.col(quoted(c)).alias(n) for c, n in names.items()], F.col("text").isNull().alias(blank))
+    found = repeated_spans(marked, length, keep=(*names.values(), blank), characters=True)
+    left = found.filter((F.col("n_bytes") == 0) | (F.octet_length("kept") > 0)).withColumn(
+        "text", F.when(~F.col(blank), F.col("kept").cast("string")))
+    made = {"text": F.col("text"), "n_chars": F.coalesce(F.length("text"), F.lit(0)).cast("long")}
+    return left.select(*[made[c].alias(c) if c in made else F.col(names[c]).alias(c) for c in docs.columns])
