@@ -48,8 +48,11 @@ def reply_zip(result: Column) -> Column:
 
 
 def reply_status(reply: Column) -> Column:
-    """``OK``, one of the permanent failures, or ``TRANSIENT``. An unreadable reply is transient."""
-    return F.when(reply["status"].isin(OK, *PERMANENT), reply["status"]).otherwise(TRANSIENT)
+    """``OK``, one of the permanent failures, or ``TRANSIENT``: an unreadable reply, or one that is OK without a place."""
+    place = F.get(reply["results"], F.lit(0))["geometry"]["location"]
+    placed = place["lat"].isNotNull() & place["lng"].isNotNull()
+    return F.when((reply["status"] == OK) & placed, F.lit(OK)).when(
+        reply["status"].isin(*PERMANENT), reply["status"]).otherwise(TRANSIENT)
 
 
 def geocode_query(*parts: Column) -> Column:

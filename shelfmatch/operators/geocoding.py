@@ -17,7 +17,12 @@ BATCH_SIZE = 9_500  # fixed value: the batch geocoder takes 10,000 rows at most
 # ---- ZIP reference ----
 
 def parse_zip_rows(raw: DataFrame) -> DataFrame:
-    """Rows without usable coordinates, or with unreadable density or population, are dropped."""
+    """Rows without usable coordinates, or with unreadable density or population, are dropped.
+
+    A file may lack any column; one it lacks counts as blank.
+    """
+    raw = add_missing_columns(raw, {c: "string" for c in (
+        "zip", "city", "state_id", "county_name", "lat", "lng", "density", "population")})
     typed = raw.select(
         geo.zip_code(F.col("zip")).alias("zip"), null_if_blank(F.col("city")).alias("city"),
         F.upper(null_if_blank(F.col("state_id"))).alias("state"),
@@ -31,19 +36,21 @@ def parse_zip_rows(raw: DataFrame) -> DataFrame:
 
 # ---- worklists ----
 
+def missing_coordinates(mart: DataFrame) -> DataFrame:
+    return mart.filter(F.col("latitude").isNull() & F.col("address").isNotNull())
+
+
 def pending_geocodes(mart: DataFrame, geocodes: DataFrame) -> DataFrame:
     """Stores without a coordinate that were never resolved, nor found unresolvable."""
-    missing = mart.filter(F.col("latitude").isNull() & F.col("address").isNotNull())
-    return not_in(missing, geocodes)
+    return not_in(missing_coordinates(mart), geocodes)
 
 
 def geocode_requests(mart: DataFrame, geocodes: DataFrame, limit: int | None = None) -> DataFrame:
-    if limit is not None and limit < 1:
-        raise ValueError("limit must be at least 1")
+    """In key order; a limit below 1 counts as 1."""
     requests = pending_geocodes(mart, geocodes).select(
         "store_id", geo.geocode_query(*[F.col(c) for c in ("address", "parsed_city", "state", "zip")])
         .alias("geocode_query")).orderBy("store_id")
-    return requests if limit is None else requests.limit(limit)
+    return requests if limit is None else requests.limit(max(1, limit))
 
 
 def missing_zips(stores: DataFrame) -> DataFrame:
@@ -105,13 +112,21 @@ def forget(geocodes: DataFrame, keys: DataFrame) -> DataFrame:
 def batch_updates(raw: DataFrame) -> DataFrame:
     """``store_id, zip, lat, lng`` from batch replies ``store_id, match_flag, matched_address, coords``.
 
-    Only matches and ties with a zip count. The greatest row wins where an id comes twice.
+    Only matches and ties with a zip count. The last row of an id wins: by ``reply_order`` where the rows have it, else, and
+    among equals, by zip.
     """
+    order = [c for c in ("reply_order",) if c in raw.columns]
     good = raw.filter(F.upper(strip(F.col("match_flag"))).isin("MATCH", "TIED")).select(
         strip(F.col("store_id")).alias("store_id"), geo.batch_zip(F.col("matched_address")).alias("zip"),
-        geo.batch_point(F.col("coords")).alias("point"))
-    found = good.filter(F.col("zip").isNotNull()).select("store_id", "zip", "point.lat", "point.lng")
-    return last_per_key(found, "store_id", ["zip"])
+        geo.batch_point(F.col("coords")).alias("point"), *order)
+    found = good.filter(F.col("zip").isNotNull()).select("store_id", "zip", "point.lat", "point.lng", *order)
+    return last_per_key(found, "store_id", [*order, "zip"]).drop(*order)
+
+
+def backfill_counts(missing: DataFrame, updates: DataFrame) -> DataFrame:
+    """How many of the stores without a zip got one, and how many there are."""
+    found = missing.join(updates.select("store_id", F.lit(True).alias("hit")), "store_id", "left")
+    return found.agg(F.count("hit").alias("matched"), F.count("*").alias("total"))
 
 
 def apply_batch_updates(stores: DataFrame, updates: DataFrame) -> DataFrame:
@@ -126,9 +141,10 @@ def locate_stores(stores: DataFrame, geocodes: DataFrame, zips: DataFrame) -> Da
     """Coordinates: the store's own, else geocoded, else its zip's centre. A geocoded zip brings the zip's attributes.
 
     ``stores`` has ``zip, lat, lng``. Zips are hot keys, so the join's strategy is left to the optimizer: the lookup is
-    broadcast while its measured size allows, and skewed partitions are split otherwise.
+    broadcast while its measured size allows, and skewed partitions are split otherwise. Of several geocodes of a store the
+    last counts.
     """
-    g = geocodes.select("store_id", F.col("lat").alias("g_lat"), F.col("lng").alias("g_lng"),
+    g = last_per_key(geocodes, "store_id", ["geocoded_at"]).select("store_id", F.col("lat").alias("g_lat"), F.col("lng").alias("g_lng"),
                         F.col("zip").alias("g_zip"))
     z = zips.select(F.col("zip").alias("full_zip"), "latitude", "longitude", "pop_density_sqmi", "area_type", "county")
     joined = stores.join(g, "store_id", "left").withColumn("full_zip", F.coalesce("zip", "g_zip")).join(

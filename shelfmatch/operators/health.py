@@ -25,22 +25,27 @@ def run_ages(checks: DataFrame, runs: DataFrame, now: Column) -> DataFrame:
         .alias("age_hours"))
 
 
-def freshness_violations(checks: DataFrame, runs: DataFrame, now: Column) -> DataFrame:
+def stale_components(ages: DataFrame) -> DataFrame:
     """A null age means no run on record; whole hours past the limit mean a stale one."""
     age, limit, component = F.col("age_hours"), F.col("max_age_hours"), F.col("component")
+    # The names of the checks are part of the results.
     check = F.when(age.isNull(), "no_successful_run").when(age > limit, "stale_run")
-    message = F.when(
-        age.isNull(), F.format_string("No successful run of %s on record", component)
-    ).otherwise(F.format_string("%s last ran %dh ago (limit %dh)", component, age, limit))
-    return run_ages(checks, runs, now).withColumn("check_name", check).filter(F.col("check_name").isNotNull()).select(
+    message = F.when(age.isNull(), F.format_string("%s: never finished", component)).otherwise(
+        F.format_string("%s: %d of at most %d hours since it finished", component, age, limit))
+    return ages.withColumn("check_name", check).filter(F.col("check_name").isNotNull()).select(
         "component", "check_name", "age_hours", "max_age_hours", message.alias("message"))
 
 
+def freshness_violations(checks: DataFrame, runs: DataFrame, now: Column) -> DataFrame:
+    return stale_components(run_ages(checks, runs, now))
+
+
 def recent_errors(errors: DataFrame, now: Column, hours: int = 24, limit: int = 50) -> DataFrame:
+    """The last errors; of equal times those that come first by component, check, severity and message."""
     since = now - F.make_interval(hours=F.lit(hours))
-    return errors.filter(F.col("occurred_at") >= since).select(
-        "occurred_at", "component", "check_name", "severity", "message").orderBy(
-        F.col("occurred_at").desc()).limit(limit)
+    rest = ("component", "check_name", "severity", "message")
+    return errors.filter(F.col("occurred_at") >= since).select("occurred_at", *rest).orderBy(
+        F.col("occurred_at").desc(), *rest).limit(limit)
 
 
 def error_window_violations(errors: DataFrame, now: Column, hours: int) -> DataFrame:

@@ -269,7 +269,8 @@ def nest_matches(stores: DataFrame, hits: DataFrame, accounts: DataFrame) -> Dat
         ["distributor_name", "rec_ord"])
     entry = F.struct("distributor_name", F.lit(True).alias("matched"), "customer_id", "customer_name", "match_layer",
                      "match_confidence", "match_status", *figures)
-    per_store = filled.groupBy("store_id").agg(F.collect_list(entry).alias("found"))
+    per_store = filled.groupBy("store_id").agg(F.map_from_entries(F.collect_list(
+        F.struct("distributor_name", entry))).alias("found"))
     every = accounts.agg(F.array_sort(F.collect_set("distributor_name"))).scalar()
     nothing = F.lit(None)
     found = F.col("found")
@@ -282,7 +283,7 @@ def nest_matches(stores: DataFrame, hits: DataFrame, accounts: DataFrame) -> Dat
             *[nothing.cast("double").alias(c) for c in figures])
 
     def entry_for(name: Column) -> Column:
-        return F.coalesce(F.get(F.filter(found, lambda m: m["distributor_name"] == name), F.lit(0)), unmatched(name))
+        return F.coalesce(F.try_element_at(found, name), unmatched(name))
 
     return (
         stores.join(per_store, "store_id", "left").withColumn("every", every)

@@ -47,7 +47,11 @@ def fill_missing(target: DataFrame, updates: DataFrame, replace: Sequence[str],
 
 
 def last_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """One row per key, the greatest by ``order`` and then by the whole row: partial aggregates, no sort of a hot key."""
+    """One row per key, the greatest by ``order`` and then by the whole row.
+
+    Rows of a key are reduced in each task before the shuffle, so a hot key is no larger there than others. Maxima of rows
+    with text are sort aggregates: each task sorts its own rows.
+    """
     rest = [c for c in df.columns if c != key and c not in order]
     last = df.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("last"))
     return last.select(*[F.col(c) if c == key else F.col(f"last.{c}") for c in df.columns])
@@ -86,5 +90,5 @@ def batch_of(df: DataFrame, key: str, size: int) -> DataFrame:
         F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         .alias("_before"))
     inside = F.row_number().over(Window.partitionBy("_part").orderBy(key)) - 1
-    return ranged.withColumn("_inside", inside).join(F.broadcast(before), "_part").withColumn(
+    return ranged.withColumn("_inside", inside).join(before, "_part").withColumn(
         "batch_id", F.floor((F.col("_before") + F.col("_inside")) / size)).drop("_part", "_before", "_inside")

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmatch.operators import geocoding as gc
+from shelfmatch.operators.merge import batch_of
 from shelfmatch.session import materialize, scratch_released, tune
 from shelfmatch.sources.audit_log import AuditLog
 from shelfmatch.sources.tables import AppendTable, SnapshotTable
@@ -16,33 +18,54 @@ COMPONENT = "store-geocoding"
 Resolver = Callable[[DataFrame], DataFrame]
 
 
+#: Requests answered and stored together: what a failing run can lose.
+RUN_BATCH = 1000
+
+
 def summary_text(row) -> str:
-    return (f"{row['pending']} pending, {row['processed']} processed, {row['geocoded']} geocoded, "
-            f"{row['unresolvable']} unresolvable (cached), {row['transient']} transient, {row['remaining']} remaining")
+    return ", ".join(f"{name} {row[name]}" for name in (
+        "pending", "processed", "geocoded", "unresolvable", "transient", "remaining"))
 
 
 def run_geocoding(mart: DataFrame, table: AppendTable, resolve: Resolver, audit: AuditLog,
-                  limit: int | None = None) -> str:
+                  limit: int | None = None, batch_size: int = RUN_BATCH) -> str:
     """``resolve`` turns requests ``store_id, geocode_query`` into raw replies ``store_id, body``.
 
-    A rerun asks only for stores without a stored reply, so an interrupted run goes on where it stopped.
+    Requests go out in batches in key order, and the replies of each are stored before the next one goes: a run that fails
+    keeps what was answered. A rerun asks only for stores without a stored reply, so it goes on where the last one stopped.
     """
-    tune(audit.spark)
-    with audit.recording(COMPONENT), scratch_released():
+    spark = tune(audit.spark)
+    with audit.recording(COMPONENT), scratch_released(spark):
         cached = table.read()
         pending = materialize(gc.pending_geocodes(mart, cached), "pending")
-        replies = materialize(resolve(gc.geocode_requests(mart, cached, limit)), "replies")
-        classified = gc.classify_replies(replies)
+        requests = materialize(batch_of(gc.geocode_requests(mart, cached, limit), "store_id", batch_size), "requests")
+        last = requests.agg(F.max("batch_id")).first()[0]
+        answered = []
+        for number in range(0 if last is None else last + 1):
+            own = requests.filter(F.col("batch_id") == number).select("store_id", "geocode_query")
+            replies = materialize(resolve(own), "replies")
+            answered.append(gc.classify_replies(replies))
+            table.append(gc.geocode_rows(answered[-1], F.current_timestamp()))
+        classified = reduce(DataFrame.unionAll, answered) if answered else gc.classify_replies(
+            spark.createDataFrame([], "store_id string, body string"))
         summary = summary_text(gc.geocode_summary(pending, classified).first())
-        table.append(gc.geocode_rows(classified, F.current_timestamp()))
     audit.log_run(COMPONENT)
     return summary
 
 
-def backfill_zips(table: SnapshotTable, resolve_batches: Resolver) -> None:
-    """``resolve_batches`` turns batch request lines into reply rows, see ``sources.batch_geocoder``."""
+def backfill_zips(table: SnapshotTable, resolve_batches: Resolver) -> tuple[int, int]:
+    """``resolve_batches`` turns batch request lines into reply rows, see ``sources.batch_geocoder``.
+
+    Only rows that change are written. Returns how many of the stores without a zip got one, and how many there were.
+    """
+    spark = tune(table.spark)
+    table.add_columns({"lat": "double", "lng": "double"})
     stores = table.read()
-    with scratch_released():
-        updates = materialize(gc.batch_updates(resolve_batches(gc.batch_requests(gc.missing_zips(stores)))), "updates")
+    with scratch_released(spark):
+        missing = materialize(gc.missing_zips(stores), "missing-zips")
+        updates = materialize(gc.batch_updates(resolve_batches(gc.batch_requests(missing))), "updates")
         if not updates.isEmpty():
-            table.replace(gc.apply_batch_updates(stores, updates))
+            changed = stores.join(updates.select("store_id"), "store_id", "left_semi")
+            table.write_rows(gc.apply_batch_updates(changed, updates))
+        counts = gc.backfill_counts(missing, updates).first()
+    return counts["matched"], counts["total"]

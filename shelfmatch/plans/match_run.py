@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfmatch.operators import health
 from shelfmatch.operators.matching import account_universe, find_matches
-from shelfmatch.operators.merge import full_sync, insert_new, not_in
+from shelfmatch.operators.merge import full_sync, not_in
 from shelfmatch.session import materialize, scratch_released, tune
 from shelfmatch.sources.audit_log import AuditLog
 from shelfmatch.sources.tables import SnapshotTable
@@ -39,7 +39,7 @@ def run_matching(stores: DataFrame, accounts: DataFrame, table: SnapshotTable, a
         raise ValueError(f"mode {mode!r} is not one of {MODES}")
     now = now or datetime.now(timezone.utc)
     tune(audit.spark)
-    with audit.recording(COMPONENT, {"mode": mode}), scratch_released():
+    with audit.recording(COMPONENT, {"mode": mode}), scratch_released(audit.spark):
         result = _match(stores, accounts, table, audit, mode, now)
     audit.log_run(COMPONENT, mode=mode, rows=result.processed)
     return result
@@ -47,18 +47,21 @@ def run_matching(stores: DataFrame, accounts: DataFrame, table: SnapshotTable, a
 
 def _match(stores: DataFrame, accounts: DataFrame, table: SnapshotTable, audit: AuditLog, mode: str,
            now: datetime) -> RunResult:
+    """An incremental run writes its new rows only; with an ``UpsertTable`` that is all it writes."""
     universe = table.read()
-    todo = stores_to_match(stores, universe, mode)
+    todo = materialize(stores_to_match(stores, universe, mode), "to-match")
     if todo.isEmpty():
         return RunResult(0, 0)
     fresh = materialize(
         account_universe(find_matches(todo, accounts), F.lit(now), F.to_date(F.lit(now))), "universe")
-    table.replace(insert_new(universe, fresh) if mode == "incremental" else full_sync(universe, fresh))
-    if mode == "full":
+    if mode == "incremental":
+        table.write_rows(fresh)
+    else:
+        table.replace(full_sync(universe, fresh))
         empty = health.zero_match_violation(fresh)
         audit.log_violations(
             empty.select(F.lit(COMPONENT).alias("component"), F.lit("zero_stores_matched").alias("check_name"),
-                         F.format_string("%d stores processed, none matched", "processed").alias("message"),
+                         F.format_string("no match among %d stores", "processed").alias("message"),
                          "processed", "matched"),
             context=F.to_json(F.struct("processed", "matched")))
     counts = health.match_counts(fresh).first()

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import logging
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -22,7 +24,11 @@ SETTINGS = {
 }
 
 
+log = logging.getLogger(__name__)
+
 _written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+#: Intermediate tables that no ``scratch_released`` block will delete, and how to delete each.
+_unreleased: dict[str, Callable[[], object]] = {}
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -52,28 +58,56 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def open_filesystem(uri: str) -> tuple[fs.FileSystem, str]:
-    """File system and path for small metadata work outside Spark's readers."""
+    """File system and path for reading the first bytes of a file inside a task, where Spark's own readers can't be called."""
     return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", uri))
 
 
+def deleter(spark: SparkSession, path: str) -> Callable[[], object]:
+    """Deletes a folder by the file system that Spark itself uses for it, if it is there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return lambda: files.delete(where, True)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    deleter(spark, path)()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate result once and read it back: short lineage that outlives lost executors."""
+    """Write an intermediate result once and read it back: short lineage that outlives lost executors.
+
+    Inside ``scratch_released`` it is deleted at the block's end, else when the program ends: what an operator returns may
+    be read until then.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
     if (written := _written.get()) is not None:
         written.append(path)
+    else:
+        _unreleased[path] = deleter(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@atexit.register
+def _release() -> None:
+    for delete in _unreleased.values():
+        try:
+            delete()
+        except Exception:  # the session, and with it the way to the files, may be gone
+            return
+
+
 @contextmanager
-def scratch_released() -> Iterator[None]:
+def scratch_released(spark: SparkSession) -> Iterator[None]:
     """Intermediate tables written inside are deleted on leaving; nothing inside may be read later."""
     token = _written.set([])
     try:
         yield
     finally:
         for path in _written.get():
-            files, local = open_filesystem(path)
-            files.delete_dir(local)
+            try:
+                delete_folder(spark, path)
+            except Exception:
+                log.exception("intermediate table not deleted: %s", path)
         _written.reset(token)

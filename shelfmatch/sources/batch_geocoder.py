@@ -25,4 +25,8 @@ def parse_reply_lines(lines: DataFrame) -> DataFrame:
 
 
 def read_replies(spark: SparkSession, path: str) -> DataFrame:
-    return parse_reply_lines(spark.read.text(path))
+    """Reply files as one CSV text each, quoted line ends included, with ``reply_order``: by file, then by row."""
+    rows = spark.read.csv(path, schema=_REPLY, multiLine=True, quote='"', escape='"', nullValue="\x00", emptyValue="")
+    order = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"))
+    return rows.withColumn("reply_order", order).filter(F.col("coords").isNotNull()).select(
+        F.col("id").alias("store_id"), "match_flag", "matched_address", "coords", "reply_order")

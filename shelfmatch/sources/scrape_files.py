@@ -1,13 +1,16 @@
 """Scrape files: delimited text with a header, comma or tab, quoted fields that may span lines.
 
-Files may order their columns differently. A Spark job reads each file's first characters in the tasks and returns
-only its layout; files of one layout are then one ordinary CSV scan.
+Files may order their columns differently. A Spark job reads each file's header in the tasks and returns only its layout:
+the dialect and where the known columns stand. Files of one layout are then one ordinary CSV scan. A file that can't be
+read is reported, and the others are read all the same.
 """
 
 from __future__ import annotations
 
+import codecs
 import csv
 import io
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
@@ -19,10 +22,16 @@ from pyspark.sql import types as T
 from shelfmatch.operators.listings import normalize_listings
 from shelfmatch.operators.merge import last_per_key
 from shelfmatch.schemas import SCRAPE_COLUMNS
-from shelfmatch.session import open_filesystem
+from shelfmatch.session import materialize, open_filesystem
 
-SAMPLE_CHARS = 4096  # fixed value: as much of a file as decides its delimiter
+SAMPLE_CHARS = 4096  # fixed value: as much of a file as decides its dialect
 LANDING = "normalized"  # fixed value: only files below this folder of a bucket are read
+#: Bytes from which a file is worth a look whether any of its fields spans lines: if none does, many tasks can read it.
+LARGE = 64 << 20
+
+_LAYOUT = ("path string, length long, separator string, quote string, skip_space boolean, columns array<string>, "
+           "tall boolean, problem string")
+_DIALECT = ("separator", "quote", "skip_space", "columns", "tall")
 
 
 def landed_files(spark: SparkSession, bucket: str) -> DataFrame:
@@ -31,53 +40,104 @@ def landed_files(spark: SparkSession, bucket: str) -> DataFrame:
         f"{bucket}/{LANDING}").select("path", "length")
 
 
-def sniff_layout(sample: str) -> tuple[str, list[str]]:
+def sniff_dialect(sample: str) -> tuple[str, str, bool]:
+    """Separator, quote character, and whether spaces after a separator are to be skipped."""
     try:
-        separator = csv.Sniffer().sniff(sample, delimiters=",\t").delimiter
+        found = csv.Sniffer().sniff(sample, delimiters=",\t")
+        return found.delimiter, found.quotechar or '"', bool(found.skipinitialspace)
     except csv.Error:
-        separator = "\t" if "\t" in sample.partition("\n")[0] else ","
-    return separator, next(csv.reader(io.StringIO(sample, newline=""), delimiter=separator), [])
+        return "\t" if "\t" in sample.partition("\n")[0] else ",", '"', False
+
+
+def read_header(stream: io.TextIOBase, separator: str, quote: str, skip_space: bool) -> tuple[list[str], bool]:
+    """The whole first row, however long, and whether it spans lines."""
+    rows = csv.reader(stream, delimiter=separator, quotechar=quote, skipinitialspace=skip_space)
+    header = next(rows, [])
+    return header, rows.line_num > 1
+
+
+def known_columns(header: list[str]) -> list[str]:
+    """The scrape column at each place, blank for any other; up to the last known one. A repeated name means its last."""
+    named = [name if name in SCRAPE_COLUMNS and name not in header[i + 1:] else "" for i, name in enumerate(header)]
+    while named and not named[-1]:
+        named.pop()
+    return named
 
 
 def _layouts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         found = []
-        for path in batch["path"]:
-            files, local = open_filesystem(path)
-            with files.open_input_stream(local) as stream:
-                head = stream.read(4 * SAMPLE_CHARS)  # at most four bytes a character
-            found.append((path, *sniff_layout(head.decode("utf-8", "ignore")[:SAMPLE_CHARS])))
-        yield pd.DataFrame(found, columns=["path", "separator", "header"])
-
-
-def _read_layout(spark: SparkSession, separator: str, header: list[str], paths: list[str]) -> DataFrame:
-    # A repeated name means its last column.
-    names = [name if name not in header[i + 1:] else f"_{i}" for i, name in enumerate(header)]
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    rows = spark.read.csv(
-        paths, schema=schema, sep=separator, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8")
-    known = [F.col(f"`{name}`") for name in names if name in SCRAPE_COLUMNS]
-    # With multiLine one task reads a whole file, so the id follows row order inside each file.
+        for path, length in zip(batch["path"], batch["length"]):
+            try:
+                files, local = open_filesystem(path)
+                with files.open_input_stream(local) as stream:
+                    sample = codecs.getincrementaldecoder("utf-8")().decode(stream.read(4 * SAMPLE_CHARS))[:SAMPLE_CHARS]
+                dialect = sniff_dialect(sample)
+                with files.open_input_stream(local) as stream, io.TextIOWrapper(stream, "utf-8", newline="") as text:
+                    header, tall = read_header(text, *dialect)
+                found.append((path, length, *dialect, known_columns(header), tall, None))
+            except Exception as error:  # any file may be gone or not be text; the others still count
+                found.append((path, length, None, None, None, None, None, f"{type(error).__name__}: {error}"))
+        yield pd.DataFrame(found, columns=[part.split()[0] for part in _LAYOUT.split(", ")])
+
+
+def file_layouts(files: DataFrame) -> DataFrame:
+    """The layout of each non-empty file of ``path, length``, or its ``problem``."""
+    return materialize(files.filter("length > 0").select("path", "length").mapInPandas(_layouts, _LAYOUT), "layouts")
+
+
+def unreadable_files(layouts: DataFrame) -> DataFrame:
+    return layouts.filter("problem is not null").select("path", "problem")
+
+
+def _spanning(spark: SparkSession, paths: list[str], quote: str) -> set[str]:
+    """Of large files those in which some line has an odd number of quote characters: a field may span lines there."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"))
+    quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit(quote), F.lit("")))
+    return {row["path"] for row in lines.filter(quotes % 2 == 1).select("path").distinct().collect()}
+
+
+def _read_layout(spark: SparkSession, layout: tuple, paths: list[str]) -> DataFrame:
+    separator, quote, skip_space, columns, tall = layout
+    schema = T.StructType([T.StructField(name or f"_{i}", T.StringType()) for i, name in enumerate(columns)])
+    rows = spark.read.option("ignoreMissingFiles", "true").csv(
+        paths, schema=schema, sep=separator, header=True, multiLine=tall, quote=quote, escape=quote, encoding="UTF-8",
+        ignoreLeadingWhiteSpace=skip_space)
+    # Inside a part of a file ids follow row order; parts are ordered by where they begin.
     return rows.select(
-        *known, F.col("_metadata.file_name").alias("source_file"), F.monotonically_increasing_id().alias("row_order"))
+        *[F.col(name) for name in columns if name], F.col("_metadata.file_name").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("part_start"), F.monotonically_increasing_id().alias("row_order"))
+
+
+def scan_layouts(layouts: DataFrame) -> DataFrame | None:
+    """Raw text rows of all readable files with ``source_file``, ``part_start`` and ``row_order``; None without any.
+
+    As for any scan of a list of files, the names reach the driver; a stream bounds them by its files per trigger.
+    """
+    spark = layouts.sparkSession
+    groups: dict[tuple, list[str]] = defaultdict(list)
+    large: dict[tuple, list[str]] = defaultdict(list)
+    for row in layouts.filter("problem is null and size(columns) > 0").toLocalIterator():
+        layout = (row["separator"], row["quote"], row["skip_space"], tuple(row["columns"]), True)
+        (large if row["length"] >= LARGE and not row["tall"] else groups)[layout].append(row["path"])
+    for layout, paths in large.items():
+        spanning = _spanning(spark, paths, layout[1])
+        for path in paths:
+            groups[layout if path in spanning else (*layout[:4], False)].append(path)
+    scans = [_read_layout(spark, layout, paths) for layout, paths in groups.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans) if scans else None
 
 
 def scan_files(files: DataFrame) -> DataFrame | None:
-    """Raw text rows of all non-empty files with ``source_file`` and ``row_order``; None without any."""
-    spark = files.sparkSession
-    layouts = files.filter("length > 0").select("path").mapInPandas(
-        _layouts, "path string, separator string, header array<string>")
-    # Reaches the driver: file names, one list per layout, as for any scan of a list of files.
-    groups = layouts.groupBy("separator", "header").agg(F.collect_list("path").alias("paths")).collect()
-    scans = [_read_layout(spark, g["separator"], g["header"], g["paths"]) for g in groups if g["header"]]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans) if scans else None
+    return scan_layouts(file_layouts(files))
+
+
+def typed_scrapes(raw: DataFrame, ingested_at: Column) -> DataFrame:
+    """Typed stores, one row per store: a later row of a file beats an earlier one, a later file's an earlier file's."""
+    rows = normalize_listings(raw, ingested_at, F.col("source_file"), keep=["part_start", "row_order"])
+    return last_per_key(rows, "store_id", ["source_file", "part_start", "row_order"]).drop("part_start", "row_order")
 
 
 def read_scrapes(files: DataFrame, ingested_at: Column) -> DataFrame | None:
-    """Typed stores, one row per store: a later row of a file beats an earlier one."""
     raw = scan_files(files)
-    if raw is None:
-        return None
-    rows = normalize_listings(
-        raw, ingested_at, F.col("source_file"), keep=["row_order"])
-    return last_per_key(rows, "store_id", ["source_file", "row_order"]).drop("row_order")
+    return None if raw is None else typed_scrapes(raw, ingested_at)

@@ -1,27 +1,32 @@
 """Parquet tables that change: snapshots with a version log, and changes kept beside the snapshot until compaction.
 
 A snapshot is written to a new folder and becomes current by one appended log row, so readers never see a half-written
-table and a job may read the table it replaces.
+table and a job may read the table it replaces. A table has one writer at a time; two would lose one's rows, though never
+mix them, since each snapshot has a folder of its own.
 """
 
 from __future__ import annotations
 
-from pyarrow import fs
+import uuid
+from datetime import datetime
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmatch.operators.merge import last_per_key, upsert
+from shelfmatch.operators.merge import last_per_key, not_in, upsert
 from shelfmatch.schemas import conform
-from shelfmatch.session import open_filesystem
+from shelfmatch.session import delete_folder
 
-_LOG = "version long, through_batch long"
+_LOG = "version long, through_batch long, folder string"
+_COLUMNS = "name string, type string"
+_MARKS = "stream string, stream_batch long"
 
 
 class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str):
-        self.spark, self.root, self.schema, self.key = spark, root.rstrip("/"), schema, key
+        self.spark, self.root, self.declared, self.key = spark, root.rstrip("/"), schema, key
 
     def _read(self, path: str, schema: T.StructType | str) -> DataFrame:
         """The data below ``path``, or no rows before anything was written there."""
@@ -32,65 +37,133 @@ class SnapshotTable:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def _current(self) -> tuple[int, int]:
-        """Version of the current snapshot and the last batch of changes inside it; -1 for none."""
-        row = self._read(f"{self.root}/log", _LOG).agg(F.max(F.struct("version", "through_batch")).alias("v")).first()
-        return tuple(row["v"]) if row["v"] else (-1, -1)
+    # ---- columns ----
+
+    @property
+    def added(self) -> T.StructType:
+        """Columns the table got beyond the declared ones, see ``add_columns``."""
+        rows = self._read(f"{self.root}/columns", _COLUMNS).distinct().orderBy("name").collect()
+        return T.StructType([T.StructField(r["name"], T.DataType.fromDDL(r["type"])) for r in rows])
+
+    @property
+    def schema(self) -> T.StructType:
+        return T.StructType([*self.declared, *self.added])
+
+    def add_columns(self, columns: dict[str, str]) -> None:
+        """Additive evolution: what is there stays, rows written before have null."""
+        new = [(name, kind) for name, kind in columns.items() if name not in self.schema.names]
+        if new:
+            self.spark.createDataFrame(new, _COLUMNS).coalesce(1).write.mode("append").parquet(f"{self.root}/columns")
+
+    # ---- snapshots ----
+
+    def _log(self) -> DataFrame:
+        return self._read(f"{self.root}/log", _LOG)
+
+    def _current(self) -> tuple[int, int, str]:
+        """Version, last batch of changes inside and folder of the current snapshot; -1 for none."""
+        row = self._log().agg(F.max(F.struct("version", "through_batch", "folder")).alias("v")).first()
+        return tuple(row["v"]) if row["v"] else (-1, -1, "none")
+
+    def _snapshot(self) -> DataFrame:
+        return self._read(f"{self.root}/snapshot/{self._current()[2]}", self.schema)
 
     def read(self) -> DataFrame:
-        version, _ = self._current()
-        return self._read(f"{self.root}/snapshot/{version}", self.schema)
+        return self._snapshot()
 
     def replace(self, df: DataFrame, through_batch: int = -1) -> None:
         version = self._current()[0] + 1
-        conform(df, self.schema).write.mode("overwrite").parquet(f"{self.root}/snapshot/{version}")
-        self.spark.createDataFrame([(version, through_batch)], _LOG).coalesce(1).write.mode("append").parquet(
+        folder = f"{version}-{uuid.uuid4().hex}"
+        conform(df, self.schema).write.parquet(f"{self.root}/snapshot/{folder}")
+        self.spark.createDataFrame([(version, through_batch, folder)], _LOG).coalesce(1).write.mode("append").parquet(
             f"{self.root}/log")
 
+    def write_rows(self, df: DataFrame) -> None:
+        """Rows of new keys come in, rows of known keys are replaced, all others stay. One row per key."""
+        self.replace(upsert(self.read(), conform(df, self.schema), self.key))
+
     def drop_old_snapshots(self, keep: int = 2) -> None:
         """Remove snapshots no reader of the last ``keep`` versions can be using."""
-        files, base = open_filesystem(f"{self.root}/snapshot")
-        for info in files.get_file_info(fs.FileSelector(base, allow_not_found=True)):
-            if info.base_name.isdigit() and int(info.base_name) <= self._current()[0] - keep:
-                files.delete_dir(info.path)
+        current = self._current()[0]
+        for row in self._log().filter(F.col("version") <= current - keep).collect():
+            delete_folder(self.spark, f"{self.root}/snapshot/{row['folder']}")
 
 
 class UpsertTable(SnapshotTable):
     """An upsert writes only the changed rows; readers put them over the snapshot.
 
-    Small changes thus cost their own size, not the table's. Batches are numbered; writing one again replaces it, so a
-    replayed stream batch changes nothing.
+    Small changes thus cost their own size, not the table's. The table numbers its batches of changes itself; a stream adds
+    its own mark (stream, batch), by which a replayed batch is known and changes nothing. An upsert from a source without
+    the added columns leaves these as they are.
     """
 
     def _changes(self, after: int) -> DataFrame:
-        schema = T.StructType([*self.schema, T.StructField("batch", T.LongType())])
+        schema = T.StructType([*self.schema, T.StructField("has_added", T.BooleanType()), T.StructField("batch", T.LongType())])
         return self._read(f"{self.root}/changes", schema).filter(F.col("batch") > after)
 
-    def upsert(self, df: DataFrame, batch: int) -> None:
-        conform(df, self.schema).write.mode("overwrite").parquet(f"{self.root}/changes/batch={batch}")
+    def last_batch(self) -> int:
+        last = self._changes(-1).agg(F.max("batch")).first()[0]
+        return max(-1 if last is None else last, self._current()[1])
+
+    def upsert(self, df: DataFrame, mark: tuple[str, int] | None = None) -> None:
+        """One row per key. The mark is written after the rows: a batch that fails between is written again, over itself."""
+        marks = self._read(f"{self.root}/marks", _MARKS)
+        if mark and not marks.filter((F.col("stream") == mark[0]) & (F.col("stream_batch") == mark[1])).isEmpty():
+            return
+        complete = set(self.added.names) <= set(df.columns)
+        rows = conform(df, self.schema).withColumn("has_added", F.lit(complete))
+        rows.write.mode("overwrite").parquet(f"{self.root}/changes/batch={self.last_batch() + 1}")
+        if mark:
+            self.spark.createDataFrame([mark], _MARKS).coalesce(1).write.mode("append").parquet(f"{self.root}/marks")
+
+    def write_rows(self, df: DataFrame) -> None:
+        self.upsert(df)
+
+    def replace(self, df: DataFrame, through_batch: int | None = None) -> None:
+        """The new content stands for all changes so far."""
+        super().replace(df, self.last_batch() if through_batch is None else through_batch)
 
     def read(self) -> DataFrame:
-        version, through = self._current()
-        changed = last_per_key(self._changes(through), self.key, ["batch"]).drop("batch")
-        return upsert(self._read(f"{self.root}/snapshot/{version}", self.schema), changed, self.key)
-
-    def next_batch(self) -> int:
-        last = self._changes(-1).agg(F.max("batch")).first()[0]
-        return max(-1 if last is None else last, self._current()[1]) + 1
+        _, through, folder = self._current()
+        schema, added = self.schema, self.added.names
+        snapshot, changes = self._read(f"{self.root}/snapshot/{folder}", schema), self._changes(through)
+        if not added:
+            return upsert(snapshot, last_per_key(changes.drop("has_added"), self.key, ["batch"]).drop("batch"), self.key)
+        # Added columns come from the last change that had them, else from the snapshot.
+        rest = [c for c in schema.names if c != self.key and c not in added]
+        last = changes.groupBy(self.key).agg(
+            F.max(F.struct("batch", *rest)).alias("last"),
+            F.max(F.when(F.col("has_added"), F.struct("batch", *added))).alias("extra"))
+        before = snapshot.select(self.key, F.struct(*added).alias("before"))
+        values = {c: F.when(F.col("extra").isNotNull(), F.col(f"extra.{c}")).otherwise(F.col(f"before.{c}")) for c in added}
+        values |= {c: F.col(f"last.{c}") for c in rest} | {self.key: F.col(self.key)}
+        changed = last.join(before, self.key, "left").select(*[values[c].alias(c) for c in schema.names])
+        return changed.unionByName(not_in(snapshot, last, self.key))
 
     def compact(self) -> None:
-        """Fold all changes so far into a new snapshot."""
-        through = self.next_batch() - 1
+        """Fold all changes so far into a new snapshot; changes that the snapshot before it held already go."""
+        before, through = self._current()[1], self.last_batch()
         self.replace(self.read(), through)
+        for row in self._read(f"{self.root}/changes", "batch long").filter(F.col("batch") <= before).select("batch").distinct().collect():
+            delete_folder(self.spark, f"{self.root}/changes/batch={row['batch']}")
+
+
+def utc_day(moment: Column) -> Column:
+    """The day of a point in time, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(moment) / F.lit(86_400_000_000)).cast("int"))
 
 
 class AppendTable(SnapshotTable):
-    """Append-only rows, in day folders of ``day_of`` where given."""
+    """Append-only rows, in day folders (UTC) of ``day_of`` where given."""
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str, day_of: str | None = None):
         super().__init__(spark, root, schema, key)
         self.day_of = day_of
 
+    @property
+    def schema(self) -> T.StructType:
+        return self.declared
+
     @property
     def _day(self) -> str:
         return f"{self.day_of}_day"
@@ -98,17 +171,18 @@ class AppendTable(SnapshotTable):
     def append(self, df: DataFrame) -> None:
         rows = conform(df, self.schema)
         if self.day_of:
-            rows.withColumn(self._day, F.to_date(self.day_of)).write.mode("append").partitionBy(self._day).parquet(
+            rows.withColumn(self._day, utc_day(F.col(self.day_of))).write.mode("append").partitionBy(self._day).parquet(
                 self.root)
         else:
             rows.write.mode("append").parquet(self.root)
 
-    def read(self, since=None) -> DataFrame:
-        """``since``: a timestamp; day folders before it are not even listed for reading."""
+    def read(self, since: datetime | Column | None = None) -> DataFrame:
+        """``since``: day folders before it are not even listed for reading."""
         if not self.day_of:
             return self._read(self.root, self.schema)
         schema = T.StructType([*self.schema, T.StructField(self._day, T.DateType())])
         rows = self._read(self.root, schema)
         if since is not None:
-            rows = rows.filter((F.col(self._day) >= F.to_date(F.lit(since))) & (F.col(self.day_of) >= F.lit(since)))
+            moment = F.lit(since).cast("timestamp")
+            rows = rows.filter((F.col(self._day) >= utc_day(moment)) & (F.col(self.day_of) >= moment))
         return rows.drop(self._day)

@@ -6,37 +6,62 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from shelfmatch.session import scratch_released, tune
 from shelfmatch.sources.audit_log import AuditLog
-from shelfmatch.sources.scrape_files import LANDING, read_scrapes
+from shelfmatch.sources.scrape_files import LANDING, file_layouts, scan_layouts, typed_scrapes, unreadable_files
 from shelfmatch.sources.tables import UpsertTable
 
 COMPONENT = "scrape-ingest"
+#: Files of one micro-batch; their names are what a scan needs on the driver.
+FILES_PER_TRIGGER = 1000
 
 
-def ingest(files: DataFrame, stores: UpsertTable, batch: int, audit: AuditLog | None = None) -> None:
-    """``files``: ``path, length``. Without rows nothing is written."""
+def ingest(files: DataFrame, stores: UpsertTable, mark: tuple[str, int] | None = None, audit: AuditLog | None = None) -> None:
+    """``files``: ``path, length``. Without rows nothing is written.
+
+    A file that can't be read becomes an error row with its name (without an audit log, an exception); all others go in.
+    """
     def run() -> None:
-        rows = read_scrapes(files, F.current_timestamp())
-        if rows is not None and not rows.isEmpty():
-            stores.upsert(rows, batch)
-
-    if audit is None:
-        run()
-    else:
-        with audit.recording(COMPONENT, {"batch": batch}):
+        layouts = file_layouts(files)
+        bad = unreadable_files(layouts)
+        if not bad.isEmpty():
+            if audit is None:
+                raise ValueError(f"unreadable: {bad.first()['path']}")
+            audit.log_violations(
+                bad.select(F.lit(COMPONENT).alias("component"), F.lit("unreadable_file").alias("check_name"),
+                           F.col("problem").alias("message"), "path"),
+                test_type="infrastructure", context=F.to_json(F.struct(F.col("path").alias("file"))))
+        raw = scan_layouts(layouts)
+        if raw is not None and not raw.isEmpty():  # looks for one raw row; typing and deduplication run once, in the write
+            stores.upsert(typed_scrapes(raw, F.current_timestamp()), mark)
+
+    with scratch_released(stores.spark):
+        if audit is None:
             run()
+        else:
+            with audit.recording(COMPONENT, {"batch": -1 if mark is None else mark[1]}):
+                run()
 
 
-def arriving_files(spark: SparkSession, bucket: str) -> DataFrame:
+def arriving_files(spark: SparkSession, bucket: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """A stream of ``path, length``: names only, so tracking files costs no reading of them."""
     schema = "path string, modificationTime timestamp, length long, content binary"
-    return spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", "true").load(
-        f"{bucket}/{LANDING}").select("path", "length")
+    return spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", "true").option(
+        "maxFilesPerTrigger", files_per_trigger).load(f"{bucket}/{LANDING}").select("path", "length")
 
 
 def start_ingest(spark: SparkSession, bucket: str, stores: UpsertTable, checkpoint: str,
-                 audit: AuditLog | None = None, once: bool = True) -> StreamingQuery:
-    """``once``: read everything that has landed, then stop; else keep watching."""
-    writer = arriving_files(spark, bucket).writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda files, batch: ingest(files, stores, batch, audit))
+                 audit: AuditLog | None = None, once: bool = True, files_per_trigger: int = FILES_PER_TRIGGER) -> StreamingQuery:
+    """``once``: read everything that has landed, then stop; else keep watching.
+
+    The table's marks carry the stream's own id, which a new checkpoint renews: its batches are never taken for replays.
+    """
+    tune(spark)
+
+    def batch(files: DataFrame, number: int) -> None:
+        stream = files.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        ingest(files, stores, (stream, number) if stream else None, audit)
+
+    writer = arriving_files(spark, bucket, files_per_trigger).writeStream.option(
+        "checkpointLocation", checkpoint).foreachBatch(batch)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()

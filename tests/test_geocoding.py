@@ -9,18 +9,18 @@ from shelfmatch.functions import geo
 from shelfmatch.operators import geocoding as gc
 from shelfmatch.plans.geocode_run import backfill_zips, run_geocoding
 from shelfmatch.sources.audit_log import AuditLog
-from shelfmatch.sources.batch_geocoder import parse_reply_lines
-from shelfmatch.sources.tables import AppendTable, SnapshotTable
+from shelfmatch.sources.batch_geocoder import parse_reply_lines, read_replies
+from shelfmatch.sources.tables import AppendTable, SnapshotTable, UpsertTable
 
 
 def reply(*components, status="OK"):
     return json.dumps({"status": status, "results": [{
-        "geometry": {"location": {"lat": 40.7, "lng": -74.1}, "location_type": "ROOFTOP"},
-        "formatted_address": "10 Main St, Newark", "address_components": [
+        "geometry": {"location": {"lat": 51.25, "lng": -3.5}, "location_type": "RANGE_INTERPOLATED"},
+        "formatted_address": "48 Quarry St, Orrin", "address_components": [
             {"types": list(types), "short_name": name} for types, name in components]}]})
 
 
-STREET, LONG_ZIP = (("route",), "Main St"), (("x", "postal_code"), "07105-1234")
+STREET, LONG_ZIP = (("route",), "Quarry St"), (("x", "postal_code"), "05521-9876")
 MART = "store_id string, address string, parsed_city string, state string, zip string, latitude double"
 
 
@@ -28,23 +28,25 @@ def test_zip_of_a_reply(column):
     def first_zip(body):
         return geo.reply_zip(F.get(geo.parse_reply(body)["results"], F.lit(0)))
 
-    assert column(first_zip, (reply(STREET, (("postal_code",), "07105")),), (reply(LONG_ZIP),), (reply(STREET),),
+    assert column(first_zip, (reply(STREET, (("postal_code",), "05521")),), (reply(LONG_ZIP),), (reply(STREET),),
                   (reply(),), (reply((("postal_code",), "")),), ('{"status":"OK","results":[{}]}',)) == [
-        "07105", "07105", None, None, None, None]
+        "05521", "05521", None, None, None, None]
 
 
 def test_replies_are_classified(spark):
     bodies = {"ok": reply(LONG_ZIP), "zero": '{"status":"ZERO_RESULTS","results":[]}',
               "bad": '{"status":"INVALID_REQUEST"}', "denied": '{"status":"REQUEST_DENIED","error_message":"key"}',
+              "hollow": '{"status":"OK","results":[]}', "vague": reply().replace("51.25", '"north"'),
               "limit": '{"status":"OVER_QUERY_LIMIT"}', "junk": "<html>", "none": None}
     raw = spark.createDataFrame(list(bodies.items()), "store_id string, body string")
     rows = {r["store_id"]: r for r in gc.classify_replies(raw).collect()}
     assert {k: r["geocode_status"] for k, r in rows.items()} == {
         "ok": "OK", "zero": "ZERO_RESULTS", "bad": "INVALID_REQUEST", "denied": "TRANSIENT", "limit": "TRANSIENT",
+        "hollow": "TRANSIENT", "vague": "TRANSIENT",
         "junk": "TRANSIENT", "none": "TRANSIENT"}
     assert rows["ok"].asDict() == dict(
-        store_id="ok", geocode_status="OK", lat=40.7, lng=-74.1, zip="07105", formatted_address="10 Main St, Newark",
-        location_type="ROOFTOP")
+        store_id="ok", geocode_status="OK", lat=51.25, lng=-3.5, zip="05521", formatted_address="48 Quarry St, Orrin",
+        location_type="RANGE_INTERPOLATED")
     stored = gc.geocode_rows(gc.classify_replies(raw), F.lit(datetime(2024, 1, 1)))
     assert sorted(r["store_id"] for r in stored.collect()) == ["bad", "ok", "zero"]
     assert stored.columns == sc.STORE_GEOCODES.names
@@ -55,8 +57,8 @@ def test_query_skips_nulls_and_keeps_blanks(column):
 
 
 def test_batch_zip_and_point(column):
-    assert column(geo.batch_zip, ("60 MAIN ST, MATAWAN, NJ, 07747",), ("12345 MAIN ST, TOWN, NJ",), ("1 A, B",),
-                  ("1 A, 07001-1234 08002",), ("123456, 1",), ("",)) == ["07747", "12345", None, "07001", None, None]
+    assert column(geo.batch_zip, ("9 LARCH RD, VELDEN, NJ, 05544",), ("54321 LARCH RD, VELDEN, NJ",), ("1 A, B",),
+                  ("1 A, 07001-1234 08002",), ("123456, 1",), ("",)) == ["05544", "54321", None, "07001", None, None]
     points = column(geo.batch_point, ("-74.1,40.5",), ("-74.1,x",), ("",), ("-74.1",), (" -1, 2 ",), ("1,2,3",))
     assert [tuple(p) for p in points] == [(40.5, -74.1), (None, None), (None, None), (None, None), (2.0, -1.0), (None, None)]
 
@@ -81,8 +83,7 @@ def test_limit(spark, mart):
     nothing = spark.createDataFrame([], sc.STORE_GEOCODES)
     assert [tuple(r) for r in gc.geocode_requests(mart, nothing, 2).collect()] == [
         ("a", "1 A, X, NJ"), ("b", "2 B, NJ, 07001")]
-    with pytest.raises(ValueError):
-        gc.geocode_requests(mart, nothing, 0)
+    assert [r["store_id"] for r in gc.geocode_requests(mart, nothing, 0).collect()] == ["a"]
 
 
 def test_reruns_ask_only_for_what_is_open(spark, tmp_path, mart):
@@ -99,10 +100,10 @@ def test_reruns_ask_only_for_what_is_open(spark, tmp_path, mart):
 
     first = resolver({"a": reply(LONG_ZIP), "b": '{"status":"ZERO_RESULTS"}', "e": '{"status":"UNKNOWN_ERROR"}'})
     assert run_geocoding(mart, table, first, audit) == (
-        "3 pending, 3 processed, 1 geocoded, 1 unresolvable (cached), 1 transient, 1 remaining")
-    assert run_geocoding(mart, table, resolver({"e": reply()}), audit, limit=1).endswith("0 remaining")
-    assert run_geocoding(mart, table, resolver({}), audit).startswith("0 pending, 0 processed")
-    assert asked == [["a", "b", "e"], ["e"], []]
+        "pending 3, processed 3, geocoded 1, unresolvable 1, transient 1, remaining 1")
+    assert run_geocoding(mart, table, resolver({"e": reply()}), audit, limit=1).endswith("remaining 0")
+    assert run_geocoding(mart, table, resolver({}), audit).startswith("pending 0, processed 0")
+    assert asked == [["a", "b", "e"], ["e"]]
     again = gc.forget(table.read(), spark.createDataFrame([("b",)], "store_id string"))
     assert [r["store_id"] for r in gc.pending_geocodes(mart, again).collect()] == ["b"]
     assert audit.runs.read().count() == 3 and audit.errors.read().count() == 0
@@ -113,8 +114,10 @@ def test_locations_prefer_the_stores_own(spark):
     stores = spark.createDataFrame(
         [("own", "1", 1.0, 1.0), ("coded", None, None, None), ("centre", "2", None, None), ("none", "9", None, None)],
         "store_id string, zip string, lat double, lng double")
-    codes = spark.createDataFrame([("own", 5.0, 5.0, "2"), ("coded", 6.0, 6.0, "2")],
-                                  "store_id string, lat double, lng double, zip string")
+    day = lambda n: datetime(2024, 1, n)
+    codes = spark.createDataFrame(
+        [("own", 5.0, 5.0, "2", day(1)), ("coded", 4.0, 4.0, "9", day(1)), ("coded", 6.0, 6.0, "2", day(2))],
+        "store_id string, lat double, lng double, zip string, geocoded_at timestamp")
     zips = spark.createDataFrame([("2", 7.0, 7.0, 10.0, "rural", "Essex")],
                                  "zip string, latitude double, longitude double, pop_density_sqmi double, "
                                  "area_type string, county string")
@@ -136,7 +139,64 @@ def test_backfill_fills_zips_and_missing_points(spark, tmp_path):
         return spark.createDataFrame([("a", "Match", "1 A ST, 07001", "-74.1,40.5"), ("b", "No_Match", "", "")],
                                      "store_id string, match_flag string, matched_address string, coords string")
 
-    backfill_zips(table, service)
+    assert backfill_zips(table, service) == (1, 2)
     assert lines == ["a,1  A St,X  Y,NJ,", "b,2 B,,,"]
     assert sorted((r["store_id"], r["zip"], r["lat"], r["lng"]) for r in table.read().collect()) == [
         ("a", "07001", 9.0, -74.1), ("b", None, None, None), ("c", "07003", None, None)]
+
+
+def test_a_failing_run_keeps_what_was_answered(spark, tmp_path):
+    mart = spark.createDataFrame([(f"s{i}", f"{i} A", "X", "NJ", None, None) for i in range(8)], MART)
+    table, audit = AppendTable(spark, f"file://{tmp_path}/geocodes", sc.STORE_GEOCODES, "store_id"), AuditLog(spark, f"file://{tmp_path}")
+    calls = []
+
+    def resolve(requests):
+        calls.append([r["store_id"] for r in requests.orderBy("store_id").collect()])
+        if len(calls) == 3:
+            raise OSError("service gone")
+        return requests.select("store_id", F.lit(reply(LONG_ZIP)).alias("body"))
+
+    with pytest.raises(OSError):
+        run_geocoding(mart, table, resolve, audit, batch_size=2)
+    assert sorted(r["store_id"] for r in table.read().collect()) == ["s0", "s1", "s2", "s3"]
+    assert run_geocoding(mart, table, resolve, audit, batch_size=2) == (
+        "pending 4, processed 4, geocoded 4, unresolvable 0, transient 0, remaining 0")
+    assert calls[3:] == [["s4", "s5"], ["s6", "s7"]]
+
+
+def test_reply_files_are_whole_csv_texts_and_the_last_reply_counts(spark, tmp_path):
+    (tmp_path / "r").mkdir()
+    (tmp_path / "r" / "1.csv").write_text(
+        '"a","1 A","Match","Exact","1 A\nST, 07009","-1,2"\n"b","x","No_Match"\n"a","1 A","Match","Exact","1 A, 07001","-1,2"\n')
+    (tmp_path / "r" / "2.csv").write_text('"c","3 C","Tied","Exact","3 ""C"", 07003",""\n"b","x","Match","Exact","2 B, 07002","-1,x"\n')
+    found = gc.batch_updates(read_replies(spark, f"file://{tmp_path}/r"))
+    assert sorted(tuple(r) for r in found.collect()) == [
+        ("a", "07001", 2.0, -1.0), ("b", "07002", None, None), ("c", "07003", None, None)]
+
+
+def test_backfill_of_the_store_table_stays(spark, tmp_path):
+    """Zip and coordinates survive later reads, re-scrapes without coordinates, and compaction."""
+    table = UpsertTable(spark, f"file://{tmp_path}/stores", sc.STORES_NORMALIZED, "store_id")
+
+    def scraped(*rows):
+        return spark.createDataFrame([(i, a, z, datetime(2024, 1, 1), "f") for i, a, z in rows],
+                                     "store_id string, address string, zip string, ingested_at timestamp, source_file string")
+
+    def state():
+        return {r["store_id"]: (r["zip"], r["lat"], r["lng"]) for r in table.read().collect()}
+
+    def service(requests):
+        return requests.select("store_id", F.lit("Match").alias("match_flag"), F.lit("1 A ST, 07001").alias("matched_address"),
+                               F.lit("-74.1,40.5").alias("coords"))
+
+    table.upsert(scraped(("a", "1 A", None), ("b", "2 B", "07002")), ("q", 0))
+    assert backfill_zips(table, service) == (1, 1)
+    wanted = {"a": ("07001", 40.5, -74.1), "b": ("07002", None, None)}
+    assert state() == wanted
+    table.compact()
+    assert state() == wanted
+    table.upsert(scraped(("a", "9 Z", "07009"), ("c", "3 C", None)), ("q", 1))
+    assert state() == {**wanted, "a": ("07009", 40.5, -74.1), "c": (None, None, None)}
+    assert backfill_zips(table, service) == (1, 1)
+    table.compact()
+    assert state()["c"] == ("07001", 40.5, -74.1) and backfill_zips(table, service) == (0, 0)

@@ -7,9 +7,9 @@ from shelfmatch import schemas as sc
 from shelfmatch.operators import health as he
 from shelfmatch.operators import merge
 from shelfmatch.plans.match_run import COMPONENT, run_matching
-from shelfmatch.plans.monitor_run import run_monitor
+from shelfmatch.plans.monitor_run import component_ages, run_monitor
 from shelfmatch.sources.audit_log import AuditLog
-from shelfmatch.sources.tables import SnapshotTable
+from shelfmatch.sources.tables import SnapshotTable, UpsertTable
 from tests.test_matching import ACCOUNT, account, store
 
 NOW = datetime(2024, 1, 10, 12)
@@ -34,12 +34,36 @@ def test_monitor_logs_problems_and_its_own_heartbeat(spark, tmp_path):
     assert run_monitor(audit, watched=(("a", 26), ("b", 26))) == 1
     row = audit.errors.read().first()
     assert (row["component"], row["check_name"], row["test_type"], row["message"]) == (
-        "b", "no_successful_run", "infrastructure", "No successful run of b on record")
+        "b", "no_successful_run", "infrastructure", "b: never finished")
     assert sorted(r["component"] for r in audit.runs.read().collect()) == ["a", "pipeline-monitor"]
     assert run_monitor(audit, F.current_timestamp() + F.make_interval(hours=F.lit(30)), (("a", 26),)) == 1
     assert audit.errors.read().filter("check_name = 'stale_run'").count() == 1
 
 
+def test_monitor_reads_the_last_days_first(spark, tmp_path, capsys):
+    audit = AuditLog(spark, f"file://{tmp_path}")
+    rows = [("r1", "a", None, "success", None, NOW - timedelta(days=40)), ("r2", "b", None, "success", None, NOW - timedelta(hours=3))]
+    audit.runs.append(spark.createDataFrame(rows, sc.PIPELINE_RUNS))
+    checks = spark.createDataFrame([("a", 26), ("b", 26)], "component string, max_age_hours int")
+    ages = {r["component"]: r["age_hours"] for r in component_ages(audit, checks, F.lit(NOW)).collect()}
+    assert ages == {"a": 960, "b": 3}
+    recent = audit.runs.read(since=F.lit(NOW) - F.make_interval(hours=F.lit(50)))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(finished_at_day" in recent
+
+
+def test_day_folders_do_not_depend_on_the_time_zone(spark, tmp_path):
+    table = AuditLog(spark, f"file://{tmp_path}").runs
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Pacific/Auckland")
+        table.append(spark.sql("select 'r' as run_id, 'a' as component, 'success' as status, timestamp_seconds(1704844800) as finished_at"))
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        assert table.read(since=F.timestamp_seconds(F.lit(1704844800))).count() == 1
+        assert [p.name for p in (tmp_path / "pipeline_runs").glob("finished_at_day=*")] == ["finished_at_day=2024-01-10"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_errors_leave_the_window(spark):
     rows = [(str(i), NOW - timedelta(hours=i), "c", None, "k", "ERROR" if i % 2 else "WARNING", None, None, None)
             for i in range(30)]
@@ -82,8 +106,10 @@ def scratch_folders(spark):
     return set(Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://")).iterdir())
 
 
-def test_match_runs(spark, tmp_path):
-    table, audit = universe(spark, tmp_path)
+@pytest.mark.parametrize("kind", [SnapshotTable, UpsertTable])
+def test_match_runs(spark, tmp_path, kind):
+    audit = AuditLog(spark, f"file://{tmp_path}")
+    table = kind(spark, f"file://{tmp_path}/universe", sc.ACCOUNT_UNIVERSE, "store_id")
     before = scratch_folders(spark)
     accounts = spark.createDataFrame([account("A", "1 A", "Dover")], ACCOUNT)
     stores = spark.createDataFrame([store("A", "1 A", "Dover", store_id="a"), store("B", "2 B", "Dover", store_id="b")],
@@ -95,6 +121,9 @@ def test_match_runs(spark, tmp_path):
     assert run_matching(stores.filter("store_id = 'a'"), accounts, table, audit, now=datetime(2024, 1, 1)).matched == 1
     assert run_matching(stores, accounts, table, audit, now=datetime(2024, 1, 2)).processed == 1
     assert state() == {"a": (True, 1), "b": (False, 2)}
+    if kind is UpsertTable:  # an incremental run writes its new rows only
+        written = spark.read.parquet(f"file://{tmp_path}/universe/changes").groupBy("batch").count().collect()
+        assert sorted(tuple(r) for r in written) == [(0, 1), (1, 1)]
     assert run_matching(stores, accounts, table, audit).processed == 0
     run_matching(stores.filter("store_id = 'b'"), accounts, table, audit, "full", datetime(2024, 1, 4))
     assert state() == {"b": (False, 4)}

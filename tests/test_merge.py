@@ -1,5 +1,7 @@
 import pytest
 
+from pyspark.sql import functions as F
+
 from shelfmatch.operators import merge
 from shelfmatch.schemas import STORES_NORMALIZED, add_missing_columns
 from shelfmatch.sources.tables import AppendTable, SnapshotTable, UpsertTable
@@ -72,21 +74,46 @@ def test_snapshot_table_replaces_what_it_reads(spark, tmp_path, target):
     assert rows(table.read()) == [("a", 2, "x")]
     table.drop_old_snapshots(keep=1)
     assert rows(table.read()) == [("a", 2, "x")]
-    assert [p.name for p in (tmp_path / "t" / "snapshot").iterdir()] == ["2"]
+    assert [p.name.split("-")[0] for p in (tmp_path / "t" / "snapshot").iterdir()] == ["2"]
 
 
 def test_upsert_table_replays_and_compacts(spark, tmp_path, target, source):
     table = UpsertTable(spark, f"file://{tmp_path}/t", target.schema, "store_id")
-    table.upsert(target, 0)
-    table.upsert(source, 1)
+    table.upsert(target, ("one", 0))
+    table.upsert(source, ("one", 1))
     wanted = [("a", 1, "x"), ("b", 20, "z"), ("c", 30, "y")]
     assert rows(table.read()) == wanted
-    table.upsert(source, 1)
-    assert rows(table.read()) == wanted and table.next_batch() == 2
+    table.upsert(target, ("one", 0))  # a replay
+    assert rows(table.read()) == wanted and table.last_batch() == 1
     table.compact()
-    assert rows(table.read()) == wanted and table.next_batch() == 2
-    table.upsert(target.filter("store_id = 'a'").selectExpr("store_id", "99 as n", "zip"), table.next_batch())
+    assert rows(table.read()) == wanted and table.last_batch() == 1
+    table.upsert(target.filter("store_id = 'a'").selectExpr("store_id", "99 as n", "zip"))
     assert rows(table.read()) == [("a", 99, "x"), *wanted[1:]]
+    table.upsert(target.filter("store_id = 'a'"), ("two", 0))  # another stream starts to count anew
+    assert rows(table.read()) == wanted
+    table.compact()
+    assert rows(table.read()) == wanted
+    assert sorted(p.name for p in (tmp_path / "t" / "changes").glob("batch=*")) == ["batch=2", "batch=3"]
+
+
+def test_replacing_an_upsert_table_stands_for_its_changes(spark, tmp_path, target, source):
+    table = UpsertTable(spark, f"file://{tmp_path}/t", target.schema, "store_id")
+    table.upsert(target)
+    table.replace(source)
+    assert rows(table.read()) == rows(source.select(target.columns))
+    table.write_rows(target.filter("store_id = 'a'"))
+    assert [r[0] for r in rows(table.read())] == ["a", "b", "c"]
+
+
+def test_added_columns(spark, tmp_path, target):
+    table = SnapshotTable(spark, f"file://{tmp_path}/t", target.schema, "store_id")
+    table.replace(target)
+    table.add_columns({"lat": "double", "zip": "string"})
+    table.add_columns({"lat": "double"})
+    assert table.read().columns == [*target.columns, "lat"]
+    table.write_rows(table.read().filter("store_id = 'a'").withColumn("lat", F.lit(1.5)))
+    assert {r["store_id"]: r["lat"] for r in table.read().collect()}["a"] == 1.5
+    assert SnapshotTable(spark, f"file://{tmp_path}/t", target.schema, "store_id").read().columns[-1] == "lat"
 
 
 def test_append_table_reads_a_window(spark, tmp_path):

@@ -1,3 +1,4 @@
+import io
 from datetime import datetime
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfmatch.schemas import STORES_NORMALIZED, ZIP_LOOKUP
 from shelfmatch.sources.audit_log import AuditLog
-from shelfmatch.sources.scrape_files import landed_files, read_scrapes, scan_files, sniff_layout
+from shelfmatch.sources.scrape_files import landed_files, known_columns, read_header, read_scrapes, scan_files, sniff_dialect
 from shelfmatch.sources.tables import SnapshotTable, UpsertTable
 from shelfmatch.sources.zip_file import load_zip_lookup
 from shelfmatch.streaming.file_arrival import ingest, start_ingest
@@ -25,11 +26,18 @@ def read(spark, bucket):
     return read_scrapes(landed_files(spark, f"file://{bucket}"), F.lit(datetime(2024, 1, 1)))
 
 
-@pytest.mark.parametrize("sample, wanted", [
-    ("a,b\n1,2\n", (",", ["a", "b"])), ("a\tb\n1\t2\n", ("\t", ["a", "b"])), ('"x, y"\tb\n1\t2\n3\t4\n', ("\t", ["x, y", "b"])),
-    ("single\n", (",", ["single"])), ("", (",", []))])
-def test_layout(sample, wanted):
-    assert sniff_layout(sample) == wanted
+@pytest.mark.parametrize("sample, dialect, header, tall", [
+    ("a,b\n1,2\n", (",", '"', False), ["a", "b"], False), ("a\tb\n1\t2\n", ("\t", '"', False), ["a", "b"], False),
+    ('"x, y"\tb\n1\t2\n3\t4\n', ("\t", '"', False), ["x, y", "b"], False), ("single\n", (",", '"', False), ["single"], False),
+    ("", (",", '"', False), [], False), ("a, b, c\n1, 2, 3\n4, 5, 6\n", (",", '"', True), ["a", "b", "c"], False),
+    ('a,"b\nc"\n1,2\n', (",", '"', False), ["a", "b\nc"], True)])
+def test_dialect_and_header(sample, dialect, header, tall):
+    assert sniff_dialect(sample) == dialect
+    assert read_header(io.StringIO(sample, newline=""), *dialect) == (header, tall)
+
+
+def test_only_known_columns_make_a_layout():
+    assert known_columns(["note", "state", "x", "state", "zip", "more"]) == ["", "", "", "state", "zip"]
 
 
 def test_files_of_several_layouts(spark, bucket):
@@ -86,21 +94,84 @@ def test_stream_reads_each_file_once(spark, bucket, tmp_path):
     assert {r["store_name"]: r["ingested_at"] for r in table.read().collect()} == first
 
 
+def test_spaces_after_commas_and_very_long_headers(spark, bucket):
+    folder = bucket / "normalized"
+    (folder / "spaces.csv").write_text('store_name, state, zip\nSpaced, NJ, 07001\n"Quo, ted", PA, "0, 7"\nThird, NY, 1\n')
+    wide = ",".join(f"unknown_column_{i}" for i in range(900))
+    (folder / "wide.csv").write_text(f"store_name,{wide},zip\nWide,{',' * 899},07009\n")
+    rows = {r["store_name"]: (r["state"], r["zip"]) for r in read(spark, bucket).collect()}
+    assert rows == {"Spaced": ("NJ", "07001"), "Quo, ted": ("PA", "0, 7"), "Third": ("NY", "1"), "Wide": (None, "07009")}
+
+
+def test_large_files_are_split_unless_fields_span_lines(spark, bucket, monkeypatch):
+    from shelfmatch.sources import scrape_files
+
+    monkeypatch.setattr(scrape_files, "LARGE", 1000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        many = "".join(ROW.format(name=f"S{i % 50}", rating=i) for i in range(3000))
+        (bucket / "normalized" / "flat.csv").write_text(HEADER + many)
+        assert scan_files(landed_files(spark, f"file://{bucket}")).rdd.getNumPartitions() > 10
+        rows = {r["store_name"]: r["rating"] for r in read(spark, bucket).collect()}
+        assert rows == {f"S{i}": 2950.0 + i for i in range(50)}
+        (bucket / "normalized" / "tall.csv").write_text(HEADER + many + ROW.format(name='"Two\nLines"', rating=7))
+        rows = {r["store_name"]: r["source_file"] for r in read(spark, bucket).collect()}
+        assert rows["Two\nLines"] == "tall.csv" and len(rows) == 51
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_replayed_batch_changes_nothing(spark, bucket, tmp_path):
     table = UpsertTable(spark, f"file://{tmp_path}/stores", STORES_NORMALIZED, "store_id")
     (bucket / "normalized" / "a.csv").write_text(HEADER + ROW.format(name="A", rating="1"))
     files = landed_files(spark, f"file://{bucket}")
     for _ in range(2):
-        ingest(files, table, 0)
-    assert table.read().count() == 1
+        ingest(files, table, ("stream", 0))
+    assert table.read().count() == 1 and table.last_batch() == 0
+
+
+def test_a_new_checkpoint_after_compaction_still_ingests(spark, bucket, tmp_path):
+    table = UpsertTable(spark, f"file://{tmp_path}/stores", STORES_NORMALIZED, "store_id")
+
+    def run(checkpoint):
+        start_ingest(spark, f"file://{bucket}", table, f"file://{tmp_path}/{checkpoint}", files_per_trigger=1).awaitTermination()
+        return {r["store_name"]: r["rating"] for r in table.read().collect()}
 
+    for name in "abc":
+        (bucket / "normalized" / f"{name}.csv").write_text(HEADER + ROW.format(name=name, rating="1"))
+    assert run("one") == {"a": 1.0, "b": 1.0, "c": 1.0}
+    table.compact()
+    (bucket / "normalized" / "d.csv").write_text(HEADER + ROW.format(name="d", rating="2"))
+    assert run("two") == {"a": 1.0, "b": 1.0, "c": 1.0, "d": 2.0}
 
-def test_failed_ingest_is_recorded_and_raised(spark, tmp_path):
+
+def test_a_bad_file_becomes_an_error_row_and_the_others_go_in(spark, bucket, tmp_path):
+    audit = AuditLog(spark, f"file://{tmp_path}")
+    table = UpsertTable(spark, f"file://{tmp_path}/stores", STORES_NORMALIZED, "store_id")
+    (bucket / "normalized" / "good.csv").write_text(HEADER + ROW.format(name="A", rating="1"))
+    (bucket / "normalized" / "bad.csv").write_bytes(b"store_name,state\n\xff\xfe\xff,NJ\n")
+    listed = landed_files(spark, f"file://{bucket}").unionAll(
+        spark.createDataFrame([(f"file://{tmp_path}/none.csv", 5)], "path string, length long"))
+    ingest(listed, table, ("s", 3), audit)
+    assert [r["store_name"] for r in table.read().collect()] == ["A"]
+    errors = sorted((r["check_name"], r["context"].rpartition("/")[2]) for r in audit.errors.read().collect())
+    assert errors == [("unreadable_file", 'bad.csv"}'), ("unreadable_file", 'none.csv"}')]
+    with pytest.raises(ValueError):
+        ingest(listed, table)
+
+
+def test_failed_ingest_is_recorded_and_raised(spark, bucket, tmp_path, monkeypatch):
     audit = AuditLog(spark, f"file://{tmp_path}")
     table = UpsertTable(spark, f"file://{tmp_path}/stores", STORES_NORMALIZED, "store_id")
-    missing = spark.createDataFrame([(f"file://{tmp_path}/none.csv", 5)], "path string, length long")
-    with pytest.raises(Exception):
-        ingest(missing, table, 3, audit)
+    (bucket / "normalized" / "a.csv").write_text(HEADER + ROW.format(name="A", rating="1"))
+
+    def fail(*_):
+        raise OSError("disk")
+
+    monkeypatch.setattr(table, "upsert", fail)
+    with pytest.raises(OSError):
+        ingest(landed_files(spark, f"file://{bucket}"), table, ("s", 3), audit)
     row = audit.errors.read().first()
     assert (row["component"], row["check_name"], row["test_type"], row["context"]) == (
         "scrape-ingest", "unhandled_exception", "infrastructure", '{"batch":3}')
@@ -134,3 +205,10 @@ def test_zip_file(spark, tmp_path):
         ("00501", "Holtsville", "NY", "Suffolk", 40.8, -73.0, 0.0, 100, "rural"),
         ("10001", "New York", "NY", None, 40.7, -73.9, 10000.0, 1, "urban"),
         ("123456", None, None, "C", 1.0, 2.0, 999.5, 0, "rural")]
+
+
+def test_zip_file_without_optional_columns(spark, tmp_path):
+    (tmp_path / "zips.csv").write_text("zip,lat,lng\n501,40.8,-73.0\n")
+    load_zip_lookup(spark, f"file://{tmp_path}/zips.csv", f"file://{tmp_path}/table")
+    table = SnapshotTable(spark, f"file://{tmp_path}/table", ZIP_LOOKUP, "zip")
+    assert [tuple(r) for r in table.read().collect()] == [("00501", None, None, None, 40.8, -73.0, 0.0, 0, "rural")]
