@@ -82,6 +82,8 @@ select concat('S', lpad(cast(c_custkey as string), 8, '0')) as store_id,
   when 0 then '{"status":"ZERO_RESULTS","results":[]}'
   when 1 then '{"status":"INVALID_REQUEST"}'
   when 2 then '{"status":"REQUEST_DENIED","error_message":"bad key"}'
+  when 3 then case when c_custkey % 4 = 0 then '{"status":"OK","results":[]}' else concat('{"status":"OK","results":[',
+   '{"geometry":{"location":{"lat":41.5,"lng":-73.25}},"address_components":[]}]}') end
   else concat('{"status":"OK","results":[{"geometry":{"location":{"lat":40.', cast(c_custkey % 90 + 10 as string),
    ',"lng":-74.5},"location_type":"ROOFTOP"},"formatted_address":"x","address_components":[{"types":["route"],',
    '"short_name":"Main St"},{"types":["postal_code"],"short_name":"',

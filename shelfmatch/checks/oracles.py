@@ -245,14 +245,20 @@ LANDED = f"""landed as (select * exclude (pos) from (select *, row_number() over
  partition by {store_id()}, seen_at >= {SPLIT} order by seen_at desc, source_file desc, brand desc, store_name desc,
  address desc, phone desc, email desc, parsed_country desc, parsed_city desc, house_number desc, road desc, zip desc,
  state desc, is_chain desc, chain_name desc, rating desc, review_count desc) as pos from scrapes) where pos = 1)"""
+_ANSWERED = "zip is null and address is not null and left(store_id, 1) not in ('0', '1', '2', '3')"
+BACKFILLED = f"""backfilled as (select store_id, address, case when {_ANSWERED}
+ then substr(translate(store_id, 'abcdef', '123456'), 2, 5) else zip end as zip,
+ case when {_ANSWERED} then 40.25::double end as lat, case when {_ANSWERED} then -74.5::double end as lng, rating
+ from earlier)"""
 UPSERTED = "select * from later union all select * from earlier where store_id not in (select store_id from later)"
 
-_OK = "json_extract_string(body, '$.status') = 'OK'"
+_OK = ("(json_extract_string(body, '$.status') = 'OK' and json_extract(body, '$.results[0].geometry.location.lat') is not null"
+       " and json_extract(body, '$.results[0].geometry.location.lng') is not null)")
 _ZIP = ("left(list_filter(cast(json_extract(body, '$.results[0].address_components') as "
         "struct(\"types\" varchar[], short_name varchar)[]), lambda p: list_contains(p.types, 'postal_code'))[1]"
         ".short_name, 5)")
-CLASSIFIED = f"""classified as (select store_id, case when json_extract_string(body, '$.status') in
- ('OK', 'ZERO_RESULTS', 'INVALID_REQUEST') then json_extract_string(body, '$.status') else 'TRANSIENT' end
+CLASSIFIED = f"""classified as (select store_id, case when {_OK} or json_extract_string(body, '$.status') in
+ ('ZERO_RESULTS', 'INVALID_REQUEST') then json_extract_string(body, '$.status') else 'TRANSIENT' end
  as geocode_status,
  case when {_OK} then cast(json_extract(body, '$.results[0].geometry.location.lat') as double) end as lat,
  case when {_OK} then cast(json_extract(body, '$.results[0].geometry.location.lng') as double) end as lng,
@@ -303,19 +309,25 @@ ORACLES: dict[str, str] = {
         f"({blank('address')} || ' ' || {blank('parsed_city')} || ' ' || {blank('state')})")} as norm_addr from stores""",
     "norm_name": with_("stores", "accounts") + f"""select account_id, {norm_name('clean_name')} as norm_name from accounts
  union all select store_id, {norm_name('store_name')} from stores""",
-    "name_key": with_("stores") + f"""select store_id, {name_key('n')} as name_key from
- (select store_id, {norm_name('store_name')} as n from stores)""",
-    "cannabis_flag": with_("stores") + f"select store_id, {is_cannabis('store_name')} as is_cannabis from stores",
-    "norm_city": with_("stores") + f"select store_id, {norm_city('parsed_city')} as norm_city from stores",
-    "house_num": with_("stores") + f"select store_id, {house_num(norm_addr('address'))} as house_num from stores",
+    "name_key": with_("stores", "accounts") + f"""select id, {name_key('n')} as name_key from
+ (select store_id as id, {norm_name('store_name')} as n from stores union all
+  select account_id, {norm_name('clean_name')} from accounts)""",
+    "cannabis_flag": with_("stores", "accounts") + f"""select store_id as id, {is_cannabis('store_name')} as is_cannabis
+ from stores union all select account_id, {is_cannabis('clean_name')} from accounts""",
+    "norm_city": with_("stores", "accounts") + f"""select store_id as id, {norm_city('parsed_city')} as norm_city from stores
+ union all select account_id, {norm_city('city')} from accounts""",
+    "house_num": with_("stores", "accounts") + f"""select id, {house_num(norm_addr("(a || ' ' || b || ' ' || d)"))} as house_num
+ from (select store_id as id, {blank('address')} as a, {blank('parsed_city')} as b, {blank('state')} as d from stores union all
+  select account_id, {blank('clean_address')}, {blank('city')}, {blank('state')} from accounts)""",
     "norm_id_field": with_("scrapes") + f"""select phone, {norm_id('store_name')} as name_id, {norm_id('road')} as road_id
  from scrapes""",
     "store_identity": with_("scrapes") + f"select phone, seen_at, {store_id()} as store_id from scrapes",
     "parse_bool": with_("scrapes") + f"select phone, is_chain, {parse_bool('is_chain')} as parsed from scrapes",
     "parse_float": with_("scrapes") + f"select phone, rating, {parse_float('rating')} as parsed from scrapes",
     "parse_int": with_("scrapes") + f"select phone, review_count, {parse_int('review_count')} as parsed from scrapes",
-    "parse_text": with_("scrapes") + f"""select phone, {parse_text('email')} as email, {parse_text('zip')} as zip,
- {parse_text('store_name')} as store_name from scrapes""",
+    "parse_text": with_("scrapes") + "select " + ", ".join(f"{parse_text(x)} as {x}" for x in (
+        "brand", "store_name", "address", "phone", "email", "parsed_country", "parsed_city", "house_number", "road", "zip",
+        "state", "chain_name")) + " from scrapes",
     "api_eligible": with_("stores") + f"""select store_id, state, upper({blank('state')}) in ({listed(tx.API_STATES)})
  as run_api from stores""",
     "similarity_ratio": with_("stores") + f"""select store_id, {ratio('n', 'b')} as name_to_brand,
@@ -346,10 +358,11 @@ ORACLES: dict[str, str] = {
     "union_distributors": with_("accounts") + "select distributor, account_id, clean_name from accounts",
     "last_account_per_name": with_("accounts", *ACCOUNT_KEYS) + """select distributor_name, norm_name,
  max(source_id) as source_id from ac where norm_name <> '' group by all""",
-    "stores_with_licences": with_("stores", "licences") + """select s.store_id, s.store_name, s.parsed_city, s.state, s.zip,
- l.n as nj_abc_license_number from stores s left join (select store_id, max(licence_number) as n from licences
- where store_id is not null group by store_id) l on l.store_id = s.store_id union all
- select 'nj-abc:' || licence_number, licensee, city, state, null, licence_number from licences
+    "stores_with_licences": with_("stores", "licences") + """select s.* replace (l.n as nj_abc_license_number)
+ from stores s left join (select store_id, max(licence_number) as n from licences
+ where store_id is not null group by store_id) l on l.store_id = s.store_id union all by name
+ select 'nj-abc:' || licence_number as store_id, licensee as store_name, city as parsed_city, state,
+ licence_number as nj_abc_license_number from licences
  where store_id is null or store_id not in (select store_id from stores)""",
     "match_exact_address": with_(*SIDES, L1) + f"select {HIT} from l1",
     "match_exact_name": with_(*SIDES, CITY_SCORES, L2) + f"select {HIT} from l2",
@@ -366,8 +379,10 @@ ORACLES: dict[str, str] = {
  string_agg(distributor_name, ',' order by distributor_name) as distributors, bool_or(matched) as any_distributor_match
  from flat group by store_id""",
     "account_universe": with_(*CASCADE) + f"""select s.*, f.hit as any_distributor_match, null::varchar as place_id,
- null::double as lat, null::double as lng, {NOW} as matched_at, date '2024-01-31' as run_date from stores s join
- (select store_id, bool_or(matched) as hit from flat group by store_id) f on f.store_id = s.store_id""",
+ null::double as lat, null::double as lng, {NOW} as matched_at, date '2024-01-31' as run_date,
+ m.* exclude (store_id) from stores s join
+ (select store_id, bool_or(matched) as hit from flat group by store_id) f on f.store_id = s.store_id
+ join flat m on m.store_id = s.store_id""",
     "matched_with_revenue": with_(*CASCADE) + """select store_id, distributor_name, case_volume, revenue, revenue_per_case
  from flat where matched and revenue is not null""",
     "match_rollup": with_(*CASCADE) + """select distributor_name, match_layer, match_status, count(*) as stores,
@@ -382,6 +397,9 @@ ORACLES: dict[str, str] = {
  case when s.is_chain then timestamp '2024-01-01 00:00:00' else {NOW} end as matched_at,
  case when s.is_chain then date '2024-01-01' else date '2024-01-31' end as run_date from stores s join
  (select store_id, bool_or(matched) as hit from flat group by store_id) f on f.store_id = s.store_id""",
+    "full_match_run": with_(*CASCADE) + f"""select f.store_id, f.hit as any_distributor_match, {NOW} as matched_at,
+ (select count(*) from stores where not is_chain) as rows_processed from stores s join
+ (select store_id, bool_or(matched) as hit from flat group by store_id) f on f.store_id = s.store_id where not s.is_chain""",
     "normalized_listings": with_("scrapes", TYPED) + "select * from typed",
     "latest_scrape": with_("scrapes", TYPED, latest("one", "true", "ingested_at, source_file")) + "select * from one",
     "last_row_per_store": with_("scrapes", TYPED, latest("one", "true", "source_file").replace(
@@ -399,6 +417,11 @@ ORACLES: dict[str, str] = {
  null::varchar as nj_abc_license_number from scrapes union all select null, null, null, licence_number from licences""",
     "zip_lookup": with_(*ZIPS) + "select * from zips",
     "zip_file_load": with_(*ZIPS) + "select * from zips",
+    "zip_file_without_density": with_("zip_raw") + f"""select case when length({strip('zip')}) < 5 then lpad({strip('zip')}, 5, '0')
+ else {strip('zip')} end as zip, null::varchar as city, null::varchar as state, null::varchar as county,
+ {parse_float('lat')} as latitude, {parse_float('lng')} as longitude, 0.0::double as pop_density_sqmi,
+ 0::bigint as population, 'rural' as area_type from zip_raw
+ where {parse_float('lat')} is not null and {parse_float('lng')} is not null""",
     "area_type": with_("zip_raw") + f"select zip, {area('d')} as area_type from (select zip, {_DENSITY} as d from zip_raw)",
     "missing_coordinates": with_("stores", MART) + f"select store_id from mart where {MISSING}",
     "pending_geocode_requests": with_("stores", MART, *GEOCODES) + f"""select {REQUEST} from mart where {MISSING}
@@ -437,7 +460,13 @@ ORACLES: dict[str, str] = {
     "batch_reply_lines": with_(*UPDATES) + "select * from updates",
     "backfill_counts": with_("stores", *UPDATES) + """select count(u.store_id) as matched, count(*) as total from stores s
  left join updates u on u.store_id = s.store_id where s.zip is null and s.address is not null""",
-    "scrape_file_scan": with_("scrapes", TYPED) + f"select * exclude (source_file) replace ({NOW} as ingested_at) from typed",
+    "scrape_file_scan": with_("scrapes", TYPED) + f"select * replace ({NOW} as ingested_at, true as source_file) from typed",
+    "ingest_then_backfill": with_("scrapes", LANDED, typed("landed"), *MERGE[2:], BACKFILLED)
+    + "select store_id, address, zip, lat, lng from backfilled",
+    "ingest_after_compaction": with_("scrapes", LANDED, typed("landed"), *MERGE[2:], BACKFILLED)
+    + """select l.store_id, l.address, l.zip, b.lat, b.lng, l.rating from later l
+ left join backfilled b on b.store_id = l.store_id union all select store_id, address, zip, lat, lng, rating
+ from backfilled where store_id not in (select store_id from later)""",
     "scrape_ingest_stream": with_("scrapes", LANDED, typed("landed"), *MERGE[2:])
     + f"select * exclude (ingested_at, source_file) from ({UPSERTED})",
     "staged_snapshot": with_(*MERGE) + "select * from later",
@@ -447,11 +476,17 @@ ORACLES: dict[str, str] = {
     "freshness_check": with_("runs", CHECKS, AGES) + """select component, case when age_hours is null
  then 'no_successful_run' else 'stale_run' end as check_name, age_hours, max_age_hours from ages
  where age_hours is null or age_hours > max_age_hours""",
+    "monitor_run": with_("runs", CHECKS, AGES) + """select component, case when age_hours is null then 'no_successful_run'
+ else 'stale_run' end as check_name, 'infrastructure' as test_type, '{"component":"' || component || '"' ||
+ case when age_hours is null then '' else ',"age_hours":' || age_hours end || ',"max_age_hours":26}' as context
+ from (select component, age_hours from ages where not ends_with(component, '_nightly') union all
+  select 'job_unheard_of', null) where age_hours is null or age_hours > 26""",
     "elapsed_hours": with_("runs") + f"select run_id, datesub('hour', finished_at, {NOW}) as age_hours from runs",
     "run_stamps": with_("runs") + """select run_id, strftime(finished_at, '%Y%m%d_%H%M%S') as stamp,
  cast(finished_at as date) as run_date from runs""",
     "recent_errors": with_("errors") + f"""select occurred_at, component, check_name, severity, message from errors
- where occurred_at >= {NOW} - interval 24 hour order by occurred_at desc limit 50""",
+ where occurred_at >= {NOW} - interval 24 hour order by occurred_at desc, component, check_name,
+ severity, message limit 50""",
     "error_window_assertion": with_("errors") + f"""select error_id, occurred_at, component from errors
  where severity = 'ERROR' and occurred_at >= {NOW} - interval 48 hour""",
     "error_log_sink": with_("errors") + """select error_id, occurred_at, severity, context from errors
@@ -459,9 +494,11 @@ ORACLES: dict[str, str] = {
     "run_log_sink": with_("runs") + "select * from runs",
     "key_violations": with_("scrapes", TYPED) + """select store_id as key_value, count(*) as rows from typed group by all
  having count(*) > 1 or store_id is null""",
-    "null_violations": with_("scrapes", TYPED) + " union all ".join(
-        f"select '{x}' as column_name, count(*) as nulls from typed where {x} is null having count(*) > 0"
-        for x in ("store_id", "brand", "email", "zip", "rating", "ingested_at")),
+    "null_violations": with_("scrapes", TYPED) + """select * from (select 'ingested_at' as column_name,
+ count(*) filter (where rating is null) as nulls from typed union all
+ select 'source_file', count(*) filter (where zip is null) from typed) where nulls > 0""",
+    "hex_ids": with_("runs") + """select run_id, 32 as length, true as is_hex, (select count(*) from runs) as different
+ from runs""",
     "error_context_json": with_("runs") + """select run_id, '{"component":"' || component || '","rows_processed":' ||
  rows_processed || '}' as context from runs""",
 }

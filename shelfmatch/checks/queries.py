@@ -22,8 +22,11 @@ from shelfmatch.operators import listings, merge
 from shelfmatch.operators import matching as ma
 from shelfmatch.operators.similarity_join import similar_texts
 from shelfmatch.plans import match_run
+from shelfmatch.plans.geocode_run import backfill_zips, run_geocoding
+from shelfmatch.plans.monitor_run import run_monitor
 from shelfmatch.session import materialize, scratch_path, tune
-from shelfmatch.sources.batch_geocoder import parse_reply_lines, write_requests
+from shelfmatch.sources.audit_log import AuditLog
+from shelfmatch.sources.batch_geocoder import read_replies, write_requests
 from shelfmatch.sources.scrape_files import landed_files, scan_files
 from shelfmatch.sources.tables import AppendTable, SnapshotTable, UpsertTable
 from shelfmatch.sources.zip_file import read_zip_file
@@ -87,6 +90,11 @@ def flat_matches(t) -> DataFrame:
     return ma.unnest_matches(ma.find_matches(t("stores"), t("accounts")))
 
 
+def match_tables(spark: SparkSession) -> tuple[UpsertTable, AuditLog]:
+    root = scratch_path(spark, "match-run")
+    return UpsertTable(spark, f"{root}/universe", sc.ACCOUNT_UNIVERSE, "store_id"), AuditLog(spark, root)
+
+
 def match_sides(t) -> tuple[DataFrame, DataFrame]:
     return (materialize(ac.matchable_candidates(t("stores")), "candidates"),
             materialize(ac.matchable_accounts(t("accounts")), "accounts"))
@@ -98,6 +106,11 @@ def named_hits(hits: DataFrame) -> DataFrame:
         F.substring_index("rec_ord", "\x01", 1).alias("customer_id"))
 
 
+def both_sides(t, store_column: str, account_column: str, function, name: str) -> DataFrame:
+    stores = t("stores").select(c("store_id").alias("id"), function(c(store_column)).alias(name))
+    return stores.unionByName(t("accounts").select(c("account_id").alias("id"), function(c(account_column)).alias(name)))
+
+
 # ---- text functions ----
 
 @query
@@ -114,22 +127,26 @@ def norm_name(t):
 
 @query
 def name_key(t):
-    return t("stores").select("store_id", tx.name_key(tx.norm_name(c("store_name"))).alias("name_key"))
+    return both_sides(t, "store_name", "clean_name", lambda x: tx.name_key(tx.norm_name(x)), "name_key")
 
 
 @query
 def cannabis_flag(t):
-    return t("stores").select("store_id", tx.is_cannabis(c("store_name")).alias("is_cannabis"))
+    return both_sides(t, "store_name", "clean_name", tx.is_cannabis, "is_cannabis")
 
 
 @query
 def norm_city(t):
-    return t("stores").select("store_id", tx.norm_city(c("parsed_city")).alias("norm_city"))
+    return both_sides(t, "parsed_city", "city", tx.norm_city, "norm_city")
 
 
 @query
 def house_num(t):
-    return t("stores").select("store_id", tx.house_num(tx.norm_addr(c("address"))).alias("house_num"))
+    """Of address, city and state in one text, as the matcher has it."""
+    sides = (ac.project_candidates(t("stores")).withColumnRenamed("store_id", "id"),
+             ac.project_accounts(t("accounts")).withColumnRenamed("source_id", "id"))
+    return sides[0].select("id", "address", "city", "state").unionByName(sides[1].select("id", "address", "city", "state")).select(
+        "id", tx.house_num(tx.norm_addr(F.concat_ws(" ", "address", "city", "state"))).alias("house_num"))
 
 
 @query
@@ -161,8 +178,7 @@ def parse_int(t):
 
 @query
 def parse_text(t):
-    return t("scrapes").select("phone", ps.parse_text(c("email")).alias("email"), ps.parse_text(c("zip")).alias("zip"),
-                               ps.parse_text(c("store_name")).alias("store_name"))
+    return t("scrapes").select(*[ps.parse_text(c(x)).alias(x) for x in sc.SCRAPE_TEXT])
 
 
 @query
@@ -248,8 +264,7 @@ def last_account_per_name(t):
 
 @query
 def stores_with_licences(t):
-    return merge.matcher_input(
-        t("stores").select("store_id", "store_name", "parsed_city", "state", "zip"), t("licences"))
+    return merge.matcher_input(t("stores").drop("nj_abc_license_number"), t("licences")).select(*ac.STORE_COLUMNS)
 
 
 # ---- match layers ----
@@ -310,7 +325,9 @@ def distributor_match_arrays(t):
 
 @query
 def account_universe(t):
-    return universe(t).drop("distributor_matches")
+    """All 24 columns, one row per entry of the nested array."""
+    whole = universe(t)
+    return whole.select(*[x for x in whole.columns if x != "distributor_matches"], F.inline("distributor_matches"))
 
 
 @query
@@ -354,14 +371,23 @@ def stores_to_process_count(t):
 
 @query
 def incremental_match(t):
-    """A second run adds the stores a first one, over chains, left out; the first one's rows keep their stamps."""
+    """Two runs: the second adds the stores the first, over chains, left out; the first one's rows keep their stamps."""
     stores, accounts = t("stores"), t("accounts")
-    first = datetime(2024, 1, 1)
-    known = materialize(ma.account_universe(
-        ma.find_matches(stores.filter("is_chain"), accounts), lit(first), F.to_date(lit(first))), "universe")
-    todo = match_run.stores_to_match(stores, known, "incremental")
-    fresh = ma.account_universe(ma.find_matches(todo, accounts), lit(NOW), F.to_date(lit(NOW)))
-    return merge.insert_new(known, fresh).select("store_id", "any_distributor_match", "matched_at", "run_date")
+    table, audit = match_tables(stores.sparkSession)
+    match_run.run_matching(stores.filter("is_chain"), accounts, table, audit, now=datetime(2024, 1, 1))
+    match_run.run_matching(stores, accounts, table, audit, now=NOW)
+    return table.read().select("store_id", "any_distributor_match", "matched_at", "run_date")
+
+
+@query
+def full_match_run(t):
+    """A full run over non-chains replaces what a run over chains had left; it leaves a heartbeat with its rows."""
+    stores, accounts = t("stores"), t("accounts")
+    table, audit = match_tables(stores.sparkSession)
+    match_run.run_matching(stores.filter("is_chain"), accounts, table, audit, now=datetime(2024, 1, 1))
+    match_run.run_matching(stores.filter("not is_chain"), accounts, table, audit, "full", NOW)
+    beat = audit.runs.read().filter("mode = 'full'").agg(F.max("rows_processed")).scalar()
+    return table.read().select("store_id", "any_distributor_match", "matched_at", beat.alias("rows_processed"))
 
 
 @query
@@ -432,6 +458,15 @@ def zip_file_load(t):
     return table.read()
 
 
+@query
+def zip_file_without_density(t):
+    """The same file without its optional columns."""
+    raw = t("zip_raw").select("zip", "lat", "lng")
+    path = scratch_path(raw.sparkSession, "zip-file")
+    raw.write.option("header", "true").csv(path)
+    return read_zip_file(raw.sparkSession, path)
+
+
 @query
 def area_type(t):
     rows = t("zip_raw").withColumn("d", geo.number_or_zero(c("density")))
@@ -440,7 +475,7 @@ def area_type(t):
 
 @query
 def missing_coordinates(t):
-    return mart(t).filter(c("latitude").isNull() & c("address").isNotNull()).select("store_id")
+    return gc.missing_coordinates(mart(t)).select("store_id")
 
 
 @query
@@ -480,10 +515,13 @@ def geocode_sink(t):
 
 @query
 def resumed_geocoding(t):
-    """What a second run still asks for after the first one's replies were stored."""
-    first = gc.geocode_requests(mart(t), no_geocodes(t))
-    replies = t("geocode_raw").join(first, "store_id", "left_semi")
-    return gc.geocode_requests(mart(t), gc.geocode_rows(gc.classify_replies(replies), lit(NOW)))
+    """What a second run would still ask for after a first one, in batches, stored its replies."""
+    stores, known = mart(t), t("geocode_raw")
+    spark, root = stores.sparkSession, scratch_path(stores.sparkSession, "geocode-run")
+    table = AppendTable(spark, f"{root}/geocodes", sc.STORE_GEOCODES, "store_id")
+    run_geocoding(stores, table, lambda requests: known.join(requests, "store_id", "left_semi"), AuditLog(spark, root),
+                  batch_size=4000)
+    return gc.geocode_requests(stores, table.read())
 
 
 @query
@@ -548,16 +586,20 @@ def batch_reply_lines(t):
     miss = F.concat_ws(",", *quoted)
     full = F.concat_ws(",", *quoted, lit('"Exact"'), quoted[1], F.concat(lit('"'), c("coords"), lit('"')), lit('"1"'),
                        lit('"L"'))
-    lines = t("census_raw").select(F.when(c("match_flag") == "No_Match", miss).otherwise(full).alias("value"))
-    return gc.batch_updates(parse_reply_lines(lines))
+    raw = t("census_raw")
+    lines = raw.select(F.when(c("match_flag") == "No_Match", miss).otherwise(full).alias("value"))
+    # Every id comes in an earlier file too, with another zip: the last reply counts.
+    early = raw.withColumn("matched_address", lit("1 FIRST ST, TOWN, NJ, 00001")).select(full.alias("value"))
+    path = scratch_path(raw.sparkSession, "replies")
+    early.write.text(f"{path}/1")
+    lines.write.text(f"{path}/2")
+    replies = read_replies(raw.sparkSession, f"{path}/*")
+    return gc.batch_updates(replies.filter(c("match_flag") != "No_Match"))
 
 
 @query
 def backfill_counts(t):
-    todo = gc.missing_zips(t("stores"))
-    updates = gc.batch_updates(t("census_raw").join(todo, "store_id", "left_semi"))
-    total = todo.agg(F.count("*").alias("n")).scalar()
-    return updates.agg(F.count("*").alias("matched")).select("matched", total.alias("total"))
+    return gc.backfill_counts(gc.missing_zips(t("stores")), gc.batch_updates(t("census_raw")))
 
 
 # ---- files and streams ----
@@ -568,17 +610,37 @@ def land_scrapes(rows: DataFrame, bucket: str, name: str, separator: str, column
         f"{bucket}/normalized/{name}")
 
 
+def land_spaced(rows: DataFrame, bucket: str, name: str) -> None:
+    """Comma files with a space after every comma."""
+    lines = rows.select(F.concat_ws(", ", *[F.trim(c(x)) for x in sc.SCRAPE_COLUMNS]).alias(", ".join(sc.SCRAPE_COLUMNS)))
+    lines.write.option("header", "true").option("sep", "\x01").option("quote", "").csv(f"{bucket}/normalized/{name}")
+
+
+def land_in_order(rows: DataFrame, bucket: str, name: str) -> None:
+    """All rows, repeated stores included; later rows in later files, so that their order is the scrapes' own."""
+    order = ["seen_at", "source_file", *SCRAPE_ORDER]
+    land_scrapes(rows.repartitionByRange(*order).sortWithinPartitions(*order), bucket, name, ",", sc.SCRAPE_COLUMNS)
+
+
+SCRAPE_ORDER = ("brand", "store_name", "address", "phone", "email", "parsed_country", "parsed_city", "house_number", "road",
+                "zip", "state", "is_chain", "chain_name", "rating", "review_count")
+
+
 @query
 def scrape_file_scan(t):
-    """Comma files in one column order, tab files in another, and a file outside the landing folder."""
+    """Four layouts (comma; tab in another order; a space after each comma; a header of over 4,096 characters), and a file
+    outside the landing folder."""
     raw = t("scrapes").drop("source_file")
     spark, bucket = raw.sparkSession, scratch_path(raw.sparkSession, "bucket")
-    early = c("seen_at") < lit(SPLIT).cast("timestamp")
-    land_scrapes(raw.filter(early), bucket, "comma", ",", sc.SCRAPE_COLUMNS)
-    land_scrapes(raw.filter(~early), bucket, "tab", "\t", sc.SCRAPE_COLUMNS[::-1])
+    season = F.month("seen_at") % 4
+    land_scrapes(raw.filter(season == 0), bucket, "comma", ",", sc.SCRAPE_COLUMNS)
+    land_scrapes(raw.filter(season == 1), bucket, "tab", "\t", sc.SCRAPE_COLUMNS[::-1])
+    land_spaced(raw.filter(season == 2), bucket, "spaced")
+    wide = {f"column_that_nobody_knows_{i}": lit("x") for i in range(180)}
+    land_scrapes(raw.filter(season == 3).withColumns(wide), bucket, "wide", ",", (*wide, *sc.SCRAPE_COLUMNS))
     land_scrapes(raw, f"{bucket}/elsewhere", "comma", ",", sc.SCRAPE_COLUMNS)
     rows = listings.normalize_listings(scan_files(landed_files(spark, bucket)), lit(NOW), c("source_file"))
-    return rows.drop("source_file")
+    return rows.withColumn("source_file", c("source_file").rlike("^part-[0-9]+-.*[.]csv$"))
 
 
 @query
@@ -586,19 +648,50 @@ def scrape_ingest_stream(t):
     """Two arrivals read by one checkpointed stream; the second updates and adds stores; a third run finds nothing."""
     raw = t("scrapes")
     spark, root = raw.sparkSession, scratch_path(raw.sparkSession, "stream")
-    typed = raw.withColumn("store_id", tx.store_id(
-        *[c(x) for x in ("store_name", "house_number", "road", "parsed_city", "state")]))
     early = c("seen_at") < lit(SPLIT).cast("timestamp")
     table = UpsertTable(spark, f"{root}/stores_normalized", sc.STORES_NORMALIZED, "store_id")
-    for name, rows in (("first", typed.filter(early)), ("second", typed.filter(~early))):
-        one_each = merge.last_per_key(rows, "store_id", ["seen_at", "source_file"])
-        land_scrapes(one_each, f"{root}/bucket", name, ",", sc.SCRAPE_COLUMNS)
+    for name, rows in (("first", raw.filter(early)), ("second", raw.filter(~early))):
+        land_in_order(rows, f"{root}/bucket", name)
         start_ingest(spark, f"{root}/bucket", table, f"{root}/checkpoint").awaitTermination()
     start_ingest(spark, f"{root}/bucket", table, f"{root}/checkpoint").awaitTermination()
     table.compact()
     return table.read().drop("ingested_at", "source_file")
 
 
+def batch_service(requests: DataFrame) -> DataFrame:
+    """Answers made of the store's id: no match for one in four, a zip and one point for the rest."""
+    digits = F.translate("store_id", "abcdef", "123456")
+    return requests.select(
+        "store_id", F.when(F.substring("store_id", 1, 1).isin("0", "1", "2", "3"), "No_Match").otherwise("Match").alias("match_flag"),
+        F.concat(lit("1 A ST, TOWN, NJ, "), F.substring(digits, 2, 5)).alias("matched_address"), lit("-74.5,40.25").alias("coords"))
+
+
+def ingested_and_backfilled(t) -> tuple[DataFrame, UpsertTable, str]:
+    raw = t("scrapes")
+    spark, root = raw.sparkSession, scratch_path(raw.sparkSession, "backfill")
+    table = UpsertTable(spark, f"{root}/stores_normalized", sc.STORES_NORMALIZED, "store_id")
+    land_in_order(raw.filter(c("seen_at") < lit(SPLIT).cast("timestamp")), f"{root}/one", "files")
+    start_ingest(spark, f"{root}/one", table, f"{root}/checkpoint-one").awaitTermination()
+    backfill_zips(table, batch_service)
+    return raw, table, root
+
+
+@query
+def ingest_then_backfill(t):
+    _, table, _ = ingested_and_backfilled(t)
+    return table.read().select("store_id", "address", "zip", "lat", "lng")
+
+
+@query
+def ingest_after_compaction(t):
+    """Ingest, backfill, compact, then a stream with a new checkpoint over a new bucket: nothing is lost."""
+    raw, table, root = ingested_and_backfilled(t)
+    table.compact()
+    land_in_order(raw.filter(c("seen_at") >= lit(SPLIT).cast("timestamp")), f"{root}/two", "files")
+    start_ingest(raw.sparkSession, f"{root}/two", table, f"{root}/checkpoint-two").awaitTermination()
+    return table.read().select("store_id", "address", "zip", "lat", "lng", "rating")
+
+
 @query
 def staged_snapshot(t):
     rows = later_stores(t)
@@ -631,6 +724,17 @@ def freshness_check(t):
     return he.freshness_violations(checks.unionByName(unseen), runs, lit(NOW)).drop("message")
 
 
+@query
+def monitor_run(t):
+    """Problems that a monitor run writes to the error log."""
+    runs = t("runs")
+    audit = AuditLog(runs.sparkSession, scratch_path(runs.sparkSession, "monitor"))
+    audit.runs.append(runs)
+    watched = [(r["component"], he.MAX_AGE_HOURS) for r in runs.select("component").distinct().collect()]
+    run_monitor(audit, lit(NOW), (*watched, ("job_unheard_of", he.MAX_AGE_HOURS)))
+    return audit.errors.read().select("component", "check_name", "test_type", "context")
+
+
 @query
 def elapsed_hours(t):
     return t("runs").select("run_id", au.elapsed_hours(c("finished_at"), lit(NOW)).alias("age_hours"))
@@ -678,7 +782,10 @@ def key_violations(t):
 
 @query
 def null_violations(t):
-    return he.null_violations(typed_scrapes(t), ["store_id", "brand", "email", "zip", "rating", "ingested_at"])
+    """Required columns of a load that lost some of their values."""
+    broken = typed_scrapes(t).withColumns({
+        "ingested_at": F.when(c("rating").isNotNull(), c("ingested_at")), "source_file": F.when(c("zip").isNotNull(), c("source_file"))})
+    return he.null_violations(broken, sc.required_columns(sc.STORES_NORMALIZED))
 
 
 @query
@@ -689,4 +796,7 @@ def error_context_json(t):
 
 @query
 def hex_ids(t):
-    return t("runs").select("run_id", au.hex_id().alias("error_id"))
+    """Random ids: their form, and how many there are."""
+    ids = materialize(t("runs").select("run_id", au.hex_id().alias("id")), "ids")
+    return ids.select("run_id", F.char_length("id").alias("length"), c("id").rlike("^[0-9a-f]+$").alias("is_hex"),
+                      ids.agg(F.count_distinct("id")).scalar().alias("different"))
