@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _WORD = 64
-_GRID_WIDTH = 256  # longer partners leave the batch path, so one long text cannot widen a whole batch
+_CELLS = 1 << 22  # characters of a batch, both sides
 _ALL_ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 _MOST = 2_000  # letters counted per text, so that sums over an alphabet of 32 still fit
 _CHUNK = 50_000  # pairs scored at a time
@@ -25,46 +25,43 @@ def _code_points(texts: list[str], lengths: np.ndarray, pad: int) -> np.ndarray:
     return grid
 
 
-def _lcs_short(pattern: list[str], text: list[str]) -> np.ndarray:
-    """Bit-parallel LCS over a whole batch; every pattern has 1 to 64 characters (Hyyro 2004)."""
+def _lcs_batch(pattern: list[str], text: list[str]) -> np.ndarray:
+    """Bit-parallel LCS over a whole batch (Hyyro 2004): a row of machine words per pattern, with carries between them."""
     pattern_len = np.fromiter(map(len, pattern), np.int64, len(pattern))
     text_len = np.fromiter(map(len, text), np.int64, len(text))
     rows = _code_points(pattern, pattern_len, _LEFT_PAD)
     columns = _code_points(text, text_len, _RIGHT_PAD)
-    state = np.full(len(pattern), _ALL_ONES)
-    packed = np.zeros((len(pattern), 8), dtype=np.uint8)
+    words = -(-rows.shape[1] // _WORD)
+    state = np.full((words, len(pattern)), _ALL_ONES)
+    packed = np.zeros((len(pattern), 8 * words), dtype=np.uint8)
     for position in range(columns.shape[1]):
         bits = np.packbits(rows == columns[:, position, None], axis=1, bitorder="little")
         packed[:, :bits.shape[1]] = bits
-        hits = state & packed.view(np.uint64).reshape(-1)
-        state = (state + hits) | (state - hits)
-    return _WORD - np.bitwise_count(state).astype(np.int64)
-
-
-def _lcs_long(a: str, b: str) -> int:
-    """The same recurrence on one unbounded integer, for texts past one machine word."""
-    masks: dict[str, int] = {}
-    for position, char in enumerate(a):
-        masks[char] = masks.get(char, 0) | (1 << position)
-    full = (1 << len(a)) - 1
-    state = full
-    for char in b:
-        hits = state & masks.get(char, 0)
-        state = ((state + hits) | (state - hits)) & full
-    return len(a) - state.bit_count()
+        matches = packed.view(np.uint64)
+        carry = np.zeros(len(pattern), np.uint64)
+        for word in range(words):
+            hits = state[word] & matches[:, word]
+            total = state[word] + hits
+            over = total < hits
+            total += carry
+            carry = (over | (total < carry)).astype(np.uint64)
+            state[word] = total | (state[word] - hits)
+    return words * _WORD - np.bitwise_count(state).sum(axis=0, dtype=np.int64)
 
 
 def lcs_lengths(a: list[str], b: list[str]) -> np.ndarray:
+    """Pairs are compared in batches of like lengths, so one long text widens no other's arrays."""
     pairs = [(x, y) if len(x) <= len(y) else (y, x) for x, y in zip(a, b)]
     result = np.zeros(len(pairs), dtype=np.int64)
-    short, long = [], []
+    alike: dict[tuple[int, int], list[int]] = {}
     for i, (x, y) in enumerate(pairs):
         if x:
-            (short if len(x) <= _WORD and len(y) <= _GRID_WIDTH else long).append(i)
-    if short:
-        result[short] = _lcs_short([pairs[i][0] for i in short], [pairs[i][1] for i in short])
-    for i in long:
-        result[i] = _lcs_long(*pairs[i])
+            alike.setdefault((-(-len(x) // _WORD), len(y).bit_length()), []).append(i)
+    for (words, bits), own in alike.items():
+        size = max(1, _CELLS // (_WORD * words + (1 << bits)))
+        for start in range(0, len(own), size):
+            part = own[start:start + size]
+            result[part] = _lcs_batch([pairs[i][0] for i in part], [pairs[i][1] for i in part])
     return result
 
 
