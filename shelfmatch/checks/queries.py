@@ -217,12 +217,12 @@ def similar_city_pairs(t):
 
 @query
 def similar_names_in_tiles(t):
-    """Similarity join of names in a state, every block cut into small tiles."""
+    """Similarity join of names in a state, every block cut into small units and tiles."""
     def names(df, name):
         return df.select(F.struct(tx.blank_if_null(c("state")).alias("state")).alias("block"),
                          tx.norm_name(c(name)).alias("text")).distinct()
 
-    pairs = similar_texts(names(t("stores"), "store_name"), names(t("accounts"), "clean_name"), ma.FLAGGED, small=0, tile=64)
+    pairs = similar_texts(names(t("stores"), "store_name"), names(t("accounts"), "clean_name"), ma.FLAGGED, unit=64, tile=16)
     return pairs.select("block.state", c("left_text").alias("store_text"), c("right_text").alias("account_text"),
                         "score")
 

@@ -103,6 +103,31 @@ def similar_pairs(a: list[str], b: list[str], threshold: int) -> tuple[np.ndarra
     return left[kept], right[kept], scores[kept]
 
 
+def scored_pairs(texts: list[str], i: np.ndarray, j: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs at places ``i, j`` those that reach the threshold, and their scores; the same bounds as ``similar_pairs``."""
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    fits = np.minimum(lengths[i], lengths[j]) * 200 >= threshold * (lengths[i] + lengths[j])
+    i, j = i[fits], j[fits]
+    own = sorted({letter for place in np.unique(np.concatenate((i, j))).tolist() for letter in texts[place]})
+    counts = _letter_counts(texts, {letter: row for row, letter in enumerate(own)})
+    scores = []
+    for start in range(0, len(i), _CHUNK):
+        a, b = i[start:start + _CHUNK], j[start:start + _CHUNK]
+        common = np.zeros(len(a), np.int64)
+        for row in counts:
+            common += np.minimum(row[a], row[b])
+        enough = common * 200 >= threshold * (lengths[a] + lengths[b])
+        enough |= (lengths[a] > _MOST) & (lengths[b] > _MOST)
+        score = np.full(len(a), -1.0)
+        at = np.flatnonzero(enough)
+        if len(at):
+            score[at] = indel_scores([texts[x] for x in a[at]], [texts[x] for x in b[at]])
+        scores.append(score)
+    score = np.concatenate(scores) if scores else np.empty(0)
+    kept = score >= threshold
+    return i[kept], j[kept], score[kept]
+
+
 @F.pandas_udf(T.DoubleType())
 def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(indel_scores(a.tolist(), b.tolist()))
@@ -115,8 +140,3 @@ _ratio = _ratio.asNondeterministic()
 def ratio(a: Column, b: Column) -> Column:
     """Both texts must be non-null."""
     return _ratio(a, b)
-
-
-def fits_length(len_a: Column, len_b: Column, threshold: int) -> Column:
-    """False only for pairs whose lengths alone keep them below the threshold."""
-    return F.least(len_a, len_b) * 200 >= (len_a + len_b) * threshold

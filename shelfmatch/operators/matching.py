@@ -4,8 +4,9 @@ Layers, in order: exact address; exact name; fuzzy name in the zip; fuzzy name i
 where a city is missing, inside the state (accounts without a state count for every state, after the store's own).
 
 The exact layers are equi joins. All fuzzy layers share one similarity join: stores become *probes* and accounts
-become *entries*, rows of (block, text), where the block carries everything that has to be equal. Entries with the
-same block and text collapse to the first account before any comparison, so copies cost nothing.
+become *entries*, rows of (block, text), where the block carries everything that has to be equal, the distributor too.
+Entries with the same block and text collapse to the first account before any comparison, so copies cost nothing.
+Only pairs of store and distributor that no earlier layer has settled become probes.
 
 House numbers veto only if both are set and differ. As block values: an account with a number is listed under that
 number and under ANY; one without under NONE and ANY. A store with a number looks under that number and NONE; one
@@ -15,9 +16,9 @@ without looks under ANY. The same device pairs stores and accounts of which at l
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -72,7 +73,8 @@ def match_exact_name(candidates: DataFrame, accounts: DataFrame) -> DataFrame:
 
 def _block(layer: str, area: Column, place: Column, house: Column) -> Column:
     return F.struct(
-        F.lit(layer).alias("layer"), area.alias("area"), place.alias("place"), house.alias("house")).alias("block")
+        F.lit(layer).alias("layer"), area.alias("area"), place.alias("place"), house.alias("house"),
+        F.col("distributor_name")).alias("block")
 
 
 def _listed_under(value: Column) -> Column:
@@ -108,108 +110,111 @@ def with_areas(candidates: DataFrame) -> DataFrame:
         "own_state", F.col("area") == F.col("state_block"))
 
 
-def _probes(candidates: DataFrame) -> DataFrame:
-    """``store_id, has_anchor, own_state, block, text``"""
-    houses = _looks_under(_tagged(F.col("house_num")))
-    named = F.col("norm_name_key") != ""
-    base = candidates.withColumn("has_anchor", (F.col("norm_city") != "") | (F.col("zip_code") != ""))
-    in_zip = base.filter(named & (F.col("zip_code") != "")).select(
-        "store_id", "has_anchor", F.lit(True).alias("own_state"), "zip_code",
-        F.explode(houses).alias("house"), F.col("key_words").alias("text"),
-    ).select("store_id", "has_anchor", "own_state", _block(FUZZY_ZIP, F.col("zip_code"), F.lit(""), F.col("house")), "text")
+def all_pairs(candidates: DataFrame, accounts: DataFrame) -> DataFrame:
+    """``store_id, distributor_name``: every store is looked for at every distributor."""
+    every = accounts.agg(F.array_sort(F.collect_set("distributor_name"))).scalar()
+    return candidates.select("store_id", F.explode(every).alias("distributor_name"))
 
-    in_state = with_areas(base.filter(~F.col("is_cannabis")))
-    in_city = in_state.filter(named & (F.col("norm_city") != "") & ~F.col("is_city_only_name")).select(
-        "store_id", "has_anchor", "own_state", _block(FUZZY_CITY, F.col("area"), F.col("norm_city"), F.lit("")),
-        F.col("key_words").alias("text"))
-    # With a city: only accounts without one. Without: every account.
-    place = F.when(F.col("norm_city") == "", F.lit(ANY)).otherwise(F.lit(NONE))
-    texts = F.array(
+
+def _loose_block() -> Column:
+    return F.struct("layer", "area", "place", "house", "distributor_name").alias("block")
+
+
+def _loose_texts() -> Column:
+    return F.inline(F.array(
         F.struct(F.lit(FUZZY_NAME).alias("layer"), F.col("key_words").alias("text")),
-        F.struct(F.lit(FUZZY_ADDRESS).alias("layer"), F.col("addr_words").alias("text")))
-    loose = (
-        in_state.withColumn("place", place).withColumn("house", F.explode(houses))
-        .select("store_id", "has_anchor", "own_state", "area", "place", "house", "norm_name_key", F.inline(texts))
-        .filter((F.col("layer") == FUZZY_ADDRESS) | named)
-        .select("store_id", "has_anchor", "own_state",
-                F.struct("layer", "area", "place", "house").alias("block"), "text")
-    )
-    return in_zip.unionByName(in_city).unionByName(loose)
+        F.struct(F.lit(FUZZY_ADDRESS).alias("layer"), F.col("addr_words").alias("text"))))
 
 
-def _entries(accounts: DataFrame, cities: DataFrame) -> DataFrame:
-    """``block, text, firsts``: the first account of each distributor that has the text there."""
+def _probes(candidates: DataFrame, layers: Sequence[str]) -> DataFrame:
+    """``store_id, has_anchor, own_state, block, text`` of candidates with an open ``distributor_name`` each."""
+    houses = _looks_under(_tagged(F.col("house_num")))
+    named = F.col("norm_name_key") != ""
+    base = candidates.withColumn("has_anchor", (F.col("norm_city") != "") | (F.col("zip_code") != ""))
+    kept = ["store_id", "has_anchor", "own_state"]
+    parts = []
+    if FUZZY_ZIP in layers:
+        parts.append(base.filter(named & (F.col("zip_code") != "")).withColumns(
+            {"own_state": F.lit(True), "house": F.explode(houses)}).select(
+            *kept, _block(FUZZY_ZIP, F.col("zip_code"), F.lit(""), F.col("house")), F.col("key_words").alias("text")))
+    in_state = with_areas(base.filter(~F.col("is_cannabis")))
+    if FUZZY_CITY in layers:
+        parts.append(in_state.filter(named & (F.col("norm_city") != "") & ~F.col("is_city_only_name")).select(
+            *kept, _block(FUZZY_CITY, F.col("area"), F.col("norm_city"), F.lit("")), F.col("key_words").alias("text")))
+    if FUZZY_NAME in layers or FUZZY_ADDRESS in layers:
+        # With a city: only accounts without one. Without: every account.
+        place = F.when(F.col("norm_city") == "", F.lit(ANY)).otherwise(F.lit(NONE))
+        loose = in_state.withColumn("place", place).withColumn("house", F.explode(houses)).select(
+            *kept, "area", "place", "house", "distributor_name", "norm_name_key", _loose_texts())
+        parts.append(loose.filter(((F.col("layer") == FUZZY_ADDRESS) | named) & F.col("layer").isin(*layers)).select(
+            *kept, _loose_block(), "text"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _entries(candidates: DataFrame, accounts: DataFrame, layers: Sequence[str]) -> DataFrame:
+    """``block, text, rec_ord``: the first account of the block's distributor that has the text there."""
     houses = _listed_under(_tagged(F.col("house_num")))
     named = F.col("norm_name_key") != ""
-    in_zip = accounts.filter(named & (F.col("zip_code") != "")).select(
-        "distributor_name", "rec_ord", "zip_code", F.explode(houses).alias("house"), F.col("key_words").alias("text"),
-    ).select("distributor_name", "rec_ord", _block(FUZZY_ZIP, F.col("zip_code"), F.lit(""), F.col("house")), "text")
-    first_in_city = (
-        accounts.filter(named & (F.col("norm_city") != ""))
-        .groupBy("distributor_name", "state_block", "norm_city", "key_words").agg(F.min("rec_ord").alias("rec_ord"))
-    )
-    in_city = first_in_city.alias("a").join(
-        cities.alias("c"), (F.col("a.state_block") == F.col("c.area")) & (F.col("a.norm_city") == F.col("c.account_city")),
-    ).select("distributor_name", "rec_ord", _block(FUZZY_CITY, F.col("c.area"), F.col("c.store_city"), F.lit("")),
-             F.col("key_words").alias("text"))
-    place = _listed_under(F.when(F.col("norm_city") != "", F.lit("city")))
-    texts = F.array(
-        F.struct(F.lit(FUZZY_NAME).alias("layer"), F.col("key_words").alias("text")),
-        F.struct(F.lit(FUZZY_ADDRESS).alias("layer"), F.col("addr_words").alias("text")))
-    loose = (
-        accounts.select("distributor_name", "rec_ord", F.col("state_block").alias("area"), "norm_name_key", "house_num",
-                        F.explode(place).alias("place"), F.col("key_words"), F.col("addr_words"))
-        .filter(F.col("place") != "city")
-        .withColumn("house", F.explode(houses))
-        .select("distributor_name", "rec_ord", "area", "place", "house", "norm_name_key", F.inline(texts))
-        .filter((F.col("layer") == FUZZY_ADDRESS) | named)
-        .select("distributor_name", "rec_ord", F.struct("layer", "area", "place", "house").alias("block"), "text")
-    )
-    first = in_zip.unionByName(in_city).unionByName(loose).groupBy("distributor_name", "block", "text").agg(
-        F.min("rec_ord").alias("rec_ord"))
-    return first.groupBy("block", "text").agg(
-        F.collect_list(F.struct("distributor_name", "rec_ord")).alias("firsts"))
+    parts = []
+    if FUZZY_ZIP in layers:
+        parts.append(accounts.filter(named & (F.col("zip_code") != "")).withColumn("house", F.explode(houses)).select(
+            "rec_ord", _block(FUZZY_ZIP, F.col("zip_code"), F.lit(""), F.col("house")), F.col("key_words").alias("text")))
+    if FUZZY_CITY in layers:
+        first_in_city = (
+            accounts.filter(named & (F.col("norm_city") != ""))
+            .groupBy("distributor_name", "state_block", "norm_city", "key_words").agg(F.min("rec_ord").alias("rec_ord")))
+        parts.append(first_in_city.alias("a").join(
+            _similar_cities(candidates, accounts).alias("c"),
+            (F.col("a.state_block") == F.col("c.area")) & (F.col("a.norm_city") == F.col("c.account_city"))).select(
+            "rec_ord", _block(FUZZY_CITY, F.col("c.area"), F.col("c.store_city"), F.lit("")), F.col("key_words").alias("text")))
+    if FUZZY_NAME in layers or FUZZY_ADDRESS in layers:
+        place = _listed_under(F.when(F.col("norm_city") != "", F.lit("city")))
+        loose = (
+            accounts.select("distributor_name", "rec_ord", F.col("state_block").alias("area"), "norm_name_key", "house_num",
+                            F.explode(place).alias("place"), "key_words", "addr_words")
+            .filter(F.col("place") != "city").withColumn("house", F.explode(houses))
+            .select("rec_ord", "area", "place", "house", "distributor_name", "norm_name_key", _loose_texts()))
+        parts.append(loose.filter(((F.col("layer") == FUZZY_ADDRESS) | named) & F.col("layer").isin(*layers)).select(
+            "rec_ord", _loose_block(), "text"))
+    return reduce(DataFrame.unionByName, parts).groupBy("block", "text").agg(F.min("rec_ord").alias("rec_ord"))
 
 
 def contenders(pairs: pa.Table) -> pa.Table:
-    """Pairs ``left_text, firsts, score`` that are, for some distributor, their text's best or first confirmed one."""
-    firsts = pairs.column("firsts").combine_chunks()
-    entry = firsts.flatten()
-    order = pc.rank(entry.field("rec_ord"), tiebreaker="dense").to_numpy()
-    rows = pd.DataFrame({
-        "pair": pc.list_parent_indices(firsts).to_numpy(),
-        "distributor": pd.factorize(entry.field("distributor_name").to_numpy(zero_copy_only=False))[0],
-        "order": order})
-    rows["text"] = pd.factorize(pairs.column("left_text").to_numpy())[0][rows["pair"]]
-    rows["score"] = pairs.column("score").to_numpy()[rows["pair"]]
-    best = rows.sort_values(["score", "order"], ascending=[False, True])
-    sure = rows[rows["score"] >= CONFIRMED].sort_values("order")
-    kept = [df.drop_duplicates(["text", "distributor"])["pair"] for df in (best, sure)]
-    return pairs.take(pa.array(np.unique(np.concatenate(kept))))
+    """Pairs ``left, rec_ord, score`` that are their left text's best or its first confirmed one."""
+    left, score = pairs.column("left").to_numpy(), pairs.column("score").to_numpy()
+    order = pc.rank(pairs.column("rec_ord"), tiebreaker="dense").to_numpy()
+
+    def firsts(at: np.ndarray) -> np.ndarray:
+        return at[np.concatenate(([True], left[at][1:] != left[at][:-1]))] if len(at) else at
+
+    sure = np.flatnonzero(score >= CONFIRMED)
+    kept = np.concatenate((firsts(np.lexsort((order, -score, left))), firsts(sure[np.lexsort((order[sure], left[sure]))])))
+    return pairs.take(pa.array(np.unique(kept)))
 
 
 def _picks_per_text(probe_texts: DataFrame, entries: DataFrame) -> DataFrame:
-    """For each probe text and distributor: the best account, and the first confirmed one.
+    """For each probe text: the best account, and the first confirmed one.
 
-    The pairs are thinned and aggregated in the tasks that score them; only the picks are shuffled.
+    The pairs are thinned in the tasks that score them; only the picks are shuffled.
     """
-    pairs = similar_texts(probe_texts, entries, FLAGGED, carry=["firsts"], thin=contenders)
-    scored = pairs.select("block", F.col("left_text").alias("text"), "score", F.inline("firsts"))
-    return scored.groupBy("block", "text", "distributor_name").agg(
+    pairs = similar_texts(probe_texts, entries, FLAGGED, carry=["rec_ord"], thin=contenders)
+    return pairs.groupBy("block", F.col("left_text").alias("text")).agg(
         F.min(F.struct((-F.col("score")).alias("minus"), "rec_ord")).alias("best"),
         F.min(F.when(F.col("score") >= CONFIRMED, F.struct("rec_ord", (-F.col("score")).alias("minus"))))
         .alias("sure"))
 
 
-def match_fuzzy(candidates: DataFrame, accounts: DataFrame, layers: Sequence[str] = FUZZY_LAYERS) -> DataFrame:
+def match_fuzzy(candidates: DataFrame, accounts: DataFrame, layers: Sequence[str] = FUZZY_LAYERS,
+                open_pairs: DataFrame | None = None) -> DataFrame:
     """Zip layer before state layer. In the state layer the first confirmed account wins over better later ones;
-    only where none is confirmed does the best flagged one count, and not for stores without city and zip."""
-    wanted = F.col("block.layer").isin(*layers)
-    cities = _similar_cities(candidates, accounts)
-    probes = _probes(candidates).filter(wanted)
-    entries = materialize(_entries(accounts, cities).filter(wanted), "entries")
-    texts = materialize(probes.select("block", "text").distinct(), "probe-texts")
-    found = probes.join(_picks_per_text(texts, entries), ["block", "text"])
+    only where none is confirmed does the best flagged one count, and not for stores without city and zip.
+
+    ``open_pairs`` (``store_id, distributor_name``; every one if not given) are those to look for; no other is probed.
+    """
+    open_pairs = all_pairs(candidates, accounts) if open_pairs is None else open_pairs
+    probes = materialize(_probes(candidates.join(open_pairs, "store_id"), layers), "probes")
+    entries = _entries(candidates, accounts, layers)
+    found = probes.join(_picks_per_text(probes.select("block", "text").distinct(), entries), ["block", "text"])
 
     layer = F.col("block.layer")
     in_zip = layer == FUZZY_ZIP
@@ -218,7 +223,7 @@ def match_fuzzy(candidates: DataFrame, accounts: DataFrame, layers: Sequence[str
                     by_address.alias("by_address"), layer.alias("layer"))
     best = F.struct(F.col("best.minus"), foreign.alias("foreign"), F.col("best.rec_ord"),
                     by_address.alias("by_address"), layer.alias("layer"))
-    picked = found.groupBy("store_id", "distributor_name").agg(
+    picked = found.groupBy("store_id", F.col("block.distributor_name").alias("distributor_name")).agg(
         F.min(F.when(in_zip, best)).alias("zip"),
         F.min(F.when(~in_zip & F.col("sure").isNotNull(), sure)).alias("sure"),
         F.min(F.when(~in_zip & F.col("has_anchor"), best)).alias("flagged"))
@@ -247,17 +252,20 @@ def first_layer(hits: DataFrame) -> DataFrame:
 
 
 def find_matches(stores: DataFrame, raw_accounts: DataFrame) -> DataFrame:
-    """``stores`` (17 columns) with ``distributor_matches``: one entry per distributor, unmatched ones included."""
+    """``stores`` (17 columns) with ``distributor_matches``: one entry per distributor, unmatched ones included.
+
+    A pair of store and distributor that a layer settles is not looked at by the layers after it.
+    """
     candidates = materialize(ac.matchable_candidates(stores), "candidates")
     accounts = materialize(ac.matchable_accounts(raw_accounts), "accounts")
+    pair = ["store_id", "distributor_name"]
 
     exact = materialize(first_layer(
         match_exact_address(candidates, accounts).unionByName(match_exact_name(candidates, accounts))), "exact")
-    distributors = accounts.select("distributor_name").distinct().count()
-    settled = exact.groupBy("store_id").count().filter(F.col("count") == distributors)
-    rest = materialize(candidates.join(settled, "store_id", "left_anti"), "unsettled")
-    fuzzy = match_fuzzy(rest, accounts)
-    return nest_matches(stores, first_layer(exact.unionByName(fuzzy)), accounts)
+    left = all_pairs(candidates, accounts).join(exact, pair, "left_anti")
+    in_zip = materialize(match_fuzzy(candidates, accounts, (FUZZY_ZIP,), left), "in-zip")
+    in_state = match_fuzzy(candidates, accounts, (FUZZY_CITY, FUZZY_NAME, FUZZY_ADDRESS), left.join(in_zip, pair, "left_anti"))
+    return nest_matches(stores, exact.unionByName(in_zip).unionByName(in_state), accounts)
 
 
 def nest_matches(stores: DataFrame, hits: DataFrame, accounts: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from shelfmatch.functions.similarity import indel_scores, lcs_lengths, similar_pairs
-from shelfmatch.operators.similarity_join import similar_texts
+from shelfmatch.operators import similarity_join
+from shelfmatch.operators.similarity_join import similar_texts, with_units
 
 
 def lcs_table(a: str, b: str) -> int:
@@ -62,14 +63,16 @@ def near_copies(rng: random.Random, seeds: list[str], n: int, alphabet: str) ->
 
 
 @pytest.mark.parametrize("threshold", [75, 85, 86, 100])
-@pytest.mark.parametrize("small, tile", [(0, 8), (0, 1024), (2_600, 16), (10**9, 1)])
-def test_join_equals_comparing_every_pair(spark, threshold, small, tile):
+@pytest.mark.parametrize("unit, tile, pairs", [(8, 8, 1), (30, 1024, 16_384), (40, 7, 100), (10**9, 5, 1)])
+def test_join_equals_comparing_every_pair(spark, monkeypatch, threshold, unit, tile, pairs):
+    monkeypatch.setattr(similarity_join, "SMALL", pairs)
+    monkeypatch.setattr(similarity_join, "ROWS", 50)
     rng = random.Random(threshold)
     seeds = ["", "a", "ab", "aaaaaaaa", "blue anvil", "old red widget", "10 main street city 4 nj", "zq^$ 7é😀"]
     left, right = (sorted(near_copies(rng, seeds, 150, "ab e1é")) for _ in range(2))
     wanted = {(g, a, b) for g, a in left for h, b in right if g == h and score(a, b) >= threshold}
     frames = [spark.createDataFrame(rows, "block string, text string") for rows in (left, right)]
-    found = [tuple(r) for r in similar_texts(*frames, threshold, small, tile).drop("score").collect()]
+    found = [tuple(r) for r in similar_texts(*frames, threshold, unit, tile).drop("score").collect()]
     assert len(found) == len(set(found))
     assert set(found) == wanted and wanted
 
@@ -94,7 +97,34 @@ def test_carried_columns_stay_with_their_text(spark):
     names = [f"golden cellar {i:03}" for i in range(80)]
     left = spark.createDataFrame([("x", n) for n in names], "block string, text string")
     right = spark.createDataFrame(left.collect(), left.schema).withColumn("firsts", F.array(F.struct(F.upper("text").alias("d"), F.length("text").alias("n"))))
-    for small in (0, 10**9):
-        out = similar_texts(left, right, 100, small, 32, carry=["firsts"]).collect()
+    for unit in (16, 10**9):
+        out = similar_texts(left, right, 100, unit, 32, carry=["firsts"]).collect()
         assert sorted((r["left_text"], r["firsts"][0]["d"], r["firsts"][0]["n"]) for r in out) == [
             (n, n.upper(), 17) for n in names]
+
+
+def test_copies_of_a_wide_block_stay_few(spark):
+    """Texts of one block, 3,000 a side with lengths from 1 to 300: a text is copied to the cuts of near bands only."""
+    from pyspark.sql import functions as F
+
+    def side(seed):
+        return spark.range(3000).select(F.lit("x").alias("block"), F.expr(f"substring(repeat(sha2(cast(id + {seed} as string), 256), 5), 1, cast(id % 300 + 1 as int))").alias("text"))
+
+    rows = with_units(side(0), side(9000), 75, 500, [])
+    texts = side(0).withColumn("band", similarity_join.length_band(F.length("text"), 75)).groupBy("band").count().collect()
+    size = {r["band"]: r["count"] for r in texts}
+    bound = sum(n * -(-size[b] // 500) for k, n in size.items() for b in size if abs(b - k) <= 1)
+    assert rows.count() == 2 * bound < 6000 * 6  # 6: each text to every cut of the other side, whatever its length
+    assert rows.groupBy("u1", "u2", "side").count().agg(F.max("count")).first()[0] < 1000
+
+
+def test_bands_part_no_similar_lengths(spark):
+    from pyspark.sql import functions as F
+
+    for threshold in (1, 50, 75, 86, 100):
+        band = {r["n"]: r["b"] for r in spark.range(1, 401).select(
+            F.col("id").alias("n"), similarity_join.length_band(F.col("id"), threshold).alias("b")).collect()}
+        for a in range(1, 401):
+            for b in range(a, 401):
+                if 200 * a >= threshold * (a + b):
+                    assert abs(band[a] - band[b]) <= 1
