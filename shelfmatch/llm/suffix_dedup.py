@@ -35,7 +35,7 @@ from shelfmatch.session import materialize, scratch_path
 #: Bytes of an anchor.
 GRAM = 24
 #: Bytes of text in a block, windows read at once, bytes of text to one range of hashes or suffixes.
-BLOCK, CHUNK, RANGE = 4 << 20, 1 << 20, 16 << 20
+BLOCK, CHUNK, RANGE = 4 << 20, 1 << 16, 16 << 20
 #: Bits kept of the hashes of an anchor and of a stretch; together they stand for a stretch.
 ANCHOR_BITS, STRETCH_BITS = 40, 48
 #: A row without an id comes after all others.
@@ -85,19 +85,24 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _hash(data: np.ndarray, width: int) -> np.ndarray:
-    """Hashes of all strings of ``width`` bytes, from those of half the width."""
-    out, have, done = None, _BYTE[data], 1
-    level, at, n = 0, 0, len(data) - width + 1
-    while True:
-        if width & done:
-            part = have[at:at + n]
+def _levels(data: np.ndarray, width: int) -> list[np.ndarray]:
+    """Hashes of all strings of 1, 2, 4, ... bytes up to ``width``, each from those of half the length."""
+    out = [_BYTE[data]]
+    while 2 << (len(out) - 1) <= width:
+        have, done = out[-1], 1 << (len(out) - 1)
+        out.append(have[:-done] * _MULT[len(out)] + have[done:])
+    return out
+
+
+def _hash(levels: list[np.ndarray], width: int) -> np.ndarray:
+    """Hashes of all strings of ``width`` bytes, put together from powers of two."""
+    n, at, out = len(levels[0]) - width + 1, 0, None
+    for k in reversed(range(width.bit_length())):
+        if width >> k & 1:
+            part = levels[k][at:at + n]
             out = part if out is None else out * _MULT[8] + part
-            at += done
-        if done * 2 > width:
-            return out
-        have = have[:-done] * _MULT[level] + have[done:]
-        done, level = done * 2, level + 1
+            at += 1 << k
+    return out
 
 
 def _least(x: np.ndarray, width: int) -> np.ndarray:
@@ -119,7 +124,8 @@ def stretches(data: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarra
     for at in range(0, len(data) - length + 1, CHUNK):
         part, own = data[at:at + CHUNK + length - 1], doc[at:at + CHUNK + length - 1]
         n = len(part) - length + 1
-        anchor = _least(_mixed(_hash(part, gram)), length - gram + 1)[:n]
+        levels = _levels(part, length)
+        anchor = _least(_mixed(_hash(levels, gram)), length - gram + 1)[:n]
         whole = own[:n] == own[length - 1:]
         first = whole.copy()
         first[1:] &= ~(whole[:-1] & (anchor[1:] == anchor[:-1]) & (own[1:n] == own[:n - 1]))
@@ -128,7 +134,7 @@ def stretches(data: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarra
         starts, ends = np.flatnonzero(first), np.flatnonzero(last)
         if not len(starts):
             continue
-        window = _hash(part, length)
+        window = _hash(levels, length)
         total = np.add.reduceat(np.where(whole, window, np.uint64(0)), starts)
         stretch = _mixed((total ^ (window[starts] * _MULT[11])) + window[ends] * _MULT[12] + (ends - starts).astype(np.uint64) * _MULT[13])
         found.append((anchor[starts], stretch, starts + at, ends - starts + 1))
@@ -195,17 +201,21 @@ def answered(entries: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
     """The answers of one range to each block, from the blocks' entries."""
     parts = [unpack(data) for _, data in entries]
     anchor = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
-    stretch = np.concatenate([p[1] for p in parts])
-    owner = np.concatenate([p[2][p[3]] for p in parts])
-    order = np.lexsort((owner, stretch, anchor))
-    a, s, o = anchor[order], stretch[order], owner[order]
-    new_anchor = np.concatenate(([True], a[1:] != a[:-1]))
-    new = new_anchor | np.concatenate(([True], s[1:] != s[:-1]))
-    least = o[new][np.cumsum(new) - 1]  # sorted: the first has the least id
-    groups = np.flatnonzero(new_anchor)
-    mixed = np.minimum.reduceat(least, groups) < np.maximum.reduceat(least, groups)
-    state = np.empty(len(order), np.uint8)
-    state[order] = np.where(least < o, HELD, np.where(np.repeat(mixed, np.diff(np.append(groups, len(order)))), SHARED, ALONE))
+    order = np.argsort(anchor, kind="stable")
+    same = np.diff(anchor[order]) == 0
+    twice = order[np.concatenate((same, [False])) | np.concatenate(([False], same))]  # places whose anchor stands elsewhere too
+    state = np.full(len(anchor), ALONE, np.uint8)
+    if len(twice):
+        stretch, owner = np.concatenate([p[1] for p in parts])[twice], np.concatenate([p[2][p[3]] for p in parts])[twice]
+        order = np.lexsort((owner, stretch, anchor[twice]))
+        a, s, o = anchor[twice][order], stretch[order], owner[order]
+        new_anchor = np.concatenate(([True], a[1:] != a[:-1]))
+        new = new_anchor | np.concatenate(([True], s[1:] != s[:-1]))
+        least = o[new][np.cumsum(new) - 1]  # sorted: the first has the least id
+        groups = np.flatnonzero(new_anchor)
+        mixed = np.minimum.reduceat(least, groups) < np.maximum.reduceat(least, groups)
+        found = np.where(np.repeat(mixed, np.diff(np.append(groups, len(order)))), SHARED, ALONE)
+        state[twice[order]] = np.where(least < o, HELD, found)
     at = 0
     for (block, _), p in zip(entries, parts, strict=True):
         own, at = state[at:at + len(p[1])], at + len(p[1])
@@ -229,10 +239,8 @@ def front_coded(data: np.ndarray, at: np.ndarray, ids: np.ndarray, length: int)
 
     Suffixes are cut to ``length`` bytes. ``ids`` are the documents', the number is the place in ``at``.
     """
-    text = data[at[:, None] + np.arange(length)]
-    padded = np.zeros((len(at), -(-length // 8) * 8), np.uint8)
-    padded[:, :length] = text
-    order = np.lexsort(padded.view(">u8").astype(np.uint64).T[::-1])
+    text = np.lib.stride_tricks.sliding_window_view(data, length)[at]
+    order = np.argsort(text.view(f"S{length}").ravel(), kind="stable")  # compares all bytes, zero bytes too
     text = text[order]
     shared = np.zeros(len(at), np.int64)
     if len(at) > 1:
@@ -244,22 +252,23 @@ def front_coded(data: np.ndarray, at: np.ndarray, ids: np.ndarray, length: int)
 
 
 class Run:
-    """Reads a front-coded run: common prefix with the string before, and the string."""
+    """Reads a front-coded run: common prefix with the string before, and the string as a number that sorts as it does."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes, length: int):
         shared, rest, names, place, self.order = unpack(data)
         self.shared, self.rest = shared.tolist(), rest.tobytes()
         self.ids = names[place].tolist()
-        self.next, self.at, self.text = 0, 0, b""
+        self.length, self.next, self.at, self.text = length, 0, 0, b""
 
-    def step(self, length: int) -> int:
+    def step(self) -> int:
         """Go on to the next string; what it has in common with the last, or -1 at the end."""
-        if self.next == len(self.shared):
+        at = self.next
+        if at == len(self.shared):
             return -1
-        shared = self.shared[self.next]
-        stop = self.at + length - shared
+        shared = self.shared[at]
+        stop = self.at + self.length - shared
         self.text = self.text[:shared] + self.rest[self.at:stop]
-        self.at, self.next = stop, self.next + 1
+        self.at, self.next = stop, at + 1
         return shared
 
 
@@ -271,71 +280,70 @@ def merged(runs: list[Run], length: int) -> Iterator[tuple[int, int, int]]:
     string and nothing is compared; where they share the same length, comparison starts after it.
     """
     n = len(runs)
-    shares = [run.step(length) for run in runs]
+    number = int.from_bytes
+    shares = [run.step() for run in runs]
 
-    def smaller(a: int, b: int) -> tuple[int, int]:
-        """The winner of two runs, and what loser and winner have in common; updates no share of the winner."""
+    def match(a: int, b: int) -> tuple[int, int, int]:
+        """Winner and loser of two runs, and what they have in common."""
         x, y = shares[a], shares[b]
         if x != y:
-            return (a, y) if x > y else (b, x)
+            return (a, b, y) if x > y else (b, a, x)
         if x < 0:
-            return a, -1
-        p, q = int.from_bytes(runs[a].text[x:]), int.from_bytes(runs[b].text[x:])
+            return a, b, -1
+        p, q = number(runs[a].text[x:]), number(runs[b].text[x:])
         common = length - ((p ^ q).bit_length() + 7) // 8
-        return (a, common) if p <= q else (b, common)
+        return (a, b, common) if p <= q else (b, a, common)
 
     losers, common = [0] * n, [0] * n
     winners = [0] * n + list(range(n))
     for node in range(n - 1, 0, -1):
-        a, b = winners[2 * node], winners[2 * node + 1]
-        best, both = smaller(a, b)
-        winners[node] = best
-        lost = b if best == a else a
-        losers[node], common[node] = lost, both
+        winners[node], losers[node], common[node] = match(winners[2 * node], winners[2 * node + 1])
     top = winners[1] if n > 1 else 0
-    while shares[top] >= 0:
+    paths = [[node for node in ((i + n) >> k for k in range(1, n.bit_length() + 1)) if node] for i in range(n)]
+    share = shares[top]
+    while share >= 0:
         run = runs[top]
-        yield top, run.next - 1, shares[top]
-        share, mine = run.step(length), top
-        node = (top + n) >> 1
-        while node:
+        yield top, run.next - 1, share
+        share = run.step()
+        for node in paths[top]:
             other = common[node]
-            if share == other:
-                if share >= 0:
-                    a, b = int.from_bytes(runs[mine].text[share:]), int.from_bytes(runs[losers[node]].text[share:])
-                    both = length - ((a ^ b).bit_length() + 7) // 8
-                    if a <= b:
-                        common[node] = both
-                    else:
-                        losers[node], mine = mine, losers[node]
-                        common[node] = both
-            elif share < other:
-                losers[node], mine = mine, losers[node]
+            if share > other:
+                continue
+            if share < other:
                 common[node], share = share, other
-            node >>= 1
-        shares[mine] = share
-        top = mine
+                losers[node], top = top, losers[node]
+            elif share >= 0:
+                loser = losers[node]
+                a, b = number(runs[top].text[share:]), number(runs[loser].text[share:])
+                common[node] = length - ((a ^ b).bit_length() + 7) // 8
+                if a > b:
+                    losers[node], top = top, loser
 
 
 def repeats(entries: list[tuple[int, bytes]], length: int) -> Iterator[tuple[int, bytes]]:
     """For each block of one range: numbers of the suffixes whose first ``length`` bytes a smaller document has too."""
-    runs = [Run(data) for _, data in entries]
+    runs = [Run(data, length) for _, data in entries]
     hits: list[list[int]] = [[] for _ in runs]
-    group: list[tuple[int, int]] = []
+    group: list[tuple[int, int]] = []  # equal strings, when there are two at least
+    last = (0, 0)
 
     def close() -> None:
-        if len(group) > 1:
-            least = min(runs[r].ids[i] for r, i in group)
-            for r, i in group:
-                if runs[r].ids[i] > least:
-                    hits[r].append(i)
+        least = min(runs[r].ids[i] for r, i in group)
+        for r, i in group:
+            if runs[r].ids[i] > least:
+                hits[r].append(i)
 
     for r, i, share in merged(runs, length):
-        if share < length:
+        if share == length:
+            if not group:
+                group.append(last)
+            group.append((r, i))
+        elif group:
             close()
             group = []
-        group.append((r, i))
-    close()
+        last = (r, i)
+    if group:
+        close()
     for (block, _), run, own in zip(entries, runs, hits, strict=True):
         if own:
             yield block, pack(np.sort(run.order[own]))
@@ -344,8 +352,8 @@ def repeats(entries: list[tuple[int, bytes]], length: int) -> Iterator[tuple[int
 # The job
 
 
-def _by_range(rows: DataFrame, answer: Callable[[list[tuple[int, bytes]]], Iterator[tuple[int, bytes]]], name: str) -> DataFrame:
-    """Answers to the blocks from rows of ``rng, block, data``: all rows of a range meet in one task, one range at a time."""
+def _by_range(rows: DataFrame, ranges: int, answer: Callable[[list[tuple[int, bytes]]], Iterator[tuple[int, bytes]]], name: str) -> DataFrame:
+    """Answers to the blocks from rows of ``rng, block, data``: each range is one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, bytes]] = []
@@ -363,7 +371,7 @@ def _by_range(rows: DataFrame, answer: Callable[[list[tuple[int, bytes]]], Itera
                 held.append((block, data))
         yield from out()
 
-    dealt = rows.repartition("rng").sortWithinPartitions("rng", "block")
+    dealt = rows.repartitionById(ranges, F.col("rng")).sortWithinPartitions("rng", "block")
     return materialize(dealt.mapInArrow(run, "rng int, block long, data binary"), name)
 
 
@@ -463,7 +471,7 @@ def repeated_spans(docs: DataFrame, length: int = 50, block_bytes: int = BLOCK,
                 yield _batch([(r, block, d) for r, d in Block(data, length).sent(ranges)], ["rng", "block", "data"], three)
 
     entries = blocks.select("block", "data").mapInArrow(send, "rng int, block long, data binary")
-    first = _by_range(entries, answered, "stretch-answers")
+    first = _by_range(entries, ranges, answered, "stretch-answers")
     cuts = np.array(splitters(blocks, count, ranges), np.uint64)
 
     def told(answers: list[dict] | None) -> list[tuple[int, bytes]]:
@@ -488,7 +496,7 @@ def repeated_spans(docs: DataFrame, length: int = 50, block_bytes: int = BLOCK,
                         yield _batch([(r, number, run)], ["rng", "block", "data"], three)
 
     runs = _with_answers(blocks.select("block", "data"), buckets, first).mapInArrow(suffixes, "rng int, block long, data binary")
-    second = _by_range(runs, lambda entries: repeats(entries, length), "suffix-answers")
+    second = _by_range(runs, ranges, lambda entries: repeats(entries, length), "suffix-answers")
 
     def removed(block: Block, answers: list[tuple[int, bytes]], hits: list[tuple[int, bytes]]) -> np.ndarray:
         """Whether each byte of the block goes."""

@@ -75,7 +75,7 @@ def test_merge_compares_no_known_prefix(monkeypatch):
     data = np.frombuffer(b"".join(strings), np.uint8)
     places = np.arange(400) * 20
     cuts = [0, 7, 7, 150, 151, 390, 400]
-    runs = [sd.Run(sd.front_coded(data, places[a:b], np.arange(a, b), 20)) for a, b in zip(cuts, cuts[1:]) if a < b]
+    runs = [sd.Run(sd.front_coded(data, places[a:b], np.arange(a, b), 20), 20) for a, b in zip(cuts, cuts[1:]) if a < b]
     out = []
     for r, i, share in sd.merged(runs, 20):
         text = strings[runs[r].ids[i]]
@@ -88,7 +88,7 @@ def test_merge_compares_no_known_prefix(monkeypatch):
 
 def test_one_run():
     data = np.frombuffer(b"banana", np.uint8)
-    run = sd.Run(sd.front_coded(data, np.arange(4), np.zeros(4, np.int64), 3))
+    run = sd.Run(sd.front_coded(data, np.arange(4), np.zeros(4, np.int64), 3), 3)
     assert [share for _, _, share in sd.merged([run], 3)] == [0, 3, 0, 0]
 
 
