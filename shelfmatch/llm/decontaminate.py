@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from shelfmatch.llm.common import by_text, doc_texts, unused
 
 #: Characters of a q-gram, and edits for each character of an item.
-GRAM, EDIT_RATE = 12, 0.05
+GRAM, EDIT_RATE = 10, 0.08
 #: Characters of benchmark items that one pass over the documents looks for.
 BLOCK_CHARS = 4 << 20
 #: Characters of a document that are matched at once.

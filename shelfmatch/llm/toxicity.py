@@ -57,9 +57,12 @@ def sample_of(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER
     if not counts:
         return []
     scale = 1 << 40
-    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(scale, scale * rows_per_class // n)))])
-    chosen = marked.filter(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(scale)) < share[F.col("toxic")])
-    found = doc_texts(docs).join(chosen, "doc_id").select("doc_id", "text", "toxic")
+    shares = {k: min(scale, scale * rows_per_class // n) for k, n in counts.items()}
+    share = F.create_map(*[x for k, n in shares.items() for x in (F.lit(k), F.lit(n))])
+    drawn = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(5)), F.lit(scale))
+    chosen = marked.filter(drawn < share[F.col("toxic")])
+    # Texts that no class's share reaches don't move.
+    found = doc_texts(docs.filter(drawn < max(shares.values()))).join(chosen, "doc_id").select("doc_id", "text", "toxic")
     # Repeated rows must not outgrow the sample: one text of an id is enough to learn from.
     return [(r["text"], int(r["toxic"] > 0)) for r in found.groupBy("doc_id").agg(
         F.min("text").alias("text"), F.max("toxic").alias("toxic")).orderBy("doc_id").collect()]
