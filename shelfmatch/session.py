@@ -82,11 +82,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    keep_until_released(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def keep_until_released(spark: SparkSession, path: str) -> None:
+    """Have a scratch folder deleted as an intermediate table is."""
     if (written := _written.get()) is not None:
         written.append(path)
     else:
         _unreleased[path] = deleter(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
 
 
 @atexit.register
