@@ -15,7 +15,7 @@ from shelfmatch.checks.queries import QUERIES
 
 HEADLINE = (
     "match_cascade", "match_exact_address", "match_exact_name", "match_fuzzy_zip", "match_fuzzy_city",
-    "match_fuzzy_name_or_address", "similar_names_in_tiles", "incremental_match", "normalized_listings",
+    "match_fuzzy_name_or_address", "match_wide_block", "similar_names_in_tiles", "incremental_match", "normalized_listings",
     "latest_scrape", "upsert", "insert_only_merge", "scrape_file_scan", "scrape_ingest_stream", "zip_lookup",
     "classified_replies", "pending_geocode_requests", "located_stores", "batch_request_lines", "freshness_check",
 )

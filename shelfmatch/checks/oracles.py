@@ -108,11 +108,11 @@ def sorted_words(x: str) -> str:
     return joined(f"list_sort({words(x)})")
 
 
-def ratio(a: str, b: str) -> str:
-    """Bit-parallel LCS, one step per character of ``b``; ``a`` has at most 62 characters."""
-    full = f"((1::bigint << length({a})) - 1)"
+def ratio(a: str, b: str, kind: str = "bigint") -> str:
+    """Bit-parallel LCS, one step per character of ``b``; ``a`` has at most 62 characters (125 as ``hugeint``)."""
+    full = f"((1::{kind} << length({a})) - 1)"
     mask = (f"coalesce(list_sum(list_transform(range(length({a})), "
-            f"lambda i: case when {a}[i + 1] = ch then 1::bigint << i else 0 end)), 0)::bigint")
+            f"lambda i: case when {a}[i + 1] = ch then 1::{kind} << i::int else 0::{kind} end)), 0)::{kind}")
     steps = f"list_prepend({full}, list_transform(string_split({b}, ''), lambda ch: {mask}))"
     state = f"list_reduce({steps}, lambda s, m: ((s + (s & m)) | (s - (s & m))) & {full})"
     return (f"(case when length({a}) + length({b}) = 0 then 100.0::double "
@@ -333,6 +333,10 @@ ORACLES: dict[str, str] = {
     "similarity_ratio": with_("stores") + f"""select store_id, {ratio('n', 'b')} as name_to_brand,
  {ratio('n', 'a')} as name_to_address from
  (select store_id, lower(store_name) as n, lower(brand) as b, lower({blank('address')}) as a from stores)""",
+    "similarity_of_long_texts": with_("stores") + f"""select store_id, length(a) as left_length, length(b) as right_length,
+ {ratio('a', 'b', 'hugeint')} as score from (select store_id, left(lower(concat_ws(' ', store_name, brand, address, parsed_city,
+ state, phone, road, parsed_country, zip)), 120) as a, lower(concat_ws(' ', phone, brand, road, store_name, address, parsed_city,
+ store_name, brand, address, state, store_name, road, phone)) as b from stores)""",
     "token_sort_ratio": with_("stores") + f"""select store_id, {ratio('n', 'b')} as score from (select store_id,
  {sorted_words('lower(store_name)')} as n, {sorted_words('lower(brand)')} as b from stores)""",
     "similar_city_pairs": with_("stores", "accounts") + f"""select * from (select a.state, store_city, account_city,
@@ -372,6 +376,11 @@ ORACLES: dict[str, str] = {
     "match_fuzzy_name_or_address": with_(*SIDES, NAME_SCORES, LOOSE_PAIRS, ADDRESS_SCORES, LOOSE_SCORED,
                                          state_layer("select * from loose_scored")) + f"select {HIT} from l3",
     "match_fuzzy_state": with_(*SIDES, *SCORES, CITY_PAIRS, LOOSE_SCORED, state_layer(BOTH)) + f"select {HIT} from l3",
+    "match_wide_block": with_(
+        f"stores as (select * replace ('NJ' as state, null as parsed_city) from ({STATEMENTS['stores']}))",
+        f"accounts as (select * replace ('NJ' as state, null as city) from ({STATEMENTS['accounts']}))",
+        *STORE_KEYS, *ACCOUNT_KEYS, NAME_SCORES, LOOSE_PAIRS, ADDRESS_SCORES, LOOSE_SCORED,
+        state_layer("select * from loose_scored")) + f"select {HIT} from l3",
     "state_buckets": with_(*SIDES) + """select s.store_id, a.distributor_name, a.st = s.st as own_state,
  count(*) as accounts from st s join ac a on a.st = s.st or a.st = '' group by all""",
     "match_cascade": with_(*CASCADE) + "select * from flat",

@@ -197,6 +197,19 @@ def similarity_ratio(t):
         sim.ratio(name, F.lower(tx.blank_if_null(c("address")))).alias("name_to_address"))
 
 
+@query
+def similarity_of_long_texts(t):
+    """Texts longer than a machine word on both sides."""
+    def joined(*names):
+        return F.lower(F.concat_ws(" ", *names))
+
+    a = F.substring(joined("store_name", "brand", "address", "parsed_city", "state", "phone", "road", "parsed_country", "zip"), 1, 120)
+    b = joined("phone", "brand", "road", "store_name", "address", "parsed_city", "store_name", "brand", "address", "state",
+               "store_name", "road", "phone")
+    return t("stores").select("store_id", F.char_length(a).cast("long").alias("left_length"),
+                              F.char_length(b).cast("long").alias("right_length"), sim.ratio(a, b).alias("score"))
+
+
 @query
 def token_sort_ratio(t):
     name, brand = tx.sorted_words(F.lower(c("store_name"))), tx.sorted_words(F.lower(c("brand")))
@@ -300,6 +313,15 @@ def match_fuzzy_state(t):
     return named_hits(ma.match_fuzzy(*match_sides(t), layers=(ma.FUZZY_CITY, ma.FUZZY_NAME, ma.FUZZY_ADDRESS)))
 
 
+@query
+def match_wide_block(t):
+    """All stores and accounts in one state without a city: blocks of many units, each of many tiles, thinned in the tasks."""
+    stores = t("stores").withColumns({"state": lit("NJ"), "parsed_city": lit(None).cast("string")})
+    accounts = t("accounts").withColumns({"state": lit("NJ"), "city": lit(None).cast("string")})
+    sides = (materialize(ac.matchable_candidates(stores), "candidates"), materialize(ac.matchable_accounts(accounts), "accounts"))
+    return named_hits(ma.match_fuzzy(*sides, layers=(ma.FUZZY_NAME, ma.FUZZY_ADDRESS), unit=256, tile=64))
+
+
 @query
 def state_buckets(t):
     """Accounts a store's state bucket holds: its own state's first, then those without a state."""

@@ -192,12 +192,12 @@ def contenders(pairs: pa.Table) -> pa.Table:
     return pairs.take(pa.array(np.unique(kept)))
 
 
-def _picks_per_text(probe_texts: DataFrame, entries: DataFrame) -> DataFrame:
+def _picks_per_text(probe_texts: DataFrame, entries: DataFrame, **sizes: int) -> DataFrame:
     """For each probe text: the best account, and the first confirmed one.
 
     The pairs are thinned in the tasks that score them; only the picks are shuffled.
     """
-    pairs = similar_texts(probe_texts, entries, FLAGGED, carry=["rec_ord"], thin=contenders)
+    pairs = similar_texts(probe_texts, entries, FLAGGED, carry=["rec_ord"], thin=contenders, **sizes)
     return pairs.groupBy("block", F.col("left_text").alias("text")).agg(
         F.min(F.struct((-F.col("score")).alias("minus"), "rec_ord")).alias("best"),
         F.min(F.when(F.col("score") >= CONFIRMED, F.struct("rec_ord", (-F.col("score")).alias("minus"))))
@@ -205,16 +205,17 @@ def _picks_per_text(probe_texts: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def match_fuzzy(candidates: DataFrame, accounts: DataFrame, layers: Sequence[str] = FUZZY_LAYERS,
-                open_pairs: DataFrame | None = None) -> DataFrame:
+                open_pairs: DataFrame | None = None, **sizes: int) -> DataFrame:
     """Zip layer before state layer. In the state layer the first confirmed account wins over better later ones;
     only where none is confirmed does the best flagged one count, and not for stores without city and zip.
 
     ``open_pairs`` (``store_id, distributor_name``; every one if not given) are those to look for; no other is probed.
+    ``sizes`` go to the similarity join.
     """
     open_pairs = all_pairs(candidates, accounts) if open_pairs is None else open_pairs
     probes = materialize(_probes(candidates.join(open_pairs, "store_id"), layers), "probes")
     entries = _entries(candidates, accounts, layers)
-    found = probes.join(_picks_per_text(probes.select("block", "text").distinct(), entries), ["block", "text"])
+    found = probes.join(_picks_per_text(probes.select("block", "text").distinct(), entries, **sizes), ["block", "text"])
 
     layer = F.col("block.layer")
     in_zip = layer == FUZZY_ZIP
