@@ -151,7 +151,8 @@ class Block:
         self.stops = np.cumsum(self.sizes)
         self.doc = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.sizes)
         anchor, stretch, start, count = stretches(self.data, self.doc, length)
-        anchor, stretch = anchor >> np.uint64(64 - ANCHOR_BITS), stretch >> np.uint64(64 - STRETCH_BITS)
+        # The least of many hashes is small: hashed once more, anchors spread evenly over the ranges.
+        anchor, stretch = _mixed(anchor) >> np.uint64(64 - ANCHOR_BITS), stretch >> np.uint64(64 - STRETCH_BITS)
         spare = np.uint64(64 - ANCHOR_BITS)
         order = np.argsort(anchor << spare | stretch & np.uint64((1 << (64 - ANCHOR_BITS)) - 1), kind="stable")
         self.anchor, self.stretch, self.start, self.count = anchor[order], stretch[order], start[order], count[order]
@@ -248,18 +249,21 @@ def front_coded(data: np.ndarray, at: np.ndarray, ids: np.ndarray, length: int)
         shared[1:] = np.where(other.any(axis=1), other.argmax(axis=1), length)
     rest = text[np.arange(length) >= shared[:, None]]
     names, place = np.unique(ids[order], return_inverse=True)
-    return pack(shared.astype(np.uint32), rest, names, place.astype(np.uint32), order.astype(np.uint32))
+    return pack(shared.astype(np.uint8 if length < 256 else np.uint32), rest, names, place.astype(np.uint32), order.astype(np.uint32))
 
 
 class Run:
     """Reads a front-coded run: common prefix with the string before, and the string as a number that sorts as it does."""
 
     def __init__(self, data: bytes, length: int):
-        shared, rest, names, place, self.order = unpack(data)
-        self.shared, self.rest = shared.tolist(), rest.tobytes()
-        self.ids = names[place].tolist()
+        shared, rest, self.names, self.place, self.order = unpack(data)
+        self.shared, self.rest = memoryview(shared), rest.tobytes()
         self.length, self.next, self.at, self.text = length, 0, 0, b""
 
+    def owner(self, at: int) -> int:
+        """The id of the document that the string at a place of the run is from."""
+        return int(self.names[self.place[at]])
+
     def step(self) -> int:
         """Go on to the next string; what it has in common with the last, or -1 at the end."""
         at = self.next
@@ -328,9 +332,10 @@ def repeats(entries: list[tuple[int, bytes]], length: int) -> Iterator[tuple[int
     last = (0, 0)
 
     def close() -> None:
-        least = min(runs[r].ids[i] for r, i in group)
-        for r, i in group:
-            if runs[r].ids[i] > least:
+        owners = [runs[r].owner(i) for r, i in group]
+        least = min(owners)
+        for (r, i), owner in zip(group, owners, strict=True):
+            if owner > least:
                 hits[r].append(i)
 
     for r, i, share in merged(runs, length):

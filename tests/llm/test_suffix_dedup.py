@@ -78,7 +78,7 @@ def test_merge_compares_no_known_prefix(monkeypatch):
     runs = [sd.Run(sd.front_coded(data, places[a:b], np.arange(a, b), 20), 20) for a, b in zip(cuts, cuts[1:]) if a < b]
     out = []
     for r, i, share in sd.merged(runs, 20):
-        text = strings[runs[r].ids[i]]
+        text = strings[runs[r].owner(i)]
         if out:
             common = next((k for k in range(20) if out[-1][k] != text[k]), 20)
             assert share == common
@@ -102,3 +102,10 @@ def test_texts_are_not_shuffled(docs, capsys):
     shown = capsys.readouterr().out
     assert "Bucketed: true" in shown
     assert all("data" not in line or "rng" in line for line in shown.splitlines() if "Exchange" in line)
+
+
+def test_ranges_are_even():
+    rng = random.Random(12)
+    text = prose(rng, 60_000).encode()
+    sizes = [len(sd.unpack(data)[1]) for _, data in sd.Block(sd.pack_texts([1], [text]), 50).sent(16)]
+    assert len(sizes) == 16 and max(sizes) < 1.2 * min(sizes)
