@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shelfmatch.llm.common import quoted, unused
-from shelfmatch.session import materialize, scratch_path
+from shelfmatch.session import keep_until_released, materialize, scratch_path
 
 #: Bytes of an anchor.
 GRAM = 24
@@ -421,9 +421,9 @@ def packed_blocks(docs: DataFrame, keep: tuple[str, ...], block_bytes: int) -> t
     named = [F.col(quoted(c)).alias(f"c{k}") for k, c in enumerate(keep)]
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *named).mapInArrow(
         run, "size long, data binary, rest binary")
-    name = f"suffix_blocks_{uuid.uuid4().hex}"
-    rows.withColumn("block", F.monotonically_increasing_id()).write.option("path", scratch_path(spark, "suffix-blocks")).bucketBy(
-        buckets, "block").saveAsTable(name)
+    name, path = f"suffix_blocks_{uuid.uuid4().hex}", scratch_path(spark, "suffix-blocks")
+    rows.withColumn("block", F.monotonically_increasing_id()).write.option("path", path).bucketBy(buckets, "block").saveAsTable(name)
+    keep_until_released(spark, path)
     blocks = spark.table(name)
     spark.sql(f"drop table {name}")  # only the name: the files stay, and the plan that reads them
     return blocks, buckets
