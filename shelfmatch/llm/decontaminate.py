@@ -4,6 +4,9 @@ An item of m characters that occurs in a text with at most e edits shares at lea
 it, all on diagonals (place in the text less place in the item) that lie within e of each other. Shared q-grams are
 counted in bands of diagonals that overlap by e, so each such occurrence falls whole into one band; bands that reach the
 bound are kept, and an alignment limited to the band's diagonals verifies them.
+
+The same holds for windows of ``REGION`` characters of longer items, one every ``STEP`` and one at the end: a text that holds
+only a part of an item is found by its windows, which are joined to regions.
 """
 
 from __future__ import annotations
@@ -19,10 +22,14 @@ from shelfmatch.llm.common import by_text, doc_texts, unused
 
 #: Characters of a q-gram, and edits for each character of an item.
 GRAM, EDIT_RATE = 10, 0.08
+#: Characters of the windows that parts of longer items are found by, and places from one to the next. Any part that is
+#: as long as both together, and any ``REGION`` characters at an end of an item, hold a window.
+REGION, STEP = 100, 25
 #: Characters of benchmark items that one pass over the documents looks for.
 BLOCK_CHARS = 4 << 20
 #: Characters of a document that are matched at once.
 CHUNK = 1 << 20
+FIELDS = ("item_id", "start", "stop", "edits", "item_start", "item_stop", "item_chars")
 
 _MULT = np.random.Generator(np.random.PCG64(12)).integers(1 << 30, 1 << 31, 40, dtype=np.uint32) * 2 + 1
 _SPACE = np.zeros(0x110000, bool)
@@ -119,7 +126,7 @@ class Index:
     """The q-grams of a block of items, sorted, with the item and place of each."""
 
     def __init__(self, items: list[tuple[int, str]], q: int, rate: float):
-        self.q, self.ids, self.texts, self.budgets = q, [], [], []
+        self.q, self.rate, self.ids, self.texts, self.budgets = q, rate, [], [], []
         self.short: list[tuple[int, str]] = []
         codes, owners, places = [], [], []
         for number, text in items:
@@ -141,12 +148,22 @@ class Index:
         self.owners = np.concatenate([np.empty(0, np.int64), *owners]).astype(np.int64)[order]
         self.places = np.concatenate([np.empty(0, np.int64), *places]).astype(np.int64)[order]
         self.lengths = np.array([len(t) for t in self.texts], np.int64)
-        self.edits = np.array(self.budgets, np.int64)
+        # Units are searched for: the items, and after them the windows of those over REGION characters.
+        more = np.where(self.lengths > REGION, (self.lengths - REGION) // STEP + 1, 0)  # at multiples of STEP
+        odd = (more > 0) & ((self.lengths - REGION) % STEP > 0)  # one more at the end
+        n = len(self.texts)
+        self.regular, self.odd, self.first_window = more, odd, n + np.cumsum(more + odd) - more - odd
+        whose = np.repeat(np.arange(n), more + odd)
+        number = np.arange(len(whose)) + n - self.first_window[whose]
+        self.unit_item = np.concatenate((np.arange(n), whose))
+        self.unit_start = np.concatenate((np.zeros(n, np.int64), np.minimum(number * STEP, self.lengths[whose] - REGION)))
+        self.unit_length = np.concatenate((self.lengths, np.full(len(whose), REGION)))
+        self.edits = np.array([*self.budgets, *[edit_budget(REGION, q, rate)] * len(whose)], np.int64)
         # A bit table says at once for most q-grams of a text that no item has them.
         self.bits = min(28, max(16, int(len(self.codes)).bit_length() + 5))
         self.seen = np.zeros(1 << self.bits, bool)
         self.seen[self.codes >> (32 - self.bits)] = True
-        self.reach = int((self.lengths + 2 * self.edits).max(initial=0))
+        self.reach = int((self.unit_length + 2 * self.edits).max(initial=0))
 
     def hits(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Item, place in the item and place in the text of every shared q-gram."""
@@ -157,17 +174,33 @@ class Index:
         which = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
         return self.owners[which], self.places[which], np.repeat(at, count)
 
+    def unit_hits(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Unit, place in the unit and place in the text of every shared q-gram: those of an item and of its windows."""
+        owner, place, at = self.hits(points)
+        units, places, ats = [owner], [place], [at]
+        for back in range(REGION // STEP):
+            number = place // STEP - back
+            own = np.flatnonzero((number >= 0) & (number < self.regular[owner]) & (place + self.q <= number * STEP + REGION))
+            units.append(self.first_window[owner[own]] + number[own])
+            places.append(place[own] - number[own] * STEP)
+            ats.append(at[own])
+        own = np.flatnonzero(self.odd[owner] & (place >= self.lengths[owner] - REGION))
+        units.append(self.first_window[owner[own]] + self.regular[owner[own]])
+        places.append(place[own] - self.lengths[owner[own]] + REGION)
+        ats.append(at[own])
+        return np.concatenate(units), np.concatenate(places), np.concatenate(ats)
+
     def bands(self, points: np.ndarray) -> Iterator[tuple[int, int]]:
-        """Items and first diagonals of the bands with enough shared q-grams.
+        """Units and first diagonals of the bands with enough shared q-grams.
 
-        An item with e edits has bands of 2e + 1 diagonals every e + 1, so any e + 1 diagonals in a row lie in one. A place of
-        an item counts once a band, however often its q-gram stands there.
+        A unit with e edits has bands of 2e + 1 diagonals every e + 1, so any e + 1 diagonals in a row lie in one. A place of
+        a unit counts once a band, however often its q-gram stands there.
         """
-        owner, place, at = self.hits(points)
+        owner, place, at = self.unit_hits(points)
         if not len(owner):
             return
         edits = self.edits[owner]
-        diagonal = at - place + self.lengths[owner]  # not negative
+        diagonal = at - place + self.unit_length[owner]  # not negative
         band = diagonal // (edits + 1)
         # The band before also holds this diagonal if it reaches so far; without edits bands don't overlap.
         also = (band > 0) & (diagonal - (band - 1) * (edits + 1) <= 2 * edits)
@@ -179,35 +212,83 @@ class Index:
         firsts = np.flatnonzero(new)
         shared = np.add.reduceat(own.astype(np.int64), firsts)
         owner, band = owner[firsts], band[firsts]
-        bound = self.lengths[owner] - self.q + 1 - self.q * self.edits[owner]
+        bound = self.unit_length[owner] - self.q + 1 - self.q * self.edits[owner]
         for i in np.flatnonzero(shared >= bound).tolist():
-            yield int(owner[i]), int(band[i] * (self.edits[owner[i]] + 1) - self.lengths[owner[i]])
+            yield int(owner[i]), int(band[i] * (self.edits[owner[i]] + 1) - self.unit_length[owner[i]])
+
+    def joined(self, item: int, finds: list[tuple[int, int, int, int]], points: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """Regions made of finds of an item's windows (text start and stop, edits, item start) that follow one another in both.
+
+        A region grows at both ends by characters that are equal. Edits, start, stop, item start and stop of each; regions
+        don't overlap, those that hold most of the item come first.
+        """
+        whole, chains, out = self.texts[item], [], []
+        for find in sorted(set(finds), key=lambda f: (f[3], f[0])):
+            for chain in chains:
+                a, b, _, at = chain[-1]
+                if 0 < find[3] - at <= REGION and find[0] < b and abs((find[0] - find[3]) - (a - at)) <= 2 * find[2] + 2 * chain[-1][2]:
+                    chain.append(find)
+                    break
+            else:
+                chains.append([find])
+        for chain in chains:
+            a, b, first, last = min(f[0] for f in chain), max(f[1] for f in chain), chain[0][3], chain[-1][3] + REGION
+            while a and first and points[a - 1] == whole[first - 1]:
+                a, first = a - 1, first - 1
+            while b < len(points) and last < len(whole) and points[b] == whole[last]:
+                b, last = b + 1, last + 1
+            most = sum(f[2] for f in chain) + abs((b - a) - (last - first))
+            hit = align(whole[first:last], points[a:b], -most, most, most)
+            if hit and hit[2] <= (last - first) * self.rate:
+                out.append((hit[2], a + hit[0], a + hit[1], first, last))
+            else:
+                out += [(e, x, y, at, at + REGION) for x, y, e, at in chain]
+        taken: list[tuple[int, int, int, int, int]] = []
+        for region in sorted(out, key=lambda r: (r[3] - r[4], r)):
+            if all(region[2] <= t[1] or region[1] >= t[2] for t in taken):
+                taken.append(region)
+        return taken
 
     def search(self, text: str) -> list[tuple[int, int, int, int]]:
         """Item, start, stop (places in the text as it is) and edits; of overlapping finds of an item the best, then first."""
+        return [f[:4] for f in self.regions(text)]
+
+    def regions(self, text: str) -> list[tuple[int, int, int, int, int, int, int]]:
+        """As ``search``, with the part of the folded item that was found (start and stop) and the item's characters.
+
+        Where an item is not whole, its parts of ``REGION`` characters or more are found, with edits at the same rate.
+        """
         points, origin = folded(text)
         found: dict[int, list[tuple[int, int, int]]] = {}
+        parts: dict[int, list[tuple[int, int, int, int]]] = {}
         for at in range(0, max(1, len(points)), CHUNK):
             part = points[at:at + CHUNK + self.reach]
-            for owner, low in self.bands(part):
-                edits = self.budgets[owner]
-                hit = align(self.texts[owner], part, low, low + 2 * edits, edits)
-                if hit:
-                    found.setdefault(owner, []).append((hit[2], at + hit[0], at + hit[1]))
+            for unit, low in self.bands(part):
+                edits, item, first = int(self.edits[unit]), int(self.unit_item[unit]), int(self.unit_start[unit])
+                hit = align(self.texts[item][first:first + int(self.unit_length[unit])], part, low, low + 2 * edits, edits)
+                if hit and unit < len(self.texts):
+                    found.setdefault(item, []).append((hit[2], at + hit[0], at + hit[1]))
+                elif hit:
+                    parts.setdefault(item, []).append((at + hit[0], at + hit[1], hit[2], first))
         out = []
-        for owner, own in found.items():
+        for owner in found.keys() | parts.keys():
             taken: list[tuple[int, int, int]] = []
-            for e, a, b in sorted(set(own)):
+            for e, a, b in sorted(set(found.get(owner, ()))):
                 if all(b <= x or a >= y for _, x, y in taken):
                     taken.append((e, a, b))
-            out += [(self.ids[owner], int(origin[a]), int(origin[b - 1]) + 1, e) for e, a, b in taken]
+            m = len(self.texts[owner])
+            spans = [(e, a, b, 0, m) for e, a, b in taken]
+            left = [f for f in parts.get(owner, ()) if all(f[1] <= x or f[0] >= y for _, x, y in taken)]
+            if left:
+                spans += [r for r in self.joined(owner, left, points) if all(r[2] <= x or r[1] >= y for _, x, y in taken)]
+            out += [(self.ids[owner], int(origin[a]), int(origin[b - 1]) + 1, e, x, y, m) for e, a, b, x, y in spans]
         if self.short:
             line = points.tobytes()
             for number, own in self.short:  # too short for a q-gram: exact places
                 raw, k = own.tobytes(), line.find(own.tobytes())
                 while k >= 0:
                     if k % 4 == 0:
-                        out.append((number, int(origin[k // 4]), int(origin[k // 4 + len(own) - 1]) + 1, 0))
+                        out.append((number, int(origin[k // 4]), int(origin[k // 4 + len(own) - 1]) + 1, 0, 0, len(own), len(own)))
                     k = line.find(raw, k + (len(raw) if k % 4 == 0 else 1))
         return sorted(out)
 
@@ -225,16 +306,17 @@ def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterato
         yield block
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, q: int = GRAM, rate: float = EDIT_RATE) -> DataFrame:
-    """``doc_id, item_id, start, stop, edits`` for each place where a document has a benchmark item.
+def covered(docs: DataFrame, benchmark: DataFrame, q: int = GRAM, rate: float = EDIT_RATE) -> DataFrame:
+    """``doc_id, item_id, start, stop, edits, item_start, item_stop, item_chars`` for each place where a document has a benchmark
+    item or a part of it, of ``REGION`` characters at least: where it stands, and which of the item's characters it holds.
 
     Letter case and runs of white space do not count. Items shorter than ``q`` characters are found exactly; items with no
     text but white space and null items never. Null and empty documents have no places. Repeated documents and repeated
     items each give their rows; a null id is kept. Without items the result is empty. Documents are read once for each
     block of items, whole, with nothing shuffled.
     """
-    columns = "hits array<struct<item_id long, start long, stop long, edits long>>"
-    kind = pa.list_(pa.struct([(n, pa.int64()) for n in ("item_id", "start", "stop", "edits")]))
+    columns = "hits array<struct<" + ", ".join(f"{n} long" for n in FIELDS) + ">>"
+    kind = pa.list_(pa.struct([(n, pa.int64()) for n in FIELDS]))
     texts, out = doc_texts(docs), None
 
     def reader_of(items: list[tuple[int, str]]):
@@ -242,7 +324,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, q: int = GRAM, rate: flo
             index = Index(items, q, rate)
 
             def read(batch: list[str]) -> list[pa.Array]:
-                return [pa.array([[dict(zip(("item_id", "start", "stop", "edits"), h, strict=True)) for h in index.search(t)] for t in batch], kind)]
+                return [pa.array([[dict(zip(FIELDS, h, strict=True)) for h in index.regions(t)] for t in batch], kind)]
 
             return read
 
@@ -252,12 +334,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, q: int = GRAM, rate: flo
         part = by_text(texts, reader_of(items), columns)
         out = part if out is None else out.unionAll(part)
     if out is None:
-        out = texts.limit(0).select("doc_id", F.lit(None).cast("array<struct<item_id long, start long, stop long, edits long>>").alias("hits"))
+        out = texts.limit(0).select("doc_id", F.lit(None).cast(columns.removeprefix("hits ")).alias("hits"))
     return out.select("doc_id", F.inline("hits"))
 
 
+def contaminated(docs: DataFrame, benchmark: DataFrame, q: int = GRAM, rate: float = EDIT_RATE) -> DataFrame:
+    """``doc_id, item_id, start, stop, edits`` of ``covered``."""
+    return covered(docs, benchmark, q, rate).select("doc_id", *FIELDS[:4])
+
+
 def without_leaks(docs: DataFrame, benchmark: DataFrame, q: int = GRAM, rate: float = EDIT_RATE) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with all their columns. Nothing is shuffled."""
+    """The rows of ``docs`` that hold no benchmark item and no part of one that ``covered`` finds, with all their columns. Nothing is shuffled."""
     mark = unused("leaks", docs.columns)
 
     def reader_of(items: list[tuple[int, str]]):

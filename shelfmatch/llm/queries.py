@@ -29,7 +29,7 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.covered(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -115,3 +116,27 @@ def test_given_benchmark(llm):
     wanted = documents.alias("d").join(bench.alias("b"), documents.text.contains(bench.text)).select("d.doc_id", "b.item_id")
     found = dc.contaminated(documents, bench)
     assert {tuple(r) for r in found.filter("edits = 0").select("doc_id", "item_id").collect()} == {tuple(r) for r in wanted.collect()}
+
+
+@pytest.mark.parametrize("cut", [(0, 0.85), (0.15, 1), (0.12, 0.9)])
+def test_parts_of_an_item(docs, llm, cut):
+    """The greater part of an item, verbatim or with edits, is found and says which part; the document goes."""
+    rng = random.Random(11)
+    items = [(i, prose(rng, n)) for i, n in enumerate((45, 60, 400))]
+    bench = llm.createDataFrame(items, "item_id long, text string")
+    rows, part = [(99, prose(rng, 300))], {}
+    for i, item in items:
+        part[i] = (round(cut[0] * len(item)), round(cut[1] * len(item)))
+        own = item[part[i][0]:part[i][1]].strip()
+        rows += [(i, prose(rng, 20) + " \n" + own + "\n " + prose(rng, 20)), (10 + i, changed(rng, own, len(own) // 25))]
+    found = dc.covered(docs(rows), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(k + i, i) for i, _ in items for k in (0, 10)}
+    texts = dict(rows)
+    for r in found:
+        item = fold(items[r.item_id][1])
+        assert r.item_chars == len(item)
+        text = re.sub(r"\s+", " ", texts[r.doc_id][r.start:r.stop].lower())
+        assert distance(item[r.item_start:r.item_stop], text) == r.edits <= 0.08 * (r.item_stop - r.item_start)
+        if r.doc_id < 10:  # edits let a window reach over the ends, less than a step
+            assert abs(r.item_start - part[r.item_id][0]) < dc.STEP and abs(r.item_stop - part[r.item_id][1]) < dc.STEP
+    assert [r.doc_id for r in dc.without_leaks(docs(rows), bench).collect()] == [99]
