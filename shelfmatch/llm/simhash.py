@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmatch.llm.common import by_text, doc_texts
+from shelfmatch.llm.common import by_text, doc_texts, quoted, unused
 from shelfmatch.session import materialize
 
 SEED = 42
@@ -168,6 +168,18 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return pairs.unionAll(pairs.select(F.col("root").alias("node"), "root").distinct())
 
 
+def grouped(docs: DataFrame, width: int, distance: int, blocks: int = 6, tile: int = 8192) -> DataFrame:
+    """``doc_id, fp, root, component_id``: a fingerprint, the node that names its component, the smallest id in there."""
+    marked = materialize(fingerprints(docs, width), "fingerprints")
+    nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprint-nodes")
+    found = components(links(nodes, distance, blocks, tile), "fingerprint-links")
+    rooted = nodes.join(found, nodes.fp == found.node, "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    owners = rooted.join(least, "root").select("fp", "root", "component_id")
+    return marked.join(owners, "fp")
+
+
 def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, blocks: int = 6, tile: int = 8192) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row of ``docs``.
 
@@ -175,12 +187,39 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4, blocks:
     with the same result. A null ``doc_id`` never is a component's id while any other id is in reach. An empty table gives
     an empty result; other columns are not read.
     """
-    marked = materialize(fingerprints(docs, width), "fingerprints")
-    nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprint-nodes")
-    found = components(links(nodes, distance, blocks, tile), "fingerprint-links")
-    rooted = nodes.join(found, nodes.fp == found.node, "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    owners = rooted.join(least, "root").select("fp", "component_id")
-    return marked.join(owners, "fp").select(
+    return grouped(docs, width, distance, blocks, tile).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each_group(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
+    """The rows of ``docs`` that stand for their group of near duplicates, with all their columns.
+
+    Of a group the document with the smallest id stays; of rows with one id the one with the smallest text. A row without an
+    id stays only if its whole group has no id, and of such a group one row stays.
+    """
+    own = [quoted(c) for c in docs.columns]
+    found = materialize(grouped(docs, width, distance), "near-duplicates")
+
+    def least_row(rows: DataFrame, key: str) -> DataFrame:
+        """Reduced in each task before the shuffle, so rows that share a key never meet in one task."""
+        row = F.min_by(F.struct(*own), F.struct("text", F.hash(*own))).alias("row")
+        return rows.groupBy(quoted(key)).agg(row).select("row.*")
+
+    stay = found.filter("doc_id = component_id").select("doc_id").distinct()
+    often = materialize(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
+    kept = docs.join(stay, "doc_id", "left_semi").select(*own)
+    if not often.isEmpty():
+        several = least_row(kept.join(often, "doc_id", "left_semi").select(*own), "doc_id")
+        kept = kept.join(often, "doc_id", "left_anti").select(*own).unionByName(several)
+    alone = materialize(found.filter("component_id is null").groupBy("root").agg(F.min("fp").alias("fp")).select("fp"), "nameless")
+    if not alone.isEmpty():
+        mark = unused("fp", docs.columns)
+
+        def read(texts: list[str]) -> list[pa.Array]:
+            made = [fingerprint_of(shingle_hashes(t, width)) for t in texts]
+            return [pa.array(np.array(made, np.uint64).view(np.int64))]
+
+        marked = by_text(docs.filter("doc_id is null"), lambda: read, f"{quoted(mark)} long", tuple(docs.columns)).join(
+            alone.withColumnRenamed("fp", mark), mark, "left_semi")
+        kept = kept.unionByName(least_row(marked, mark))
+    return kept

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from shelfmatch.llm.simhash import block_keys, components, links, near_duplicates
+from shelfmatch.llm.simhash import block_keys, components, links, near_duplicates, one_of_each_group
 from tests.llm.conftest import prose
 
 
@@ -100,3 +100,16 @@ def test_dense_groups_leave_few_links(llm):
     values = [base ^ (1 << i) for i in range(60)]
     made = links(llm.createDataFrame([(int(np.array([v], np.uint64).view(np.int64)[0]),) for v in values], "fp long"))
     assert made.count() <= 15 * 60
+
+
+def test_one_of_each_group(docs, awkward):
+    rows = [*awkward, *near_copies(), (None, "words of rows without any id at all"), (None, "words of rows without any id at all"), (8, "another text of id 8")]
+    out = one_of_each_group(docs(rows))
+    assert out.columns == docs(rows).columns
+    found = by_loop(rows)
+    nameless = {p for i, p, c in found if c is None}
+    kept = [r.doc_id for r in out.collect()]
+    assert sorted(i for i in kept if i is not None) == sorted({i for i, _, c in found if i is not None and i == c})
+    assert kept.count(None) == len(nameless) == 2
+    texts = {r.doc_id: r.text for r in out.collect()}
+    assert texts[8] == min(t for i, t in rows if i == 8)
