@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmatch.llm import decontaminate, language, near_copies, packing, suffix_dedup
+from shelfmatch.llm import decontaminate, language, packing, simhash, suffix_dedup
 from shelfmatch.llm.common import prepared, table
 from shelfmatch.session import materialize
 
@@ -17,9 +17,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8 or more) stays, that with the smallest id."""
+    """One document of each group of near duplicates stays, that with the smallest id: four-word shingles, four bits apart."""
     prepared(spark)
-    return near_copies.one_of_each_group(docs)
+    return simhash.one_of_each_group(docs, width=4, distance=4)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
