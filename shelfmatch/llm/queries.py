@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmatch.llm import decontaminate, digest, language, license_scan, packing, simhash, suffix_dedup, token_count, toxicity, url_filter
+from shelfmatch.llm import (
+    chunk_dedup, decontaminate, digest, language, license_scan, merkle, packing, simhash, suffix_dedup, token_count, toxicity, url_filter,
+)
 from shelfmatch.llm.common import table
+from shelfmatch.llm.merkle_sql import LOWER, UPPER, manifest_sql
 
 #: Verdict and rule; the rule's host fits its subdomains too.
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -64,6 +67,25 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def id_hash() -> Column:
+    """crc32 of the decimal id, unsigned; null without an id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = F.translate("text", UPPER, LOWER)
+    altered = F.when(id_hash() % 3 == 0, merkle.leaf([lowered if c == "text" else F.col(c) for c in columns]))
+    found = merkle.manifest(table(spark, sf_dir, "documents"), columns, "doc_id", "lang", also={"altered": altered})
+    told = merkle.checked(found, F.coalesce("altered", "leaf"))
+    return told.select("doc_id", "leaf", "subroot", "root", merkle.hashed(merkle.proof(F.col("path"))).alias("proof_sha256"),
+                       "folded_root", "verified")
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_url_filter": op2_url_filter,
@@ -75,6 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_count": op8_token_count,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_simhash": op10_simhash,
+    "op12_merkle": op12_merkle,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 ORACLES = {
@@ -91,5 +115,11 @@ from (select page_id, host, path, case
   when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/de/') then 'example.com/de/'
   when (host = 'org' or ends_with(host, '.org')) and starts_with(path, '/fr/') then 'org/fr/'
   when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/') then 'net/' end as fit from parts)
+""",
+    "op12_merkle": manifest_sql(),
+    "op13_exact_dedup": """
+select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+  row_number() over (partition by body order by doc_id desc nulls last) = 1 as kept, sha256(body) as text_sha256
+from (select doc_id, coalesce(text, '') as body from documents) window same as (partition by body)
 """,
 }
