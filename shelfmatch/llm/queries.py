@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmatch.llm import (
-    chunk_dedup, decontaminate, digest, language, license_scan, merkle, packing, simhash, suffix_dedup, token_count, toxicity, url_filter,
+    chunk_dedup, decontaminate, digest, language, license_scan, merkle, packing, periodic_runs, simhash, suffix_dedup, token_count,
+    toxicity, url_filter,
 )
 from shelfmatch.llm.common import table
 from shelfmatch.llm.merkle_sql import LOWER, UPPER, manifest_sql
@@ -72,6 +73,26 @@ def id_hash() -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One text in ten, told by its id, is made periodic from a place on; digests stand for runs and for what is left."""
+    h = id_hash()
+    g = F.floor(h / 10)
+    words = periodic_runs.words_of(F.col("text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"), g.alias("g"))
+    n = F.size("words")
+    start = (F.col("g") % n).cast("int")
+    docs = docs.withColumn("start", F.when(n > 0, start)).withColumn("period", (1 + F.floor((n - F.col("start")) / (3 + F.col("g") % 8))).cast("int"))
+    looped = F.array_join(periodic_runs.repeated_from(F.col("words"), F.col("start"), F.col("period")), " ")
+    found = periodic_runs.periodic_runs(docs.select("doc_id", F.coalesce(F.when(F.col("start").isNotNull(), looped), "text").alias("text")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    top = found.withColumn("top", periodic_runs.strongest(F.col("runs")))
+    return top.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["doc_id", "source", "lang", "n_chars", "text"]
     lowered = F.translate("text", UPPER, LOWER)
@@ -97,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_count": op8_token_count,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_simhash": op10_simhash,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_merkle": op12_merkle,
     "op13_exact_dedup": op13_exact_dedup,
 }

@@ -24,6 +24,8 @@ CONTRACT = {
     "op8_token_count": ("documents", {"doc_id": "bigint", "n_tokens": "bigint"}),
     "op9_suffix_dedup": ("documents", {"doc_id": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"}),
     "op10_simhash": ("documents", {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"}),
+    "op11_periodic_runs": ("documents", {"doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint",
+                                         "exponent_milli": "bigint", "runs_sha256": "string", "collapsed_sha256": "string"}),
     "op12_merkle": ("documents", {"doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string", "proof_sha256": "string",
                                   "folded_root": "string", "verified": "boolean"}),
     "op13_exact_dedup": ("documents", {"doc_id": "bigint", "keep_id": "bigint", "group_size": "bigint", "kept": "boolean", "text_sha256": "string"}),
