@@ -133,9 +133,11 @@ def exact_groups(docs: DataFrame, bits: int = 128, normalised: Column | None = N
     told = recipes(texts.withColumn("text_sha256", F.sha2("text", 256)), bits, ("text_sha256",), **sizes)
     # Rows get numbers when written, so that they stay the same however often a task is repeated.
     rows = materialize(told.withColumn("row", F.monotonically_increasing_id()), "recipes")
-    by_id = rows.groupBy("recipe", "doc_id").agg(F.count("*").alias("n"), F.max("row").alias("row"))
-    groups = by_id.groupBy("recipe").agg(
-        F.max("doc_id").alias("keep_id"), F.sum("n").alias("group_size"),
-        F.coalesce(F.max_by("row", "doc_id"), F.max("row")).alias("keep_row"))
-    return rows.join(groups, "recipe").select(
-        "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256")
+    # A group's rows are counted, and told what was found, in shares: no task gets all rows of a text with many copies.
+    shares = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.withColumn("share", F.pmod(F.xxhash64("row"), F.lit(shares)))
+    parts = rows.groupBy("recipe", "share").agg(F.count("*").alias("n"), F.max(F.struct("doc_id", "row")).alias("last"))
+    groups = parts.groupBy("recipe").agg(F.sum("n").alias("group_size"), F.max("last").alias("last"))
+    shared = parts.select("recipe", "share").join(groups, "recipe")
+    return rows.join(shared, ["recipe", "share"]).select(
+        "doc_id", F.col("last.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("last.row")).alias("kept"), "text_sha256")
