@@ -81,30 +81,11 @@ def _letter_counts(texts: list[str], letters: dict[str, int]) -> np.ndarray:
     return counts
 
 
-def similar_pairs(a: list[str], b: list[str], threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions in ``a`` and ``b`` of all pairs that reach the threshold, and their scores.
+def scored_pairs(texts: list[str], i: np.ndarray, j: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs at places ``i, j`` those that reach the threshold, and their scores.
 
     Letters two texts have in common, counted with repeats, are at least their LCS: most pairs fail on that alone.
     """
-    letters = {letter: i for i, letter in enumerate(sorted(set("".join(a)) & set("".join(b))))}
-    common = np.zeros((len(a), len(b)), dtype=np.uint16)
-    for x, y in zip(_letter_counts(a, letters), _letter_counts(b, letters)):
-        common += np.minimum(x[:, None], y[None, :])
-    len_a, len_b = (np.fromiter(map(len, side), np.int64, len(side)) for side in (a, b))
-    enough = common * np.int64(200) >= threshold * (len_a[:, None] + len_b[None, :])
-    # Counts stop at _MOST, which says nothing about longer texts.
-    enough |= (len_a[:, None] > _MOST) & (len_b[None, :] > _MOST)
-    left, right = np.nonzero(enough)
-    scores = np.empty(len(left))
-    for start in range(0, len(left), _CHUNK):
-        i, j = left[start:start + _CHUNK], right[start:start + _CHUNK]
-        scores[start:start + _CHUNK] = indel_scores([a[x] for x in i], [b[x] for x in j])
-    kept = scores >= threshold
-    return left[kept], right[kept], scores[kept]
-
-
-def scored_pairs(texts: list[str], i: np.ndarray, j: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of the pairs at places ``i, j`` those that reach the threshold, and their scores; the same bounds as ``similar_pairs``."""
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     fits = np.minimum(lengths[i], lengths[j]) * 200 >= threshold * (lengths[i] + lengths[j])
     i, j = i[fits], j[fits]

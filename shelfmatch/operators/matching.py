@@ -192,12 +192,14 @@ def contenders(pairs: pa.Table) -> pa.Table:
     return pairs.take(pa.array(np.unique(kept)))
 
 
-def _picks_per_text(probe_texts: DataFrame, entries: DataFrame, **sizes: int) -> DataFrame:
+def _picks_per_text(probe_texts: DataFrame, entries: DataFrame, first_confirmed: bool, **sizes: int) -> DataFrame:
     """For each probe text: the best account, and the first confirmed one.
 
-    The pairs are thinned in the tasks that score them; only the picks are shuffled.
+    The pairs are thinned in the tasks that score them; only the picks are shuffled. ``first_confirmed``: where there is a
+    confirmed one the best is of no use, so a text that has met one is not compared with accounts behind it.
     """
-    pairs = similar_texts(probe_texts, entries, FLAGGED, carry=["rec_ord"], thin=contenders, **sizes)
+    until = ("rec_ord", CONFIRMED) if first_confirmed else None
+    pairs = similar_texts(probe_texts, entries, FLAGGED, carry=["rec_ord"], thin=contenders, until=until, **sizes)
     return pairs.groupBy("block", F.col("left_text").alias("text")).agg(
         F.min(F.struct((-F.col("score")).alias("minus"), "rec_ord")).alias("best"),
         F.min(F.when(F.col("score") >= CONFIRMED, F.struct("rec_ord", (-F.col("score")).alias("minus"))))
@@ -215,7 +217,8 @@ def match_fuzzy(candidates: DataFrame, accounts: DataFrame, layers: Sequence[str
     open_pairs = all_pairs(candidates, accounts) if open_pairs is None else open_pairs
     probes = materialize(_probes(candidates.join(open_pairs, "store_id"), layers), "probes")
     entries = _entries(candidates, accounts, layers)
-    found = probes.join(_picks_per_text(probes.select("block", "text").distinct(), entries, **sizes), ["block", "text"])
+    picks = _picks_per_text(probes.select("block", "text").distinct(), entries, FUZZY_ZIP not in layers, **sizes)
+    found = probes.join(picks, ["block", "text"])
 
     layer = F.col("block.layer")
     in_zip = layer == FUZZY_ZIP

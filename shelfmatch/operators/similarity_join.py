@@ -9,10 +9,11 @@ Both sides meet by one shuffle, in *units* of at most ``UNIT`` texts a side. A b
 cut by bands of length and by hash, and two cuts meet in a unit only if texts of their lengths can be similar at all, so
 most of a wide block's pairs are never made up. A text is copied once for each unit it is in: with n texts in bands that
 can match, n / ``UNIT`` copies (at a threshold of 75 texts differ by less than a factor 5/3 in length, three bands). Inside
-a task many small units are compared at once, large ones by tiles of ``TILE`` texts a side; memory is bounded by a unit.
+a task many small units are compared at once, large ones by cells of a metric space and in waves (``functions/letter_space.py``);
+memory is bounded by a unit.
 
-Thresholds this low (three quarters) defeat sub-quadratic indexes: gram signatures that lose no pair are shared by most
-texts of a block, so index and verify cost more than the comparison itself, which first drops pairs on letter counts.
+Between tasks texts are not dealt out by cells: at a threshold of three quarters a text reaches about half the cells that
+have a unit's size, and a finer cut would copy it more often than units do. Inside a task a visit costs no copy.
 """
 
 from __future__ import annotations
@@ -22,12 +23,14 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from shelfmatch.functions.similarity import scored_pairs, similar_pairs
+from shelfmatch.functions.letter_space import close_pairs
+from shelfmatch.functions.similarity import scored_pairs
 
 Thin = Callable[[pa.Table], pa.Table]
 
@@ -75,11 +78,13 @@ def with_units(left: DataFrame, right: DataFrame, threshold: int, unit: int, car
 
 
 def similar_texts(left: DataFrame, right: DataFrame, threshold: int, unit: int = UNIT, tile: int = TILE,
-                  carry: Sequence[str] = (), thin: Thin | None = None) -> DataFrame:
+                  carry: Sequence[str] = (), thin: Thin | None = None, until: tuple[str, float] | None = None) -> DataFrame:
     """``left`` and ``right``: distinct ``block, text``. Returns ``block, left_text, right_text``, ``carry``, ``score``.
 
     ``thin`` maps a table of pairs (with a column ``left`` that numbers the left texts) to a part of it; it is called several
-    times and must keep every pair that could still be picked from a larger table.
+    times and must keep every pair that could still be picked from a larger table. ``until`` (a carried column, a score): of
+    each left text's pairs none is needed behind its first one of that score in the order of that column, so large units
+    may leave such pairs out.
     """
     rows = with_units(left, right, threshold, unit, carry).repartition("u1", "u2").sortWithinPartitions("u1", "u2", "side")
     schema = T.StructType([
@@ -124,10 +129,9 @@ def similar_texts(left: DataFrame, right: DataFrame, threshold: int, unit: int =
                     yield from flush()
                     held, waiting = [], 0
                 continue
-            for a in range(start, middle, tile):
-                for b in range(middle, stop, tile):
-                    i, j, scores = similar_pairs(texts[a:min(a + tile, middle)], texts[b:min(b + tile, stop)], threshold)
-                    yield from pairs_of(table, i + a, j + b, scores)
+            order = pc.array_sort_indices(table.column(until[0]).slice(middle, m).combine_chunks()).to_numpy() if until else None
+            for i, j, scores in close_pairs(texts[start:middle], texts[middle:stop], threshold, tile, order, until and until[1]):
+                yield from pairs_of(table, i + start, j + middle, scores)
         yield from flush()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,10 +1,14 @@
 import random
+from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from shelfmatch.functions.similarity import indel_scores, lcs_lengths, similar_pairs
+from shelfmatch.functions import letter_space
+from shelfmatch.functions.letter_space import Letters, close_pairs, distances
+from shelfmatch.functions.similarity import indel_scores, lcs_lengths
 from shelfmatch.operators import similarity_join
 from shelfmatch.operators.similarity_join import similar_texts, with_units
 
@@ -77,6 +81,11 @@ def test_join_equals_comparing_every_pair(spark, monkeypatch, threshold, unit, t
     assert set(found) == wanted and wanted
 
 
+def similar_pairs(a, b, threshold, **more):
+    found = list(close_pairs(a, b, threshold, **more))
+    return [np.concatenate([part[k] for part in found]) if found else np.empty(0) for k in range(3)]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(texts, max_size=8), st.lists(texts, max_size=8), st.integers(0, 100))
 def test_pairs_of_a_tile(a, b, threshold):
@@ -128,3 +137,75 @@ def test_bands_part_no_similar_lengths(spark):
             for b in range(a, 401):
                 if 200 * a >= threshold * (a + b):
                     assert abs(band[a] - band[b]) <= 1
+
+
+def names(rng: random.Random, n: int) -> list[str]:
+    """Names of two words out of a few hundred, with typing errors in a third."""
+    words = ["".join(rng.choice("bcdfghklmnprstvw") + rng.choice("aeiou") for _ in range(rng.randint(2, 3))) for _ in range(400)]
+    found = set()
+    while len(found) < n:
+        name = list(" ".join(sorted(rng.sample(words, 2))))
+        for _ in range(rng.choice((0, 0, 1, 2))):
+            name[rng.randrange(len(name))] = rng.choice("xyz")
+        found.add("".join(name))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("threshold", [75, 86, 95])
+def test_cells_lose_no_pair(threshold, monkeypatch):
+    rng = random.Random(threshold)
+    left, right = names(rng, 300), names(rng, 900)
+    right[::3] = [x + rng.choice(["", "s", " co"]) for x in left]
+    i, j = np.divmod(np.arange(len(left) * len(right)), len(right))
+    scores = indel_scores([left[x] for x in i], [right[x] for x in j])
+    wanted = {(x, y) for x, y, s in zip(i.tolist(), j.tolist(), scores.tolist()) if s >= threshold}
+    for worth in (0.0, 0.5, 1.0):  # dense, as it comes, cell by cell
+        monkeypatch.setattr(letter_space, "WORTH", worth)
+        a, b, s = similar_pairs(left, right, threshold, tile=100)
+        assert len(a) == len(wanted) and set(zip(a.tolist(), b.tolist())) == wanted
+        assert all(scores[x * len(right) + y] == z for x, y, z in zip(a.tolist(), b.tolist(), s.tolist()))
+
+
+def test_letters_bound_the_distance():
+    rng = random.Random(2)
+    a, b = names(rng, 40), names(rng, 40)
+    space = Letters(a, b)
+    near = distances(space.left, space.right)
+    points, others = space.margins(75)
+    spare = points @ others.T
+    for x, s in enumerate(a):
+        for y, t in enumerate(b):
+            assert near[x, y] <= len(s) + len(t) - 2 * lcs_table(s, t)
+            assert spare[x, y] >= 200 * lcs_table(s, t) - 75 * (len(s) + len(t))
+
+
+def test_few_pairs_are_scored_and_cells_spare_visits():
+    """Of 1,500 x 6,000 names under five in a hundred are scored, and of close ones not all are even visited."""
+    rng = random.Random(9)
+    left, right = names(rng, 1500), names(rng, 6000)
+    for threshold, visits in ((75, 1.0), (85, 0.2)):
+        seen = Counter()
+        for _ in close_pairs(left, right, threshold, seen=seen):
+            pass
+        assert seen["scored"] < 0.05 * len(left) * len(right)
+        assert seen["visited"] <= visits * len(left) * len(right)
+
+
+def test_waves_keep_the_first_confirmed_and_spare_the_rest():
+    rng = random.Random(10)
+    left, right = names(rng, 500), names(rng, 4000)
+    right = [*left, *right]
+    order = np.array(rng.sample(range(len(right)), len(right)))
+    rank = np.argsort(order)
+
+    def firsts(**more):
+        best = {}
+        for i, j, s in close_pairs(left, right, 75, order=order, **more):
+            for x, y, z in zip(i.tolist(), j.tolist(), s.tolist()):
+                if z >= 85:
+                    best[x] = min(best.get(x, (10**9, 0, 0)), (int(rank[y]), y, z))
+        return best
+
+    whole, waves = Counter(), Counter()
+    assert firsts(until=85, seen=waves) == firsts(seen=whole) and len(firsts()) >= 500
+    assert waves["scored"] < 0.8 * whole["scored"] and waves["visited"] < 0.8 * whole["visited"]
