@@ -469,7 +469,8 @@ ORACLES: dict[str, str] = {
     "batch_reply_lines": with_(*UPDATES) + "select * from updates",
     "backfill_counts": with_("stores", *UPDATES) + """select count(u.store_id) as matched, count(*) as total from stores s
  left join updates u on u.store_id = s.store_id where s.zip is null and s.address is not null""",
-    "scrape_file_scan": with_("scrapes", TYPED) + f"select * replace ({NOW} as ingested_at, true as source_file) from typed",
+    "scrape_file_scan": with_("scrapes", TYPED) + f"""select * replace ({NOW} as ingested_at,
+ ['comma', 'tab', 'spaced', 'wide'][month(ingested_at) % 4 + 1] as source_file) from typed""",
     "ingest_then_backfill": with_("scrapes", LANDED, typed("landed"), *MERGE[2:], BACKFILLED)
     + "select store_id, address, zip, lat, lng from backfilled",
     "ingest_after_compaction": with_("scrapes", LANDED, typed("landed"), *MERGE[2:], BACKFILLED)

@@ -27,8 +27,8 @@ from shelfmatch.plans.monitor_run import run_monitor
 from shelfmatch.session import materialize, scratch_path, tune
 from shelfmatch.sources.audit_log import AuditLog
 from shelfmatch.sources.batch_geocoder import read_replies, write_requests
-from shelfmatch.sources.scrape_files import landed_files, scan_files
-from shelfmatch.sources.tables import AppendTable, SnapshotTable, UpsertTable
+from shelfmatch.sources.scrape_files import landed_files, readable_rows, scan_files
+from shelfmatch.sources.tables import AppendTable, KeyedTable, ReplacedTable
 from shelfmatch.sources.zip_file import read_zip_file
 from shelfmatch.streaming.file_arrival import start_ingest
 
@@ -90,9 +90,9 @@ def flat_matches(t) -> DataFrame:
     return ma.unnest_matches(ma.find_matches(t("stores"), t("accounts")))
 
 
-def match_tables(spark: SparkSession) -> tuple[UpsertTable, AuditLog]:
+def match_tables(spark: SparkSession) -> tuple[KeyedTable, AuditLog]:
     root = scratch_path(spark, "match-run")
-    return UpsertTable(spark, f"{root}/universe", sc.ACCOUNT_UNIVERSE, "store_id"), AuditLog(spark, root)
+    return KeyedTable(spark, f"{root}/universe", sc.ACCOUNT_UNIVERSE, "store_id"), AuditLog(spark, root)
 
 
 def match_sides(t) -> tuple[DataFrame, DataFrame]:
@@ -475,7 +475,7 @@ def zip_file_load(t):
     raw = t("zip_raw")
     path = scratch_path(raw.sparkSession, "zip-file")
     raw.write.option("header", "true").option("escape", '"').option("ignoreLeadingWhiteSpace", "false").csv(path)
-    table = SnapshotTable(raw.sparkSession, scratch_path(raw.sparkSession, "zip-table"), sc.ZIP_LOOKUP, "zip")
+    table = ReplacedTable(raw.sparkSession, scratch_path(raw.sparkSession, "zip-table"), sc.ZIP_LOOKUP)
     table.replace(read_zip_file(raw.sparkSession, path))
     return table.read()
 
@@ -530,7 +530,7 @@ def classified_replies(t):
 def geocode_sink(t):
     """Replies appended to the lookup table, negative ones included, transient ones not."""
     rows = cached_geocodes(t)
-    table = AppendTable(rows.sparkSession, scratch_path(rows.sparkSession, "geocodes"), sc.STORE_GEOCODES, "store_id")
+    table = AppendTable(rows.sparkSession, scratch_path(rows.sparkSession, "geocodes"), sc.STORE_GEOCODES)
     table.append(rows)
     return table.read()
 
@@ -540,7 +540,7 @@ def resumed_geocoding(t):
     """What a second run would still ask for after a first one, in batches, stored its replies."""
     stores, known = mart(t), t("geocode_raw")
     spark, root = stores.sparkSession, scratch_path(stores.sparkSession, "geocode-run")
-    table = AppendTable(spark, f"{root}/geocodes", sc.STORE_GEOCODES, "store_id")
+    table = AppendTable(spark, f"{root}/geocodes", sc.STORE_GEOCODES)
     run_geocoding(stores, table, lambda requests: known.join(requests, "store_id", "left_semi"), AuditLog(spark, root),
                   batch_size=4000)
     return gc.geocode_requests(stores, table.read())
@@ -661,8 +661,11 @@ def scrape_file_scan(t):
     wide = {f"column_that_nobody_knows_{i}": lit("x") for i in range(180)}
     land_scrapes(raw.filter(season == 3).withColumns(wide), bucket, "wide", ",", (*wide, *sc.SCRAPE_COLUMNS))
     land_scrapes(raw, f"{bucket}/elsewhere", "comma", ",", sc.SCRAPE_COLUMNS)
-    rows = listings.normalize_listings(scan_files(landed_files(spark, bucket)), lit(NOW), c("source_file"))
-    return rows.withColumn("source_file", c("source_file").rlike("^part-[0-9]+-.*[.]csv$"))
+    # Spark names the files: a name stands for the folder that Spark itself finds it in.
+    folders = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(bucket).select(
+        F.element_at(F.split("path", "/"), -1).alias("source_file"), F.element_at(F.split("path", "/"), -2).alias("folder"))
+    rows = listings.normalize_listings(readable_rows(scan_files(landed_files(spark, bucket))), lit(NOW), c("source_file"))
+    return rows.join(folders, "source_file").withColumn("source_file", c("folder")).select(sc.STORES_NORMALIZED.names)
 
 
 @query
@@ -671,12 +674,12 @@ def scrape_ingest_stream(t):
     raw = t("scrapes")
     spark, root = raw.sparkSession, scratch_path(raw.sparkSession, "stream")
     early = c("seen_at") < lit(SPLIT).cast("timestamp")
-    table = UpsertTable(spark, f"{root}/stores_normalized", sc.STORES_NORMALIZED, "store_id")
+    table = KeyedTable(spark, f"{root}/stores_normalized", sc.STORES_NORMALIZED, "store_id")
     for name, rows in (("first", raw.filter(early)), ("second", raw.filter(~early))):
         land_in_order(rows, f"{root}/bucket", name)
         start_ingest(spark, f"{root}/bucket", table, f"{root}/checkpoint").awaitTermination()
     start_ingest(spark, f"{root}/bucket", table, f"{root}/checkpoint").awaitTermination()
-    table.compact()
+    table.rewrite()
     return table.read().drop("ingested_at", "source_file")
 
 
@@ -688,10 +691,10 @@ def batch_service(requests: DataFrame) -> DataFrame:
         F.concat(lit("1 A ST, TOWN, NJ, "), F.substring(digits, 2, 5)).alias("matched_address"), lit("-74.5,40.25").alias("coords"))
 
 
-def ingested_and_backfilled(t) -> tuple[DataFrame, UpsertTable, str]:
+def ingested_and_backfilled(t) -> tuple[DataFrame, KeyedTable, str]:
     raw = t("scrapes")
     spark, root = raw.sparkSession, scratch_path(raw.sparkSession, "backfill")
-    table = UpsertTable(spark, f"{root}/stores_normalized", sc.STORES_NORMALIZED, "store_id")
+    table = KeyedTable(spark, f"{root}/stores_normalized", sc.STORES_NORMALIZED, "store_id")
     land_in_order(raw.filter(c("seen_at") < lit(SPLIT).cast("timestamp")), f"{root}/one", "files")
     start_ingest(spark, f"{root}/one", table, f"{root}/checkpoint-one").awaitTermination()
     backfill_zips(table, batch_service)
@@ -706,9 +709,9 @@ def ingest_then_backfill(t):
 
 @query
 def ingest_after_compaction(t):
-    """Ingest, backfill, compact, then a stream with a new checkpoint over a new bucket: nothing is lost."""
+    """Ingest, backfill, one load in place of many, then a stream with a new checkpoint over a new bucket: nothing is lost."""
     raw, table, root = ingested_and_backfilled(t)
-    table.compact()
+    table.rewrite()
     land_in_order(raw.filter(c("seen_at") >= lit(SPLIT).cast("timestamp")), f"{root}/two", "files")
     start_ingest(raw.sparkSession, f"{root}/two", table, f"{root}/checkpoint-two").awaitTermination()
     return table.read().select("store_id", "address", "zip", "lat", "lng", "rating")
@@ -717,7 +720,7 @@ def ingest_after_compaction(t):
 @query
 def staged_snapshot(t):
     rows = later_stores(t)
-    table = SnapshotTable(rows.sparkSession, scratch_path(rows.sparkSession, "staged"), sc.STORES_NORMALIZED, "store_id")
+    table = KeyedTable(rows.sparkSession, scratch_path(rows.sparkSession, "staged"), sc.STORES_NORMALIZED, "store_id")
     table.replace(earlier_stores(t))
     table.replace(rows)
     return table.read()
@@ -782,8 +785,7 @@ def error_window_assertion(t):
 def error_log_sink(t):
     """Errors appended by day, and one window of them read back."""
     rows = t("errors")
-    table = AppendTable(rows.sparkSession, scratch_path(rows.sparkSession, "errors"), sc.PIPELINE_ERRORS, "error_id",
-                        "occurred_at")
+    table = AppendTable(rows.sparkSession, scratch_path(rows.sparkSession, "errors"), sc.PIPELINE_ERRORS, "occurred_at")
     table.append(rows)
     return table.read(since=datetime(2024, 1, 20)).select("error_id", "occurred_at", "severity", "context")
 
@@ -791,8 +793,7 @@ def error_log_sink(t):
 @query
 def run_log_sink(t):
     rows = t("runs")
-    table = AppendTable(rows.sparkSession, scratch_path(rows.sparkSession, "runs"), sc.PIPELINE_RUNS, "run_id",
-                        "finished_at")
+    table = AppendTable(rows.sparkSession, scratch_path(rows.sparkSession, "runs"), sc.PIPELINE_RUNS, "finished_at")
     table.append(rows)
     return table.read()
 

@@ -47,14 +47,14 @@ def fill_missing(target: DataFrame, updates: DataFrame, replace: Sequence[str],
 
 
 def last_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """One row per key, the greatest by ``order`` and then by the whole row.
+    """One row per key, the greatest by ``order`` and then by the whole row; nulls are least.
 
-    Rows of a key are reduced in each task before the shuffle, so a hot key is no larger there than others. Maxima of rows
-    with text are sort aggregates: each task sorts its own rows.
+    A row number of which only the first is asked for: each task keeps one row of a key before the shuffle (a group limit),
+    so a hot key is no larger there than others, and rows that are already dealt out by key are not dealt out again.
     """
     rest = [c for c in df.columns if c != key and c not in order]
-    last = df.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("last"))
-    return last.select(*[F.col(c) if c == key else F.col(f"last.{c}") for c in df.columns])
+    number = F.row_number().over(Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in (*order, *rest)]))
+    return df.withColumn("_number", number).filter("_number = 1").drop("_number")
 
 
 def latest_scrape(stores: DataFrame) -> DataFrame:

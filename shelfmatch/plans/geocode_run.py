@@ -12,7 +12,7 @@ from shelfmatch.operators import geocoding as gc
 from shelfmatch.operators.merge import batch_of
 from shelfmatch.session import materialize, scratch_released, tune
 from shelfmatch.sources.audit_log import AuditLog
-from shelfmatch.sources.tables import AppendTable, SnapshotTable
+from shelfmatch.sources.tables import AppendTable, KeyedTable
 
 COMPONENT = "store-geocoding"
 Resolver = Callable[[DataFrame], DataFrame]
@@ -53,7 +53,7 @@ def run_geocoding(mart: DataFrame, table: AppendTable, resolve: Resolver, audit:
     return summary
 
 
-def backfill_zips(table: SnapshotTable, resolve_batches: Resolver) -> tuple[int, int]:
+def backfill_zips(table: KeyedTable, resolve_batches: Resolver) -> tuple[int, int]:
     """``resolve_batches`` turns batch request lines into reply rows, see ``sources.batch_geocoder``.
 
     Only rows that change are written. Returns how many of the stores without a zip got one, and how many there were.
@@ -66,6 +66,6 @@ def backfill_zips(table: SnapshotTable, resolve_batches: Resolver) -> tuple[int,
         updates = materialize(gc.batch_updates(resolve_batches(gc.batch_requests(missing))), "updates")
         if not updates.isEmpty():
             changed = stores.join(updates.select("store_id"), "store_id", "left_semi")
-            table.write_rows(gc.apply_batch_updates(changed, updates))
+            table.upsert(gc.apply_batch_updates(changed, updates))
         counts = gc.backfill_counts(missing, updates).first()
     return counts["matched"], counts["total"]

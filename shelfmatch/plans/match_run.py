@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from shelfmatch.operators import health
 from shelfmatch.operators.matching import account_universe, find_matches
-from shelfmatch.operators.merge import full_sync, not_in
+from shelfmatch.operators.merge import not_in
 from shelfmatch.session import materialize, scratch_released, tune
 from shelfmatch.sources.audit_log import AuditLog
-from shelfmatch.sources.tables import SnapshotTable
+from shelfmatch.sources.tables import KeyedTable
 
 COMPONENT = "store-matching"
 MODES = ("incremental", "full")
@@ -33,7 +33,7 @@ class RunResult:
     matched: int
 
 
-def run_matching(stores: DataFrame, accounts: DataFrame, table: SnapshotTable, audit: AuditLog,
+def run_matching(stores: DataFrame, accounts: DataFrame, table: KeyedTable, audit: AuditLog,
                  mode: str = "incremental", now: datetime | None = None) -> RunResult:
     if mode not in MODES:
         raise ValueError(f"mode {mode!r} is not one of {MODES}")
@@ -45,19 +45,18 @@ def run_matching(stores: DataFrame, accounts: DataFrame, table: SnapshotTable, a
     return result
 
 
-def _match(stores: DataFrame, accounts: DataFrame, table: SnapshotTable, audit: AuditLog, mode: str,
+def _match(stores: DataFrame, accounts: DataFrame, table: KeyedTable, audit: AuditLog, mode: str,
            now: datetime) -> RunResult:
-    """An incremental run writes its new rows only; with an ``UpsertTable`` that is all it writes."""
-    universe = table.read()
-    todo = materialize(stores_to_match(stores, universe, mode), "to-match")
+    """An incremental run reads the table's keys, where they lie, and writes its new rows only."""
+    todo = materialize(stores_to_match(stores, table.keys(), mode), "to-match")
     if todo.isEmpty():
         return RunResult(0, 0)
     fresh = materialize(
         account_universe(find_matches(todo, accounts), F.lit(now), F.to_date(F.lit(now))), "universe")
     if mode == "incremental":
-        table.write_rows(fresh)
+        table.upsert(fresh)
     else:
-        table.replace(full_sync(universe, fresh))
+        table.replace(fresh)  # not empty: an empty load has returned above
         empty = health.zero_match_violation(fresh)
         audit.log_violations(
             empty.select(F.lit(COMPONENT).alias("component"), F.lit("zero_stores_matched").alias("check_name"),

@@ -69,6 +69,13 @@ def deleter(spark: SparkSession, path: str) -> Callable[[], object]:
     return lambda: files.delete(where, True)
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a glob pattern matches; for patterns that match few."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return [entry.getPath().toString() for entry in files.globStatus(where) or []]
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     deleter(spark, path)()
 

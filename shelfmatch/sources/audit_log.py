@@ -23,8 +23,8 @@ def _text(value: str | None) -> Column:
 class AuditLog:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self.errors = AppendTable(spark, f"{root}/pipeline_errors", PIPELINE_ERRORS, "error_id", "occurred_at")
-        self.runs = AppendTable(spark, f"{root}/pipeline_runs", PIPELINE_RUNS, "run_id", "finished_at")
+        self.errors = AppendTable(spark, f"{root}/pipeline_errors", PIPELINE_ERRORS, "occurred_at")
+        self.runs = AppendTable(spark, f"{root}/pipeline_runs", PIPELINE_RUNS, "finished_at")
 
     def _append(self, table: AppendTable, rows: DataFrame) -> bool:
         try:

@@ -1,8 +1,10 @@
 """Scrape files: delimited text with a header, comma or tab, quoted fields that may span lines.
 
-Files may order their columns differently. A Spark job reads each file's header in the tasks and returns only its layout:
-the dialect and where the known columns stand. Files of one layout are then one ordinary CSV scan. A file that can't be
-read is reported, and the others are read all the same.
+Files may have any dialect and order their columns differently, and no file's name or layout comes to the driver: the task that
+reads a part of a file reads the file's header first. Large files are cut into ranges of bytes. A range has the records that
+begin in its lines; a line begins a record unless a quoted field is open there, so a first pass tells of each range whether
+one is open behind it, for either case before it, and a file's ranges are gone through in order. A file that can't be read is
+reported, and the others are read all the same.
 """
 
 from __future__ import annotations
@@ -10,28 +12,29 @@ from __future__ import annotations
 import codecs
 import csv
 import io
-from collections import defaultdict
-from collections.abc import Iterator
-from functools import reduce
+import re
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfmatch.operators.listings import normalize_listings
 from shelfmatch.operators.merge import last_per_key
 from shelfmatch.schemas import SCRAPE_COLUMNS
-from shelfmatch.session import materialize, open_filesystem
+from shelfmatch.session import open_filesystem
 
 SAMPLE_CHARS = 4096  # fixed value: as much of a file as decides its dialect
 LANDING = "normalized"  # fixed value: only files below this folder of a bucket are read
-#: Bytes from which a file is worth a look whether any of its fields spans lines: if none does, many tasks can read it.
-LARGE = 64 << 20
+#: Bytes of a file that one task reads.
+RANGE = 64 << 20
+#: Rows that leave a task at once.
+ROWS = 10_000
 
-_LAYOUT = ("path string, length long, separator string, quote string, skip_space boolean, columns array<string>, "
-           "tall boolean, problem string")
-_DIALECT = ("separator", "quote", "skip_space", "columns", "tall")
+Dialect = tuple[str, str, bool]
+_RAW = ", ".join(f"{name} string" for name in SCRAPE_COLUMNS) + (
+    ", path string, part_start long, row_order long, problem string")
 
 
 def landed_files(spark: SparkSession, bucket: str) -> DataFrame:
@@ -49,11 +52,9 @@ def sniff_dialect(sample: str) -> tuple[str, str, bool]:
         return "\t" if "\t" in sample.partition("\n")[0] else ",", '"', False
 
 
-def read_header(stream: io.TextIOBase, separator: str, quote: str, skip_space: bool) -> tuple[list[str], bool]:
-    """The whole first row, however long, and whether it spans lines."""
-    rows = csv.reader(stream, delimiter=separator, quotechar=quote, skipinitialspace=skip_space)
-    header = next(rows, [])
-    return header, rows.line_num > 1
+def records(lines: Iterable[str], dialect: Dialect) -> Iterator[list[str]]:
+    separator, quote, skip_space = dialect
+    return csv.reader(lines, delimiter=separator, quotechar=quote, skipinitialspace=skip_space)
 
 
 def known_columns(header: list[str]) -> list[str]:
@@ -64,80 +65,173 @@ def known_columns(header: list[str]) -> list[str]:
     return named
 
 
-def _layouts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def open_field_after(data: bytes, open_field: bool, dialect: Dialect) -> bool:
+    """Whether a quoted field is open behind ``data``, which begins where a line does.
+
+    A quote character opens a field only where a field begins; inside one, two of them stand for one.
+    """
+    separator, quote, skip_space = (re.escape(d).encode() if isinstance(d, str) else d for d in dialect)
+    opening = re.compile(rb"(?:\A|[\r\n]|" + separator + rb")" + (b" *" if skip_space else b"") + quote)
+    closing = re.compile(rb"(?:[^" + quote + rb"]++|" + quote * 2 + rb")*+" + quote)
+    place = 0
+    while found := (closing.match(data, place) if open_field else opening.search(data, place)):
+        place, open_field = found.end(), not open_field
+    return open_field
+
+
+class ScrapeFile:
+    """A file as its tasks see it: dialect, header, and the records of any range of bytes."""
+
+    def __init__(self, path: str):
+        self.files, self.path = open_filesystem(path)
+        with self.files.open_input_stream(self.path) as stream:
+            sample = codecs.getincrementaldecoder("utf-8")().decode(stream.read(4 * SAMPLE_CHARS))[:SAMPLE_CHARS]
+        self.dialect = sniff_dialect(sample)
+        with self._from(0) as (_, lines):
+            self.columns = known_columns(next(records(lines, self.dialect), []))
+
+    @contextmanager
+    def _from(self, start: int) -> Iterator[tuple[list[int], Iterator[str]]]:
+        """Where the next line begins, in a list of one, and the lines from ``start`` on."""
+        with self.files.open_input_file(self.path) as file:
+            file.seek(start)
+            at = [start]
+
+            def lines() -> Iterator[str]:
+                with io.BufferedReader(_Raw(file), 1 << 20) as buffered:
+                    for line in buffered:
+                        at[0] += len(line)
+                        # A line that only a carriage return ends is a line too.
+                        yield from io.StringIO(line.decode("utf-8", "replace"), newline="")
+
+            yield at, lines()
+
+    def _line_start(self, place: int) -> int:
+        """Where the first line begins that begins at ``place`` or behind it."""
+        if not place:
+            return 0
+        with self.files.open_input_file(self.path) as file:
+            file.seek(place - 1)
+            with io.BufferedReader(_Raw(file), 1 << 16) as buffered:
+                return place - 1 + len(buffered.readline())
+
+    def open_after(self, start: int, stop: int) -> tuple[bool, bool]:
+        """Whether a quoted field is open behind a range's lines: if none is before them, and if one is."""
+        start, stop = self._line_start(start), self._line_start(stop)
+        with self.files.open_input_file(self.path) as file:
+            file.seek(start)
+            data = file.read(stop - start)
+        return open_field_after(data, False, self.dialect), open_field_after(data, True, self.dialect)
+
+    def rows(self, start: int, stop: int, open_field: bool) -> Iterator[list[str]]:
+        """Records that begin in a range's lines, without the header; blank lines are none."""
+        begin, end = self._line_start(start), self._line_start(stop)
+        if open_field:  # the record before goes on: it belongs to an earlier range
+            with self._from(begin) as (at, lines):
+                for line in lines:
+                    begin, open_field = at[0], open_field_after(line.encode(), open_field, self.dialect)
+                    if not open_field or begin >= end:
+                        break
+        with self._from(begin) as (at, lines):
+            found = records(lines, self.dialect)
+            if not start:
+                next(found, None)
+            while at[0] < end and (row := next(found, None)) is not None:
+                if row:
+                    yield row
+
+
+class _Raw(io.RawIOBase):
+    """What is left of an Arrow file, for Python's line reader."""
+
+    def __init__(self, file):
+        self.file = file
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, target) -> int:
+        data = self.file.read(len(target))
+        target[:len(data)] = data
+        return len(data)
+
+
+def _problem(error: Exception) -> str:
+    return f"{type(error).__name__}: {error}"
+
+
+def ranges(files: DataFrame) -> DataFrame:
+    """``path, start, stop, open_field`` of every range of the non-empty files of ``path, length``, dealt out to tasks."""
+    cut = files.filter("length > 0").select("path", "length", F.explode(F.expr(
+        f"sequence(0L, length - 1, {RANGE}L)")).alias("start")).withColumn("stop", F.least("length", F.col("start") + RANGE))
+    dealt = cut.repartition("path", "start")
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for path, start, stop in zip(batch["path"], batch["start"], batch["stop"]):
+                try:
+                    states = ScrapeFile(path).open_after(start, stop)
+                except Exception:  # reported when its rows are read
+                    states = (False, False)
+                found.append((path, start, stop, *states))
+            yield pd.DataFrame(found, columns=["path", "start", "stop", "after_closed", "after_open"])
+
+    # Nothing is open where a file begins, so one range needs no look. A file's ranges, four values each, are gone through in order.
+    large = dealt.filter(F.col("length") > RANGE).mapInPandas(look, "path string, start long, stop long, after_closed boolean, after_open boolean")
+    opened = large.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "after_closed", "after_open"))).alias("parts")).select(
+        "path", F.inline(F.expr("""aggregate(parts, cast(array() as array<struct<start:long,stop:long,open_field:boolean,after:boolean>>), (done, p) -> concat(done, array(
+            named_struct('start', p.start, 'stop', p.stop, 'open_field', coalesce(try_element_at(done, -1).after, false), 'after',
+                if(coalesce(try_element_at(done, -1).after, false), p.after_open, p.after_closed)))))"""))).drop("after")
+    return dealt.filter(F.col("length") <= RANGE).select("path", "start", "stop", F.lit(False).alias("open_field")).unionByName(
+        opened.repartition("path", "start"))
+
+
+def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = [part.split()[0] for part in _RAW.split(", ")]
     for batch in batches:
-        found = []
-        for path, length in zip(batch["path"], batch["length"]):
+        held: list[tuple] = []
+        for path, start, stop, open_field in zip(*[batch[c] for c in ("path", "start", "stop", "open_field")]):
             try:
-                files, local = open_filesystem(path)
-                with files.open_input_stream(local) as stream:
-                    sample = codecs.getincrementaldecoder("utf-8")().decode(stream.read(4 * SAMPLE_CHARS))[:SAMPLE_CHARS]
-                dialect = sniff_dialect(sample)
-                with files.open_input_stream(local) as stream, io.TextIOWrapper(stream, "utf-8", newline="") as text:
-                    header, tall = read_header(text, *dialect)
-                found.append((path, length, *dialect, known_columns(header), tall, None))
+                file = ScrapeFile(path)
             except Exception as error:  # any file may be gone or not be text; the others still count
-                found.append((path, length, None, None, None, None, None, f"{type(error).__name__}: {error}"))
-        yield pd.DataFrame(found, columns=[part.split()[0] for part in _LAYOUT.split(", ")])
-
-
-def file_layouts(files: DataFrame) -> DataFrame:
-    """The layout of each non-empty file of ``path, length``, or its ``problem``."""
-    return materialize(files.filter("length > 0").select("path", "length").mapInPandas(_layouts, _LAYOUT), "layouts")
-
-
-def unreadable_files(layouts: DataFrame) -> DataFrame:
-    return layouts.filter("problem is not null").select("path", "problem")
-
-
-def _spanning(spark: SparkSession, paths: list[str], quote: str) -> set[str]:
-    """Of large files those in which some line has an odd number of quote characters: a field may span lines there."""
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"))
-    quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit(quote), F.lit("")))
-    return {row["path"] for row in lines.filter(quotes % 2 == 1).select("path").distinct().collect()}
-
-
-def _read_layout(spark: SparkSession, layout: tuple, paths: list[str]) -> DataFrame:
-    separator, quote, skip_space, columns, tall = layout
-    schema = T.StructType([T.StructField(name or f"_{i}", T.StringType()) for i, name in enumerate(columns)])
-    rows = spark.read.option("ignoreMissingFiles", "true").csv(
-        paths, schema=schema, sep=separator, header=True, multiLine=tall, quote=quote, escape=quote, encoding="UTF-8",
-        ignoreLeadingWhiteSpace=skip_space)
-    # Inside a part of a file ids follow row order; parts are ordered by where they begin.
-    return rows.select(
-        *[F.col(name) for name in columns if name], F.col("_metadata.file_name").alias("source_file"),
-        F.col("_metadata.file_block_start").alias("part_start"), F.monotonically_increasing_id().alias("row_order"))
-
+                held.append((*[None] * len(SCRAPE_COLUMNS), path, start, -1, _problem(error)))
+                continue
+            if not file.columns:
+                continue
+            at = {name: i for i, name in enumerate(file.columns) if name}
+            places = [at.get(name, -1) for name in SCRAPE_COLUMNS]
+            # A column that a file lacks counts as blank, as one does that a short row lacks.
+            for order, row in enumerate(file.rows(start, stop, open_field)):
+                held.append((*["" if not 0 <= i < len(row) else row[i] for i in places], path, start, order, None))
+                if len(held) >= ROWS:
+                    yield pd.DataFrame(held, columns=names)
+                    held = []
+        if held:
+            yield pd.DataFrame(held, columns=names)
+
+
+def scan_files(files: DataFrame) -> DataFrame:
+    """Raw text rows of all files of ``path, length``, with ``path``, ``source_file``, ``part_start`` and ``row_order``.
+
+    A file that can't be read is one row with a ``problem`` instead, once for each of its ranges.
+    """
+    return ranges(files).mapInPandas(_parsed, _RAW).withColumn("source_file", F.element_at(F.split("path", "/"), -1))
 
-def scan_layouts(layouts: DataFrame) -> DataFrame | None:
-    """Raw text rows of all readable files with ``source_file``, ``part_start`` and ``row_order``; None without any.
 
-    As for any scan of a list of files, the names reach the driver; a stream bounds them by its files per trigger.
-    """
-    spark = layouts.sparkSession
-    groups: dict[tuple, list[str]] = defaultdict(list)
-    large: dict[tuple, list[str]] = defaultdict(list)
-    for row in layouts.filter("problem is null and size(columns) > 0").toLocalIterator():
-        layout = (row["separator"], row["quote"], row["skip_space"], tuple(row["columns"]), True)
-        (large if row["length"] >= LARGE and not row["tall"] else groups)[layout].append(row["path"])
-    for layout, paths in large.items():
-        spanning = _spanning(spark, paths, layout[1])
-        for path in paths:
-            groups[layout if path in spanning else (*layout[:4], False)].append(path)
-    scans = [_read_layout(spark, layout, paths) for layout, paths in groups.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans) if scans else None
+def unreadable_files(raw: DataFrame) -> DataFrame:
+    return raw.filter("problem is not null").groupBy("path").agg(F.min("problem").alias("problem"))
 
 
-def scan_files(files: DataFrame) -> DataFrame | None:
-    return scan_layouts(file_layouts(files))
+def readable_rows(raw: DataFrame) -> DataFrame:
+    return raw.filter("problem is null")
 
 
 def typed_scrapes(raw: DataFrame, ingested_at: Column) -> DataFrame:
     """Typed stores, one row per store: a later row of a file beats an earlier one, a later file's an earlier file's."""
-    rows = normalize_listings(raw, ingested_at, F.col("source_file"), keep=["part_start", "row_order"])
+    rows = normalize_listings(readable_rows(raw), ingested_at, F.col("source_file"), keep=["part_start", "row_order"])
     return last_per_key(rows, "store_id", ["source_file", "part_start", "row_order"]).drop("part_start", "row_order")
 
 
-def read_scrapes(files: DataFrame, ingested_at: Column) -> DataFrame | None:
-    raw = scan_files(files)
-    return None if raw is None else typed_scrapes(raw, ingested_at)
+def read_scrapes(files: DataFrame, ingested_at: Column) -> DataFrame:
+    return typed_scrapes(scan_files(files), ingested_at)

@@ -1,151 +1,144 @@
-"""Parquet tables that change: snapshots with a version log, and changes kept beside the snapshot until compaction.
+"""Parquet tables that change, as plain folders that any Parquet reader can read.
 
-A snapshot is written to a new folder and becomes current by one appended log row, so readers never see a half-written
-table and a job may read the table it replaces. A table has one writer at a time; two would lose one's rows, though never
-mix them, since each snapshot has a folder of its own.
+A keyed table lies in ``snapshot=<n>/load=<name>`` folders, bucketed by its key. A load writes its own folder and nothing else:
+written again, as a replayed batch is, it overwrites itself. Reading takes the last row of each key in the last snapshot.
+A new snapshot is written whole beside the old one and is the last from then on. One writer at a time.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmatch.operators.merge import last_per_key, not_in, upsert
+from shelfmatch.operators.merge import last_per_key, not_in
 from shelfmatch.schemas import conform
-from shelfmatch.session import delete_folder
+from shelfmatch.session import delete_folder, matching_paths
 
-_LOG = "version long, through_batch long, folder string"
-_COLUMNS = "name string, type string"
-_MARKS = "stream string, stream_batch long"
+#: Buckets of a table; a table must always be opened with as many as it was first written with.
+BUCKETS = 16
+_WRITTEN, _SNAPSHOT, _LOAD = "written_at", "snapshot", "load"
 
 
-class SnapshotTable:
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str):
-        self.spark, self.root, self.declared, self.key = spark, root.rstrip("/"), schema, key
+def read_folder(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The data below ``path``, or no rows before anything was written there."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
-    def _read(self, path: str, schema: T.StructType | str) -> DataFrame:
-        """The data below ``path``, or no rows before anything was written there."""
-        try:
-            return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
+
+class KeyedTable:
+    """One row per key. A join or aggregation by the key reads the buckets as they are: only the other side is shuffled.
+
+    Columns beyond the declared ones can be added; a load without them leaves what a key has there as it is.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str, buckets: int = BUCKETS):
+        self.spark, self.root, self.declared, self.key, self.buckets = spark, root.rstrip("/"), schema, key, buckets
+        self._added: dict[str, str] | None = None
 
     # ---- columns ----
 
-    @property
-    def added(self) -> T.StructType:
-        """Columns the table got beyond the declared ones, see ``add_columns``."""
-        rows = self._read(f"{self.root}/columns", _COLUMNS).distinct().orderBy("name").collect()
-        return T.StructType([T.StructField(r["name"], T.DataType.fromDDL(r["type"])) for r in rows])
+    def _known(self) -> dict[str, str]:
+        """Added columns, as far as files have them."""
+        if self._added is None:
+            self._added = {}
+            if self._last_snapshot() >= 0:
+                whole = self.spark.read.option("mergeSchema", "true").parquet(self.root).schema
+                own = {*self.declared.names, _WRITTEN, _SNAPSHOT, _LOAD}
+                self._added = {f.name: f.dataType.simpleString() for f in whole if f.name not in own}
+        return self._added
 
     @property
     def schema(self) -> T.StructType:
-        return T.StructType([*self.declared, *self.added])
+        return T.StructType([*self.declared, *[T.StructField(n, T.DataType.fromDDL(k)) for n, k in self._known().items()]])
 
     def add_columns(self, columns: dict[str, str]) -> None:
         """Additive evolution: what is there stays, rows written before have null."""
-        new = [(name, kind) for name, kind in columns.items() if name not in self.schema.names]
-        if new:
-            self.spark.createDataFrame(new, _COLUMNS).coalesce(1).write.mode("append").parquet(f"{self.root}/columns")
-
-    # ---- snapshots ----
-
-    def _log(self) -> DataFrame:
-        return self._read(f"{self.root}/log", _LOG)
-
-    def _current(self) -> tuple[int, int, str]:
-        """Version, last batch of changes inside and folder of the current snapshot; -1 for none."""
-        row = self._log().agg(F.max(F.struct("version", "through_batch", "folder")).alias("v")).first()
-        return tuple(row["v"]) if row["v"] else (-1, -1, "none")
-
-    def _snapshot(self) -> DataFrame:
-        return self._read(f"{self.root}/snapshot/{self._current()[2]}", self.schema)
+        self._known().update({n: k for n, k in columns.items() if n not in self.schema.names})
+
+    # ---- reading ----
+
+    def _last_snapshot(self) -> int:
+        """-1 before anything was written. What is still being written doesn't count."""
+        done = matching_paths(self.spark, f"{self.root}/{_SNAPSHOT}=*/{_LOAD}=*/_SUCCESS")
+        return max((int(path.split("/")[-3].partition("=")[2]) for path in done), default=-1)
+
+    def _loads(self) -> DataFrame:
+        """All rows of the last snapshot, bucketed by key."""
+        snapshot = self._last_snapshot()
+        stored = T.StructType([*[T.StructField(f.name, f.dataType) for f in self.schema], T.StructField(_WRITTEN, T.TimestampType())])
+        if snapshot < 0:
+            return self.spark.createDataFrame([], T.StructType([*stored, T.StructField(_LOAD, T.StringType())]))
+        # The catalog entry is but a note of where the files are and how they are bucketed.
+        ddl = T.StructType([*stored, T.StructField(_SNAPSHOT, T.LongType()), T.StructField(_LOAD, T.StringType())]).toDDL()
+        name = "keyed_" + hashlib.md5(f"{self.root}|{self.buckets}|{ddl}".encode()).hexdigest()
+        self.spark.sql(f"create table if not exists {name} ({ddl}) using parquet partitioned by ({_SNAPSHOT}, {_LOAD}) "
+                       f"clustered by ({self.key}) into {self.buckets} buckets location '{self.root}'")
+        self.spark.sql(f"msck repair table {name} sync partitions")
+        return self.spark.table(name).filter(F.col(_SNAPSHOT) == snapshot).drop(_SNAPSHOT)
+
+    def keys(self) -> DataFrame:
+        """The key of every row, some more than once: enough for a semi or anti join, and read as it lies."""
+        return self._loads().select(self.key)
 
     def read(self) -> DataFrame:
-        return self._snapshot()
+        rows, added = self._loads(), list(self._known())
+        if added:
+            # A load leaves added columns that it lacks alone: the last value counts, whichever load it came with.
+            ordered = Window.partitionBy(self.key).orderBy(_WRITTEN, _LOAD).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            rows = rows.withColumns({c: F.last(c, ignorenulls=True).over(ordered) for c in added})
+        return last_per_key(rows, self.key, [_WRITTEN, _LOAD]).select(self.schema.names)
 
-    def replace(self, df: DataFrame, through_batch: int = -1) -> None:
-        version = self._current()[0] + 1
-        folder = f"{version}-{uuid.uuid4().hex}"
-        conform(df, self.schema).write.parquet(f"{self.root}/snapshot/{folder}")
-        self.spark.createDataFrame([(version, through_batch, folder)], _LOG).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/log")
+    # ---- writing ----
 
-    def write_rows(self, df: DataFrame) -> None:
-        """Rows of new keys come in, rows of known keys are replaced, all others stay. One row per key."""
-        self.replace(upsert(self.read(), conform(df, self.schema), self.key))
+    def _write(self, df: DataFrame, snapshot: int, load: str) -> None:
+        rows = conform(df, self.schema).withColumn(_WRITTEN, F.lit(datetime.now(timezone.utc)))
+        folder, name = f"{self.root}/{_SNAPSHOT}={snapshot}/{_LOAD}={load}", "keyed_" + uuid.uuid4().hex
+        rows.repartition(self.buckets, self.key).write.mode("overwrite").bucketBy(self.buckets, self.key).sortBy(self.key).option(
+            "path", folder).saveAsTable(name)
+        self.spark.sql(f"drop table {name}")  # the files stay
 
-    def drop_old_snapshots(self, keep: int = 2) -> None:
-        """Remove snapshots no reader of the last ``keep`` versions can be using."""
-        current = self._current()[0]
-        for row in self._log().filter(F.col("version") <= current - keep).collect():
-            delete_folder(self.spark, f"{self.root}/snapshot/{row['folder']}")
+    def upsert(self, df: DataFrame, load: str | None = None) -> None:
+        """One row per key: known keys get the new row, new ones come in. ``load`` names what is written, to be known again."""
+        self._write(df, max(0, self._last_snapshot()), load or uuid.uuid4().hex)
 
+    def insert_new(self, df: DataFrame, load: str | None = None) -> None:
+        """Rows of keys that the table lacks; the others stay untouched. One row per key."""
+        self.upsert(not_in(df, self.keys(), self.key), load)
 
-class UpsertTable(SnapshotTable):
-    """An upsert writes only the changed rows; readers put them over the snapshot.
-
-    Small changes thus cost their own size, not the table's. The table numbers its batches of changes itself; a stream adds
-    its own mark (stream, batch), by which a replayed batch is known and changes nothing. An upsert from a source without
-    the added columns leaves these as they are.
-    """
+    def replace(self, df: DataFrame) -> None:
+        """The new content stands for everything so far. The snapshot before stays for those who are reading it."""
+        last = self._last_snapshot()
+        self._write(df, last + 1, "all")
+        for old in matching_paths(self.spark, f"{self.root}/{_SNAPSHOT}=*"):
+            if int(old.rpartition("=")[2]) < last:
+                delete_folder(self.spark, old)
 
-    def _changes(self, after: int) -> DataFrame:
-        schema = T.StructType([*self.schema, T.StructField("has_added", T.BooleanType()), T.StructField("batch", T.LongType())])
-        return self._read(f"{self.root}/changes", schema).filter(F.col("batch") > after)
+    def rewrite(self) -> None:
+        """One load in place of many."""
+        self.replace(self.read())
 
-    def last_batch(self) -> int:
-        last = self._changes(-1).agg(F.max("batch")).first()[0]
-        return max(-1 if last is None else last, self._current()[1])
 
-    def upsert(self, df: DataFrame, mark: tuple[str, int] | None = None) -> None:
-        """One row per key. The mark is written after the rows: a batch that fails between is written again, over itself."""
-        marks = self._read(f"{self.root}/marks", _MARKS)
-        if mark and not marks.filter((F.col("stream") == mark[0]) & (F.col("stream_batch") == mark[1])).isEmpty():
-            return
-        complete = set(self.added.names) <= set(df.columns)
-        rows = conform(df, self.schema).withColumn("has_added", F.lit(complete))
-        rows.write.mode("overwrite").parquet(f"{self.root}/changes/batch={self.last_batch() + 1}")
-        if mark:
-            self.spark.createDataFrame([mark], _MARKS).coalesce(1).write.mode("append").parquet(f"{self.root}/marks")
+class ReplacedTable:
+    """A table that is loaded whole each time."""
 
-    def write_rows(self, df: DataFrame) -> None:
-        self.upsert(df)
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
+        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
 
-    def replace(self, df: DataFrame, through_batch: int | None = None) -> None:
-        """The new content stands for all changes so far."""
-        super().replace(df, self.last_batch() if through_batch is None else through_batch)
+    def replace(self, df: DataFrame) -> None:
+        conform(df, self.schema).write.mode("overwrite").parquet(self.root)
 
     def read(self) -> DataFrame:
-        _, through, folder = self._current()
-        schema, added = self.schema, self.added.names
-        snapshot, changes = self._read(f"{self.root}/snapshot/{folder}", schema), self._changes(through)
-        if not added:
-            return upsert(snapshot, last_per_key(changes.drop("has_added"), self.key, ["batch"]).drop("batch"), self.key)
-        # Added columns come from the last change that had them, else from the snapshot.
-        rest = [c for c in schema.names if c != self.key and c not in added]
-        last = changes.groupBy(self.key).agg(
-            F.max(F.struct("batch", *rest)).alias("last"),
-            F.max(F.when(F.col("has_added"), F.struct("batch", *added))).alias("extra"))
-        before = snapshot.select(self.key, F.struct(*added).alias("before"))
-        values = {c: F.when(F.col("extra").isNotNull(), F.col(f"extra.{c}")).otherwise(F.col(f"before.{c}")) for c in added}
-        values |= {c: F.col(f"last.{c}") for c in rest} | {self.key: F.col(self.key)}
-        changed = last.join(before, self.key, "left").select(*[values[c].alias(c) for c in schema.names])
-        return changed.unionByName(not_in(snapshot, last, self.key))
-
-    def compact(self) -> None:
-        """Fold all changes so far into a new snapshot; changes that the snapshot before it held already go."""
-        before, through = self._current()[1], self.last_batch()
-        self.replace(self.read(), through)
-        for row in self._read(f"{self.root}/changes", "batch long").filter(F.col("batch") <= before).select("batch").distinct().collect():
-            delete_folder(self.spark, f"{self.root}/changes/batch={row['batch']}")
+        return read_folder(self.spark, self.root, self.schema)
 
 
 def utc_day(moment: Column) -> Column:
@@ -153,16 +146,11 @@ def utc_day(moment: Column) -> Column:
     return F.date_from_unix_date(F.floor(F.unix_micros(moment) / F.lit(86_400_000_000)).cast("int"))
 
 
-class AppendTable(SnapshotTable):
+class AppendTable:
     """Append-only rows, in day folders (UTC) of ``day_of`` where given."""
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str, day_of: str | None = None):
-        super().__init__(spark, root, schema, key)
-        self.day_of = day_of
-
-    @property
-    def schema(self) -> T.StructType:
-        return self.declared
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, day_of: str | None = None):
+        self.spark, self.root, self.schema, self.day_of = spark, root.rstrip("/"), schema, day_of
 
     @property
     def _day(self) -> str:
@@ -179,9 +167,9 @@ class AppendTable(SnapshotTable):
     def read(self, since: datetime | Column | None = None) -> DataFrame:
         """``since``: day folders before it are not even listed for reading."""
         if not self.day_of:
-            return self._read(self.root, self.schema)
+            return read_folder(self.spark, self.root, self.schema)
         schema = T.StructType([*self.schema, T.StructField(self._day, T.DateType())])
-        rows = self._read(self.root, schema)
+        rows = read_folder(self.spark, self.root, schema)
         if since is not None:
             moment = F.lit(since).cast("timestamp")
             rows = rows.filter((F.col(self._day) >= utc_day(moment)) & (F.col(self.day_of) >= moment))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfmatch.operators.geocoding import parse_zip_rows
 from shelfmatch.schemas import ZIP_LOOKUP
-from shelfmatch.sources.tables import SnapshotTable
+from shelfmatch.sources.tables import ReplacedTable
 
 
 def read_zip_file(spark: SparkSession, path: str) -> DataFrame:
@@ -15,4 +15,4 @@ def read_zip_file(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_zip_lookup(spark: SparkSession, path: str, root: str) -> None:
-    SnapshotTable(spark, root, ZIP_LOOKUP, "zip").replace(read_zip_file(spark, path))
+    ReplacedTable(spark, root, ZIP_LOOKUP).replace(read_zip_file(spark, path))

@@ -6,24 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shelfmatch.session import scratch_released, tune
+from shelfmatch.session import materialize, scratch_released, tune
 from shelfmatch.sources.audit_log import AuditLog
-from shelfmatch.sources.scrape_files import LANDING, file_layouts, scan_layouts, typed_scrapes, unreadable_files
-from shelfmatch.sources.tables import UpsertTable
+from shelfmatch.sources.scrape_files import LANDING, scan_files, typed_scrapes, unreadable_files
+from shelfmatch.sources.tables import KeyedTable
 
 COMPONENT = "scrape-ingest"
 #: Files of one micro-batch; their names are what a scan needs on the driver.
 FILES_PER_TRIGGER = 1000
 
 
-def ingest(files: DataFrame, stores: UpsertTable, mark: tuple[str, int] | None = None, audit: AuditLog | None = None) -> None:
-    """``files``: ``path, length``. Without rows nothing is written.
+def ingest(files: DataFrame, stores: KeyedTable, mark: tuple[str, int] | None = None, audit: AuditLog | None = None) -> None:
+    """``files``: ``path, length``. Files are read once; a batch is one load of the table, named by its ``mark``.
 
     A file that can't be read becomes an error row with its name (without an audit log, an exception); all others go in.
     """
     def run() -> None:
-        layouts = file_layouts(files)
-        bad = unreadable_files(layouts)
+        raw = materialize(scan_files(files), "raw-scrapes")
+        bad = unreadable_files(raw)
         if not bad.isEmpty():
             if audit is None:
                 raise ValueError(f"unreadable: {bad.first()['path']}")
@@ -31,9 +31,7 @@ def ingest(files: DataFrame, stores: UpsertTable, mark: tuple[str, int] | None =
                 bad.select(F.lit(COMPONENT).alias("component"), F.lit("unreadable_file").alias("check_name"),
                            F.col("problem").alias("message"), "path"),
                 test_type="infrastructure", context=F.to_json(F.struct(F.col("path").alias("file"))))
-        raw = scan_layouts(layouts)
-        if raw is not None and not raw.isEmpty():  # looks for one raw row; typing and deduplication run once, in the write
-            stores.upsert(typed_scrapes(raw, F.current_timestamp()), mark)
+        stores.upsert(typed_scrapes(raw, F.current_timestamp()), "-".join(map(str, mark)) if mark else None)
 
     with scratch_released(stores.spark):
         if audit is None:
@@ -50,11 +48,11 @@ def arriving_files(spark: SparkSession, bucket: str, files_per_trigger: int = FI
         "maxFilesPerTrigger", files_per_trigger).load(f"{bucket}/{LANDING}").select("path", "length")
 
 
-def start_ingest(spark: SparkSession, bucket: str, stores: UpsertTable, checkpoint: str,
+def start_ingest(spark: SparkSession, bucket: str, stores: KeyedTable, checkpoint: str,
                  audit: AuditLog | None = None, once: bool = True, files_per_trigger: int = FILES_PER_TRIGGER) -> StreamingQuery:
     """``once``: read everything that has landed, then stop; else keep watching.
 
-    The table's marks carry the stream's own id, which a new checkpoint renews: its batches are never taken for replays.
+    A batch that is replayed writes its own load again. Loads carry the stream's id, which a new checkpoint renews.
     """
     tune(spark)
 

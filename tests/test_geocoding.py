@@ -10,7 +10,7 @@ from shelfmatch.operators import geocoding as gc
 from shelfmatch.plans.geocode_run import backfill_zips, run_geocoding
 from shelfmatch.sources.audit_log import AuditLog
 from shelfmatch.sources.batch_geocoder import parse_reply_lines, read_replies
-from shelfmatch.sources.tables import AppendTable, SnapshotTable, UpsertTable
+from shelfmatch.sources.tables import AppendTable, KeyedTable
 
 
 def reply(*components, status="OK"):
@@ -87,7 +87,7 @@ def test_limit(spark, mart):
 
 
 def test_reruns_ask_only_for_what_is_open(spark, tmp_path, mart):
-    table = AppendTable(spark, f"file://{tmp_path}/geocodes", sc.STORE_GEOCODES, "store_id")
+    table = AppendTable(spark, f"file://{tmp_path}/geocodes", sc.STORE_GEOCODES)
     audit = AuditLog(spark, f"file://{tmp_path}")
     asked = []
 
@@ -128,7 +128,7 @@ def test_locations_prefer_the_stores_own(spark):
 
 def test_backfill_fills_zips_and_missing_points(spark, tmp_path):
     schema = "store_id string, address string, parsed_city string, state string, zip string, lat double, lng double"
-    table = SnapshotTable(spark, f"file://{tmp_path}/stores", spark.createDataFrame([], schema).schema, "store_id")
+    table = KeyedTable(spark, f"file://{tmp_path}/stores", spark.createDataFrame([], schema).schema, "store_id")
     table.replace(spark.createDataFrame(
         [("a", "1, A St", "X, Y", "NJ", None, 9.0, None), ("b", "2 B", None, None, None, None, None),
          ("c", "3 C", "Z", "NJ", "07003", None, None)], schema))
@@ -147,7 +147,7 @@ def test_backfill_fills_zips_and_missing_points(spark, tmp_path):
 
 def test_a_failing_run_keeps_what_was_answered(spark, tmp_path):
     mart = spark.createDataFrame([(f"s{i}", f"{i} A", "X", "NJ", None, None) for i in range(8)], MART)
-    table, audit = AppendTable(spark, f"file://{tmp_path}/geocodes", sc.STORE_GEOCODES, "store_id"), AuditLog(spark, f"file://{tmp_path}")
+    table, audit = AppendTable(spark, f"file://{tmp_path}/geocodes", sc.STORE_GEOCODES), AuditLog(spark, f"file://{tmp_path}")
     calls = []
 
     def resolve(requests):
@@ -175,8 +175,8 @@ def test_reply_files_are_whole_csv_texts_and_the_last_reply_counts(spark, tmp_pa
 
 
 def test_backfill_of_the_store_table_stays(spark, tmp_path):
-    """Zip and coordinates survive later reads, re-scrapes without coordinates, and compaction."""
-    table = UpsertTable(spark, f"file://{tmp_path}/stores", sc.STORES_NORMALIZED, "store_id")
+    """Zip and coordinates survive later reads, re-scrapes without coordinates, and rewriting."""
+    table = KeyedTable(spark, f"file://{tmp_path}/stores", sc.STORES_NORMALIZED, "store_id")
 
     def scraped(*rows):
         return spark.createDataFrame([(i, a, z, datetime(2024, 1, 1), "f") for i, a, z in rows],
@@ -189,14 +189,14 @@ def test_backfill_of_the_store_table_stays(spark, tmp_path):
         return requests.select("store_id", F.lit("Match").alias("match_flag"), F.lit("1 A ST, 07001").alias("matched_address"),
                                F.lit("-74.1,40.5").alias("coords"))
 
-    table.upsert(scraped(("a", "1 A", None), ("b", "2 B", "07002")), ("q", 0))
+    table.upsert(scraped(("a", "1 A", None), ("b", "2 B", "07002")), "q-0")
     assert backfill_zips(table, service) == (1, 1)
     wanted = {"a": ("07001", 40.5, -74.1), "b": ("07002", None, None)}
     assert state() == wanted
-    table.compact()
+    table.rewrite()
     assert state() == wanted
-    table.upsert(scraped(("a", "9 Z", "07009"), ("c", "3 C", None)), ("q", 1))
+    table.upsert(scraped(("a", "9 Z", "07009"), ("c", "3 C", None)), "q-1")
     assert state() == {**wanted, "a": ("07009", 40.5, -74.1), "c": (None, None, None)}
     assert backfill_zips(table, service) == (1, 1)
-    table.compact()
+    table.rewrite()
     assert state()["c"] == ("07001", 40.5, -74.1) and backfill_zips(table, service) == (0, 0)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from shelfmatch.operators import merge
 from shelfmatch.schemas import STORES_NORMALIZED, add_missing_columns
-from shelfmatch.sources.tables import AppendTable, SnapshotTable, UpsertTable
+from shelfmatch.sources.tables import AppendTable, KeyedTable
 
 
 @pytest.fixture
@@ -65,55 +65,84 @@ def test_batches_follow_key_order(spark, size, n):
     assert [b for _, b in found] == [i // size for i in range(n)]
 
 
-def test_snapshot_table_replaces_what_it_reads(spark, tmp_path, target):
-    table = SnapshotTable(spark, f"file://{tmp_path}/t", target.schema, "store_id")
-    assert table.read().count() == 0
+@pytest.fixture
+def table(spark, tmp_path, target):
+    return KeyedTable(spark, f"file://{tmp_path}/t", target.schema, "store_id", buckets=3)
+
+
+def folders(tmp_path):
+    return sorted(str(p.relative_to(tmp_path / "t")) for p in (tmp_path / "t").glob("snapshot=*/load=*"))
+
+
+def test_table_replaces_what_it_reads(tmp_path, table, target):
+    assert table.read().count() == 0 and table.keys().count() == 0
     table.replace(target)
     table.replace(table.read().selectExpr("store_id", "n + 1 as n", "zip"))
     table.replace(table.read().filter("store_id = 'a'"))
     assert rows(table.read()) == [("a", 2, "x")]
-    table.drop_old_snapshots(keep=1)
-    assert rows(table.read()) == [("a", 2, "x")]
-    assert [p.name.split("-")[0] for p in (tmp_path / "t" / "snapshot").iterdir()] == ["2"]
+    assert folders(tmp_path) == ["snapshot=1/load=all", "snapshot=2/load=all"]  # the one before stays for its readers
 
 
-def test_upsert_table_replays_and_compacts(spark, tmp_path, target, source):
-    table = UpsertTable(spark, f"file://{tmp_path}/t", target.schema, "store_id")
-    table.upsert(target, ("one", 0))
-    table.upsert(source, ("one", 1))
+def test_table_replays_and_rewrites(tmp_path, table, target, source):
+    table.upsert(target, "one-0")
+    table.upsert(source, "one-1")
     wanted = [("a", 1, "x"), ("b", 20, "z"), ("c", 30, "y")]
     assert rows(table.read()) == wanted
-    table.upsert(target, ("one", 0))  # a replay
-    assert rows(table.read()) == wanted and table.last_batch() == 1
-    table.compact()
-    assert rows(table.read()) == wanted and table.last_batch() == 1
+    table.upsert(source, "one-1")  # a replay writes its own folder again
+    assert rows(table.read()) == wanted and len(folders(tmp_path)) == 2
+    table.rewrite()
+    assert rows(table.read()) == wanted
     table.upsert(target.filter("store_id = 'a'").selectExpr("store_id", "99 as n", "zip"))
     assert rows(table.read()) == [("a", 99, "x"), *wanted[1:]]
-    table.upsert(target.filter("store_id = 'a'"), ("two", 0))  # another stream starts to count anew
-    assert rows(table.read()) == wanted
-    table.compact()
-    assert rows(table.read()) == wanted
-    assert sorted(p.name for p in (tmp_path / "t" / "changes").glob("batch=*")) == ["batch=2", "batch=3"]
+    table.upsert(target.filter("store_id = 'a'"), "two-0")  # another stream starts to count anew
+    table.insert_new(target.selectExpr("store_id", "0 as n", "zip").unionByName(source.selectExpr("'d' as store_id", "4 as n", "zip").limit(1)))
+    assert rows(table.read()) == [*wanted, ("d", 4, "z")]
+    assert {r[0] for r in rows(table.keys())} == {"a", "b", "c", "d"}
 
 
-def test_replacing_an_upsert_table_stands_for_its_changes(spark, tmp_path, target, source):
-    table = UpsertTable(spark, f"file://{tmp_path}/t", target.schema, "store_id")
-    table.upsert(target)
+def test_a_snapshot_that_is_still_written_does_not_count(spark, tmp_path, table, target, source):
+    table.replace(target)
+    (tmp_path / "t" / "snapshot=1" / "load=all" / "_temporary").mkdir(parents=True)
+    assert rows(table.read()) == rows(target)
     table.replace(source)
-    assert rows(table.read()) == rows(source.select(target.columns))
-    table.write_rows(target.filter("store_id = 'a'"))
-    assert [r[0] for r in rows(table.read())] == ["a", "b", "c"]
+    assert rows(KeyedTable(spark, table.root, target.schema, "store_id", 3).read()) == rows(source)
 
 
-def test_added_columns(spark, tmp_path, target):
-    table = SnapshotTable(spark, f"file://{tmp_path}/t", target.schema, "store_id")
+def test_a_delta_meets_the_table_where_it_lies(spark, tmp_path, table, target, source):
+    """Anti-joins and reads by key shuffle the delta only: nothing is exchanged above the table's own scan."""
+    table.upsert(target)
+    table.upsert(source)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        delta = spark.createDataFrame([("c", 1), ("e", 2)], "store_id string, n int")
+        fresh = merge.not_in(delta, table.keys(), "store_id")
+        plans = {name: df._jdf.queryExecution().executedPlan().toString() for name, df in (("anti", fresh), ("read", table.read()))}
+        assert [r[0] for r in rows(fresh)] == ["e"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Bucketed: true" in plans["read"] and plans["read"].count("Exchange") == 0
+    anti = plans["anti"]
+    assert "Bucketed: true" in anti and anti.count("Exchange") == 1
+    assert anti.index("Exchange") < anti.index("LocalTableScan" if "LocalTableScan" in anti else "Scan ExistingRDD") < anti.index("Bucketed: true")
+
+
+def test_last_rows_need_no_sort_aggregate_and_one_row_a_task(spark, target):
+    plan = merge.last_per_key(target, "store_id", ["n"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("WindowGroupLimit") == 2 and plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+
+
+def test_added_columns(spark, table, target, source):
     table.replace(target)
     table.add_columns({"lat": "double", "zip": "string"})
     table.add_columns({"lat": "double"})
     assert table.read().columns == [*target.columns, "lat"]
-    table.write_rows(table.read().filter("store_id = 'a'").withColumn("lat", F.lit(1.5)))
-    assert {r["store_id"]: r["lat"] for r in table.read().collect()}["a"] == 1.5
-    assert SnapshotTable(spark, f"file://{tmp_path}/t", target.schema, "store_id").read().columns[-1] == "lat"
+    table.upsert(table.read().filter("store_id = 'a'").withColumn("lat", F.lit(1.5)))
+    table.upsert(target.selectExpr("store_id", "n + 7 as n", "zip"))  # knows nothing of the column
+    again = KeyedTable(spark, table.root, target.schema, "store_id", 3)
+    assert rows(again.read()) == [("a", 8, "x", 1.5), ("b", 9, None, None)]
+    again.rewrite()
+    assert rows(again.read()) == [("a", 8, "x", 1.5), ("b", 9, None, None)]
 
 
 def test_append_table_reads_a_window(spark, tmp_path):
@@ -123,7 +152,7 @@ def test_append_table_reads_a_window(spark, tmp_path):
     df = spark.createDataFrame(
         [("a", datetime(2024, 1, 1, 5), "f"), ("b", datetime(2024, 1, 2, 5), "f"), ("c", datetime(2024, 1, 2, 7), "f")],
         "store_id string, ingested_at timestamp, source_file string")
-    table = AppendTable(spark, f"file://{tmp_path}/t", schema, "store_id", "ingested_at")
+    table = AppendTable(spark, f"file://{tmp_path}/t", schema, "ingested_at")
     assert table.read().count() == 0
     table.append(df)
     table.append(df.limit(1))

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from shelfmatch.schemas import STORES_NORMALIZED, ZIP_LOOKUP
 from shelfmatch.sources.audit_log import AuditLog
-from shelfmatch.sources.scrape_files import landed_files, known_columns, read_header, read_scrapes, scan_files, sniff_dialect
-from shelfmatch.sources.tables import SnapshotTable, UpsertTable
+from shelfmatch.sources import scrape_files
+from shelfmatch.sources.scrape_files import landed_files, known_columns, ranges, read_scrapes, readable_rows, records, scan_files, sniff_dialect
+from shelfmatch.sources.tables import KeyedTable, ReplacedTable
 from shelfmatch.sources.zip_file import load_zip_lookup
 from shelfmatch.streaming.file_arrival import ingest, start_ingest
 
@@ -26,14 +27,14 @@ def read(spark, bucket):
     return read_scrapes(landed_files(spark, f"file://{bucket}"), F.lit(datetime(2024, 1, 1)))
 
 
-@pytest.mark.parametrize("sample, dialect, header, tall", [
-    ("a,b\n1,2\n", (",", '"', False), ["a", "b"], False), ("a\tb\n1\t2\n", ("\t", '"', False), ["a", "b"], False),
-    ('"x, y"\tb\n1\t2\n3\t4\n', ("\t", '"', False), ["x, y", "b"], False), ("single\n", (",", '"', False), ["single"], False),
-    ("", (",", '"', False), [], False), ("a, b, c\n1, 2, 3\n4, 5, 6\n", (",", '"', True), ["a", "b", "c"], False),
-    ('a,"b\nc"\n1,2\n', (",", '"', False), ["a", "b\nc"], True)])
-def test_dialect_and_header(sample, dialect, header, tall):
+@pytest.mark.parametrize("sample, dialect, header", [
+    ("a,b\n1,2\n", (",", '"', False), ["a", "b"]), ("a\tb\n1\t2\n", ("\t", '"', False), ["a", "b"]),
+    ('"x, y"\tb\n1\t2\n3\t4\n', ("\t", '"', False), ["x, y", "b"]), ("single\n", (",", '"', False), ["single"]),
+    ("", (",", '"', False), []), ("a, b, c\n1, 2, 3\n4, 5, 6\n", (",", '"', True), ["a", "b", "c"]),
+    ('a,"b\nc"\n1,2\n', (",", '"', False), ["a", "b\nc"])])
+def test_dialect_and_header(sample, dialect, header):
     assert sniff_dialect(sample) == dialect
-    assert read_header(io.StringIO(sample, newline=""), *dialect) == (header, tall)
+    assert next(records(io.StringIO(sample, newline=""), dialect), []) == header
 
 
 def test_only_known_columns_make_a_layout():
@@ -69,7 +70,7 @@ def test_last_row_of_a_file_wins_then_the_last_file(spark, bucket):
 
 def test_nothing_to_read(spark, bucket):
     (bucket / "normalized" / "empty.csv").write_text("")
-    assert scan_files(landed_files(spark, f"file://{bucket}")) is None
+    assert scan_files(landed_files(spark, f"file://{bucket}")).isEmpty()
 
 
 def test_repeated_column_means_its_last(spark, bucket):
@@ -78,7 +79,7 @@ def test_repeated_column_means_its_last(spark, bucket):
 
 
 def test_stream_reads_each_file_once(spark, bucket, tmp_path):
-    table = UpsertTable(spark, f"file://{tmp_path}/stores", STORES_NORMALIZED, "store_id")
+    table = KeyedTable(spark, f"file://{tmp_path}/stores", STORES_NORMALIZED, "store_id")
 
     def run():
         query = start_ingest(spark, f"file://{bucket}", table, f"file://{tmp_path}/checkpoint")
@@ -103,36 +104,34 @@ def test_spaces_after_commas_and_very_long_headers(spark, bucket):
     assert rows == {"Spaced": ("NJ", "07001"), "Quo, ted": ("PA", "0, 7"), "Third": ("NY", "1"), "Wide": (None, "07009")}
 
 
-def test_large_files_are_split_unless_fields_span_lines(spark, bucket, monkeypatch):
-    from shelfmatch.sources import scrape_files
-
-    monkeypatch.setattr(scrape_files, "LARGE", 1000)
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
-    try:
-        many = "".join(ROW.format(name=f"S{i % 50}", rating=i) for i in range(3000))
-        (bucket / "normalized" / "flat.csv").write_text(HEADER + many)
-        assert scan_files(landed_files(spark, f"file://{bucket}")).rdd.getNumPartitions() > 10
-        rows = {r["store_name"]: r["rating"] for r in read(spark, bucket).collect()}
-        assert rows == {f"S{i}": 2950.0 + i for i in range(50)}
-        (bucket / "normalized" / "tall.csv").write_text(HEADER + many + ROW.format(name='"Two\nLines"', rating=7))
-        rows = {r["store_name"]: r["source_file"] for r in read(spark, bucket).collect()}
-        assert rows["Two\nLines"] == "tall.csv" and len(rows) == 51
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+@pytest.mark.parametrize("size", [7, 64, 1000])
+def test_any_range_begins_at_a_record(spark, bucket, monkeypatch, size):
+    """Files cut anywhere, in quoted fields with line ends, doubled quotes and wide letters: each record once, in order."""
+    monkeypatch.setattr(scrape_files, "RANGE", size)
+    names = [f"S{i} " + ("plain", 'a "q" b', "two\nlines", "é✓", 'end"\n', "", ",", '5" pipe')[i % 8] for i in range(60)]
+    stray = {i for i, n in enumerate(names) if n.endswith("pipe")}  # a quote character that is none, in a field without quotes
+    quoted = ['"' + n.replace('"', '""') + '"' if i not in stray and (i % 2 or set(n) & set('",\n')) else n for i, n in enumerate(names)]
+    text = "state,store_name,zip\r\n" + "".join(f"NJ,{q},{i}\r\n" + "\n" * (i % 11 == 0) for i, q in enumerate(quoted))
+    (bucket / "normalized" / "a.csv").write_text(text, newline="")
+    (bucket / "normalized" / "b.csv").write_text("store_name\nlast", newline="")
+    files = landed_files(spark, f"file://{bucket}")
+    assert ranges(files).count() == -(-len(text.encode()) // size) + -(-15 // size)
+    rows = readable_rows(scan_files(files)).orderBy("source_file", "part_start", "row_order").collect()
+    assert [r["store_name"] for r in rows] == [*names, "last"]
+    assert [r["zip"] for r in rows] == [*map(str, range(60)), ""]
 
 
 def test_replayed_batch_changes_nothing(spark, bucket, tmp_path):
-    table = UpsertTable(spark, f"file://{tmp_path}/stores", STORES_NORMALIZED, "store_id")
+    table = KeyedTable(spark, f"file://{tmp_path}/stores", STORES_NORMALIZED, "store_id")
     (bucket / "normalized" / "a.csv").write_text(HEADER + ROW.format(name="A", rating="1"))
     files = landed_files(spark, f"file://{bucket}")
     for _ in range(2):
         ingest(files, table, ("stream", 0))
-    assert table.read().count() == 1 and table.last_batch() == 0
+    assert table.read().count() == 1 and len(list((tmp_path / "stores").glob("snapshot=*/load=*"))) == 1
 
 
-def test_a_new_checkpoint_after_compaction_still_ingests(spark, bucket, tmp_path):
-    table = UpsertTable(spark, f"file://{tmp_path}/stores", STORES_NORMALIZED, "store_id")
+def test_a_new_checkpoint_after_a_rewrite_still_ingests(spark, bucket, tmp_path):
+    table = KeyedTable(spark, f"file://{tmp_path}/stores", STORES_NORMALIZED, "store_id")
 
     def run(checkpoint):
         start_ingest(spark, f"file://{bucket}", table, f"file://{tmp_path}/{checkpoint}", files_per_trigger=1).awaitTermination()
@@ -141,14 +140,14 @@ def test_a_new_checkpoint_after_compaction_still_ingests(spark, bucket, tmp_path
     for name in "abc":
         (bucket / "normalized" / f"{name}.csv").write_text(HEADER + ROW.format(name=name, rating="1"))
     assert run("one") == {"a": 1.0, "b": 1.0, "c": 1.0}
-    table.compact()
+    table.rewrite()
     (bucket / "normalized" / "d.csv").write_text(HEADER + ROW.format(name="d", rating="2"))
     assert run("two") == {"a": 1.0, "b": 1.0, "c": 1.0, "d": 2.0}
 
 
 def test_a_bad_file_becomes_an_error_row_and_the_others_go_in(spark, bucket, tmp_path):
     audit = AuditLog(spark, f"file://{tmp_path}")
-    table = UpsertTable(spark, f"file://{tmp_path}/stores", STORES_NORMALIZED, "store_id")
+    table = KeyedTable(spark, f"file://{tmp_path}/stores", STORES_NORMALIZED, "store_id")
     (bucket / "normalized" / "good.csv").write_text(HEADER + ROW.format(name="A", rating="1"))
     (bucket / "normalized" / "bad.csv").write_bytes(b"store_name,state\n\xff\xfe\xff,NJ\n")
     listed = landed_files(spark, f"file://{bucket}").unionAll(
@@ -163,7 +162,7 @@ def test_a_bad_file_becomes_an_error_row_and_the_others_go_in(spark, bucket, tmp
 
 def test_failed_ingest_is_recorded_and_raised(spark, bucket, tmp_path, monkeypatch):
     audit = AuditLog(spark, f"file://{tmp_path}")
-    table = UpsertTable(spark, f"file://{tmp_path}/stores", STORES_NORMALIZED, "store_id")
+    table = KeyedTable(spark, f"file://{tmp_path}/stores", STORES_NORMALIZED, "store_id")
     (bucket / "normalized" / "a.csv").write_text(HEADER + ROW.format(name="A", rating="1"))
 
     def fail(*_):
@@ -200,7 +199,7 @@ def test_zip_file(spark, tmp_path):
         '"10000",""\n"07001","bad","-74","A","nj","x","1","1","B"\n"123456","1","2","","","x","","999.5","C"\n'
         '"9","1","2","","","x","1","dense","C"\n')
     load_zip_lookup(spark, f"file://{tmp_path}/zips.csv", f"file://{tmp_path}/table")
-    table = SnapshotTable(spark, f"file://{tmp_path}/table", ZIP_LOOKUP, "zip")
+    table = ReplacedTable(spark, f"file://{tmp_path}/table", ZIP_LOOKUP)
     assert sorted(tuple(r) for r in table.read().collect()) == [
         ("00501", "Holtsville", "NY", "Suffolk", 40.8, -73.0, 0.0, 100, "rural"),
         ("10001", "New York", "NY", None, 40.7, -73.9, 10000.0, 1, "urban"),
@@ -210,5 +209,5 @@ def test_zip_file(spark, tmp_path):
 def test_zip_file_without_optional_columns(spark, tmp_path):
     (tmp_path / "zips.csv").write_text("zip,lat,lng\n501,40.8,-73.0\n")
     load_zip_lookup(spark, f"file://{tmp_path}/zips.csv", f"file://{tmp_path}/table")
-    table = SnapshotTable(spark, f"file://{tmp_path}/table", ZIP_LOOKUP, "zip")
+    table = ReplacedTable(spark, f"file://{tmp_path}/table", ZIP_LOOKUP)
     assert [tuple(r) for r in table.read().collect()] == [("00501", None, None, None, 40.8, -73.0, 0.0, 0, "rural")]
