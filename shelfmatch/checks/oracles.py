@@ -334,8 +334,8 @@ ORACLES: dict[str, str] = {
  {ratio('n', 'a')} as name_to_address from
  (select store_id, lower(store_name) as n, lower(brand) as b, lower({blank('address')}) as a from stores)""",
     "similarity_of_long_texts": with_("stores") + f"""select store_id, length(a) as left_length, length(b) as right_length,
- {ratio('a', 'b', 'hugeint')} as score from (select store_id, left(lower(concat_ws(' ', store_name, brand, address, parsed_city,
- state, phone, road, parsed_country, zip)), 120) as a, lower(concat_ws(' ', phone, brand, road, store_name, address, parsed_city,
+ {ratio('a', 'b', 'hugeint')} as score from (select store_id, lower(concat_ws(' ', store_name, brand, address, parsed_city,
+ state, phone, road, parsed_country, zip)) as a, lower(concat_ws(' ', phone, brand, road, store_name, address, parsed_city,
  store_name, brand, address, state, store_name, road, phone)) as b from stores)""",
     "token_sort_ratio": with_("stores") + f"""select store_id, {ratio('n', 'b')} as score from (select store_id,
  {sorted_words('lower(store_name)')} as n, {sorted_words('lower(brand)')} as b from stores)""",
@@ -444,6 +444,12 @@ ORACLES: dict[str, str] = {
     "geocode_sink": with_(*GEOCODES) + "select * from geocodes",
     "resumed_geocoding": with_("stores", MART, *GEOCODES) + f"""select {REQUEST} from mart where {MISSING}
  and store_id in (select store_id from classified where geocode_status = 'TRANSIENT')""",
+    "failure_capture": with_("stores", MART) + f"""select 'store-geocoding' as component, 'unhandled_exception' as check_name,
+ 'infrastructure' as test_type, 'ERROR' as severity, cast(null as varchar) as context, true as told, true as raised,
+ true as no_heartbeat, count(*) as pending from mart where {MISSING}""",
+    "account_contract": with_("accounts") + """select 'revenue' as column_name, 'missing_column' as violation, 'double' as expected,
+ cast(null as varchar) as found, count(*) as rows from accounts where distributor <> 'north_dist' union all
+ select 'case_volume', 'wrong_type', 'double', 'string', count(*) from accounts where distributor <> 'north_dist'""",
     "geocode_summary": with_("stores", MART, *GEOCODES) + f"""select count(*) as pending, count(*) as processed,
  count(*) filter (where geocode_status = 'OK') as geocoded,
  count(*) filter (where geocode_status in ('ZERO_RESULTS', 'INVALID_REQUEST')) as unresolvable,

@@ -203,7 +203,7 @@ def similarity_of_long_texts(t):
     def joined(*names):
         return F.lower(F.concat_ws(" ", *names))
 
-    a = F.substring(joined("store_name", "brand", "address", "parsed_city", "state", "phone", "road", "parsed_country", "zip"), 1, 120)
+    a = joined("store_name", "brand", "address", "parsed_city", "state", "phone", "road", "parsed_country", "zip")
     b = joined("phone", "brand", "road", "store_name", "address", "parsed_city", "store_name", "brand", "address", "state",
                "store_name", "road", "phone")
     return t("stores").select("store_id", F.char_length(a).cast("long").alias("left_length"),
@@ -374,8 +374,8 @@ def zero_match_check(t):
     """Against a broken account load, of which only the blank rows are left, nothing can match."""
     broken = t("accounts").withColumns({
         name: lit("") for name in ("clean_name", "clean_address", "city", "state", "zip_code")})
-    return he.zero_match_violation(
-        ma.account_universe(ma.find_matches(t("stores"), broken), lit(NOW), F.to_date(lit(NOW))))
+    return he.zero_match_violation(he.match_counts(
+        ma.account_universe(ma.find_matches(t("stores"), broken), lit(NOW), F.to_date(lit(NOW)))))
 
 
 # ---- merges and incremental runs ----
@@ -537,15 +537,32 @@ def geocode_sink(t):
 
 @query
 def resumed_geocoding(t):
-    """What a second run would still ask for after a first one, in batches, stored its replies."""
+    """What a second run would still ask for after a first one, in rounds, stored its replies."""
     stores, known = mart(t), t("geocode_raw")
     spark, root = stores.sparkSession, scratch_path(stores.sparkSession, "geocode-run")
     table = AppendTable(spark, f"{root}/geocodes", sc.STORE_GEOCODES)
-    run_geocoding(stores, table, lambda requests: known.join(requests, "store_id", "left_semi"), AuditLog(spark, root),
-                  batch_size=4000)
+    run_geocoding(stores, table, lambda requests: known.join(requests, "store_id", "left_semi"), AuditLog(spark, root))
     return gc.geocode_requests(stores, table.read())
 
 
+@query
+def failure_capture(t):
+    """A run whose service breaks in every task leaves an error row, no heartbeat, and all stores as pending as before."""
+    stores = mart(t)
+    spark, root = stores.sparkSession, scratch_path(stores.sparkSession, "failed-run")
+    table, audit = AppendTable(spark, f"{root}/geocodes", sc.STORE_GEOCODES), AuditLog(spark, root)
+    try:
+        run_geocoding(stores, table, lambda requests: requests.select(
+            "store_id", F.raise_error(F.concat(lit("no service for "), c("store_id"))).cast("string").alias("body")), audit)
+        raised = False
+    except Exception:
+        raised = True
+    pending = gc.pending_geocodes(stores, table.read()).agg(F.count("*")).scalar()
+    return audit.errors.read().select(
+        "component", "check_name", "test_type", "severity", "context", c("message").contains("no service for").alias("told"),
+        lit(raised).alias("raised"), lit(audit.runs.read().isEmpty()).alias("no_heartbeat"), pending.alias("pending"))
+
+
 @query
 def geocode_summary(t):
     pending = gc.pending_geocodes(mart(t), no_geocodes(t))
@@ -798,6 +815,18 @@ def run_log_sink(t):
     return table.read()
 
 
+@query
+def account_contract(t):
+    """Accounts written in two schemas: one distributor's files lack a column and have another as text."""
+    accounts = t("accounts").withColumns({name: c(name).cast("double") for name in ac.METRICS})
+    spark, root = accounts.sparkSession, scratch_path(accounts.sparkSession, "accounts")
+    north = c("distributor") == "north_dist"
+    accounts.filter(north).write.parquet(f"{root}/north")
+    accounts.filter(~north).drop("revenue").withColumn("case_volume", c("case_volume").cast("string")).write.parquet(f"{root}/south")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root)
+    return he.contract_violations(files, sc.DISTRIBUTOR_ACCOUNTS).drop("files")
+
+
 @query
 def key_violations(t):
     return he.key_violations(typed_scrapes(t), "store_id")

@@ -45,9 +45,10 @@ def pending_geocodes(mart: DataFrame, geocodes: DataFrame) -> DataFrame:
     return not_in(missing_coordinates(mart), geocodes)
 
 
-def geocode_requests(mart: DataFrame, geocodes: DataFrame, limit: int | None = None) -> DataFrame:
-    """In key order; a limit below 1 counts as 1."""
-    requests = pending_geocodes(mart, geocodes).select(
+def geocode_requests(mart: DataFrame, geocodes: DataFrame | None = None, limit: int | None = None) -> DataFrame:
+    """In key order; a limit below 1 counts as 1. Without ``geocodes`` all of ``mart`` is pending."""
+    pending = mart if geocodes is None else pending_geocodes(mart, geocodes)
+    requests = pending.select(
         "store_id", geo.geocode_query(*[F.col(c) for c in ("address", "parsed_city", "state", "zip")])
         .alias("geocode_query")).orderBy("store_id")
     return requests if limit is None else requests.limit(max(1, limit))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type
 
 from shelfmatch.functions.audit import elapsed_hours
+from shelfmatch.session import open_filesystem
 
 MAX_AGE_HOURS = 26  # fixed value: one missed daily run of slack
 
@@ -54,14 +58,18 @@ def error_window_violations(errors: DataFrame, now: Column, hours: int) -> DataF
     return errors.filter((F.col("severity") == "ERROR") & (F.col("occurred_at") >= since))
 
 
+def counters() -> list[Column]:
+    """Processed and matched stores: of a table, or observed on a write."""
+    return [F.count("*").alias("processed"), F.count_if("any_distributor_match").alias("matched")]
+
+
 def match_counts(universe: DataFrame) -> DataFrame:
-    return universe.agg(
-        F.count("*").alias("processed"), F.count_if("any_distributor_match").alias("matched"))
+    return universe.agg(*counters())
 
 
-def zero_match_violation(universe: DataFrame) -> DataFrame:
+def zero_match_violation(counts: DataFrame) -> DataFrame:
     """One row if stores were processed and none matched, which means an empty or broken account load."""
-    return match_counts(universe).filter((F.col("processed") > 0) & (F.col("matched") == 0))
+    return counts.filter((F.col("processed") > 0) & (F.col("matched") == 0))
 
 
 def match_rollup(flat_matches: DataFrame) -> DataFrame:
@@ -70,14 +78,32 @@ def match_rollup(flat_matches: DataFrame) -> DataFrame:
         F.sum("revenue").alias("revenue"))
 
 
-def contract_violations(spark: SparkSession, schema: T.StructType, required: T.StructType) -> DataFrame:
-    """Declared columns a table lacks or types differently. Looks at schemas only."""
-    have = {field.name: field.dataType for field in schema}
-    rows = [
-        (f.name, "missing_column" if f.name not in have else "wrong_type", f.dataType.simpleString(),
-         have[f.name].simpleString() if f.name in have else None)
-        for f in required if have.get(f.name) != f.dataType]
-    return spark.createDataFrame(rows, "column_name string, violation string, expected string, found string")
+def file_columns(files: DataFrame) -> DataFrame:
+    """``path, rows, have`` (column name to Spark type) of every Parquet file of ``path``; footers are read in the tasks."""
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for path in batch["path"]:
+                store, local = open_filesystem(path)
+                with store.open_input_file(local) as file:
+                    footer = pq.ParquetFile(file)
+                    kinds = {f.name: from_arrow_type(f.type).simpleString() for f in footer.schema_arrow}
+                    found.append((path, footer.metadata.num_rows, kinds))
+            yield pd.DataFrame(found, columns=["path", "rows", "have"])
+
+    return files.select("path").repartition("path").mapInPandas(read, "path string, rows long, have map<string, string>")
+
+
+def contract_violations(files: DataFrame, required: T.StructType) -> DataFrame:
+    """Declared columns that some files of a table lack or type differently, with the files and rows concerned.
+
+    A table's files may have been written in several schemas, so one file's schema says nothing about the others.
+    """
+    declared = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("expected")) for f in required])
+    told = file_columns(files).select("rows", "have", F.inline(declared)).withColumn("found", F.try_element_at("have", F.col("column_name")))
+    kind = F.when(F.col("found").isNull(), "missing_column").when(F.col("found") != F.col("expected"), "wrong_type")
+    return told.withColumn("violation", kind).filter("violation is not null").groupBy("column_name", "violation", "expected", "found").agg(
+        F.count("*").alias("files"), F.sum("rows").alias("rows"))
 
 
 def key_violations(df: DataFrame, key: str) -> DataFrame:

@@ -2,24 +2,50 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
+import math
+import time
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmatch.operators import geocoding as gc
 from shelfmatch.operators.merge import batch_of
-from shelfmatch.session import materialize, scratch_released, tune
+from shelfmatch.session import keep_until_released, materialize, scratch_path, scratch_released, tune
 from shelfmatch.sources.audit_log import AuditLog
-from shelfmatch.sources.tables import AppendTable, KeyedTable
+from shelfmatch.sources.tables import AppendTable, KeyedTable, read_folder
 
 COMPONENT = "store-geocoding"
 Resolver = Callable[[DataFrame], DataFrame]
 
 
-#: Requests answered and stored together: what a failing run can lose.
-RUN_BATCH = 1000
+#: Rounds of a run at most, and requests of a round at least. What a failing run can lose is a round.
+ROUNDS, LEAST_ROUND = 10, 1000
+
+
+def paced(call: Callable[[str], str | None], per_second: float, tasks: int) -> Resolver:
+    """A resolver that asks a service in ``tasks`` tasks at once, all together ``per_second`` times a second at most.
+
+    ``call`` maps a query to a reply's text. A call that fails is a reply without a text, which counts as transient.
+    """
+    gap, shape = tasks / per_second, pa.schema([("store_id", pa.string()), ("body", pa.string())])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        due = time.monotonic()
+        for batch in batches:
+            bodies = []
+            for query in batch.column("geocode_query").to_pylist():
+                time.sleep(max(0.0, due - time.monotonic()))
+                due = max(due, time.monotonic()) + gap
+                try:
+                    bodies.append(call(query))
+                except Exception:
+                    bodies.append(None)
+            yield pa.RecordBatch.from_arrays([batch.column("store_id").cast(pa.string()), pa.array(bodies, pa.string())], schema=shape)
+
+    return lambda requests: requests.select("store_id", "geocode_query").repartition(tasks).mapInArrow(ask, "store_id string, body string")
 
 
 def summary_text(row) -> str:
@@ -28,27 +54,29 @@ def summary_text(row) -> str:
 
 
 def run_geocoding(mart: DataFrame, table: AppendTable, resolve: Resolver, audit: AuditLog,
-                  limit: int | None = None, batch_size: int = RUN_BATCH) -> str:
-    """``resolve`` turns requests ``store_id, geocode_query`` into raw replies ``store_id, body``.
+                  limit: int | None = None, rounds: int = ROUNDS, least: int = LEAST_ROUND) -> str:
+    """``resolve`` turns requests ``store_id, geocode_query`` into raw replies ``store_id, body``, in as many tasks as it likes.
 
-    Requests go out in batches in key order, and the replies of each are stored before the next one goes: a run that fails
-    keeps what was answered. A rerun asks only for stores without a stored reply, so it goes on where the last one stopped.
+    Requests go out in rounds in key order, a bounded number however many stores there are, and the replies of each are
+    stored before the next one goes: a run that fails keeps what was answered. A rerun asks only for stores without a stored
+    reply, so it goes on where the last one stopped.
     """
     spark = tune(audit.spark)
     with audit.recording(COMPONENT), scratch_released(spark):
-        cached = table.read()
-        pending = materialize(gc.pending_geocodes(mart, cached), "pending")
-        requests = materialize(batch_of(gc.geocode_requests(mart, cached, limit), "store_id", batch_size), "requests")
-        last = requests.agg(F.max("batch_id")).first()[0]
-        answered = []
-        for number in range(0 if last is None else last + 1):
-            own = requests.filter(F.col("batch_id") == number).select("store_id", "geocode_query")
-            replies = materialize(resolve(own), "replies")
-            answered.append(gc.classify_replies(replies))
-            table.append(gc.geocode_rows(answered[-1], F.current_timestamp()))
-        classified = reduce(DataFrame.unionAll, answered) if answered else gc.classify_replies(
-            spark.createDataFrame([], "store_id string, body string"))
-        summary = summary_text(gc.geocode_summary(pending, classified).first())
+        asked, replied = (scratch_path(spark, name) for name in ("requests", "replies"))
+        keep_until_released(spark, asked)
+        keep_until_released(spark, replied)
+        pending, open_stores = materialize(gc.pending_geocodes(mart, table.read()), "pending"), Observation()
+        requests = materialize(gc.geocode_requests(pending, limit=limit).observe(open_stores, F.count("*").alias("n")), "requests")
+        size = max(least, math.ceil(open_stores.get["n"] / rounds))
+        batch_of(requests, "store_id", size).write.partitionBy("batch_id").parquet(asked)
+        for number in range(math.ceil(open_stores.get["n"] / size)):
+            own = spark.read.schema(requests.schema).parquet(f"{asked}/batch_id={number}")
+            folder = f"{replied}/round={number}"
+            resolve(own).select("store_id", "body").write.mode("overwrite").parquet(folder)
+            table.append(gc.geocode_rows(gc.classify_replies(spark.read.parquet(folder)), F.current_timestamp()))
+        replies = read_folder(spark, replied, T.StructType.fromDDL("store_id string, body string"))
+        summary = summary_text(gc.geocode_summary(pending, gc.classify_replies(replies)).first())
     audit.log_run(COMPONENT)
     return summary
 
@@ -62,10 +90,13 @@ def backfill_zips(table: KeyedTable, resolve_batches: Resolver) -> tuple[int, in
     table.add_columns({"lat": "double", "lng": "double"})
     stores = table.read()
     with scratch_released(spark):
-        missing = materialize(gc.missing_zips(stores), "missing-zips")
-        updates = materialize(gc.batch_updates(resolve_batches(gc.batch_requests(missing))), "updates")
-        if not updates.isEmpty():
+        asked, answered = Observation(), Observation()
+        missing = materialize(gc.missing_zips(stores).observe(asked, F.count("*").alias("total")), "missing-zips")
+        updates = gc.batch_updates(resolve_batches(gc.batch_requests(missing))).join(
+            missing.select("store_id", F.lit(True).alias("asked")), "store_id", "left")
+        # Counted where they are written, not read again for it.
+        updates = materialize(updates.observe(answered, F.count("asked").alias("matched"), F.count("*").alias("rows")), "updates")
+        if answered.get["rows"]:
             changed = stores.join(updates.select("store_id"), "store_id", "left_semi")
-            table.upsert(gc.apply_batch_updates(changed, updates))
-        counts = gc.backfill_counts(missing, updates).first()
-    return counts["matched"], counts["total"]
+            table.upsert(gc.apply_batch_updates(changed, updates.drop("asked")))
+    return answered.get["matched"], asked.get["total"]

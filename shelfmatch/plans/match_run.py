@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfmatch.operators import health
@@ -51,17 +51,17 @@ def _match(stores: DataFrame, accounts: DataFrame, table: KeyedTable, audit: Aud
     todo = materialize(stores_to_match(stores, table.keys(), mode), "to-match")
     if todo.isEmpty():
         return RunResult(0, 0)
-    fresh = materialize(
-        account_universe(find_matches(todo, accounts), F.lit(now), F.to_date(F.lit(now))), "universe")
+    counts = Observation()  # counted while the result is written
+    matched = account_universe(find_matches(todo, accounts), F.lit(now), F.to_date(F.lit(now)))
+    fresh = materialize(matched.observe(counts, *health.counters()), "universe")
     if mode == "incremental":
         table.upsert(fresh)
     else:
         table.replace(fresh)  # not empty: an empty load has returned above
-        empty = health.zero_match_violation(fresh)
+        empty = health.zero_match_violation(audit.spark.createDataFrame([counts.get], "processed long, matched long"))
         audit.log_violations(
             empty.select(F.lit(COMPONENT).alias("component"), F.lit("zero_stores_matched").alias("check_name"),
                          F.format_string("no match among %d stores", "processed").alias("message"),
                          "processed", "matched"),
             context=F.to_json(F.struct("processed", "matched")))
-    counts = health.match_counts(fresh).first()
-    return RunResult(counts["processed"], counts["matched"])
+    return RunResult(counts.get["processed"], counts.get["matched"])

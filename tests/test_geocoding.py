@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfmatch import schemas as sc
 from shelfmatch.functions import geo
 from shelfmatch.operators import geocoding as gc
-from shelfmatch.plans.geocode_run import backfill_zips, run_geocoding
+from shelfmatch.plans.geocode_run import backfill_zips, paced, run_geocoding
 from shelfmatch.sources.audit_log import AuditLog
 from shelfmatch.sources.batch_geocoder import parse_reply_lines, read_replies
 from shelfmatch.sources.tables import AppendTable, KeyedTable
@@ -157,13 +157,50 @@ def test_a_failing_run_keeps_what_was_answered(spark, tmp_path):
         return requests.select("store_id", F.lit(reply(LONG_ZIP)).alias("body"))
 
     with pytest.raises(OSError):
-        run_geocoding(mart, table, resolve, audit, batch_size=2)
+        run_geocoding(mart, table, resolve, audit, rounds=4, least=2)
     assert sorted(r["store_id"] for r in table.read().collect()) == ["s0", "s1", "s2", "s3"]
-    assert run_geocoding(mart, table, resolve, audit, batch_size=2) == (
+    assert run_geocoding(mart, table, resolve, audit, rounds=2, least=1) == (
         "pending 4, processed 4, geocoded 4, unresolvable 0, transient 0, remaining 0")
     assert calls[3:] == [["s4", "s5"], ["s6", "s7"]]
 
 
+def test_rounds_are_bounded_and_so_are_jobs(spark, tmp_path):
+    """Ten times the stores make rounds of ten times the size, and as many Spark jobs."""
+    jobs = {}
+    for n in (40, 400):
+        mart = spark.createDataFrame([(f"s{i:04}", f"{i} A", "X", "NJ", None, None) for i in range(n)], MART)
+        table, audit = AppendTable(spark, f"file://{tmp_path}/geocodes{n}", sc.STORE_GEOCODES), AuditLog(spark, f"file://{tmp_path}/{n}")
+        sizes = []
+
+        def resolve(requests):
+            sizes.append(requests.count())
+            return requests.select("store_id", F.lit(reply(LONG_ZIP)).alias("body"))
+
+        spark.sparkContext.setJobGroup(f"geocode-{n}", "")
+        assert run_geocoding(mart, table, resolve, audit, rounds=4, least=5).startswith(f"pending {n}, processed {n}, geocoded {n}")
+        jobs[n] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"geocode-{n}"))
+        assert sizes == [n // 4] * 4
+        assert table.read().select("store_id").distinct().count() == n
+    spark.sparkContext._jsc.clearJobGroup()
+    assert jobs[400] <= jobs[40] + 6  # adaptive execution may cut a stage more, but no job belongs to a store
+
+
+def test_a_paced_service(spark):
+    """Twelve calls in two tasks at 20 a second take half a second at least; a failing call is a transient reply."""
+    import time
+
+    def call(query):
+        if query == "q7":
+            raise OSError("gone")
+        return '{"status":"ZERO_RESULTS"}'
+
+    requests = spark.createDataFrame([(f"s{i}", f"q{i}") for i in range(12)], "store_id string, geocode_query string")
+    start = time.monotonic()
+    found = {r["store_id"]: r["geocode_status"] for r in gc.classify_replies(paced(call, 20, 2)(requests)).collect()}
+    assert time.monotonic() - start > 0.4
+    assert found == {f"s{i}": "TRANSIENT" if i == 7 else "ZERO_RESULTS" for i in range(12)}
+
+
 def test_reply_files_are_whole_csv_texts_and_the_last_reply_counts(spark, tmp_path):
     (tmp_path / "r").mkdir()
     (tmp_path / "r" / "1.csv").write_text(

@@ -74,12 +74,19 @@ def test_errors_leave_the_window(spark):
         NOW, NOW - timedelta(hours=1)]
 
 
-def test_contract(spark):
-    have = spark.createDataFrame([], ACCOUNT).drop("revenue").withColumn("case_volume", F.lit("1")).schema
-    found = {(r["column_name"], r["violation"], r["found"]) for r in he.contract_violations(
-        spark, have, sc.DISTRIBUTOR_ACCOUNTS).collect()}
-    assert found == {("revenue", "missing_column", None), ("case_volume", "wrong_type", "string")}
-    assert he.contract_violations(spark, spark.createDataFrame([], ACCOUNT).schema, sc.DISTRIBUTOR_ACCOUNTS).isEmpty()
+def test_contract(spark, tmp_path):
+    """Files of one table in three schemas; footers tell, rows are not read."""
+    rows = spark.createDataFrame([], ACCOUNT)
+    broken = rows.drop("revenue").withColumn("case_volume", F.lit("1"))
+    for name, df in (("good", rows), ("bad", broken), ("wide", rows.withColumn("more", F.array(F.lit(1))))):
+        df.coalesce(1).write.parquet(f"file://{tmp_path}/{name}")
+
+    def found(pattern):
+        files = spark.read.format("binaryFile").load(f"file://{tmp_path}/{pattern}/*.parquet")
+        return {(r["column_name"], r["violation"], r["found"], r["files"]) for r in he.contract_violations(files, sc.DISTRIBUTOR_ACCOUNTS).collect()}
+
+    assert found("*") == {("revenue", "missing_column", None, 1), ("case_volume", "wrong_type", "string", 1)}
+    assert found("good") == found("wide") == set()
 
 
 def test_keys_and_required_columns(spark):
