@@ -5,12 +5,16 @@ it, all on diagonals (place in the text less place in the item) that lie within
 counted in bands of diagonals that overlap by e, so each such occurrence falls whole into one band; bands that reach the
 bound are kept, and an alignment limited to the band's diagonals verifies them.
 
+Occurrences of a q-gram that follow one another closely in a text are one interval of bands, so a run of one character or of a
+few costs what its length does, not its length times that of an item's run. Bands in a row are aligned in one table.
+
 The same holds for windows of ``REGION`` characters of longer items, one every ``STEP`` and one at the end: a text that holds
 only a part of an item is found by its windows, which are joined to regions.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +33,8 @@ REGION, STEP = 100, 25
 BLOCK_CHARS = 4 << 20
 #: Characters of a document that are matched at once.
 CHUNK = 1 << 20
+#: Bands in a row that are aligned one by one, and diagonals of a table for more.
+FEW_BANDS, PIECE = 3, 1 << 15
 FIELDS = ("item_id", "start", "stop", "edits", "item_start", "item_stop", "item_chars")
 
 _MULT = np.random.Generator(np.random.PCG64(12)).integers(1 << 30, 1 << 31, 40, dtype=np.uint32) * 2 + 1
@@ -84,42 +90,96 @@ def edit_budget(m: int, q: int, rate: float) -> int:
     return max(0, min(int(m * rate), (m - q) // q))
 
 
+def equal_run(a: np.ndarray, b: np.ndarray) -> int:
+    """How many elements two arrays have in common from their beginnings."""
+    n, at, step = min(len(a), len(b)), 0, 64
+    while at < n:
+        other = a[at:min(at + step, n)] != b[at:min(at + step, n)]
+        if other.any():
+            return at + int(other.argmax())
+        at, step = at + step, step * 4
+    return n
+
+
 def align(item: np.ndarray, text: np.ndarray, low: int, high: int, edits: int) -> tuple[int, int, int] | None:
     """The best occurrence of ``item`` in ``text`` on diagonals ``low`` to ``high``: start, stop, edits; ``None`` over ``edits``.
 
-    Each row of the table is one array over the diagonals. Among equals the occurrence that ends first wins, and of those
-    the one that starts last.
+    Among equals the occurrence that ends first wins, and of those the one that starts last.
     """
-    width, m, far = high - low + 1, len(item), edits + 1
+    m = len(item)
     for at in range(max(0, low), min(high, len(text) - m) + 1):  # a diagonal without an edit is the best there can be
         if text[at] == item[0] and np.array_equal(text[at:at + m], item):
             return at, at + m, 0
-    cell = np.arange(width)
-    start = low + cell  # text place of row 0 on each diagonal
-    cost = np.where((start >= 0) & (start <= len(text)), 0, far)
+    ends = align_all(item, text, low, high, edits)
+    if ends is None:
+        return None
+    cost, origin = ends
+    end = int(cost.argmin())
+    return int(origin[end]), low + end + m, int(cost[end])
+
+
+def align_all(item: np.ndarray, text: np.ndarray, low: int, high: int, edits: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Edits (at most ``edits`` + 1) and start of the best occurrence that ends on each of the diagonals ``low`` to ``high``.
+
+    Each row of the table is one array over the diagonals. ``None`` if all have more than ``edits``.
+    """
+    width, m, far = high - low + 1, len(item), np.int32(edits + 1)
+    cell = np.arange(width, dtype=np.int32)
+    start = cell + np.int32(low)  # text place of row 0 on each diagonal
+    own = text[max(low, 0):max(0, high + m)]
+    line = np.full(width + m - 1, 0xFFFFFFFF, np.uint32)  # line[i + k] is the text's place low + i + k
+    line[max(0, -low):max(0, -low) + len(own)] = own
+    edge = low < 0 or high + m > len(text)
+    cost = np.where((start >= 0) & (start <= len(text)), np.int32(0), far)
     origin = start.copy()
     for i in range(m):
-        at = low + cell + i  # the text place that the diagonal step into row i + 1 reads
-        inside = (at >= 0) & (at < len(text))
-        same = np.zeros(width, bool)
-        same[inside] = text[at[inside]] == item[i]
-        step = np.where(inside, cost + ~same, far)
-        drop = np.append(cost[1:], far) + 1  # item character left out: same text place, next diagonal down
+        step = cost + (line[i:i + width] != item[i])
+        drop = np.append(cost[1:], far) + np.int32(1)  # item character left out: same text place, next diagonal down
         take = drop < step
-        new, begin = np.where(take, drop, step), np.where(take, np.append(origin[1:], 0), origin)
+        new, begin = np.where(take, drop, step), np.where(take, np.append(origin[1:], np.int32(0)), origin)
         # Text characters put in, running along the row: least of new[k] + (j - k).
         slope = new - cell
         best = np.minimum.accumulate(slope)
         fresh = np.concatenate(([True], slope[1:] < best[:-1]))
-        source = np.maximum.accumulate(np.where(fresh, cell, 0))
-        valid = low + cell + i + 1
-        cost = np.where((valid >= 0) & (valid <= len(text)), np.minimum(best + cell, far), far)
+        source = np.maximum.accumulate(np.where(fresh, cell, np.int32(0)))
+        cost = np.minimum(best + cell, far)
+        if edge:
+            stop = start + np.int32(i + 1)
+            cost[(stop < 0) | (stop > len(text))] = far
         origin = begin[source]
         if cost.min() > edits:
             return None
-    least = int(cost.min())
-    end = int(np.flatnonzero(cost == least)[0])
-    return int(origin[end]), low + end + m, least
+    return cost, origin
+
+
+def align_stretch(item: np.ndarray, text: np.ndarray, low: int, bands: int, edits: int) -> Iterator[tuple[int, int, int]]:
+    """The best occurrences (as by ``align``) in so many bands in a row, the first of them from diagonal ``low``.
+
+    Few bands give one each. Of more, which repetitive texts have, all diagonals go through one table, piece by piece, and of
+    occurrences that overlap in the text the best, then first one counts.
+    """
+    if bands <= FEW_BANDS:
+        for at in range(bands):
+            hit = align(item, text, low + at * (edits + 1), low + at * (edits + 1) + 2 * edits, edits)
+            if hit:
+                yield hit
+        return
+    most = max(1, PIECE // (edits + 1))
+    for first in range(0, bands, most):
+        n, base = min(most, bands - first), low + first * (edits + 1)
+        ends = align_all(item, text, base, base + (n - 1) * (edits + 1) + 2 * edits, edits)
+        if ends is None:
+            continue
+        end = np.flatnonzero(ends[0] <= edits)
+        cost, begin = ends[0][end], ends[1][end]
+        begins, taken = [], []
+        for i in np.lexsort((end, begin, cost)).tolist():
+            a, b = int(begin[i]), base + int(end[i]) + len(item)
+            k = bisect_left(begins, a)
+            if (k == 0 or taken[k - 1][1] <= a) and (k == len(begins) or b <= begins[k]):
+                begins.insert(k, a)
+                taken.insert(k, (a, b, int(cost[i])))
+        yield from taken
 
 
 class Index:
@@ -165,56 +225,95 @@ class Index:
         self.seen[self.codes >> (32 - self.bits)] = True
         self.reach = int((self.unit_length + 2 * self.edits).max(initial=0))
 
-    def hits(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Item, place in the item and place in the text of every shared q-gram."""
+        # Occurrences of a q-gram in a text count as one stretch where no band lies between them: up to 2e + 1 places apart,
+        # which differs by unit; these are the gaps that units of few edits, of more, and the windows allow.
+        self.gaps = sorted({1, 3, 7, 2 * edit_budget(REGION, q, rate) + 1})
+        gap = np.array(self.gaps)
+        self.gap_class = np.maximum(np.searchsorted(gap, 2 * self.edits + 1, side="right") - 1, 0)
+        self.bounds = self.unit_length - q + 1 - q * self.edits
+        self.least = np.where(more > 0, np.minimum(self.bounds[:n], REGION - q + 1 - q * edit_budget(REGION, q, rate)), self.bounds[:n])
+        self.classes = {*self.gap_class[:n].tolist(), len(gap) - 1}
+
+    def stretches(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes and places of the text's q-grams that items have, by code, then place."""
         code = gram_codes(points, self.q)
         at = np.flatnonzero(self.seen[code >> (32 - self.bits)])
-        first, last = np.searchsorted(self.codes, code[at]), np.searchsorted(self.codes, code[at], side="right")
-        count = last - first
-        which = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
-        return self.owners[which], self.places[which], np.repeat(at, count)
-
-    def unit_hits(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Unit, place in the unit and place in the text of every shared q-gram: those of an item and of its windows."""
-        owner, place, at = self.hits(points)
-        units, places, ats = [owner], [place], [at]
-        for back in range(REGION // STEP):
-            number = place // STEP - back
-            own = np.flatnonzero((number >= 0) & (number < self.regular[owner]) & (place + self.q <= number * STEP + REGION))
-            units.append(self.first_window[owner[own]] + number[own])
-            places.append(place[own] - number[own] * STEP)
-            ats.append(at[own])
-        own = np.flatnonzero(self.odd[owner] & (place >= self.lengths[owner] - REGION))
-        units.append(self.first_window[owner[own]] + self.regular[owner[own]])
-        places.append(place[own] - self.lengths[owner[own]] + REGION)
-        ats.append(at[own])
-        return np.concatenate(units), np.concatenate(places), np.concatenate(ats)
-
-    def bands(self, points: np.ndarray) -> Iterator[tuple[int, int]]:
-        """Units and first diagonals of the bands with enough shared q-grams.
+        code = code[at]
+        first = np.searchsorted(self.codes, code)
+        first[first == len(self.codes)] = 0
+        own = np.flatnonzero(self.codes[first] == code) if len(self.codes) else np.empty(0, np.int64)
+        code, at = code[own], at[own]
+        order = np.argsort(code, kind="stable")
+        return code[order], at[order]
+
+    def unit_hits(self, code: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Unit, place in the unit, first and last place in the text of every stretch of a shared q-gram: those of an item and
+        of its windows."""
+        for number, gap in enumerate(self.gaps):
+            if number not in self.classes:
+                continue
+            new = np.concatenate(([True], (code[1:] != code[:-1]) | (at[1:] - at[:-1] > gap)))[:len(code)]
+            begins = np.flatnonzero(new)
+            starts, stops, own = at[begins], at[np.append(begins[1:], len(at)) - 1] if len(at) else at, code[begins]
+            first, last = np.searchsorted(self.codes, own), np.searchsorted(self.codes, own, side="right")
+            count = last - first
+            which = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+            owner, place = self.owners[which], self.places[which]
+            many = np.bincount(owner, minlength=len(self.least))[owner] >= self.least[owner]  # else no unit can reach its bound
+            if not many.any():
+                continue
+            owner, place, starts, stops = owner[many], place[many], np.repeat(starts, count)[many], np.repeat(stops, count)[many]
+            mine = np.flatnonzero(self.gap_class[owner] == number)
+            yield owner[mine], place[mine], starts[mine], stops[mine]
+            if number != len(self.gaps) - 1:
+                continue
+            for back in range(REGION // STEP):
+                window = place // STEP - back
+                mine = np.flatnonzero((window >= 0) & (window < self.regular[owner]) & (place + self.q <= window * STEP + REGION))
+                yield self.first_window[owner[mine]] + window[mine], place[mine] - window[mine] * STEP, starts[mine], stops[mine]
+            mine = np.flatnonzero(self.odd[owner] & (place >= self.lengths[owner] - REGION))
+            yield self.first_window[owner[mine]] + self.regular[owner[mine]], place[mine] - self.lengths[owner[mine]] + REGION, starts[mine], stops[mine]
+
+    def bands(self, points: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Units, first diagonals and numbers of bands in a row that all have enough shared q-grams.
 
         A unit with e edits has bands of 2e + 1 diagonals every e + 1, so any e + 1 diagonals in a row lie in one. A place of
-        a unit counts once a band, however often its q-gram stands there.
+        a unit counts once a band, however often its q-gram stands there. A stretch of occurrences is an interval of bands, and
+        counts are sums over the ends of intervals: a run of one character costs no more than one occurrence.
         """
-        owner, place, at = self.unit_hits(points)
+        code, at = self.stretches(points)
+        if not len(code):
+            return
+        hits = list(self.unit_hits(code, at))
+        if not hits:
+            return
+        owner, place, starts, stops = (np.concatenate(c) for c in zip(*hits, strict=True))
         if not len(owner):
             return
-        edits = self.edits[owner]
-        diagonal = at - place + self.unit_length[owner]  # not negative
-        band = diagonal // (edits + 1)
-        # The band before also holds this diagonal if it reaches so far; without edits bands don't overlap.
-        also = (band > 0) & (diagonal - (band - 1) * (edits + 1) <= 2 * edits)
-        owner, place, band = np.concatenate((owner, owner[also])), np.concatenate((place, place[also])), np.concatenate((band, band[also] - 1))
-        order = np.lexsort((place, band, owner))
-        owner, place, band = owner[order], place[order], band[order]
-        new = np.concatenate(([True], (owner[1:] != owner[:-1]) | (band[1:] != band[:-1])))
-        own = new | np.concatenate(([True], place[1:] != place[:-1]))
+        order = np.lexsort((starts, place, owner))
+        owner, place, starts, stops = owner[order], place[order], starts[order], stops[order]
+        edits, length = self.edits[owner], self.unit_length[owner]
+        low = np.maximum(0, -((2 * edits - starts + place - length) // (edits + 1)))
+        high = (stops - place + length) // (edits + 1)
+        again = np.flatnonzero((owner[1:] == owner[:-1]) & (place[1:] == place[:-1])) + 1
+        low[again] = np.maximum(low[again], high[again - 1] + 1)
+        own = np.flatnonzero(low <= high)
+        owner, low, high = owner[own], low[own], high[own]
+        span = int(high.max()) + 2
+        ends, into = np.unique(np.concatenate((owner * span + low, owner * span + high + 1)), return_inverse=True)
+        shared = np.cumsum(np.bincount(into, np.concatenate((np.ones(len(own)), -np.ones(len(own))))).astype(np.int64))
+        owner, band = ends // span, ends % span
+        bound = self.bounds[owner]
+        enough = np.flatnonzero(shared >= bound)
+        enough = enough[shared[enough] > 0]
+        if not len(enough):
+            return
+        new = np.concatenate(([True], enough[1:] != enough[:-1] + 1))
         firsts = np.flatnonzero(new)
-        shared = np.add.reduceat(own.astype(np.int64), firsts)
-        owner, band = owner[firsts], band[firsts]
-        bound = self.unit_length[owner] - self.q + 1 - self.q * self.edits[owner]
-        for i in np.flatnonzero(shared >= bound).tolist():
-            yield int(owner[i]), int(band[i] * (self.edits[owner[i]] + 1) - self.unit_length[owner[i]])
+        lasts = enough[np.append(firsts[1:], len(enough)) - 1] + 1  # bands from there on have too few again
+        for i, j in zip(enough[firsts].tolist(), lasts.tolist(), strict=True):
+            unit = int(owner[i])
+            yield unit, int(band[i] * (self.edits[unit] + 1) - self.unit_length[unit]), int(band[j] - band[i])
 
     def joined(self, item: int, finds: list[tuple[int, int, int, int]], points: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """Regions made of finds of an item's windows (text start and stop, edits, item start) that follow one another in both.
@@ -223,20 +322,36 @@ class Index:
         don't overlap, those that hold most of the item come first.
         """
         whole, chains, out = self.texts[item], [], []
+        # Chains are looked up by the diagonal of their last find; no two that fit are further apart than a cell.
+        cell = 4 * edit_budget(REGION, self.q, self.rate) + 1
+        last_at: dict[int, set[int]] = {}
         for find in sorted(set(finds), key=lambda f: (f[3], f[0])):
-            for chain in chains:
-                a, b, _, at = chain[-1]
-                if 0 < find[3] - at <= REGION and find[0] < b and abs((find[0] - find[3]) - (a - at)) <= 2 * find[2] + 2 * chain[-1][2]:
-                    chain.append(find)
+            diagonal = find[0] - find[3]
+            near = [last_at.get(diagonal // cell + c, set()) for c in (-1, 0, 1)]
+            for own in near:  # finds come by their place in the item, so what lies further back is complete
+                own -= {k for k in own if find[3] - chains[k][-1][3] > REGION}
+            for k in sorted(k for own in near for k in own):
+                a, b, e, at = chains[k][-1]
+                if 0 < find[3] - at <= REGION and find[0] < b and abs(diagonal - (a - at)) <= 2 * find[2] + 2 * e:
+                    last_at[(a - at) // cell].discard(k)
+                    chains[k].append(find)
                     break
             else:
+                k = len(chains)
                 chains.append([find])
+            last_at.setdefault(diagonal // cell, set()).add(k)
+        exact: dict[int, int] = {}  # where the last region without edits of a diagonal ends in the item
         for chain in chains:
             a, b, first, last = min(f[0] for f in chain), max(f[1] for f in chain), chain[0][3], chain[-1][3] + REGION
-            while a and first and points[a - 1] == whole[first - 1]:
-                a, first = a - 1, first - 1
-            while b < len(points) and last < len(whole) and points[b] == whole[last]:
-                b, last = b + 1, last + 1
+            plain = b - a == last - first and not any(f[2] for f in chain)
+            if plain and last <= exact.get(a - first, 0):
+                continue  # chains come by their place in the item: that region has grown over this one
+            n = equal_run(points[:a][::-1], whole[:first][::-1])
+            a, first = a - n, first - n
+            n = equal_run(points[b:], whole[last:])
+            b, last = b + n, last + n
+            if plain:
+                exact[a - first] = last
             most = sum(f[2] for f in chain) + abs((b - a) - (last - first))
             hit = align(whole[first:last], points[a:b], -most, most, most)
             if hit and hit[2] <= (last - first) * self.rate:
@@ -263,13 +378,13 @@ class Index:
         parts: dict[int, list[tuple[int, int, int, int]]] = {}
         for at in range(0, max(1, len(points)), CHUNK):
             part = points[at:at + CHUNK + self.reach]
-            for unit, low in self.bands(part):
+            for unit, low, n in self.bands(part):
                 edits, item, first = int(self.edits[unit]), int(self.unit_item[unit]), int(self.unit_start[unit])
-                hit = align(self.texts[item][first:first + int(self.unit_length[unit])], part, low, low + 2 * edits, edits)
-                if hit and unit < len(self.texts):
-                    found.setdefault(item, []).append((hit[2], at + hit[0], at + hit[1]))
-                elif hit:
-                    parts.setdefault(item, []).append((at + hit[0], at + hit[1], hit[2], first))
+                for a, b, e in align_stretch(self.texts[item][first:first + int(self.unit_length[unit])], part, low, n, edits):
+                    if unit < len(self.texts):
+                        found.setdefault(item, []).append((e, at + a, at + b))
+                    else:
+                        parts.setdefault(item, []).append((at + a, at + b, e, first))
         out = []
         for owner in found.keys() | parts.keys():
             taken: list[tuple[int, int, int]] = []

@@ -140,3 +140,82 @@ def test_parts_of_an_item(docs, llm, cut):
         if r.doc_id < 10:  # edits let a window reach over the ends, less than a step
             assert abs(r.item_start - part[r.item_id][0]) < dc.STEP and abs(r.item_stop - part[r.item_id][1]) < dc.STEP
     assert [r.doc_id for r in dc.without_leaks(docs(rows), bench).collect()] == [99]
+
+
+def repetitive(rng):
+    """Text with runs of one character or a few, among words."""
+    kinds = ["-" * rng.randint(5, 150), "=-" * rng.randint(4, 70), "| - " * rng.randint(3, 40), "abcde fghij klmno " * rng.randint(1, 8)]
+    return prose(rng, rng.randint(0, 25)) + " " + rng.choice(kinds) + " " + prose(rng, rng.randint(0, 25)) + rng.choice(kinds)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_bands_by_loop(seed):
+    """Interval counts are those of single places, in texts with runs too."""
+    rng = random.Random(seed)
+    index = dc.Index([(i, repetitive(rng)[:rng.choice((12, 25, 60, 110, 300))]) for i in range(5)], 4, 0.08)
+    text, _ = dc.folded(repetitive(rng) + " " + repetitive(rng))
+    codes = dc.gram_codes(text, 4)
+    wanted = set()
+    for unit, item in enumerate(index.unit_item):
+        first, m, edits = int(index.unit_start[unit]), int(index.unit_length[unit]), int(index.edits[unit])
+        bands = {}
+        for place, code in enumerate(dc.gram_codes(index.texts[item][first:first + m], 4)):
+            for at in np.flatnonzero(codes == code).tolist():
+                diagonal = at - place + m
+                for band in range(max(0, diagonal // (edits + 1) - 2), diagonal // (edits + 1) + 1):
+                    if band * (edits + 1) <= diagonal <= band * (edits + 1) + 2 * edits:
+                        bands.setdefault(band, set()).add(place)
+        wanted |= {(unit, b * (edits + 1) - m) for b, places in bands.items() if len(places) >= m - 4 + 1 - 4 * edits}
+    found = [(unit, low + k * (int(index.edits[unit]) + 1)) for unit, low, n in index.bands(text) for k in range(n)]
+    assert len(found) == len(set(found)) and set(found) == wanted
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_repetitive_texts_against_the_table(seed):
+    """Items with runs are found where, and only where, the whole edit distance table finds them."""
+    rng = random.Random(100 + seed)
+    items = [(i, repetitive(rng)) for i in range(4)]
+    index = dc.Index(items, dc.GRAM, 0.08)
+    text = repetitive(rng) + changed(rng, items[0][1], 3) + "-" * rng.randint(0, 300) + items[1][1][:-5] + repetitive(rng)
+    found = index.regions(text)
+    for number, item in items:
+        folded, m = fold(item), len(fold(item))
+        least = least_edits(folded, fold(text))
+        whole = [f for f in found if f[0] == number and f[4:6] == (0, m)]
+        assert (least <= dc.edit_budget(m, dc.GRAM, 0.08)) <= bool(whole)
+        assert not whole or min(f[3] for f in whole) >= least
+        for _, a, b, e, first, last, _ in [f for f in found if f[0] == number]:
+            assert distance(folded[first:last], re.sub(r"\s+", " ", text[a:b].lower())) == e <= max(0.08 * (last - first), 1)
+
+
+def test_one_table_for_many_bands(monkeypatch):
+    """Bands that go through one table give what they give one by one, but for overlapping finds."""
+    rng = random.Random(8)
+    for _ in range(60):
+        to = lambda s: np.array([ord(c) for c in s], np.uint32)
+        edits, bands = rng.randint(0, 2), rng.randint(4, 30)
+        item, text = to(rng.choices("ab", k=rng.randint(4, 8) * (edits + 1))), to(rng.choices("ab", k=rng.randint(5, 60)))
+        singles = [h for k in range(bands) if (h := dc.align(item, text, k * (edits + 1) - 3, k * (edits + 1) - 3 + 2 * edits, edits))]
+        monkeypatch.setattr(dc, "PIECE", rng.choice((1, 10, 1 << 15)))
+        at_once = list(dc.align_stretch(item, text, -3, bands, edits))
+        assert bool(singles) == bool(at_once)
+        assert min((h[2] for h in singles), default=9) == min((h[2] for h in at_once), default=9)
+        for a, b, e in at_once:
+            assert e == distance(item.tolist(), text[a:b].tolist())
+        for a, b, e in singles:
+            assert any(x < b + 2 * edits and a - 2 * edits < y for x, y, _ in at_once)
+
+
+def test_long_runs_cost_no_more_than_their_length():
+    """A run of 80 dashes in an item against 200,000 in a text: a band a place would be gigabytes and minutes."""
+    import tracemalloc
+
+    rng = random.Random(9)
+    lead, end = prose(rng, 30), prose(rng, 30)
+    index = dc.Index([(1, lead + "-" * 80 + end)], dc.GRAM, 0.08)
+    text = lead + "-" * 200_000 + end + lead + "-" * 80 + end
+    tracemalloc.start()
+    found = index.regions(text)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [f for f in found if f[3] == 0 and f[4:6] == (0, f[6])] and most < 200 << 20
