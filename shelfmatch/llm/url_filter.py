@@ -4,10 +4,14 @@ A rule is a host and a path prefix; its key is both put together. A url's candid
 prefixes of its path, in the lengths that rules have. Level 0 of a cascade holds the listed keys; level 1 the keys of the
 corpus that level 0 wrongly passes; level 2 the listed keys that level 1 wrongly passes, and so on until a level passes
 nothing wrongly. A key of the corpus is listed if the first level that rejects it is an odd one: exact, without a join.
+
+The filters travel in the plan, as the list does that a caller hands over: at about 1.5 bits a key for each halving of the wrong
+keys they are shorter than the list itself.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
@@ -17,8 +21,6 @@ from pyspark.sql import functions as F
 from shelfmatch.session import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Bytes of all levels of a cascade that may travel inside a plan; longer lists are found by a join.
-MOST_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -65,14 +67,17 @@ def build_level(keys: DataFrame, count: int, level: int, rate: float) -> Level:
 
 
 def passes(key: Column, level: Level, number: int) -> Column:
-    """Whether a key passes a level. The words are one literal that the optimizer folds."""
+    """Whether a key passes a level. The words are a literal that the optimizer folds.
+
+    The first test, which rejects half of all keys, stands alone; the others share one literal.
+    """
     words = F.split(F.lit(" ".join(map(str, level.words))), " ").cast("array<bigint>")
-    tests = [F.getbit(F.get(words, F.shiftright(at, 6).cast("int")), (at % 64).cast("int")) == 1
-             for at in bit_places(key, number, 64 * len(level.words), level.hashes)]
-    met = tests[0]
-    for test in tests[1:]:
-        met = met & test
-    return met
+
+    def met(at: Column) -> Column:
+        return F.getbit(F.get(words, F.shiftright(at, 6).cast("int")), (at % 64).cast("int")) == 1
+
+    first, *rest = bit_places(key, number, 64 * len(level.words), level.hashes)
+    return met(first) & F.forall(F.array(*rest), met) if rest else met(first)
 
 
 def listed(key: Column, cascade: list[Level]) -> Column:
@@ -88,11 +93,10 @@ def listed_of(keys: str, cascade: list[Level]) -> Column:
     return F.filter(keys, lambda key: listed(key, cascade))
 
 
-def build_cascade(universe: DataFrame, keys: DataFrame, most_bytes: int = MOST_BYTES) -> list[Level] | None:
+def build_cascade(universe: DataFrame, keys: DataFrame) -> list[Level]:
     """Levels that tell the rows of ``keys`` from all other rows of ``universe`` (both a string column ``key``).
 
-    The universe needn't be distinct and is never shuffled: only what level 0 passes is. ``None`` if the levels would take
-    more than ``most_bytes``; nothing of that size is gathered.
+    The universe needn't be distinct and is never shuffled: only what level 0 passes is.
     """
     inside = materialize(keys.select("key").distinct(), "listed-keys")
     count = inside.count()
@@ -101,12 +105,9 @@ def build_cascade(universe: DataFrame, keys: DataFrame, most_bytes: int = MOST_B
     others = universe.select(F.approx_count_distinct("key")).first()[0]
     # The first level should pass about as many wrong keys as there are right ones; later ones pass half.
     rate = min(0.5, max(2.0 ** -20, math.sqrt(0.5) * count / max(others, 1)))
-    cascade, held, n, used = [], inside, count, 0
+    cascade, held, n = [], inside, count
     outside = None
     while n:
-        used += math.ceil(-n * math.log(rate) / math.log(2) ** 2 / 8) + 8
-        if used > most_bytes:
-            return None
         number = len(cascade)
         cascade.append(build_level(held, n, number, rate))
         if outside is None:
@@ -119,13 +120,12 @@ def build_cascade(universe: DataFrame, keys: DataFrame, most_bytes: int = MOST_B
     return cascade
 
 
-def url_verdicts(pages: DataFrame, rules: list[tuple[str, str]], most_bytes: int = MOST_BYTES) -> DataFrame:
+def url_verdicts(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     """``page_id, host, path, rule, verdict`` for every row of ``pages`` (``page_id``, ``url``).
 
     ``rules`` are pairs of verdict and host with path prefix. The longest fitting rule decides (among equals the one with
     the longer host); a rule in both lists blocks. A url that no rule fits, a null url and one without ``://`` are allowed,
-    with a null ``rule``; the last two have empty parts. Repeated rows stay. Other columns are not read. Beyond
-    ``most_bytes`` of filters the listed keys are found by an equi join instead.
+    with a null ``rule``; the last two have empty parts. Repeated rows stay. Other columns are not read.
     """
     if not rules:
         host, path = url_parts(F.col("url"))
@@ -134,15 +134,13 @@ def url_verdicts(pages: DataFrame, rules: list[tuple[str, str]], most_bytes: int
     # Rules by the shape of their keys; the list itself is a table.
     shapes = [(r.partition("/")[0], "/" + r.partition("/")[2] if "/" in r else "") for _, r in rules]
     labels, lengths = sorted({h.count(".") + 1 for h, _ in shapes}, reverse=True), sorted({len(p) for _, p in shapes}, reverse=True)
-    table = spark.range(1).select(F.inline(F.array(*[F.struct(F.lit(v).alias("verdict"), F.lit(r).alias("key")) for v, r in rules])))
+    listing = json.dumps([{"verdict": v, "key": r} for v, r in rules])
+    table = spark.range(1).select(F.inline(F.from_json(F.lit(listing), "array<struct<verdict string, key string>>")))
     host, path = url_parts(F.col("url"))
     parts = pages.select("page_id", host.alias("host"), path.alias("path"))
     keyed = parts.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), labels, lengths))
     universe = keyed.select(F.explode("keys").alias("key"))
-    found = {v: build_cascade(universe, table.filter(F.col("verdict") == v), most_bytes) for v in ("block", "allow")}
-    if None in found.values():
-        return by_join(keyed, table)
-    hits = {v: listed_of("keys", cascade) for v, cascade in found.items()}
+    hits = {v: listed_of("keys", build_cascade(universe, table.filter(F.col("verdict") == v))) for v in ("block", "allow")}
     split = keyed.withColumns({"blocked": hits["block"], "allowed": hits["allow"]})
     # array_sort is ascending: the longest key last, a longer host after a shorter one.
     ordered = F.array_sort(F.transform(F.concat("blocked", "allowed"), lambda key: F.struct(
@@ -151,16 +149,3 @@ def url_verdicts(pages: DataFrame, rules: list[tuple[str, str]], most_bytes: int
     return split.withColumn("rule", F.when(F.size(ordered) > 0, rule)).select(
         "page_id", "host", "path", "rule",
         F.when(F.array_contains("blocked", F.col("rule")), "block").otherwise("allow").alias("verdict"))
-
-
-def by_join(keyed: DataFrame, table: DataFrame) -> DataFrame:
-    """The way for lists too long for a plan: candidate keys meet the listed ones in an equi join."""
-    rows = keyed.withColumn("row", F.monotonically_increasing_id())
-    rows = materialize(rows, "url-rows")
-    one = table.groupBy("key").agg(F.max(F.col("verdict") == "block").alias("blocks"))
-    met = rows.select("row", F.explode("keys").alias("key")).join(one, "key")
-    best = met.groupBy("row").agg(F.max(F.struct(
-        F.length("key").alias("n"), F.length(F.substring_index("key", "/", 1)).alias("h"), "key", "blocks")).alias("best"))
-    return rows.join(best, "row", "left").select(
-        "page_id", "host", "path", F.col("best.key").alias("rule"),
-        F.when(F.col("best.blocks"), "block").otherwise("allow").alias("verdict"))

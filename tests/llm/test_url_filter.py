@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from shelfmatch.llm.queries import URL_RULES
-from shelfmatch.llm.url_filter import build_cascade, listed, url_verdicts
+from shelfmatch.llm.url_filter import build_cascade, build_level, listed, passes, url_verdicts
 
 
 def by_loop(url, rules):
@@ -38,9 +38,31 @@ def test_verdicts(llm):
         assert found == {i: by_loop(u, rules) for i, u in enumerate([*URLS, *URLS[:4]])}
 
 
-def test_join_when_lists_are_long(llm):
-    found = {r[0]: tuple(r)[1:] for r in url_verdicts(pages(llm, URLS), URL_RULES, most_bytes=1).collect()}
-    assert found == {i: by_loop(u, URL_RULES) for i, u in enumerate([*URLS, *URLS[:4]])}
+def test_long_lists_keep_the_cascade(llm, capsys):
+    """Twenty thousand rules, some with characters that need care, found by filters alone."""
+    rng = random.Random(2)
+    rules = [(rng.choice(("block", "allow")), f"h{i}.example/{rng.choice(('', 'a/', 'é"/'))}") for i in range(20_000)] + URL_RULES
+    urls = [f"http://x.h{rng.randrange(40_000)}.example/{rng.choice(('', 'a/b', 'é"/'))}" for _ in range(3000)]
+    out = url_verdicts(pages(llm, [*URLS, *urls]), rules)
+    own = {}
+    for verdict, rule in rules:
+        own.setdefault(rule.partition("/")[0], []).append((verdict, rule))
+    found = {r[0]: tuple(r)[1:] for r in out.collect()}
+    for i, url in enumerate([*URLS, *urls]):
+        host = by_loop(url, [])[0]
+        assert found[i] == by_loop(url, [r for k in range(host.count(".") + 1) for r in own.get(host.split(".", k)[-1], ())])
+    capsys.readouterr()
+    out.explain()
+    assert "Join" not in capsys.readouterr().out
+
+
+def test_a_filter_of_more_than_a_megabyte(llm):
+    """Every key passes its own level, hardly any other does."""
+    keys = llm.range(320_000).select(F.concat(F.lit("k"), "id").alias("key"))
+    level = build_level(keys, 320_000, 0, 2.0 ** -20)
+    assert 8 * len(level.words) > 1 << 20 and level.hashes == 20
+    assert keys.filter(~passes(F.col("key"), level, 0)).count() == 0
+    assert llm.range(50_000).filter(passes(F.concat(F.lit("x"), "id"), level, 0)).count() <= 5
 
 
 def test_empty_table(llm):
