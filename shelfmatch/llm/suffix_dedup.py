@@ -8,7 +8,7 @@ corpus would move many times its size, so suffixes that cannot have a partner ar
    the sorted, packed hashes of its stretches, with the least id that holds each, to ranges of anchors.
 2. A range tells each block which stretches a smaller document holds whole (removed at once), and which are the first of
    their kind but share the anchor with other stretches of other documents: their windows may still be equal in part.
-3. Suffixes that start those windows are sorted in each block and exchanged as front-coded runs, by ranges of their first
+3. Suffixes that start those windows are sorted in each block and exchanged as front-coded runs, by ranges of all their
    bytes. A range merges its runs with a loser tree that keeps the common prefix of each loser with its winner, so bytes
    known to be equal are never compared again. Equal neighbours tell the least id of each window.
 4. Blocks join both answers with their own texts.
@@ -36,6 +36,8 @@ from shelfmatch.session import keep_until_released, materialize, scratch_path
 GRAM = 24
 #: Bytes of text in a block, windows read at once, bytes of text to one range of hashes or suffixes.
 BLOCK, CHUNK, RANGE = 4 << 20, 1 << 16, 16 << 20
+#: Strings that a block shows of itself for cutting ranges, and how many of them one task sorts.
+SAMPLE, SORTED = 128, 1 << 20
 #: Bits kept of the hashes of an anchor and of a stretch; together they stand for a stretch.
 ANCHOR_BITS, STRETCH_BITS = 40, 48
 #: A row without an id comes after all others.
@@ -143,6 +145,13 @@ def stretches(data: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarra
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
+def equal_parts(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Value, begin and end of each part of equal neighbours."""
+    edges = np.flatnonzero(np.diff(values, prepend=-1, append=-1)) if len(values) else values
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        yield int(values[a]), a, b
+
+
 class Block:
     """One block's texts and its stretches, in an order that every reading of the block repeats."""
 
@@ -164,27 +173,24 @@ class Block:
         self.entry = np.cumsum(new) - 1
         self.least = np.minimum.reduceat(self.owner, self.firsts) if len(order) else self.owner
 
-    def bounds(self, ranges: int) -> np.ndarray:
-        """Where the entries of each range of anchors begin."""
-        cuts = np.array([(i << ANCHOR_BITS) // ranges for i in range(ranges)], np.uint64)
-        return np.append(np.searchsorted(self.anchor[self.firsts], cuts), len(self.firsts))
+    def dealt(self, ranges: int) -> np.ndarray:
+        """The range of anchors of each entry, in ascending order."""
+        return (self.anchor[self.firsts] * np.uint64(ranges) >> np.uint64(ANCHOR_BITS)).astype(np.int64)
 
     def sent(self, ranges: int) -> Iterator[tuple[int, bytes]]:
-        """For each range: anchors (as differences), stretches and the least ids (as places in a list) of its entries."""
-        bounds = self.bounds(ranges)
-        for r in range(ranges):
-            a, b = bounds[r], bounds[r + 1]
-            if a < b:
-                at = self.firsts[a:b]
-                ids, place = np.unique(self.least[a:b], return_inverse=True)
-                yield r, pack(np.diff(self.anchor[at], prepend=np.uint64(0)), self.stretch[at], ids, place.astype(np.uint32))
+        """For each range met: anchors (as differences), stretches and the least ids (as places in a list) of its entries."""
+        for r, a, b in equal_parts(self.dealt(ranges)):
+            at = self.firsts[a:b]
+            ids, place = np.unique(self.least[a:b], return_inverse=True)
+            yield r, pack(np.diff(self.anchor[at], prepend=np.uint64(0)), self.stretch[at], ids, place.astype(np.uint32))
 
     def told(self, answers: list[tuple[int, bytes]], ranges: int) -> tuple[np.ndarray, np.ndarray]:
         """Stretches that go whole, and those to be looked at window by window, as places in the block's order."""
         state = np.zeros(len(self.firsts), np.uint8)
-        bounds = self.bounds(ranges)
-        for r, data in answers:
-            state[bounds[r]:bounds[r + 1]] = unpack(data)[0]
+        to = self.dealt(ranges)
+        begin, end = (np.searchsorted(to, [r for r, _ in answers], side) for side in ("left", "right"))
+        for a, b, (_, data) in zip(begin, end, answers, strict=True):
+            state[a:b] = unpack(data)[0]
         of, later = state[self.entry], self.owner > self.least[self.entry]
         return np.flatnonzero((of == HELD) | later), np.flatnonzero((of == SHARED) & ~later)
 
@@ -385,10 +391,19 @@ def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
-def packed_blocks(docs: DataFrame, keep: tuple[str, ...], block_bytes: int) -> tuple[DataFrame, int]:
-    """Blocks of whole documents as a bucketed table (``block, size, data, rest``), and its buckets.
+def sampled(text: bytes, length: int) -> list[bytes]:
+    """``SAMPLE`` strings of ``length`` bytes at places that every reading of the text repeats; none if it is shorter."""
+    if len(text) < length:
+        return []
+    at = np.random.Generator(np.random.PCG64(len(text))).integers(0, len(text) - length + 1, SAMPLE)
+    return [text[a:a + length] for a in at.tolist()]
+
 
-    ``rest`` holds the columns ``keep`` of the block's rows as an Arrow stream. Rows are not shuffled.
+def packed_blocks(docs: DataFrame, keep: tuple[str, ...], block_bytes: int, length: int) -> tuple[DataFrame, int]:
+    """Blocks of whole documents as a bucketed table (``block, size, data, rest, sample``), and its buckets.
+
+    ``rest`` holds the columns ``keep`` of the block's rows as an Arrow stream, ``sample`` some strings of ``length`` bytes.
+    Rows are not shuffled.
     """
     spark = docs.sparkSession
 
@@ -400,7 +415,8 @@ def packed_blocks(docs: DataFrame, keep: tuple[str, ...], block_bytes: int) -> t
             with pa.ipc.new_stream(sink, rest[0].schema) as stream:
                 for part in rest:
                     stream.write_batch(part)
-            return _batch([(size, pack_texts(ids, texts), sink.getvalue().to_pybytes())], ["size", "data", "rest"], [pa.int64(), pa.binary(), pa.binary()])
+            row = size, pack_texts(ids, texts), sink.getvalue().to_pybytes(), sampled(b"".join(texts), length)
+            return _batch([row], ["size", "data", "rest", "sample"], [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.binary())])
 
         for batch in batches:
             first, others = 0, batch.select(list(range(2, batch.num_columns)))
@@ -420,7 +436,7 @@ def packed_blocks(docs: DataFrame, keep: tuple[str, ...], block_bytes: int) -> t
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     named = [F.col(quoted(c)).alias(f"c{k}") for k, c in enumerate(keep)]
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *named).mapInArrow(
-        run, "size long, data binary, rest binary")
+        run, "size long, data binary, rest binary, sample array<binary>")
     name, path = f"suffix_blocks_{uuid.uuid4().hex}", scratch_path(spark, "suffix-blocks")
     rows.withColumn("block", F.monotonically_increasing_id()).write.option("path", path).bucketBy(buckets, "block").saveAsTable(name)
     keep_until_released(spark, path)
@@ -438,21 +454,53 @@ def _with_answers(blocks: DataFrame, buckets: int, *answers: DataFrame) -> DataF
     return blocks.select(*own_columns, *[f"answers{k}" for k in range(len(answers))])
 
 
-def splitters(blocks: DataFrame, count: int, ranges: int, per_block: int = 512, most_blocks: int = 64) -> list[int]:
-    """First bytes that cut suffixes into ``ranges`` about equal ranges, from a bounded sample of blocks and places."""
+def splitters(blocks: DataFrame, count: int, ranges: int) -> list[bytes]:
+    """Strings that cut suffixes into about ``ranges`` equal ranges, from the samples that all blocks carry.
+
+    Whole strings are sorted by Spark, so a first part that very many suffixes share is cut too; each task tells the first of
+    every so many, and only those, about one a range, come to the driver.
+    """
+    step = max(1, count * SAMPLE // ranges)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, n = None, 0
         for batch in batches:
-            for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                text = unpack(data)[2]
-                if len(text) > 8:
-                    at = np.random.Generator(np.random.PCG64(block)).integers(0, len(text) - 8, per_block)
-                    yield _batch([(x,) for x in prefixes(text, at).view(np.int64).tolist()], ["prefix"], [pa.int64()])
-
-    step = max(1, -(-count // most_blocks))
-    sample = blocks.filter(F.pmod(F.xxhash64("block"), F.lit(step)) == 0).select("block", "data").mapInArrow(run, "prefix long").collect()
-    found = sorted(r["prefix"] % (1 << 64) for r in sample)
-    return sorted({found[len(found) * i // ranges] for i in range(1, ranges)}) if found else []
+            for text in batch.column(0).to_pylist():
+                if n == step:
+                    yield _batch([(first, n)], ["text", "n"], [pa.binary(), pa.int64()])
+                    n = 0
+                first, n = (first, n + 1) if n else (text, 1)
+        if n:
+            yield _batch([(first, n)], ["text", "n"], [pa.binary(), pa.int64()])
+
+    texts = blocks.select(F.explode("sample").alias("text"))
+    parts = -(-count * SAMPLE // SORTED)
+    ordered = texts.repartitionByRange(max(1, parts), "text").sortWithinPartitions("text")
+    cuts: list[bytes] = []
+    since = 0
+    for row in sorted(ordered.mapInArrow(run, "text binary, n long").collect()):
+        if since >= step and cuts[-1:] != [bytes(row["text"])]:
+            cuts.append(bytes(row["text"]))
+            since = 0
+        since += row["n"]
+    return cuts
+
+
+def range_of(data: np.ndarray, at: np.ndarray, cuts: np.ndarray, length: int) -> np.ndarray:
+    """How many of ``cuts`` (ascending strings of ``length`` bytes) each string at ``at`` reaches.
+
+    The first eight bytes tell it for nearly all; where they are a cut's too, all bytes are compared.
+    """
+    width = min(8, length)
+    heads = prefixes(np.frombuffer(cuts.tobytes(), np.uint8), np.arange(len(cuts)) * length, width)
+    own = prefixes(data, at, width)
+    to, most = np.searchsorted(heads, own, "left"), np.searchsorted(heads, own, "right")
+    tied = np.flatnonzero(to < most)
+    windows = np.lib.stride_tricks.sliding_window_view(data, length) if len(tied) else None
+    for first in range(0, len(tied), CHUNK):
+        some = tied[first:first + CHUNK]
+        to[some] = np.searchsorted(cuts, windows[at[some]].view(f"S{length}").ravel(), "right")
+    return to
 
 
 def repeated_spans(docs: DataFrame, length: int = 50, block_bytes: int = BLOCK, range_bytes: int = RANGE,
@@ -461,11 +509,11 @@ def repeated_spans(docs: DataFrame, length: int = 50, block_bytes: int = BLOCK,
 
     Null and empty texts, and those shorter than ``length`` bytes, keep all they have. Rows with the same id never remove
     from one another, so repeated rows stay as they are; a row without an id comes after all others and removes from none.
-    An empty table gives an empty result; other columns are not read. With ``characters`` a code point only part of which
+    An empty table gives an empty result; other columns are not read. Ids must be integers, or cast to them. With ``characters`` a code point only part of which
     should go stays whole, so that what is kept (binary) is UTF-8. Equal stretches are told by 88 bits of hash, all other
     windows by their bytes.
     """
-    blocks, buckets = packed_blocks(docs, keep, block_bytes)
+    blocks, buckets = packed_blocks(docs, keep, block_bytes, length)
     count, total = blocks.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     ranges = max(1, -(-total // range_bytes))
     three = [pa.int32(), pa.int64(), pa.binary()]
@@ -477,28 +525,26 @@ def repeated_spans(docs: DataFrame, length: int = 50, block_bytes: int = BLOCK,
 
     entries = blocks.select("block", "data").mapInArrow(send, "rng int, block long, data binary")
     first = _by_range(entries, ranges, answered, "stretch-answers")
-    cuts = np.array(splitters(blocks, count, ranges), np.uint64)
+    cuts = np.array(splitters(blocks, count, ranges), f"S{length}")
 
     def told(answers: list[dict] | None) -> list[tuple[int, bytes]]:
         return [(a["rng"], a["data"]) for a in answers or ()]
 
     def dealt(block: Block, open_: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """Windows of the stretches ``open_`` by range of their first bytes."""
+        """Windows of the stretches ``open_`` by the range of their strings; ranges without any don't come."""
         at = block.windows(open_)
-        to = np.searchsorted(cuts, prefixes(block.data, at, min(8, length)), side="right")
+        to = range_of(block.data, at, cuts, length)
         order = np.argsort(to, kind="stable")
-        bounds = np.searchsorted(to[order], np.arange(len(cuts) + 2))
-        for r in range(len(cuts) + 1):
-            yield r, at[order[bounds[r]:bounds[r + 1]]]
+        for r, a, b in equal_parts(to[order]):
+            yield r, at[order[a:b]]
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, data, answers in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
                 block = Block(data, length)
                 for r, at in dealt(block, block.told(told(answers), ranges)[1]):
-                    if len(at):
-                        run = front_coded(block.data, at, block.ids[block.doc[at]], length)
-                        yield _batch([(r, number, run)], ["rng", "block", "data"], three)
+                    run = front_coded(block.data, at, block.ids[block.doc[at]], length)
+                    yield _batch([(r, number, run)], ["rng", "block", "data"], three)
 
     runs = _with_answers(blocks.select("block", "data"), buckets, first).mapInArrow(suffixes, "rng int, block long, data binary")
     second = _by_range(runs, ranges, lambda entries: repeats(entries, length), "suffix-answers")

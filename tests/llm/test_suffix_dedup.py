@@ -109,3 +109,51 @@ def test_ranges_are_even():
     text = prose(rng, 60_000).encode()
     sizes = [len(sd.unpack(data)[1]) for _, data in sd.Block(sd.pack_texts([1], [text]), 50).sent(16)]
     assert len(sizes) == 16 and max(sizes) < 1.2 * min(sizes)
+
+
+def test_a_block_sends_no_more_than_it_holds():
+    """However many ranges there are, rows are bounded by the block's own entries, and each meets its answer again."""
+    rng = random.Random(12)
+    block = sd.Block(sd.pack_texts([1], [prose(rng, 5_000).encode()]), 50)
+    entries = len(block.firsts)
+    for ranges in (1, 7, 1000, 6_000_000):
+        sent = list(block.sent(ranges))
+        assert len(sent) <= min(ranges, entries) and sum(len(sd.unpack(data)[1]) for _, data in sent) == entries
+        anchors = np.concatenate([np.cumsum(sd.unpack(data)[0], dtype=np.uint64) for _, data in sent])
+        assert (anchors == block.anchor[block.firsts]).all()
+        held = [(r, sd.pack(np.full(len(sd.unpack(data)[1]), sd.HELD, np.uint8))) for r, data in sent[::2]]
+        assert len(block.told(held, ranges)[0]) >= sum(len(sd.unpack(data)[0]) for _, data in held)
+
+
+@pytest.mark.parametrize("length", [5, 8, 50])
+def test_ranges_compare_all_bytes(length):
+    rng = random.Random(length)
+    text = bytes(rng.choice(b"\x00a\xff") if k % 90 > 60 else 97 for k in range(5000))
+    data, at = np.frombuffer(text, np.uint8), np.arange(5000 - length)
+    cuts = sorted({text[a:a + length] for a in rng.sample(range(5000 - length), 40)})
+    to = sd.range_of(data, at, np.array(cuts, f"S{length}"), length)
+    assert to.tolist() == [sum(c <= text[a:a + length] for c in cuts) for a in at.tolist()]
+    assert sd.range_of(data, at, np.array([], f"S{length}"), length).tolist() == [0] * len(at)
+
+
+@pytest.mark.parametrize("sorted_rows", [1 << 20, 700])
+def test_a_shared_first_part_is_cut(docs, monkeypatch, sorted_rows):
+    """Suffixes that begin alike are dealt by what follows, and cuts follow the number of ranges."""
+    monkeypatch.setattr(sd, "SORTED", sorted_rows)
+    rng = random.Random(5)
+    rows = [(i, "the same beginning " + "".join(rng.choice("xyz") for _ in range(60))) for i in range(600)]
+    blocks, _ = sd.packed_blocks(docs(rows), ("doc_id",), 2000, 50)
+    count = blocks.count()
+    cuts = sd.splitters(blocks, count, 50)
+    assert cuts == sorted(set(cuts)) and 40 <= len(cuts) <= 60
+    assert len({c[:8] for c in cuts}) < len(cuts)
+    text = "".join(t for _, t in rows).encode()
+    to = sd.range_of(np.frombuffer(text, np.uint8), np.arange(len(text) - 50), np.array(cuts, "S50"), 50)
+    assert np.bincount(to).max() < 4 * len(to) / 50
+
+
+def test_passage_in_a_third_of_all_documents(docs):
+    rng = random.Random(6)
+    passage = prose(rng, 40)
+    rows = [(i, prose(rng, 4) + " " + passage + " " + prose(rng, 4) if i % 3 == 0 else prose(rng, 12)) for i in range(300)]
+    assert found(sd.repeated_spans(docs(rows), block_bytes=3000, range_bytes=1500)) == by_loop(rows)
