@@ -8,13 +8,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmatch.llm.common import by_text, doc_texts, held_out, unused
-from shelfmatch.session import materialize
 
 ORDERS = 3
+#: The score from which on a text counts as written in its nearest language. Other scripts score 0, encoded bytes and random
+#: letters below 0.2; texts in a learned language, of two letters too, score more.
+LEAST = 0.25
 _CHUNK = 1 << 20
 
 
@@ -81,16 +83,18 @@ def ranked(codes: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
 def learn_profiles(docs: DataFrame, size: int = 400, rows_per_language: int = 1500) -> dict[str, list[int]]:
     """The profile of each non-null ``lang``, learned from ``text`` and ``lang`` of ``docs``.
 
-    A bounded sample is enough: rows are taken by a hash of text so that about ``rows_per_language`` of each language
-    remain. Counts are made per task, summed by Spark, and only the profiles come to the driver.
+    A bounded sample is enough: different texts are taken by a hash so that about ``rows_per_language`` of each language
+    remain; copies count once, so that no text makes a profile alone. Counts are made per task, summed by Spark, and only
+    the profiles come to the driver.
     """
     known = docs.select("lang", "text").filter("lang is not null and text is not null")
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    own = F.xxhash64("text", F.lit(11))
+    counts = {r["lang"]: max(1, r["n"]) for r in known.groupBy("lang").agg(F.approx_count_distinct(own, 0.02).alias("n")).collect()}
     if not counts:
         return {}
     scale = 1 << 40
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(scale, scale * rows_per_language // n)))])
-    sample = known.filter(F.pmod(F.xxhash64("text", F.lit(11)), F.lit(scale)) < share[F.col("lang")])
+    sample = known.filter(F.pmod(own, F.lit(scale)) < share[F.col("lang")]).distinct()
 
     def count(batches):
         letters, sums = letter_table(), {}
@@ -112,11 +116,10 @@ def learn_profiles(docs: DataFrame, size: int = 400, rows_per_language: int = 15
         yield from flush()
 
     counted = sample.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
-    totals = materialize(counted, "language-grams")
-    profiles: dict[str, list[int]] = {}
-    for lang in sorted(counts):  # a handful of languages; each asks for its most frequent rows only
-        own = totals.filter(F.col("lang") == lang).orderBy(F.desc("n"), "code").limit(size)
-        profiles[lang] = [r["code"] for r in own.collect()]
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
+    profiles: dict[str, list[int]] = {lang: [] for lang in counts}
+    for row in sorted(counted.withColumn("place", place).filter(F.col("place") <= size).select("lang", "place", "code").collect()):
+        profiles[row["lang"]].append(row["code"])
     return profiles
 
 
@@ -175,14 +178,17 @@ def language_ids(docs: DataFrame, size: int = 400, rows_per_language: int = 1500
     return identify(doc_texts(docs), profiles, size).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def known_language(docs: DataFrame, size: int = 400, rows_per_language: int = 1500) -> DataFrame:
-    """The rows of ``docs`` whose language is found, with all their columns.
+def known_language(docs: DataFrame, size: int = 400, rows_per_language: int = 1500, least: float = LEAST,
+                   languages: tuple[str, ...] | None = None) -> DataFrame:
+    """The rows of ``docs`` whose predicted language is one of ``languages`` (all that are learned unless told), with all columns.
 
-    Rejected are null and empty texts and those without a letter; if no row names a language, nothing else can be rejected.
+    Rejected are null and empty texts and those without a letter, and texts that no profile comes as near to as ``least``.
+    If no row names a language there are no profiles, and only texts without a letter are rejected.
     """
     profiles = learn_profiles(docs.filter(~held_out(F.col("doc_id"))), size, rows_per_language)
     if not any(profiles.values()):
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    names = unused("lang_pred", docs.columns), unused("score", docs.columns)
-    found = identify(docs, profiles, size, tuple(docs.columns), names)
-    return found.filter(F.col(names[0]) != "und").drop(*names)
+    lang, score = unused("lang_pred", docs.columns), unused("score", docs.columns)
+    found = identify(docs, profiles, size, tuple(docs.columns), (lang, score))
+    wanted = F.col(lang) != "und" if languages is None else F.col(lang).isin(*languages)
+    return found.filter(wanted & (F.col(score) >= least)).drop(lang, score)

@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 
 from shelfmatch.llm.common import held_out, table
-from shelfmatch.llm.language import Profiles, gram_counts, identify, language_ids, learn_profiles, letter_table, ranked
+from shelfmatch.llm.language import LEAST, Profiles, gram_counts, identify, known_language, language_ids, learn_profiles, letter_table, ranked
 from pyspark.sql import functions as F
 
 LETTERS = letter_table()
@@ -79,3 +79,33 @@ def test_only_rows_not_held_out_teach(docs):
     poisoned = [(i, t, "cc") if (i, t, lang) in held else (i, t, lang) for i, t, lang in rows]
     profiles = learn_profiles(docs(poisoned).filter(~held_out(F.col("doc_id"))))
     assert sorted(profiles) == ["aa", "bb"]
+
+
+def test_copies_teach_once(docs):
+    rows = [(i, "abc abd", "aa") for i in range(200)] + [(300 + i, f"xyz {'xyz ' * (i % 3)}x", "aa") for i in range(40)]
+    few = list({(t, lang): (i, t, lang) for i, t, lang in rows}.values())
+    assert learn_profiles(docs(rows)) == learn_profiles(docs(few))
+
+
+def test_profiles_by_loop(docs):
+    rows = [(1, "abc ab", "aa"), (2, "xyz y", "bb"), (3, "b", "aa"), (4, None, "bb"), (5, "12", "cc")]
+    wanted = {lang: sum((by_loop(t or "") for _, t, own in rows if own == lang), Counter()) for lang in ("aa", "bb", "cc")}
+    assert learn_profiles(docs(rows), 6) == {
+        lang: [c for c, _ in sorted(((code(g), n) for g, n in counts.items()), key=lambda x: (-x[1], x[0]))[:6]] for lang, counts in wanted.items()}
+
+
+JUNK = ["это проверка определения языка", "这是一个关于语言识别的测试文件", " ".join(f"{i * 7919 ** 9:x}" for i in range(300)),
+        " ".join("".join("qwxzkjvb"[(i * j + j * j) % 8] for j in range(3, 11)) for i in range(300))]
+
+
+def test_only_texts_in_a_learned_language_stay(llm):
+    """Whole given table: what is predicted with the least score stays, and no text that has letters of its language is lost."""
+    documents = table(llm, "/root/testdata/sf0.01", "documents")
+    junk = llm.createDataFrame([(-1 - k, t, None, None, len(t)) for k, t in enumerate(JUNK)], documents.schema)
+    both = documents.unionByName(junk)
+    kept = {r.doc_id for r in known_language(both).select("doc_id").collect()}
+    told = language_ids(both).collect()
+    assert kept == {r.doc_id for r in told if r.lang_pred != "und" and r.score >= LEAST}
+    assert kept == {r.doc_id for r in documents.collect() if any(c.isalpha() for c in r.text or "")}
+    spanish = {r.doc_id for r in known_language(both, languages=("es",)).select("doc_id").collect()}
+    assert spanish == {r.doc_id for r in told if r.lang_pred == "es" and r.score >= LEAST}
