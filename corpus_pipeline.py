@@ -11,7 +11,7 @@ from shelfmatch.session import materialize
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go."""
+    """Documents go that no learned language comes near enough to."""
     prepared(spark)
     return language.known_language(docs)
 
