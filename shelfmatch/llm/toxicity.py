@@ -50,10 +50,11 @@ class Model:
 def sample_of(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> list[tuple[str, int]]:
     """Texts and labels to learn from: a bounded share of each class, by a hash of the id.
 
-    A document with several labels counts as toxic if any says so. Null labels teach nothing.
+    Shares are of the labels whose documents are there; labels of other documents don't count. A document with several labels counts as toxic if any says so. Null labels teach nothing.
     """
     marked = labels.filter("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    counts = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
+    there = marked.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    counts = {r["toxic"]: r["count"] for r in there.groupBy("toxic").count().collect()}
     if not counts:
         return []
     scale = 1 << 40

@@ -110,3 +110,11 @@ def test_held_out_accuracy(llm):
     found = tx.toxicity(documents, labels).join(labels.select("doc_id", "toxic"), "doc_id").filter("held_out")
     right = found.filter("predicted = toxic").count()
     assert right >= 0.97 * found.count()
+
+
+def test_labels_of_other_documents_take_no_share(docs, llm):
+    given = docs([(i, f"text {i}") for i in range(60)])
+    own = [(i, i % 2) for i in range(60)]
+    others = [(1000 + i, int(i % 10 == 0)) for i in range(5000)]
+    few, many = (llm.createDataFrame(rows, "doc_id long, toxic int") for rows in (own, own + others))
+    assert sorted(tx.sample_of(given, many, 100)) == sorted(tx.sample_of(given, few, 100)) == sorted((f"text {i}", i % 2) for i in range(60))
