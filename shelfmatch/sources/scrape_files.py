@@ -29,6 +29,8 @@ SAMPLE_CHARS = 4096  # fixed value: as much of a file as decides its dialect
 LANDING = "normalized"  # fixed value: only files below this folder of a bucket are read
 #: Bytes of a file that one task reads.
 RANGE = 64 << 20
+#: What opening a file costs, in bytes read: small files share a task by it.
+OPENING = 4 << 20
 #: Rows that leave a task at once.
 ROWS = 10_000
 
@@ -161,10 +163,21 @@ def _problem(error: Exception) -> str:
 
 
 def ranges(files: DataFrame) -> DataFrame:
-    """``path, start, stop, open_field`` of every range of the non-empty files of ``path, length``, dealt out to tasks."""
-    cut = files.filter("length > 0").select("path", "length", F.explode(F.expr(
-        f"sequence(0L, length - 1, {RANGE}L)")).alias("start")).withColumn("stop", F.least("length", F.col("start") + RANGE))
-    dealt = cut.repartition("path", "start")
+    """``path, start, stop, open_field`` of every range of the non-empty files of ``path, length``, dealt out to tasks.
+
+    Ranges are few and tiny rows, which adaptive execution would all hand to one task: so their lengths are added up first, and
+    there is a task for each range of a large file, and for each ``RANGE`` bytes of small ones; a few a core if there are as many.
+    """
+    files = files.filter("length > 0").select("path", "length")
+    cut = files.withColumn("start", F.explode(F.expr(f"sequence(0L, length - 1, {RANGE}L)"))).withColumn(
+        "stop", F.least("length", F.col("start") + RANGE))
+    is_large = F.col("length") > RANGE
+    found = files.agg(
+        F.sum(F.when(is_large, F.ceil(F.col("length") / RANGE))).alias("ranges"), F.count_if(~is_large).alias("small"),
+        F.sum(F.when(~is_large, F.col("length") + OPENING)).alias("small_bytes")).first()
+    ranges_of_large = found["ranges"] or 1
+    small_tasks = max(1, min(found["small"], max(
+        4 * files.sparkSession.sparkContext.defaultParallelism, -(-(found["small_bytes"] or 0) // RANGE))))
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -178,13 +191,13 @@ def ranges(files: DataFrame) -> DataFrame:
             yield pd.DataFrame(found, columns=["path", "start", "stop", "after_closed", "after_open"])
 
     # Nothing is open where a file begins, so one range needs no look. A file's ranges, four values each, are gone through in order.
-    large = dealt.filter(F.col("length") > RANGE).mapInPandas(look, "path string, start long, stop long, after_closed boolean, after_open boolean")
+    large = cut.filter(is_large).repartition(ranges_of_large).mapInPandas(look, "path string, start long, stop long, after_closed boolean, after_open boolean")
     opened = large.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "after_closed", "after_open"))).alias("parts")).select(
         "path", F.inline(F.expr("""aggregate(parts, cast(array() as array<struct<start:long,stop:long,open_field:boolean,after:boolean>>), (done, p) -> concat(done, array(
             named_struct('start', p.start, 'stop', p.stop, 'open_field', coalesce(try_element_at(done, -1).after, false), 'after',
                 if(coalesce(try_element_at(done, -1).after, false), p.after_open, p.after_closed)))))"""))).drop("after")
-    return dealt.filter(F.col("length") <= RANGE).select("path", "start", "stop", F.lit(False).alias("open_field")).unionByName(
-        opened.repartition("path", "start"))
+    return cut.filter(~is_large).select("path", "start", "stop", F.lit(False).alias("open_field")).repartition(
+        small_tasks).unionByName(opened.repartition(ranges_of_large))
 
 
 def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -227,10 +240,20 @@ def readable_rows(raw: DataFrame) -> DataFrame:
     return raw.filter("problem is null")
 
 
+def stores_and_problems(raw: DataFrame, ingested_at: Column) -> DataFrame:
+    """Typed stores as ``typed_scrapes`` has them, and every row with a ``problem``; with ``path`` and ``problem``.
+
+    The task that parses a range drops all but its last row of each store, so no task sorts more than it has parsed.
+    """
+    order = ["source_file", "part_start", "row_order"]
+    rows = normalize_listings(raw, ingested_at, F.col("source_file"), keep=[*order[1:], "path", "problem"])
+    own = F.when(F.col("problem").isNull(), F.col("store_id")).otherwise(F.concat_ws("#", "path", "part_start"))
+    return last_per_key(rows.withColumn("own", own), "own", order).drop("own", *order[1:])
+
+
 def typed_scrapes(raw: DataFrame, ingested_at: Column) -> DataFrame:
     """Typed stores, one row per store: a later row of a file beats an earlier one, a later file's an earlier file's."""
-    rows = normalize_listings(readable_rows(raw), ingested_at, F.col("source_file"), keep=["part_start", "row_order"])
-    return last_per_key(rows, "store_id", ["source_file", "part_start", "row_order"]).drop("part_start", "row_order")
+    return stores_and_problems(readable_rows(raw), ingested_at).drop("path", "problem")
 
 
 def read_scrapes(files: DataFrame, ingested_at: Column) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfmatch.session import materialize, scratch_released, tune
 from shelfmatch.sources.audit_log import AuditLog
-from shelfmatch.sources.scrape_files import LANDING, scan_files, typed_scrapes, unreadable_files
+from shelfmatch.sources.scrape_files import LANDING, readable_rows, scan_files, stores_and_problems, unreadable_files
 from shelfmatch.sources.tables import KeyedTable
 
 COMPONENT = "scrape-ingest"
@@ -22,8 +22,8 @@ def ingest(files: DataFrame, stores: KeyedTable, mark: tuple[str, int] | None =
     A file that can't be read becomes an error row with its name (without an audit log, an exception); all others go in.
     """
     def run() -> None:
-        raw = materialize(scan_files(files), "raw-scrapes")
-        bad = unreadable_files(raw)
+        found = materialize(stores_and_problems(scan_files(files), F.current_timestamp()), "scrapes")
+        bad = unreadable_files(found)
         if not bad.isEmpty():
             if audit is None:
                 raise ValueError(f"unreadable: {bad.first()['path']}")
@@ -31,7 +31,7 @@ def ingest(files: DataFrame, stores: KeyedTable, mark: tuple[str, int] | None =
                 bad.select(F.lit(COMPONENT).alias("component"), F.lit("unreadable_file").alias("check_name"),
                            F.col("problem").alias("message"), "path"),
                 test_type="infrastructure", context=F.to_json(F.struct(F.col("path").alias("file"))))
-        stores.upsert(typed_scrapes(raw, F.current_timestamp()), "-".join(map(str, mark)) if mark else None)
+        stores.upsert(readable_rows(found), "-".join(map(str, mark)) if mark else None)
 
     with scratch_released(stores.spark):
         if audit is None:

@@ -121,6 +121,43 @@ def test_any_range_begins_at_a_record(spark, bucket, monkeypatch, size):
     assert [r["zip"] for r in rows] == [*map(str, range(60)), ""]
 
 
+def test_ranges_are_read_by_many_tasks(spark, bucket, monkeypatch):
+    """Ranges are tiny rows, which adaptive execution hands to one task unless told how many there are."""
+    monkeypatch.setattr(scrape_files, "RANGE", 400)
+    for name in ("a", "b"):
+        (bucket / "normalized" / f"{name}.csv").write_text(HEADER + "".join(ROW.format(name=f"{name}{i}", rating=i) for i in range(100)))
+    for i in range(30):
+        (bucket / "normalized" / f"small{i}.csv").write_text(HEADER + ROW.format(name=f"s{i}", rating=i))
+    rows = scan_files(landed_files(spark, f"file://{bucket}")).withColumn("task", F.spark_partition_id())
+    small = F.col("source_file").startswith("small")
+    tasks = {r["small"]: r["tasks"] for r in rows.groupBy(small.alias("small")).agg(F.countDistinct("task").alias("tasks")).collect()}
+    assert tasks[True] > 8 and tasks[False] > 8
+
+
+def test_stores_and_problems(spark, bucket):
+    """A row per store, and every problem beside them."""
+    (bucket / "normalized" / "a.csv").write_text(HEADER + "".join(ROW.format(name=f"S{i % 5}", rating=i) for i in range(3000)))
+    (bucket / "normalized" / "bad.csv").write_bytes(b"\xff\xfe\x00")
+    found = scrape_files.stores_and_problems(scan_files(landed_files(spark, f"file://{bucket}")), F.lit(datetime(2024, 1, 1)))
+    rows = found.collect()
+    assert sorted((r["store_name"], r["rating"]) for r in rows if not r["problem"]) == [(f"S{i}", 2995.0 + i) for i in range(5)]
+    assert [r["path"].rpartition("/")[2] for r in rows if r["problem"]] == ["bad.csv"]
+
+
+def test_ingest_writes_one_row_per_store_between_reading_and_loading(spark, bucket, tmp_path, monkeypatch):
+    from shelfmatch.streaming import file_arrival
+
+    (bucket / "normalized" / "a.csv").write_text(HEADER + "".join(ROW.format(name=f"S{i % 5}", rating=i) for i in range(300)))
+    written, write = [], file_arrival.materialize
+    monkeypatch.setattr(file_arrival, "materialize", lambda df, name: written.append(write(df, name)) or written[-1])
+    counts = []
+    table = KeyedTable(spark, f"file://{tmp_path}/stores", STORES_NORMALIZED, "store_id")
+    upsert = table.upsert
+    monkeypatch.setattr(table, "upsert", lambda df, load: (counts.append(written[0].count()), upsert(df, load)))
+    ingest(landed_files(spark, f"file://{bucket}"), table)
+    assert counts == [5] and table.read().count() == 5
+
+
 def test_replayed_batch_changes_nothing(spark, bucket, tmp_path):
     table = KeyedTable(spark, f"file://{tmp_path}/stores", STORES_NORMALIZED, "store_id")
     (bucket / "normalized" / "a.csv").write_text(HEADER + ROW.format(name="A", rating="1"))
