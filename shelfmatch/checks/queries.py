@@ -682,7 +682,8 @@ def scrape_file_scan(t):
     folders = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(bucket).select(
         F.element_at(F.split("path", "/"), -1).alias("source_file"), F.element_at(F.split("path", "/"), -2).alias("folder"))
     rows = listings.normalize_listings(readable_rows(scan_files(landed_files(spark, bucket))), lit(NOW), c("source_file"))
-    return rows.join(folders, "source_file").withColumn("source_file", c("folder")).select(sc.STORES_NORMALIZED.names)
+    # A row a file. The scan's rows would be broadcast instead: Spark takes them for as few as the ranges they are read from.
+    return rows.join(F.broadcast(folders), "source_file").withColumn("source_file", c("folder")).select(sc.STORES_NORMALIZED.names)
 
 
 @query
