@@ -110,10 +110,15 @@ def with_areas(candidates: DataFrame) -> DataFrame:
         "own_state", F.col("area") == F.col("state_block"))
 
 
+def _with_distributors(candidates: DataFrame, accounts: DataFrame) -> DataFrame:
+    """A row per candidate with an id and distributor."""
+    every = accounts.agg(F.array_sort(F.collect_set("distributor_name"))).scalar()
+    return candidates.filter("store_id is not null").withColumn("distributor_name", F.explode(every))
+
+
 def all_pairs(candidates: DataFrame, accounts: DataFrame) -> DataFrame:
     """``store_id, distributor_name``: every store is looked for at every distributor."""
-    every = accounts.agg(F.array_sort(F.collect_set("distributor_name"))).scalar()
-    return candidates.select("store_id", F.explode(every).alias("distributor_name"))
+    return _with_distributors(candidates, accounts).select("store_id", "distributor_name")
 
 
 def _loose_block() -> Column:
@@ -214,10 +219,13 @@ def match_fuzzy(candidates: DataFrame, accounts: DataFrame, layers: Sequence[str
     ``open_pairs`` (``store_id, distributor_name``; every one if not given) are those to look for; no other is probed.
     ``sizes`` go to the similarity join.
     """
-    open_pairs = all_pairs(candidates, accounts) if open_pairs is None else open_pairs
-    probes = materialize(_probes(candidates.join(open_pairs, "store_id"), layers), "probes")
+    probes = materialize(_probes(_with_distributors(candidates, accounts) if open_pairs is None else candidates.join(
+        open_pairs, "store_id"), layers), "probes")
     entries = _entries(candidates, accounts, layers)
-    picks = _picks_per_text(probes.select("block", "text").distinct(), entries, FUZZY_ZIP not in layers, **sizes)
+    # Picks, one a text, are written so that Spark sees how few they are: else it may copy the probes, one a store, to the few
+    # tasks that the picks are in, and those would hold a row of every store.
+    picks = materialize(_picks_per_text(
+        probes.select("block", "text").distinct(), entries, FUZZY_ZIP not in layers, **sizes), "picks")
     found = probes.join(picks, ["block", "text"])
 
     layer = F.col("block.layer")
