@@ -83,3 +83,17 @@ def test_parse_text_blanks_are_null(column):
 @pytest.mark.parametrize("state, eligible", [("nj", False), ("ca", True), ("GA", True), ("", False), (None, False)])
 def test_api_states(spark, state, eligible):
     assert spark.range(1).select(tx.api_eligible(F.lit(state).cast("string"))).first()[0] is eligible
+
+
+ODD_SPACED = ["", " ", "a", " a b ", "\x1ca\x1d\x1eb\x1f", "\x85x\xa0", " é y　z", "​q", "!~", "\ta\nb\r", "~ \x0b", "😀 😀 ", "\x7fa "]
+
+
+def test_strip_and_words_know_all_white_space(column):
+    assert column(tx.strip, *[(x,) for x in ODD_SPACED]) == [x.strip() for x in ODD_SPACED]
+    assert column(tx.words, *[(x,) for x in ODD_SPACED]) == [x.split() for x in ODD_SPACED]
+
+
+def test_words_split_by_one_plain_character(spark):
+    """Any other pattern would be compiled for every row."""
+    plan = spark.range(1).select(tx.words(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
+    assert ",  , -1)" in plan
