@@ -9,9 +9,9 @@ corpus would move many times its size, so suffixes that cannot have a partner ar
 2. A range tells each block which stretches a smaller document holds whole (removed at once), and which are the first of
    their kind but share the anchor with other stretches of other documents: their windows may still be equal in part.
 3. Suffixes that start those windows are sorted in each block and exchanged as front-coded runs, by ranges of all their
-   bytes. A range merges its runs with a loser tree that keeps the common prefix of each loser with its winner, so bytes
-   known to be equal are never compared again. Equal neighbours tell the least id of each window.
-4. Blocks join both answers with their own texts.
+   bytes. A range merges its runs part by part: of each run it reads some strings ahead, and all that are not beyond the
+   first run's end of these are merged as arrays. Equal neighbours tell the least id of each window.
+4. Blocks join the places of such windows, and what went in step 2, with their own texts.
 
 Blocks meet answers through a bucketed table, so texts move once and are never shuffled.
 """
@@ -34,8 +34,13 @@ from shelfmatch.session import keep_until_released, materialize, scratch_path
 
 #: Bytes of an anchor.
 GRAM = 24
-#: Bytes of text in a block, windows read at once, bytes of text to one range of hashes or suffixes.
-BLOCK, CHUNK, RANGE = 4 << 20, 1 << 16, 16 << 20
+#: Bytes of text in a block, windows read at once, bytes of text to one range of suffixes; ranges of hashes take twice as
+#: many, but no more than lets every core have some. Each block sends a row to each range, so larger ones mean fewer rows.
+BLOCK, CHUNK, RANGE = 8 << 20, 1 << 16, 16 << 20
+#: Strings that a range merges at once, strings that it reads ahead of each run at least, and strings read in one go.
+MERGED, AHEAD, STEP = 1 << 19, 32, 1 << 11
+#: Bytes of answers or runs that go on together.
+SENT = 4 << 20
 #: Strings that a block shows of itself for cutting ranges, and how many of them one task sorts.
 SAMPLE, SORTED = 128, 1 << 20
 #: Bits kept of the hashes of an anchor and of a stretch; together they stand for a stretch.
@@ -107,6 +112,17 @@ def _hash(levels: list[np.ndarray], width: int) -> np.ndarray:
     return out
 
 
+def _hash_at(levels: list[np.ndarray], width: int, at: np.ndarray) -> np.ndarray:
+    """What ``_hash`` has at the places ``at``."""
+    out = None
+    for k in reversed(range(width.bit_length())):
+        if width >> k & 1:
+            part = levels[k][at]
+            out = part if out is None else out * _MULT[8] + part
+            at = at + (1 << k)
+    return out
+
+
 def _least(x: np.ndarray, width: int) -> np.ndarray:
     """The least of every ``width`` neighbours."""
     done = 1
@@ -115,16 +131,23 @@ def _least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:len(x) - (width - done)], x[width - done:]) if width > done else x
 
 
-def stretches(data: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+def documents_at(stops: np.ndarray, a: int, b: int) -> np.ndarray:
+    """The place of the document of each byte from ``a`` to ``b``, of documents that stop at ``stops``."""
+    first, last = int(np.searchsorted(stops, a, "right")), int(np.searchsorted(stops, b, "left"))
+    return np.repeat(np.arange(first, last + 1, dtype=np.int32), np.diff(np.minimum(stops[first:last + 1], b), prepend=a))
+
+
+def stretches(data: np.ndarray, stops: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """Anchor hash, stretch hash, first window and number of windows of every stretch of a block.
 
-    ``doc`` is the document's place at each byte; no window spans two. Chunks may cut a stretch: equal windows keep equal
+    No window spans two documents, which stop at ``stops``. Chunks may cut a stretch: equal windows keep equal
     anchors, and a cut stretch is only looked at more closely.
     """
     gram = min(GRAM, length)
     found: list[tuple[np.ndarray, ...]] = []
     for at in range(0, len(data) - length + 1, CHUNK):
-        part, own = data[at:at + CHUNK + length - 1], doc[at:at + CHUNK + length - 1]
+        part = data[at:at + CHUNK + length - 1]
+        own = documents_at(stops, at, at + len(part))
         n = len(part) - length + 1
         levels = _levels(part, length)
         anchor = _least(_mixed(_hash(levels, gram)), length - gram + 1)[:n]
@@ -136,12 +159,15 @@ def stretches(data: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarra
         starts, ends = np.flatnonzero(first), np.flatnonzero(last)
         if not len(starts):
             continue
-        window = _hash(levels, length)
-        total = np.add.reduceat(np.where(whole, window, np.uint64(0)), starts)
-        stretch = _mixed((total ^ (window[starts] * _MULT[11])) + window[ends] * _MULT[12] + (ends - starts).astype(np.uint64) * _MULT[13])
-        found.append((anchor[starts], stretch, starts + at, ends - starts + 1))
+        # The first and the last window hold all bytes of a stretch, unless it is long: then all its windows count.
+        total, long = np.zeros(len(starts), np.uint64), np.flatnonzero(ends - starts > length)
+        if len(long):
+            total[long] = np.add.reduceat(np.where(whole, _hash(levels, length), np.uint64(0)), starts)[long]
+        of_first, of_last = _hash_at(levels, length, starts), _hash_at(levels, length, ends)
+        stretch = _mixed((total ^ (of_first * _MULT[11])) + of_last * _MULT[12] + (ends - starts).astype(np.uint64) * _MULT[13])
+        found.append((anchor[starts], stretch, (starts + at).astype(np.uint32), (ends - starts + 1).astype(np.uint32)))
     if not found:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.uint32)
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
@@ -152,20 +178,39 @@ def equal_parts(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
         yield int(values[a]), a, b
 
 
+def joined(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans from ``starts`` to ``stops``, those that meet as one, in ascending order."""
+    order = np.argsort(starts, kind="stable")
+    starts, stops = starts[order], np.maximum.accumulate(stops[order])
+    new = np.ones(len(starts), bool)
+    new[1:] = starts[1:] > stops[:-1]
+    return starts[new].astype(np.uint32), stops[np.append(new[1:], True)[:len(new)]].astype(np.uint32)
+
+
+def in_order(values: np.ndarray) -> np.ndarray:
+    """What a stable ``argsort`` gives, by a faster sort after which only equal values are looked at again."""
+    order = np.argsort(values)
+    sorted_ = values[order]
+    twice = np.zeros(len(values), bool)
+    twice[1:] = sorted_[1:] == sorted_[:-1]
+    twice[:-1] |= twice[1:]
+    order[twice] = order[twice][np.lexsort((order[twice], sorted_[twice]))]
+    return order
+
+
 class Block:
     """One block's texts and its stretches, in an order that every reading of the block repeats."""
 
     def __init__(self, data: bytes, length: int):
         self.ids, self.sizes, self.data = unpack(data)
         self.stops = np.cumsum(self.sizes)
-        self.doc = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.sizes)
-        anchor, stretch, start, count = stretches(self.data, self.doc, length)
+        anchor, stretch, start, count = stretches(self.data, self.stops, length)
         # The least of many hashes is small: hashed once more, anchors spread evenly over the ranges.
         anchor, stretch = _mixed(anchor) >> np.uint64(64 - ANCHOR_BITS), stretch >> np.uint64(64 - STRETCH_BITS)
         spare = np.uint64(64 - ANCHOR_BITS)
-        order = np.argsort(anchor << spare | stretch & np.uint64((1 << (64 - ANCHOR_BITS)) - 1), kind="stable")
+        order = in_order(anchor << spare | stretch & np.uint64((1 << (64 - ANCHOR_BITS)) - 1))
         self.anchor, self.stretch, self.start, self.count = anchor[order], stretch[order], start[order], count[order]
-        self.owner = self.ids[self.doc[self.start]] if len(order) else np.empty(0, np.int64)
+        self.owner = self.ids[np.searchsorted(self.stops, start, "right")][order] if len(order) else np.empty(0, np.int64)
         # Equal stretches of the block are one entry with the least id.
         new = np.ones(len(order), bool)
         new[1:] = (self.anchor[1:] != self.anchor[:-1]) | (self.stretch[1:] != self.stretch[:-1])
@@ -196,7 +241,7 @@ class Block:
 
     def windows(self, open_: np.ndarray) -> np.ndarray:
         """Places of all windows of the stretches ``open_``, in their order."""
-        count = self.count[open_]
+        count = self.count[open_].astype(np.int64)
         return np.repeat(self.start[open_] - np.cumsum(count) + count, count) + np.arange(count.sum())
 
 
@@ -242,9 +287,9 @@ def prefixes(data: np.ndarray, at: np.ndarray, width: int = 8) -> np.ndarray:
 
 
 def front_coded(data: np.ndarray, at: np.ndarray, ids: np.ndarray, length: int) -> bytes:
-    """A sorted run of the suffixes at ``at``: common prefix with the one before, the rest of the bytes, id, number.
+    """A sorted run of the suffixes at ``at``: common prefix with the one before, the rest of the bytes, id, place.
 
-    Suffixes are cut to ``length`` bytes. ``ids`` are the documents', the number is the place in ``at``.
+    Suffixes are cut to ``length`` bytes. ``ids`` are the documents'.
     """
     text = np.lib.stride_tricks.sliding_window_view(data, length)[at]
     order = np.argsort(text.view(f"S{length}").ravel(), kind="stable")  # compares all bytes, zero bytes too
@@ -255,134 +300,142 @@ def front_coded(data: np.ndarray, at: np.ndarray, ids: np.ndarray, length: int)
         shared[1:] = np.where(other.any(axis=1), other.argmax(axis=1), length)
     rest = text[np.arange(length) >= shared[:, None]]
     names, place = np.unique(ids[order], return_inverse=True)
-    return pack(shared.astype(np.uint8 if length < 256 else np.uint32), rest, names, place.astype(np.uint32), order.astype(np.uint32))
+    return pack(shared.astype(np.uint8 if length < 256 else np.uint32), rest, names, place.astype(np.uint32), at[order].astype(np.uint32))
 
 
 class Run:
-    """Reads a front-coded run: common prefix with the string before, and the string as a number that sorts as it does."""
+    """Reads a front-coded run some strings at a time."""
 
     def __init__(self, data: bytes, length: int):
-        shared, rest, self.names, self.place, self.order = unpack(data)
-        self.shared, self.rest = memoryview(shared), rest.tobytes()
-        self.length, self.next, self.at, self.text = length, 0, 0, b""
+        self.shared, self.rest, names, place, self.at = unpack(data)
+        self.owners = names[place]  # the id of the document that each string is from
+        self.length, self.next, self.read = length, 0, 0
+        self.source = np.zeros(length, np.int64)  # where in ``rest`` each byte of the string last read is
+        self.ahead = np.empty((0, length), np.uint8)
 
     def owner(self, at: int) -> int:
         """The id of the document that the string at a place of the run is from."""
-        return int(self.names[self.place[at]])
-
-    def step(self) -> int:
-        """Go on to the next string; what it has in common with the last, or -1 at the end."""
-        at = self.next
-        if at == len(self.shared):
-            return -1
-        shared = self.shared[at]
-        stop = self.at + self.length - shared
-        self.text = self.text[:shared] + self.rest[self.at:stop]
-        self.at, self.next = stop, at + 1
-        return shared
+        return int(self.owners[at])
+
+    def fill(self, rows: int) -> bool:
+        """Have ``rows`` strings ahead, or all that are left; whether there are any."""
+        parts, have = [self.ahead], len(self.ahead)
+        while have < rows and self.next < len(self.shared):
+            shared = self.shared[self.next:self.next + min(rows - have, STEP)]
+            own = np.arange(self.length) >= shared[:, None]
+            count = np.count_nonzero(own)
+            source = np.zeros(own.shape, np.int64)
+            source[own] = np.arange(self.read, self.read + count)
+            source[0] = np.where(own[0], source[0], self.source)
+            np.maximum.accumulate(source, axis=0, out=source)  # a byte in common is where the string before has it
+            parts.append(self.rest[source])
+            self.source, self.read, self.next, have = source[-1].copy(), self.read + count, self.next + len(shared), have + len(shared)
+        self.ahead = np.concatenate(parts) if len(parts) > 1 else self.ahead
+        return len(self.ahead) > 0
+
+
+def merged_parts(runs: list[Run], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Run, place in the run, and common prefix with the string before, for all strings in ascending order, part by part.
+
+    What is read ahead of the runs is bounded. All strings up to the least of the last ones ahead can't be followed by a
+    smaller one, so they are put in order together: a merge sort that takes sorted runs as they are. Where runs are so
+    different that parts get small, up to four times as many strings are read ahead.
+    """
+    rows = max(AHEAD, MERGED // max(1, len(runs)))
+    most = 4 * rows
+    kind = f"S{length}"
+    left = list(range(len(runs)))
+    before = None
+    while left := [r for r in left if runs[r].fill(rows)]:
+        more = [runs[r].ahead[-1].tobytes() for r in left if runs[r].next < len(runs[r].shared)]
+        bound = np.array([min(more)], kind) if more else None
+        texts, places, counts = [], [], []
+        for r in left:
+            run = runs[r]
+            n = len(run.ahead) if bound is None else int(np.searchsorted(run.ahead.view(kind).ravel(), bound, "right")[0])
+            first = run.next - len(run.ahead)
+            texts.append(run.ahead[:n])
+            places.append(np.arange(first, first + n))
+            counts.append(n)
+            run.ahead = run.ahead[n:]
+        text = np.concatenate(texts)
+        order = np.argsort(text.view(kind).ravel(), kind="stable")  # compares all bytes, zero bytes too
+        text = text[order]
+        share = np.zeros(len(text), np.int64)
+        other = text[1:] != text[:-1]
+        share[1:] = np.where(other.any(axis=1), other.argmax(axis=1), length)
+        if before is not None:
+            other = text[0] != before
+            share[0] = other.argmax() if other.any() else length
+        before = text[-1].copy()
+        rows = min(most, 2 * rows) if len(text) < MERGED // 2 else rows
+        yield np.repeat(left, counts)[order], np.concatenate(places)[order], share
 
 
 def merged(runs: list[Run], length: int) -> Iterator[tuple[int, int, int]]:
-    """Run, place in the run, and common prefix with the string before, for all strings in ascending order.
-
-    A loser tree: each inner node keeps the run that lost there and the common prefix of its string with the winner's.
-    Where a rising string and a loser share different lengths with the last string put out, the longer one is the smaller
-    string and nothing is compared; where they share the same length, comparison starts after it.
-    """
-    n = len(runs)
-    number = int.from_bytes
-    shares = [run.step() for run in runs]
-
-    def match(a: int, b: int) -> tuple[int, int, int]:
-        """Winner and loser of two runs, and what they have in common."""
-        x, y = shares[a], shares[b]
-        if x != y:
-            return (a, b, y) if x > y else (b, a, x)
-        if x < 0:
-            return a, b, -1
-        p, q = number(runs[a].text[x:]), number(runs[b].text[x:])
-        common = length - ((p ^ q).bit_length() + 7) // 8
-        return (a, b, common) if p <= q else (b, a, common)
-
-    losers, common = [0] * n, [0] * n
-    winners = [0] * n + list(range(n))
-    for node in range(n - 1, 0, -1):
-        winners[node], losers[node], common[node] = match(winners[2 * node], winners[2 * node + 1])
-    top = winners[1] if n > 1 else 0
-    paths = [[node for node in ((i + n) >> k for k in range(1, n.bit_length() + 1)) if node] for i in range(n)]
-    share = shares[top]
-    while share >= 0:
-        run = runs[top]
-        yield top, run.next - 1, share
-        share = run.step()
-        for node in paths[top]:
-            other = common[node]
-            if share > other:
-                continue
-            if share < other:
-                common[node], share = share, other
-                losers[node], top = top, losers[node]
-            elif share >= 0:
-                loser = losers[node]
-                a, b = number(runs[top].text[share:]), number(runs[loser].text[share:])
-                common[node] = length - ((a ^ b).bit_length() + 7) // 8
-                if a > b:
-                    losers[node], top = top, loser
+    """What ``merged_parts`` gives, string by string."""
+    for part in merged_parts(runs, length):
+        yield from zip(*[x.tolist() for x in part], strict=True)
 
 
 def repeats(entries: list[tuple[int, bytes]], length: int) -> Iterator[tuple[int, bytes]]:
-    """For each block of one range: numbers of the suffixes whose first ``length`` bytes a smaller document has too."""
+    """For each block of one range: places of the suffixes whose first ``length`` bytes a smaller document has too."""
     runs = [Run(data, length) for _, data in entries]
-    hits: list[list[int]] = [[] for _ in runs]
-    group: list[tuple[int, int]] = []  # equal strings, when there are two at least
-    last = (0, 0)
-
-    def close() -> None:
-        owners = [runs[r].owner(i) for r, i in group]
-        least = min(owners)
-        for (r, i), owner in zip(group, owners, strict=True):
-            if owner > least:
-                hits[r].append(i)
-
-    for r, i, share in merged(runs, length):
-        if share == length:
-            if not group:
-                group.append(last)
-            group.append((r, i))
-        elif group:
-            close()
-            group = []
-        last = (r, i)
-    if group:
-        close()
-    for (block, _), run, own in zip(entries, runs, hits, strict=True):
-        if own:
-            yield block, pack(np.sort(run.order[own]))
+    stop = np.cumsum([len(run.owners) for run in runs])
+    begin = np.concatenate(([0], stop[:-1]))
+    owners = np.concatenate([run.owners for run in runs])
+    hits: list[np.ndarray] = []
+
+    def close(row: np.ndarray, same: np.ndarray) -> None:
+        """Groups of equal strings, each whole; ``same`` tells the strings that the one before is equal to."""
+        twice = same.copy()
+        twice[:-1] |= same[1:]
+        row, firsts = row[twice], np.flatnonzero(~same[twice])
+        if len(row):
+            owner = owners[row]
+            least = np.minimum.reduceat(owner, firsts)
+            hits.append(row[owner > np.repeat(least, np.diff(np.append(firsts, len(row))))])
+
+    row, same = np.empty(0, np.int64), np.empty(0, bool)  # the last group, which the next part may go on with
+    for run, place, share in merged_parts(runs, length):
+        row, same = np.concatenate((row, begin[run] + place)), np.concatenate((same, share == length))
+        last = int(np.flatnonzero(~same)[-1])
+        close(row[:last], same[:last])
+        row, same = row[last:], same[last:]
+    close(row, same)
+    found = np.sort(np.concatenate(hits)) if hits else row[:0]
+    for (block, _), run, first, a, b in zip(entries, runs, begin, *np.searchsorted(found, [begin, stop]), strict=True):
+        if a < b:
+            yield block, pack(np.sort(run.at[found[a:b] - first]))
 
 
 # The job
 
 
 def _by_range(rows: DataFrame, ranges: int, answer: Callable[[list[tuple[int, bytes]]], Iterator[tuple[int, bytes]]], name: str) -> DataFrame:
-    """Answers to the blocks from rows of ``rng, block, data``: each range is one task."""
+    """Answers to the blocks from rows of ``rng, block, data``: each range is one task.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Rows of ranges below zero are answers already.
+    """
+
+    def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
         held: list[tuple[int, bytes]] = []
         now = None
-
-        def out() -> Iterator[pa.RecordBatch]:
-            for block, data in answer(held) if held else ():
-                yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([block], pa.int64()), pa.array([data], pa.binary())], ["rng", "block", "data"])
-
         for batch in batches:
             for rng, block, data in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+                if rng < 0:
+                    yield rng, block, data
+                    continue
                 if rng != now:
-                    yield from out()
+                    yield from ((now, *row) for row in (answer(held) if held else ()))
                     held, now = [], rng
                 held.append((block, data))
-        yield from out()
+        yield from ((now, *row) for row in (answer(held) if held else ()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _together(answers(batches))
 
-    dealt = rows.repartitionById(ranges, F.col("rng")).sortWithinPartitions("rng", "block")
+    dealt = rows.repartitionById(ranges, F.pmod("rng", F.lit(ranges))).sortWithinPartitions("rng", "block")
     return materialize(dealt.mapInArrow(run, "rng int, block long, data binary"), name)
 
 
@@ -391,6 +444,19 @@ def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
+def _together(rows: Iterator[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``rng, block, data`` in batches of about ``SENT`` bytes."""
+    some, size = [], 0
+    for row in rows:
+        some.append(row)
+        size += len(row[2])
+        if size >= SENT:
+            yield _batch(some, ["rng", "block", "data"], [pa.int32(), pa.int64(), pa.binary()])
+            some, size = [], 0
+    if some:
+        yield _batch(some, ["rng", "block", "data"], [pa.int32(), pa.int64(), pa.binary()])
+
+
 def sampled(text: bytes, length: int) -> list[bytes]:
     """``SAMPLE`` strings of ``length`` bytes at places that every reading of the text repeats; none if it is shorter."""
     if len(text) < length:
@@ -515,54 +581,59 @@ def repeated_spans(docs: DataFrame, length: int = 50, block_bytes: int = BLOCK,
     """
     blocks, buckets = packed_blocks(docs, keep, block_bytes, length)
     count, total = blocks.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    ranges = max(1, -(-total // range_bytes))
-    three = [pa.int32(), pa.int64(), pa.binary()]
+    cores = 2 * docs.sparkSession.sparkContext.defaultParallelism
+    ranges = max(1, -(-total // range_bytes), min(cores, -(-total * 4 // range_bytes)))
+    groups = max(1, -(-total // (2 * range_bytes)), min(cores, -(-total * 4 // range_bytes)))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                yield _batch([(r, block, d) for r, d in Block(data, length).sent(ranges)], ["rng", "block", "data"], three)
+                yield from _together((r, block, d) for r, d in Block(data, length).sent(groups))
 
     entries = blocks.select("block", "data").mapInArrow(send, "rng int, block long, data binary")
-    first = _by_range(entries, ranges, answered, "stretch-answers")
+    first = _by_range(entries, groups, answered, "stretch-answers")
     cuts = np.array(splitters(blocks, count, ranges), f"S{length}")
 
-    def told(answers: list[dict] | None) -> list[tuple[int, bytes]]:
-        return [(a["rng"], a["data"]) for a in answers or ()]
-
-    def dealt(block: Block, open_: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """Windows of the stretches ``open_`` by the range of their strings; ranges without any don't come."""
-        at = block.windows(open_)
+    def dealt(block: Block, open_: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Windows of the stretches ``open_`` and their documents' ids by the range of their strings; ranges without any don't come."""
+        at, ids = block.windows(open_), np.repeat(block.owner[open_], block.count[open_])
         to = range_of(block.data, at, cuts, length)
         order = np.argsort(to, kind="stable")
         for r, a, b in equal_parts(to[order]):
-            yield r, at[order[a:b]]
+            yield r, at[order[a:b]], ids[order[a:b]]
+
+    def found(number: int, data: bytes, answers: list[dict] | None) -> Iterator[tuple[int, int, bytes]]:
+        """A block's rows: what of it goes as a whole, and runs of the suffixes to be looked at."""
+        block = Block(data, length)
+        held, open_ = block.told([(a["rng"], a["data"]) for a in answers or ()], groups)
+        if len(held):
+            starts = block.start[held].astype(np.int64)
+            yield -1 - number % ranges, number, pack(*joined(starts, starts + block.count[held] + length - 1))
+        for r, at, ids in dealt(block, open_):
+            yield r, number, front_coded(block.data, at, ids, length)
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, data, answers in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
-                block = Block(data, length)
-                for r, at in dealt(block, block.told(told(answers), ranges)[1]):
-                    run = front_coded(block.data, at, block.ids[block.doc[at]], length)
-                    yield _batch([(r, number, run)], ["rng", "block", "data"], three)
+            for row in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+                yield from _together(found(*row))
 
     runs = _with_answers(blocks.select("block", "data"), buckets, first).mapInArrow(suffixes, "rng int, block long, data binary")
     second = _by_range(runs, ranges, lambda entries: repeats(entries, length), "suffix-answers")
 
-    def removed(block: Block, answers: list[tuple[int, bytes]], hits: list[tuple[int, bytes]]) -> np.ndarray:
-        """Whether each byte of the block goes."""
-        held, open_ = block.told(answers, ranges)
-        starts, stops = [block.start[held]], [block.start[held] + block.count[held] + length - 1]
-        by_range = dict(dealt(block, open_)) if hits else {}
-        for r, numbers in hits:
-            found = by_range[r][unpack(numbers)[0]]
-            starts.append(found)
-            stops.append(found + length)
-        n = len(block.data)
-        change = np.bincount(np.concatenate(starts), minlength=n + 1) - np.bincount(np.concatenate(stops), minlength=n + 1)
-        gone = np.cumsum(change)[:n] > 0
+    def removed(data: np.ndarray, answers: list[dict] | None) -> np.ndarray:
+        """Whether each byte of a block goes."""
+        n = len(data)
+        starts, stops = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for row in answers or ():
+            a, *b = unpack(row["data"])
+            starts.append(a.astype(np.int64))
+            stops.append(b[0].astype(np.int64) if row["rng"] < 0 else starts[-1] + length)
+        first, last = joined(np.concatenate(starts), np.concatenate(stops))
+        change = np.zeros(n + 1, np.int8)
+        change[first], change[last] = 1, -1
+        gone = np.cumsum(change[:n], dtype=np.int8) > 0
         if characters and n:
-            points = np.flatnonzero(block.data & 0xC0 != 0x80)  # where a code point begins
+            points = np.flatnonzero(data & 0xC0 != 0x80)  # where a code point begins
             gone = np.repeat(np.logical_and.reduceat(gone, points), np.diff(np.append(points, n)))
         return gone
 
@@ -571,14 +642,14 @@ def repeated_spans(docs: DataFrame, length: int = 50, block_bytes: int = BLOCK,
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for data, rest, answers, hits in zip(*[batch.column(i).to_pylist() for i in range(1, 5)], strict=True):
-                block = Block(data, length)
-                gone = removed(block, told(answers), told(hits))
+            for data, rest, answers in zip(*[batch.column(i).to_pylist() for i in range(1, 4)], strict=True):
+                _, sizes, text = unpack(data)
+                gone = removed(text, answers)
                 rows, a = [], 0
-                for b in block.stops.tolist():
+                for b in np.cumsum(sizes).tolist():
                     own = gone[a:b]
                     edges = np.flatnonzero(np.diff(np.concatenate(([False], own, [False])).astype(np.int8))).reshape(-1, 2)
-                    kept = block.data[a:b] if not len(edges) else block.data[a:b][~own]
+                    kept = text[a:b] if not len(edges) else text[a:b][~own]
                     rows.append((b - a, [{"start": x, "stop": y} for x, y in edges.tolist()], kept.tobytes()))
                     a = b
                 made = _batch(rows, ["n_bytes", "spans", "kept"], [pa.int64(), span, pa.binary()])
@@ -590,7 +661,7 @@ def repeated_spans(docs: DataFrame, length: int = 50, block_bytes: int = BLOCK,
                         yield pa.RecordBatch.from_arrays([*part.columns, *own.columns], names=[*keep, "n_bytes", "spans", "kept"])
 
     whole = blocks.select("block", "data", "rest")
-    return _with_answers(whole, buckets, first, second).mapInArrow(settle, out)
+    return _with_answers(whole, buckets, second).mapInArrow(settle, out)
 
 
 def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:

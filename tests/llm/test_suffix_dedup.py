@@ -1,4 +1,5 @@
 import random
+import sys
 
 import numpy as np
 import pytest
@@ -86,6 +87,68 @@ def test_merge_compares_no_known_prefix(monkeypatch):
     assert out == sorted(strings)
 
 
+def of_runs(strings, owners, cuts):
+    """Entries of one range: a front-coded run of each part of ``strings``."""
+    length = len(strings[0])
+    data = np.frombuffer(b"".join(strings), np.uint8)
+    places, owners = np.arange(len(strings)) * length, np.array(owners)
+    return [(k, sd.front_coded(data, places[a:b], owners[a:b], length)) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+
+
+def later_ones(strings, owners, cuts):
+    """By block, the places of strings that a smaller owner has too."""
+    least = {}
+    for s, o in zip(strings, owners):
+        least[s] = min(least.get(s, o), o)
+    width = len(strings[0])
+    found = [[k * width for k in range(a, b) if least[strings[k]] < owners[k]] for a, b in zip(cuts, cuts[1:])]
+    return {k: at for k, at in enumerate(found) if at}
+
+
+def test_a_merge_goes_by_arrays():
+    """What a range does in Python doesn't grow with its strings."""
+    rng = random.Random(4)
+    strings = ["".join(rng.choice("abcd") for _ in range(8)).encode() for _ in range(60_000)]
+    owners, cuts = [rng.randrange(500) for _ in strings], list(range(0, 60_001, 3_000))
+    entries, calls = of_runs(strings, owners, cuts), [0]
+
+    def count(frame, event, arg):
+        calls[0] += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        found = list(sd.repeats(entries, 8))
+    finally:
+        sys.setprofile(None)
+    assert {k: sd.unpack(data)[0].tolist() for k, data in found} == later_ones(strings, owners, cuts)
+    assert calls[0] < len(strings) / 4
+
+
+@pytest.mark.parametrize("ahead", [(1, 1, 1), (40, 2, 3), (500, 1, 1000)])
+def test_parts_of_a_merge(monkeypatch, ahead):
+    """Parts that end between equal strings, and runs that share no range of strings, give the same places and common prefixes."""
+    for name, value in zip(("MERGED", "AHEAD", "STEP"), ahead):
+        monkeypatch.setattr(sd, name, value)
+    rng = random.Random(9)
+    strings = [bytes(rng.choice(b"ab\x00") for _ in range(6)) for _ in range(900)] + [b"aaaaaa"] * 300 + [b"zz%04d" % k for k in range(200)]
+    owners, cuts = [rng.randrange(40) for _ in strings], [0, 300, 301, 900, 1050, 1200, 1300, 1400]
+    entries = of_runs(strings, owners, cuts)
+    assert {k: sd.unpack(data)[0].tolist() for k, data in sd.repeats(entries, 6)} == later_ones(strings, owners, cuts)
+    runs, order = [sd.Run(data, 6) for _, data in entries], []
+    for r, i, share in sd.merged(runs, 6):
+        text = strings[int(runs[r].at[i]) // 6]
+        assert share == next((k for k in range(6) if not order or order[-1][k] != text[k]), 6)
+        order.append(text)
+    assert order == sorted(strings)
+
+
+def test_long_stretches(docs):
+    """Stretches longer than two windows are equal only if what is between their ends is."""
+    rows = [(i, "xyz" * 60 + middle + "xyz" * 60) for i, middle in enumerate(["", "", "xyz", "q", "xy", "q", "xyzxyz" * 30])]
+    rows += [(i + 10, ("-" * n + "=") * 5) for i, n in enumerate((80, 81, 80, 200, 30, 30))]
+    assert found(sd.repeated_spans(docs(rows), block_bytes=500, range_bytes=700)) == by_loop(rows)
+
+
 def test_one_run():
     data = np.frombuffer(b"banana", np.uint8)
     run = sd.Run(sd.front_coded(data, np.arange(4), np.zeros(4, np.int64), 3), 3)
