@@ -251,14 +251,19 @@ ALONE, HELD, SHARED = 0, 1, 2
 
 def answered(entries: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
     """The answers of one range to each block, from the blocks' entries."""
-    parts = [unpack(data) for _, data in entries]
-    anchor = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
+    anchors, parts = [], []
+    for _, data in entries:
+        steps, *part = unpack(data)
+        anchors.append(np.cumsum(steps, dtype=np.uint64))
+        parts.append(part)
+    anchor = np.concatenate(anchors)
+    del anchors
     order = np.argsort(anchor, kind="stable")
     same = np.diff(anchor[order]) == 0
     twice = order[np.concatenate((same, [False])) | np.concatenate(([False], same))]  # places whose anchor stands elsewhere too
     state = np.full(len(anchor), ALONE, np.uint8)
     if len(twice):
-        stretch, owner = np.concatenate([p[1] for p in parts])[twice], np.concatenate([p[2][p[3]] for p in parts])[twice]
+        stretch, owner = np.concatenate([p[0] for p in parts])[twice], np.concatenate([p[1][p[2]] for p in parts])[twice]
         order = np.lexsort((owner, stretch, anchor[twice]))
         a, s, o = anchor[twice][order], stretch[order], owner[order]
         new_anchor = np.concatenate(([True], a[1:] != a[:-1]))
@@ -270,7 +275,7 @@ def answered(entries: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
         state[twice[order]] = np.where(least < o, HELD, found)
     at = 0
     for (block, _), p in zip(entries, parts, strict=True):
-        own, at = state[at:at + len(p[1])], at + len(p[1])
+        own, at = state[at:at + len(p[0])], at + len(p[0])
         if own.any():
             yield block, pack(own)
 
@@ -286,6 +291,16 @@ def prefixes(data: np.ndarray, at: np.ndarray, width: int = 8) -> np.ndarray:
     return out
 
 
+def shared_with_last(text: np.ndarray, before: np.ndarray | None = None) -> np.ndarray:
+    """How many first bytes each row of ``text`` has in common with the row before; ``before`` is the one before the first."""
+    share = np.zeros(len(text), np.int64)
+    other = text[1:] != text[:-1]
+    share[1:] = np.where(other.any(axis=1), other.argmax(axis=1), text.shape[1])
+    if before is not None:
+        share[0] = shared_with_last(np.concatenate((before, text[:1])))[1]
+    return share
+
+
 def front_coded(data: np.ndarray, at: np.ndarray, ids: np.ndarray, length: int) -> bytes:
     """A sorted run of the suffixes at ``at``: common prefix with the one before, the rest of the bytes, id, place.
 
@@ -294,10 +309,7 @@ def front_coded(data: np.ndarray, at: np.ndarray, ids: np.ndarray, length: int)
     text = np.lib.stride_tricks.sliding_window_view(data, length)[at]
     order = np.argsort(text.view(f"S{length}").ravel(), kind="stable")  # compares all bytes, zero bytes too
     text = text[order]
-    shared = np.zeros(len(at), np.int64)
-    if len(at) > 1:
-        other = text[1:] != text[:-1]
-        shared[1:] = np.where(other.any(axis=1), other.argmax(axis=1), length)
+    shared = shared_with_last(text)
     rest = text[np.arange(length) >= shared[:, None]]
     names, place = np.unique(ids[order], return_inverse=True)
     return pack(shared.astype(np.uint8 if length < 256 else np.uint32), rest, names, place.astype(np.uint32), at[order].astype(np.uint32))
@@ -359,16 +371,13 @@ def merged_parts(runs: list[Run], length: int) -> Iterator[tuple[np.ndarray, np.
             counts.append(n)
             run.ahead = run.ahead[n:]
         text = np.concatenate(texts)
+        del texts
         order = np.argsort(text.view(kind).ravel(), kind="stable")  # compares all bytes, zero bytes too
         text = text[order]
-        share = np.zeros(len(text), np.int64)
-        other = text[1:] != text[:-1]
-        share[1:] = np.where(other.any(axis=1), other.argmax(axis=1), length)
-        if before is not None:
-            other = text[0] != before
-            share[0] = other.argmax() if other.any() else length
-        before = text[-1].copy()
+        share = shared_with_last(text, before)
+        before = text[-1:].copy()
         rows = min(most, 2 * rows) if len(text) < MERGED // 2 else rows
+        del text
         yield np.repeat(left, counts)[order], np.concatenate(places)[order], share
 
 
