@@ -223,9 +223,10 @@ def match_fuzzy(candidates: DataFrame, accounts: DataFrame, layers: Sequence[str
         open_pairs, "store_id"), layers), "probes")
     entries = _entries(candidates, accounts, layers)
     # Picks, one a text, are written so that Spark sees how few they are: else it may copy the probes, one a store, to the few
-    # tasks that the picks are in, and those would hold a row of every store.
-    picks = materialize(_picks_per_text(
-        probes.select("block", "text").distinct(), entries, FUZZY_ZIP not in layers, **sizes), "picks")
+    # tasks that the picks are in, and those would hold a row of every store. A zip code has few stores of one text, so there
+    # both are dealt out by block and text, and neither is copied.
+    picks = _picks_per_text(probes.select("block", "text").distinct(), entries, FUZZY_ZIP not in layers, **sizes)
+    picks = picks.hint("merge") if set(layers) == {FUZZY_ZIP} else materialize(picks, "picks")
     found = probes.join(picks, ["block", "text"])
 
     layer = F.col("block.layer")
